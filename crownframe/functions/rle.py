@@ -7,20 +7,8 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-RUNS = "array<struct<line:int,c0:int,c1:int>>"
-
-
-def _ends(counts: Column) -> Column:
-    """Running sum of the counts."""
-    start = F.array().cast("array<long>")
-    return F.aggregate(counts, start, lambda acc, v: F.concat(
-        acc, F.array((F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0).cast("long")) + v)
-                     .cast("long"))))
-
-
 def decode_text(text: str) -> list[int]:
     """Counts of a compressed counts string: 5 bits per character, differences from the third on."""
     counts: list[int] = []
