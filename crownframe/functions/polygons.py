@@ -97,6 +97,19 @@ def polygon_iou(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=float)
 
 
+@F.pandas_udf("double")
+def clipped_iou(a: pd.Series, b: pd.Series, clip_a: pd.Series, clip_b: pd.Series) -> pd.Series:
+    """IoU of two polygons, each inside its own clip ring (null: not clipped)."""
+    out = []
+    for p, q, c, d in zip(a, b, clip_a, clip_b):
+        mine = [p] if c is None else [p, c]
+        other = [q] if d is None else [q, d]
+        inter = shared_area(*mine, *other)
+        union = shared_area(*mine) + shared_area(*other) - inter
+        out.append(inter / union if union > 0 else 0.0)
+    return pd.Series(out, dtype=float)
+
+
 def _split_self_crossing(ring) -> list[list[float]]:
     """Loops of a ring, cut where two of its edges cross; loops without area are left out."""
     pts = [tuple(p) for p in np.asarray(ring, dtype=float).reshape(-1, 2)]

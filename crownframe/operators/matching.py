@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
+from crownframe.functions.polygons import clipped_iou
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
 
@@ -97,19 +98,31 @@ def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
                     keys: Sequence[str] = ("product_id",), pred_id: str = "object_id",
                     truth_id: str = "truth_id", epsilon: float = 0.0,
                     pred_extra: Sequence[str] = (), truth_extra: Sequence[str] = (),
-                    pred_keys: Sequence[str] = (), least_iou: float = 0.0) -> DataFrame:
-    """Overlapping prediction/truth pairs with their IoU, measured once for all thresholds."""
+                    pred_keys: Sequence[str] = (), least_iou: float = 0.0,
+                    shape_cols: Sequence[str] = ()) -> DataFrame:
+    """Overlapping prediction/truth pairs with their IoU, measured once for all thresholds.
+
+    With `shape_cols` (rings and the ring they are clipped to, in both tables) the boxes only find
+    the pairs and the IoU is that of the clipped polygons.
+    """
     keys = list(keys)
+    out_pred, out_truth = pred_extra, truth_extra
+    pred_extra, truth_extra = [*pred_extra, *shape_cols], [*truth_extra, *shape_cols]
     p = predictions.select(*keys, *pred_keys, F.col(pred_id).alias("id"), *B.BOX,
                            F.col(score_col).cast("double").alias("score"), *pred_extra)
     t = truths.select(*keys, F.col(truth_id).alias("id"), *B.BOX, *truth_extra)
     pairs = bbox_join(p, t, keys)
+    if shape_cols:
+        shape, clip = shape_cols
+        value = clipped_iou(f"a_{shape}", f"b_{shape}", f"a_{clip}", f"b_{clip}")
+    else:
+        value = B.iou(B.box("a_"), B.box("b_"), epsilon)
     return pairs.select(
         *keys, *[F.col(f"a_{k}").alias(k) for k in pred_keys],
         F.col("a_id").alias("pred"), F.col("a_score").alias("score"), F.col("b_id").alias("truth"),
-        B.iou(B.box("a_"), B.box("b_"), epsilon).alias("iou"),
-        *[F.col(f"a_{c}").alias(f"pred_{c}") for c in pred_extra],
-        *[F.col(f"b_{c}").alias(f"truth_{c}") for c in truth_extra],
+        value.alias("iou"),
+        *[F.col(f"a_{c}").alias(f"pred_{c}") for c in out_pred],
+        *[F.col(f"b_{c}").alias(f"truth_{c}") for c in out_truth],
     ).filter(F.col("iou") >= least_iou)
 
 
@@ -117,7 +130,7 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
                  score_col: str = "detector_score", keys: Sequence[str] = ("product_id",),
                  size_col: str | None = None, pred_id: str = "object_id",
                  truth_id: str = "truth_id", tail_pairs: int = TAIL_PAIRS,
-                 pred_keys: Sequence[str] = ()) -> DataFrame:
+                 pred_keys: Sequence[str] = (), shape_cols: Sequence[str] = ()) -> DataFrame:
     """Matches per `keys`, IoU threshold and size bin: `(keys, iou_threshold, size_label, ...)`.
 
     The bin `all` holds everyone; with `size_col` (a label column in both tables) a pair also
@@ -127,7 +140,7 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
     steps = sorted({float(t) for t in thresholds})
     pairs = candidate_pairs(predictions, truths, score_col, keys, pred_id, truth_id,
                             pred_extra=extra, truth_extra=extra, pred_keys=pred_keys,
-                            least_iou=steps[0])
+                            least_iou=steps[0], shape_cols=shape_cols)
     levels = F.array(*[F.lit(t) for t in steps])
     pairs = pairs.withColumn("iou_threshold", F.explode(
         F.filter(levels, lambda t: t <= F.col("iou"))))
