@@ -7,7 +7,12 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+# Types as objects, so workers can import this module without a session.
+_RINGS = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 
 def _segments(rings) -> np.ndarray:
@@ -77,37 +82,35 @@ def shared_area(*shapes) -> float:
     return total
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def polygon_inter_area(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([shared_area(p, q) for p, q in zip(a, b)], dtype=float)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def even_odd_area(a: pd.Series) -> pd.Series:
     return pd.Series([shared_area(p) for p in a], dtype=float)
 
 
-@F.pandas_udf("double")
-def polygon_iou(a: pd.Series, b: pd.Series) -> pd.Series:
-    out = []
-    for p, q in zip(a, b):
-        inter = shared_area(p, q)
-        union = shared_area(p) + shared_area(q) - inter
-        out.append(inter / union if union > 0 else 0.0)
-    return pd.Series(out, dtype=float)
+@F.pandas_udf(T.DoubleType())
+def clipped_area(a: pd.Series, clip: pd.Series) -> pd.Series:
+    """Area of a polygon inside its clip ring (null: not clipped)."""
+    return pd.Series([shared_area(p) if c is None else shared_area(p, c)
+                      for p, c in zip(a, clip)], dtype=float)
+
+
+@F.pandas_udf(T.DoubleType())
+def clipped_inter_area(a: pd.Series, b: pd.Series, clip_a: pd.Series,
+                       clip_b: pd.Series) -> pd.Series:
+    """Common area of two polygons, each inside its own clip ring (null: not clipped)."""
+    return pd.Series([shared_area(*[s for s in shapes if s is not None])
+                      for shapes in zip(a, b, clip_a, clip_b)], dtype=float)
 
 
-@F.pandas_udf("double")
-def clipped_iou(a: pd.Series, b: pd.Series, clip_a: pd.Series, clip_b: pd.Series) -> pd.Series:
-    """IoU of two polygons, each inside its own clip ring (null: not clipped)."""
-    out = []
-    for p, q, c, d in zip(a, b, clip_a, clip_b):
-        mine = [p] if c is None else [p, c]
-        other = [q] if d is None else [q, d]
-        inter = shared_area(*mine, *other)
-        union = shared_area(*mine) + shared_area(*other) - inter
-        out.append(inter / union if union > 0 else 0.0)
-    return pd.Series(out, dtype=float)
+def iou_from(inter: Column, area_a: Column, area_b: Column) -> Column:
+    """IoU of two shapes from their areas, which are measured once per shape and not per pair."""
+    union = area_a + area_b - inter
+    return F.when(union > 0, inter / F.when(union > 0, union)).otherwise(0.0)
 
 
 def _split_self_crossing(ring) -> list[list[float]]:
@@ -147,7 +150,7 @@ def _split_self_crossing(ring) -> list[list[float]]:
     return [loop for loop in loops if shared_area([loop]) > 0]
 
 
-@F.pandas_udf("array<array<array<double>>>")
+@F.pandas_udf(T.ArrayType(_RINGS))
 def repair(rings: pd.Series) -> pd.Series:
     """Valid parts of a polygon (a list of polygons); empty when nothing with area is left.
 
@@ -165,7 +168,7 @@ def repair(rings: pd.Series) -> pd.Series:
     return rings.map(fix)
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(_RINGS)
 def largest_part(parts: pd.Series) -> pd.Series:
     """The part with the largest area, null when there is none."""
     def pick(shapes):
@@ -204,7 +207,7 @@ def _simplify_ring(ring, tolerance: float) -> list[float]:
 
 def simplify(rings, tolerance: float):
     """Column: rings without points closer than `tolerance` to the simplified outline."""
-    @F.pandas_udf("array<array<double>>")
+    @F.pandas_udf(_RINGS)
     def run(shapes: pd.Series) -> pd.Series:
         return shapes.map(lambda s: None if s is None else
                           [r for r in (_simplify_ring(x, tolerance) for x in s) if len(r) >= 6])
@@ -230,7 +233,8 @@ def _fill(rings, height: int, width: int) -> np.ndarray:
     return mask
 
 
-_RUNS = "array<struct<line:int,c0:int,c1:int>>"
+_RUNS = T.ArrayType(T.StructType([
+    T.StructField(c, T.IntegerType()) for c in ("line", "c0", "c1")]))
 
 
 @F.pandas_udf(_RUNS)
@@ -247,7 +251,7 @@ def polygon_to_runs(rings: pd.Series, height: pd.Series, width: pd.Series) -> pd
     return pd.Series([scan(s, h, w) for s, h, w in zip(rings, height, width)])
 
 
-@F.pandas_udf("array<array<double>>")
+@F.pandas_udf(_RINGS)
 def runs_to_polygon(runs: pd.Series) -> pd.Series:
     """Rectilinear outline of row runs; every closed border is one ring, largest first."""
     def outline(items):

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 def decode_text(text: str) -> list[int]:
     """Counts of a compressed counts string: 5 bits per character, differences from the third on."""
@@ -42,11 +43,11 @@ def encode_text(counts) -> str:
     return "".join(out)
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def text_to_counts(text: pd.Series) -> pd.Series:
     return text.map(lambda t: None if t is None else decode_text(t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def counts_to_text(counts: pd.Series) -> pd.Series:
     return counts.map(lambda c: None if c is None else encode_text(c))

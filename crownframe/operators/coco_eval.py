@@ -74,7 +74,7 @@ def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple
         (-F.col("b_gt_id")).cast("long").alias("truth_rank"),
         F.col("b_iscrowd").alias("shared"))
     found = match_rounds(candidates, [*keys, "area_label", "t"])
-    bit = F.shiftleft(F.lit(1).cast("long"), F.col("t"))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t"))
     # One row per detection, threshold and range, so adding the bits sets them.
     masks = found.groupBy(*keys, F.col("pred").alias("det_id"), "area_label").agg(
         F.sum(F.when(F.col("tier") == 0, bit).otherwise(0)).alias("tp_mask"),

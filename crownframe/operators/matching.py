@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
-from crownframe.functions.polygons import clipped_iou
+from crownframe.functions.polygons import clipped_inter_area, iou_from
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
 
@@ -102,8 +102,8 @@ def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
                     shape_cols: Sequence[str] = ()) -> DataFrame:
     """Overlapping prediction/truth pairs with their IoU, measured once for all thresholds.
 
-    With `shape_cols` (rings and the ring they are clipped to, in both tables) the boxes only find
-    the pairs and the IoU is that of the clipped polygons.
+    With `shape_cols` (rings, the ring they are clipped to, the clipped area; in both tables) the
+    boxes only find the pairs and the IoU is that of the clipped polygons.
     """
     keys = list(keys)
     out_pred, out_truth = pred_extra, truth_extra
@@ -113,8 +113,10 @@ def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
     t = truths.select(*keys, F.col(truth_id).alias("id"), *B.BOX, *truth_extra)
     pairs = bbox_join(p, t, keys)
     if shape_cols:
-        shape, clip = shape_cols
-        value = clipped_iou(f"a_{shape}", f"b_{shape}", f"a_{clip}", f"b_{clip}")
+        shape, clip, size = shape_cols
+        inter = clipped_inter_area(f"a_{shape}", f"b_{shape}", f"a_{clip}", f"b_{clip}")
+        pairs = pairs.withColumn("_inter", inter)
+        value = iou_from(F.col("_inter"), F.col(f"a_{size}"), F.col(f"b_{size}"))
     else:
         value = B.iou(B.box("a_"), B.box("b_"), epsilon)
     return pairs.select(

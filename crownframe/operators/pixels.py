@@ -11,16 +11,18 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _array(raw, bands: int, height: int, width: int, dtype: str = "uint8") -> np.ndarray:
     return np.frombuffer(raw, dtype=dtype).reshape(bands, height, width)
 
 
-_BLANK = "struct<black:double,white:double>"
+def _doubles(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
 
 
-@F.pandas_udf(_BLANK)
+@F.pandas_udf(_doubles("black", "white"))
 def blank_shares(pixels: pd.Series, bands: pd.Series, height: pd.Series,
                  width: pd.Series) -> pd.DataFrame:
     """Share of all-zero and of all-255 pixels over the colour bands."""
@@ -37,7 +39,7 @@ def blank_tile_filter(tiles: DataFrame, limit: float = 0.8) -> DataFrame:
     return marked.filter((F.col("_b.black") <= limit) & (F.col("_b.white") < 1)).drop("_b")
 
 
-@F.pandas_udf("struct<low:double,high:double>")
+@F.pandas_udf(_doubles("low", "high"))
 def centre_range(pixels: pd.Series, bands: pd.Series, height: pd.Series, width: pd.Series,
                  dtype: pd.Series) -> pd.DataFrame:
     """Value range in the middle window of at most 512 pixels."""
@@ -77,7 +79,7 @@ def validate_rgb(tiles: DataFrame, strict: bool = True, id_col: str = "tile_path
         id_col, "_p.severity", "_p.problem")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def float_to_uint8(pixels: pd.Series, bands: pd.Series, height: pd.Series,
                    width: pd.Series) -> pd.Series:
     """32-bit float values divided by 256, held to 0..255 and cut to whole numbers."""
@@ -119,7 +121,7 @@ def black_out(tiles: DataFrame, runs: DataFrame, key: str = "tile_path") -> Data
     """
     lists = runs.groupBy(key).agg(F.collect_list(F.struct("line", "c0", "c1")).alias("_runs"))
 
-    @F.pandas_udf("binary")
+    @F.pandas_udf(T.BinaryType())
     def erase(pixels: pd.Series, bands: pd.Series, height: pd.Series, width: pd.Series,
               holes: pd.Series) -> pd.Series:
         out = []

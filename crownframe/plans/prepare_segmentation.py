@@ -37,6 +37,7 @@ def prepare_segmentation(annotations: DataFrame, min_area: float | None = 10.0,
 
     Order: run lengths to polygons, minimum area, then empty segmentations in files that have any.
     """
+    convert = convert and "size" in annotations.columns
     rows = rle_to_polygons(annotations) if convert else annotations
     kept = rows
     if min_area is not None:

@@ -18,7 +18,7 @@ from crownframe.operators.spatial_join import aoi_filter, bbox_join, to_pixel_sp
 from crownframe.session import cut
 
 KEY = "product_id"
-SHAPE = ("rings", "clip")
+SHAPE = ("rings", "clip", "_own_area")
 
 
 def _unique_ids(df: DataFrame, id_col: str) -> DataFrame:
@@ -70,7 +70,8 @@ def prepare(predictions: DataFrame, truths: DataFrame, gsd: float, aoi: DataFram
     predictions, truths = out
     if iou_type == "segm":
         # IoU does not change with scale and shift, so only the area goes to pixels.
-        sized = [df.withColumn("_area", F.col("_area") / (gsd * gsd)) for df in (predictions, truths)]
+        sized = [df.withColumns({"_own_area": F.col("_area"), "_area": F.col("_area") / (gsd * gsd)})
+                 for df in (predictions, truths)]
     else:
         truths, predictions = to_pixel_space(truths, predictions, gsd, KEY)
         sized = [df.withColumn("_area", B.area(B.box())) for df in (predictions, truths)]

@@ -86,6 +86,7 @@ def coco_tables(objects: DataFrame, categories: DataFrame, tile_col: str = "tile
                 id_col: str = "object_id", source: str | None = None) -> Coco:
     """Objects as COCO rows: image ids per tile and annotation ids per object, both dense from 1."""
     keys = [source] if source else []
+    objects = objects.drop("id", "image_id")
     tiles = objects.select(*keys, tile_col).distinct()
     images = row_index(tiles, keys, [F.col(tile_col)], "id", start=1)
     rows = objects.join(images.withColumnRenamed("id", "image_id"), [*keys, tile_col])

@@ -52,10 +52,11 @@ def boxes_per_image(boxes: DataFrame) -> DataFrame:
 
 def read_jsonl_tolerant(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
     """(good rows, bad lines) of a file with one JSON object per line."""
-    rows = (spark.read.schema(f"{schema}, _bad string").option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", "_bad").json(path))
-    bad = rows.filter("_bad is not null").select(F.col("_bad").alias("line"))
-    return rows.filter("_bad is null").drop("_bad"), bad
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}
+    rows = spark.read.text(path).select(
+        "value", F.from_json("value", f"{schema}, _bad string", options).alias("_r"))
+    bad = rows.filter("_r._bad is not null").select(F.col("value").alias("line"))
+    return rows.filter("_r._bad is null").select("_r.*").drop("_bad"), bad
 
 
 def rename_tiles(images: DataFrame, plan: DataFrame, present: DataFrame) -> tuple[DataFrame, DataFrame]:

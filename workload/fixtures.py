@@ -78,7 +78,7 @@ def runs(spark: SparkSession, sf: str) -> DataFrame:
     """Row runs of the truth boxes on the integer grid."""
     t = truths(spark, sf)
     rows = F.sequence(F.floor("y0"), F.ceil("y1") - 1)
-    return t.select("truth_id", "product_id", F.explode(rows).cast("int").alias("y"),
+    return t.select("truth_id", "product_id", F.explode(rows.cast("array<int>")).alias("y"),
                     F.floor("x0").cast("int").alias("c0"), F.ceil("x1").cast("int").alias("c1"))
 
 
@@ -87,7 +87,7 @@ def detection_runs(spark: SparkSession, sf: str) -> DataFrame:
     d = detections(spark, sf)
     rows = F.sequence(F.floor("y0"), F.ceil("y1") - 1)
     return d.filter("x1 > x0 and y1 > y0").select(
-        "object_id", "product_id", F.explode(rows).cast("int").alias("y"),
+        "object_id", "product_id", F.explode(rows.cast("array<int>")).alias("y"),
         F.floor("x0").cast("int").alias("c0"), F.ceil("x1").cast("int").alias("c1"))
 
 
