@@ -9,13 +9,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crownframe.functions import boxes as B
 from crownframe.operators.matching import match_rounds
 from crownframe.operators.numbering import running_totals, top_per_group
 from crownframe.operators.spatial_join import bbox_join
+from crownframe.session import cut
 
 # The ten IoU thresholds and the recall grid 0, 0.01, ..., 1 of the protocol, and its
 # pixel area ranges for when no ground resolution is known.
@@ -43,18 +47,74 @@ def _range_table(ranges: dict[str, tuple[float, float]]) -> Column:
         for n, (lo, hi) in ranges.items()])
 
 
-def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple[float, float]],
-               thresholds: Sequence[float] = IOU_THRESHOLDS, max_dets: int = 100,
-               group: Sequence[str] = ()) -> DataFrame:
-    """Outcome per detection and area range: `rank, tp_mask, fp_mask`.
-
-    Bit i of a mask stands for the i-th threshold. `detections` has `image_id, category_id, det_id,
-    score` and a box, `truths` has `image_id, category_id, gt_id, area, iscrowd` and a box; both
-    carry the `group` columns (e.g. the raster).
+GROUP_PAIRS = 100_000   # candidate pairs of one image and category that one task may hold
+
+
+def _mask_schema(pairs: DataFrame, keys: Sequence[str]) -> T.StructType:
+    fields = [pairs.schema[k] for k in keys]
+    return T.StructType([*fields, T.StructField("det_id", T.LongType()),
+                         T.StructField("area_label", T.StringType()),
+                         T.StructField("tp_mask", T.LongType()),
+                         T.StructField("any_mask", T.LongType())])
+
+
+def _match_image(keys: Sequence[str], ranges: dict[str, tuple[float, float]],
+                 thresholds: Sequence[float]):
+    """The protocol's loop over one image's detections, for all ranges and thresholds at once."""
+    labels = list(ranges)
+    low = np.array([ranges[n][0] for n in labels])
+    high = np.array([ranges[n][1] for n in labels])
+    steps = np.minimum(np.array(thresholds, dtype=float), 1 - 1e-10)
+    bits = np.int64(1) << np.arange(len(steps), dtype=np.int64)
+
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        # Among equal IoU the later truth wins.
+        frame = frame.sort_values(["a_score", "a_det_id", "iou", "b_gt_id"],
+                                  ascending=[False, True, False, False], kind="stable")
+        code, first = np.unique(frame["b_gt_id"].to_numpy(), return_index=True)
+        truth = np.searchsorted(code, frame["b_gt_id"].to_numpy())
+        area = frame["b_area"].to_numpy()[first][:, None]
+        crowd = frame["b_iscrowd"].to_numpy()[first]
+        ignored = (area < low) | (area > high) | crowd[:, None]
+        free = np.ones((len(code), len(labels), len(steps)), dtype=bool)
+        reaches = frame["iou"].to_numpy()[:, None] >= steps
+        dets = frame["a_det_id"].to_numpy()
+        starts = np.flatnonzero(np.r_[True, dets[1:] != dets[:-1]])
+        ends = np.r_[starts[1:], len(dets)]
+        tp = np.zeros((len(starts), len(labels)), dtype=np.int64)
+        hit = np.zeros_like(tp)
+        for n, (a, b) in enumerate(zip(starts, ends)):
+            todo = np.ones((len(labels), len(steps)), dtype=bool)
+            for tier in (False, True):
+                for i in range(a, b):
+                    g = truth[i]
+                    ok = todo & free[g] & reaches[i] & (ignored[g] == tier)[:, None]
+                    if not ok.any():
+                        continue
+                    todo &= ~ok
+                    if not crowd[g]:
+                        free[g] &= ~ok
+                    got = ok @ bits
+                    hit[n] |= got
+                    if not tier:
+                        tp[n] |= got
+        row, col = np.nonzero(hit)
+        out = {k: frame[k].iloc[0] for k in keys}
+        return pd.DataFrame({**{k: [v] * len(row) for k, v in out.items()},
+                             "det_id": dets[starts][row], "area_label": np.array(labels)[col],
+                             "tp_mask": tp[row, col], "any_mask": hit[row, col]})
+
+    return settle
+
+
+def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
+                 ranges: dict[str, tuple[float, float]], thresholds: Sequence[float],
+                 group_pairs: int) -> DataFrame:
+    """Matched thresholds per detection and range, as bits: countable ones and all.
+
+    An image with up to `group_pairs` candidate pairs is settled inside one task; larger ones go
+    through the matching rounds, which never gather an image.
     """
-    group = list(group)
-    keys = [*group, "image_id", "category_id"]
-    dets = top_dets(detections.select(*keys, "det_id", "score", *B.BOX), max_dets, keys)
     pairs = bbox_join(dets.select(*keys, "det_id", "score", *B.BOX),
                       truths.select(*keys, "gt_id", *B.BOX, "area", "iscrowd"), keys)
     a, b = B.box("a_"), B.box("b_")
@@ -62,7 +122,17 @@ def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple
     steps = F.array(*[
         F.struct(F.lit(i).alias("i"), F.lit(min(float(t), 1 - 1e-10)).alias("t"))
         for i, t in enumerate(thresholds)])
-    pairs = pairs.withColumn("iou", value)
+    least = min(float(t) for t in thresholds)
+    pairs = cut(pairs.withColumn("iou", value).filter(F.col("iou") >= min(least, 1 - 1e-10)).select(
+        *keys, "a_det_id", "a_score", "b_gt_id", "b_area", "b_iscrowd", "iou"), "pairs")
+    sizes = pairs.groupBy(*keys).count()
+    crowded = cut(sizes.filter(F.col("count") > group_pairs).select(*keys), "crowded")
+    if crowded.count() == 0:
+        return pairs.groupBy(*keys).applyInPandas(
+            _match_image(keys, ranges, thresholds), _mask_schema(pairs, keys))
+    masks = pairs.join(crowded, keys, "left_anti").groupBy(*keys).applyInPandas(
+        _match_image(keys, ranges, thresholds), _mask_schema(pairs, keys))
+    pairs = pairs.join(crowded, keys, "left_semi")
     pairs = pairs.withColumn("_t", F.explode(F.filter(steps, lambda s: s["t"] <= F.col("iou"))))
     pairs = pairs.withColumn("_r", F.explode(_range_table(ranges)))
     outside = (F.col("b_area") < F.col("_r.lo")) | (F.col("b_area") > F.col("_r.hi"))
@@ -76,9 +146,24 @@ def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple
     found = match_rounds(candidates, [*keys, "area_label", "t"])
     bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t"))
     # One row per detection, threshold and range, so adding the bits sets them.
-    masks = found.groupBy(*keys, F.col("pred").alias("det_id"), "area_label").agg(
+    return masks.unionByName(found.groupBy(*keys, F.col("pred").alias("det_id"), "area_label").agg(
         F.sum(F.when(F.col("tier") == 0, bit).otherwise(0)).alias("tp_mask"),
-        F.sum(bit).alias("any_mask"))
+        F.sum(bit).alias("any_mask")))
+
+
+def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple[float, float]],
+               thresholds: Sequence[float] = IOU_THRESHOLDS, max_dets: int = 100,
+               group: Sequence[str] = (), group_pairs: int = GROUP_PAIRS) -> DataFrame:
+    """Outcome per detection and area range: `rank, tp_mask, fp_mask`.
+
+    Bit i of a mask stands for the i-th threshold. `detections` has `image_id, category_id, det_id,
+    score` and a box, `truths` has `image_id, category_id, gt_id, area, iscrowd` and a box; both
+    carry the `group` columns (e.g. the raster).
+    """
+    group = list(group)
+    keys = [*group, "image_id", "category_id"]
+    dets = top_dets(detections.select(*keys, "det_id", "score", *B.BOX), max_dets, keys)
+    masks = _match_masks(dets, truths, keys, ranges, thresholds, group_pairs)
     every = dets.withColumn("_r", F.explode(_range_table(ranges))).select(
         *keys, "det_id", "score", "rank", F.col("_r.label").alias("area_label"),
         ((B.area(B.box()) >= F.col("_r.lo")) & (B.area(B.box()) <= F.col("_r.hi")))
@@ -212,11 +297,20 @@ def align_by_file_name(truth_images: DataFrame, pred_images: DataFrame,
 
 def tile_level(detections: DataFrame, truths: DataFrame, max_dets: Sequence[int],
                gsd: float | None = None, thresholds: Sequence[float] = IOU_THRESHOLDS,
-               group: Sequence[str] = ()) -> DataFrame:
-    """All steps from boxes to the summary row, with the three counts. Truth scores are ignored."""
+               group: Sequence[str] = (), units: DataFrame | None = None,
+               unit_key: str = "product_id") -> DataFrame:
+    """All steps from boxes to the summary row, with the three counts. Truth scores are ignored.
+
+    With `units` (`unit_key` and the `group` columns, any number of rows per key) images are matched
+    once per `unit_key` and counted in every group their key belongs to.
+    """
     ranges = ranges_for(gsd)
     truths = truths.drop("score")
-    outcomes = coco_match(detections, truths, ranges, thresholds, max(max_dets), group)
+    base = list(group) if units is None else [unit_key]
+    outcomes = coco_match(detections, truths, ranges, thresholds, max(max_dets), base)
+    if units is not None:
+        outcomes, truths, detections = (
+            df.join(units, unit_key) for df in (outcomes, truths, detections))
     npig = countable_truths(truths, ranges, group)
     acc = coco_accumulate(outcomes, npig, max_dets, thresholds, group)
     summary = coco_summary(acc, max_dets, list(ranges), group)

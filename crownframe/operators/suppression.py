@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
-from crownframe.operators.spatial_join import SAME, bbox_join, levels_of, place
+from crownframe.operators.spatial_join import SAME, bbox_join, place
 from crownframe.session import cut
 
 HOT_CELL = 2_000      # boxes in one grid cell above which copies are thinned before pairing
@@ -40,15 +40,17 @@ def drop_copies(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*nodes.columns).unionByName(nodes.filter(B.area(B.box()) <= 0))
 
 
-def _hottest_cell(nodes: DataFrame, keys: Sequence[str]) -> int:
+def _crowding(nodes: DataFrame, keys: Sequence[str]) -> tuple[int, list[int]]:
+    """Boxes in the fullest grid cell, and the grid levels in use."""
     homes = place(nodes.select(*keys, *B.BOX), [], home=[SAME])
     counts = homes.groupBy(*keys, "_level", "_cx", "_cy").count()
-    return counts.agg(F.max("count")).first()[0] or 0
+    top, levels = counts.agg(F.max("count"), F.collect_set("_level")).first()
+    return top or 0, sorted(levels) or [0]
 
 
 def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
-          hot_cell: int) -> tuple[DataFrame, DataFrame | None]:
-    """Resolve crowds of near copies in linear steps: returns (unresolved, taken).
+          hot_cell: int) -> tuple[DataFrame, DataFrame | None, list[int]]:
+    """Resolve crowds of near copies in linear steps: returns (unresolved, taken, grid levels).
 
     A box that is the strongest of every grid cell it reaches has no stronger neighbour, so it is
     taken; pairing the taken boxes with the rest costs one row per box and cell, never all pairs.
@@ -56,9 +58,12 @@ def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
     """
     keys = list(keys)
     taken: list[DataFrame] = []
-    total = nodes.count()
-    while _hottest_cell(nodes, keys) > hot_cell:
-        levels = levels_of(nodes)
+    total = None
+    while True:
+        fullest, levels = _crowding(nodes, keys)
+        if fullest <= hot_cell:
+            break
+        total = nodes.count() if total is None else total
         cells = place(nodes, levels, home=[0], visit=[1])
         cells = cells.withColumn("_rank", _stronger("score", "id"))
         cell = [*keys, "_level", "_cx", "_cy"]
@@ -71,7 +76,7 @@ def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
                 .agg(F.bool_and(rival.isNull() | (F.col("_rank") <= rival)).alias("_top"))
                 .filter("_top").select(*keys, "id"))
         winners = cut(nodes.join(tops, [*keys, "id"], "left_semi"), "winners")
-        fallen = _edges(winners, nodes, keys).filter(F.col("iou") > threshold)
+        fallen = _edges(winners, nodes, keys, levels).filter(F.col("iou") > threshold)
         gone = winners.select(*keys, "id").unionByName(fallen.select(*keys, F.col("lo").alias("id")))
         nodes = cut(nodes.join(gone.distinct(), [*keys, "id"], "left_anti"), "unresolved")
         taken.append(winners.select(*keys, "id"))
@@ -80,18 +85,19 @@ def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
             break
         total = left
     if not taken:
-        return nodes, None
+        return nodes, None, levels
     union = taken[0]
     for more in taken[1:]:
         union = union.unionByName(more)
-    return nodes, union
+    return nodes, union, levels
 
 
-def _edges(strong: DataFrame, weak: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _edges(strong: DataFrame, weak: DataFrame, keys: Sequence[str],
+           levels: Sequence[int]) -> DataFrame:
     """Pairs (hi, lo, iou, hi_score, lo_score): hi outranks lo and both share some area."""
     outranks = ((F.col("a_score") > F.col("b_score"))
                 | ((F.col("a_score") == F.col("b_score")) & (F.col("a_id") < F.col("b_id"))))
-    pairs = bbox_join(strong, weak, keys, extra=outranks)
+    pairs = bbox_join(strong, weak, keys, extra=outranks, left_levels=levels, right_levels=levels)
     return pairs.select(
         *keys, F.col("a_id").alias("hi"), F.col("b_id").alias("lo"),
         B.iou(B.box("a_"), B.box("b_")).alias("iou"),
@@ -162,8 +168,8 @@ def nms(objects: DataFrame, threshold: float, score_threshold: float | None = No
     if threshold >= 1:
         return objects  # no IoU exceeds 1
     nodes = cut(drop_copies(_nodes(objects, keys, id_col, score_col), keys), "nodes")
-    live, taken = _thin(nodes, threshold, keys, hot_cell)
-    edges = _edges(live, live, keys).filter(F.col("iou") > threshold)
+    live, taken, levels = _thin(nodes, threshold, keys, hot_cell)
+    edges = _edges(live, live, keys, levels).filter(F.col("iou") > threshold)
     kept = live.select(*keys, "id").join(
         suppressed(edges, keys, tail_edges), [*keys, "id"], "left_anti")
     if taken is not None:
@@ -194,10 +200,11 @@ def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: f
     if below:
         nodes = cut(drop_copies(whole, keys), "nodes")
         every = F.array(*[F.lit(t) for t in below])
-        if _hottest_cell(nodes, keys) > hot_cell:
+        fullest, levels = _crowding(nodes, keys)
+        if fullest > hot_cell:
             for t in below:
-                live, taken = _thin(nodes, t, keys, hot_cell)
-                edges = _edges(live, live, keys).filter(F.col("iou") > t)
+                live, taken, levels = _thin(nodes, t, keys, hot_cell)
+                edges = _edges(live, live, keys, levels).filter(F.col("iou") > t)
                 part = live.select(*keys, "id").join(
                     suppressed(edges, keys, tail_edges), [*keys, "id"], "left_anti")
                 part = part if taken is None else part.unionByName(taken)
@@ -205,7 +212,7 @@ def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: f
                     F.lit(t).alias("nms_iou"), *keys, "id", "score"))
         else:
             crossing = F.filter(every, lambda t: t < F.col("iou"))
-            edges = _edges(nodes, nodes, keys).withColumn("nms_iou", F.explode(crossing))
+            edges = _edges(nodes, nodes, keys, levels).withColumn("nms_iou", F.explode(crossing))
             all_nodes = nodes.select(F.explode(every).alias("nms_iou"), *keys, "id", "score")
             parts.append(all_nodes.join(
                 suppressed(edges, wide, tail_edges), [*wide, "id"], "left_anti"))

@@ -16,17 +16,16 @@ def tile_table(detections: DataFrame, truths: DataFrame, products: DataFrame,
                max_dets: Sequence[int], gsd: float) -> DataFrame:
     """COCO metrics per raster and per dataset over all its rasters together.
 
-    `products` has `dataset, location, product_name, product_id`. Every image is listed twice, under
-    its raster and under its dataset, so both levels come out of one run.
+    `products` has `dataset, location, product_name, product_id`. Every image is matched once and
+    counted twice, under its raster and under its dataset.
     """
     unit = products.select(KEY, F.explode(F.array(
         F.struct(F.col("location").alias("location"), F.col("product_name").alias("product_name")),
         F.struct(F.col("dataset").alias("location"),
                  F.lit(metrics.AVERAGE_ROW).alias("product_name")))).alias("_u"))
     unit = unit.select(KEY, "_u.location", "_u.product_name")
-    group = ["location", "product_name"]
-    return coco_eval.tile_level(detections.join(unit, KEY), truths.join(unit, KEY), max_dets, gsd,
-                                group=group)
+    return coco_eval.tile_level(detections, truths, max_dets, gsd,
+                                group=["location", "product_name"], units=unit, unit_key=KEY)
 
 
 def raster_table(predictions: DataFrame, truths: DataFrame, products: DataFrame, gsd: float,
