@@ -36,7 +36,10 @@ def cell_side(level: Column) -> Column:
     return F.pow(F.lit(4.0), level)
 
 
-SAME, A_LARGER, B_LARGER = 0, 1, 2   # how the two boxes of a pair stand to the grid they meet on
+# Left boxes on their own or a higher level meet right boxes on their own level in role SAME; left
+# boxes on their own level meet right boxes on a higher one in role A_LARGER. Two boxes that are both
+# on a higher level never meet, so a large box does not bring the small ones together.
+SAME, A_LARGER = 0, 1
 
 
 def place(df: DataFrame, visit_levels: Sequence[int], home: Sequence[int] = (),
@@ -83,8 +86,8 @@ def bbox_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("product
     if set(left_levels) == set(right_levels) and len(set(left_levels)) == 1:
         a, b = place(left, [], home=[SAME]), place(right, [], home=[SAME])
     else:
-        a = place(left, right_levels, home=[SAME, A_LARGER], visit=[B_LARGER])
-        b = place(right, left_levels, home=[SAME, B_LARGER], visit=[A_LARGER])
+        a = place(left, right_levels, home=[SAME, A_LARGER], visit=[SAME])
+        b = place(right, left_levels, home=[SAME], visit=[A_LARGER])
     cell = ["_level", "_cx", "_cy", "_role"]
     firsts = ["_fx", "_fy"]
     a = a.select(*keys, *cell, *[F.col(c).alias(f"a_{c}")

@@ -54,7 +54,8 @@ def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
 
     A box that is the strongest of every grid cell it reaches has no stronger neighbour, so it is
     taken; pairing the taken boxes with the rest costs one row per box and cell, never all pairs.
-    Stops when no cell is crowded or a step no longer removes much; the edge rounds do the rest.
+    Exact copies go first. Stops when no cell is crowded or a step no longer removes much; the edge
+    rounds do the rest.
     """
     keys = list(keys)
     taken: list[DataFrame] = []
@@ -63,7 +64,10 @@ def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
         fullest, levels = _crowding(nodes, keys)
         if fullest <= hot_cell:
             break
-        total = nodes.count() if total is None else total
+        if total is None:
+            total = nodes.count()
+            nodes = cut(drop_copies(nodes, keys), "nodes")
+            continue
         cells = place(nodes, levels, home=[0], visit=[1])
         cells = cells.withColumn("_rank", _stronger("score", "id"))
         cell = [*keys, "_level", "_cx", "_cy"]
@@ -167,7 +171,7 @@ def nms(objects: DataFrame, threshold: float, score_threshold: float | None = No
         objects = objects.filter(F.col(score_col) >= score_threshold)
     if threshold >= 1:
         return objects  # no IoU exceeds 1
-    nodes = cut(drop_copies(_nodes(objects, keys, id_col, score_col), keys), "nodes")
+    nodes = cut(_nodes(objects, keys, id_col, score_col), "nodes")
     live, taken, levels = _thin(nodes, threshold, keys, hot_cell)
     edges = _edges(live, live, keys, levels).filter(F.col("iou") > threshold)
     kept = live.select(*keys, "id").join(
@@ -198,7 +202,7 @@ def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: f
         parts.append(whole.select(F.explode(always).alias("nms_iou"), *keys, "id", "score"))
     below = [t for t in wanted if t < 1]
     if below:
-        nodes = cut(drop_copies(whole, keys), "nodes")
+        nodes = cut(whole, "nodes")
         every = F.array(*[F.lit(t) for t in below])
         fullest, levels = _crowding(nodes, keys)
         if fullest > hot_cell:
