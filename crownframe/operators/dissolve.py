@@ -41,33 +41,49 @@ def connected(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFr
         "component", F.coalesce("component", "id"))
 
 
-def touching_pairs(runs: DataFrame, id_col: str, keys: Sequence[str]) -> DataFrame:
-    """Pairs `(keys, u, v)` of masks that share a pixel or a pixel edge."""
-    keys = list(keys)
-    pieces = merge_intervals(runs, [*keys, id_col, "line"], "c0", "c1")
-    boxes = run_boxes(runs, [*keys, id_col]).withColumnRenamed(id_col, "id")
-    pairs = bbox_join(boxes, boxes, keys, touching=True, extra=F.col("a_id") < F.col("b_id"))
-    pairs = pairs.select(*keys, "a_id", "b_id")
-    a = pairs.join(pieces.withColumnRenamed(id_col, "a_id").withColumnsRenamed(
-        {"c0": "_a0", "c1": "_a1"}), [*keys, "a_id"])
-    a = a.withColumn("_shift", F.explode(F.array(F.lit(-1), F.lit(0), F.lit(1))))
-    a = a.withColumn("line", F.col("line") + F.col("_shift"))
-    b = pieces.withColumnRenamed(id_col, "b_id").withColumnsRenamed({"c0": "_b0", "c1": "_b1"})
-    both = a.join(b, [*keys, "b_id", "line"])
-    near = F.when(F.col("_shift") == 0, (F.col("_a0") <= F.col("_b1")) & (F.col("_a1") >= F.col("_b0"))
-                  ).otherwise((F.col("_a0") < F.col("_b1")) & (F.col("_a1") > F.col("_b0")))
-    return both.filter(near).select(
-        *keys, F.col("a_id").alias("u"), F.col("b_id").alias("v")).distinct()
+BLOCK = 4096   # pixels; a line is worked on in blocks, so no group grows with the raster
 
 
 def dissolve(runs: DataFrame, id_col: str, keys: Sequence[str] = ("product_id",)) -> DataFrame:
-    """Union of all masks, split into connected parts: runs with `component`, the lowest id of each."""
+    """Union of all masks, split into connected parts: runs with `component`, the lowest id of each.
+
+    The masks are merged line by line first, so any number of masks on one spot becomes one segment;
+    parts are then the connected segments of neighbouring lines. Cost follows the covered ground, not
+    the pairs of masks. Runs end at multiples of `BLOCK`.
+    """
     keys = list(keys)
-    nodes = runs.select(*keys, F.col(id_col).alias("id")).distinct()
-    parts = connected(nodes, touching_pairs(runs, id_col, keys), keys)
-    named = runs.withColumnRenamed(id_col, "id").join(parts, [*keys, "id"])
-    return merge_intervals(named.select(*keys, "component", *RUN), [*keys, "component", "line"],
-                           "c0", "c1")
+    cell = [*keys, "line", "_blk"]
+    blocks = F.sequence(F.floor(F.col("c0") / BLOCK), F.floor((F.col("c1") - 1) / BLOCK))
+    base = F.col("_blk") * BLOCK
+    split = runs.filter("c1 > c0").withColumn("_blk", F.explode(blocks)).select(
+        *keys, F.col(id_col).alias("id"), "line", "_blk",
+        F.greatest(F.col("c0").cast("long"), base).alias("c0"),
+        F.least(F.col("c1").cast("long"), base + BLOCK).alias("c1"))
+    # Equal runs of different masks count once; the lowest id stands for them.
+    single = split.groupBy(*cell, "c0", "c1").agg(F.min("id").alias("id"))
+    single = cut(single, "runs")
+    merged = merge_intervals(single, cell, "c0", "c1").withColumn(
+        "seg", F.col("line").cast("long") * (1 << 31) + F.col("c0"))
+    segs = cut(merged, "segments")
+    below = segs.select(*keys, (F.col("line") - 1).alias("line"), "_blk", F.col("seg").alias("v"),
+                        F.col("c0").alias("_b0"), F.col("c1").alias("_b1"))
+    down = segs.join(below, cell).filter((F.col("_b0") < F.col("c1")) & (F.col("_b1") > F.col("c0")))
+    edge = (F.col("_blk") + 1) * BLOCK
+    right = segs.filter(F.col("c0") == F.col("_blk") * BLOCK).select(
+        *keys, "line", (F.col("_blk") - 1).alias("_blk"), F.col("seg").alias("v"))
+    across = segs.filter(F.col("c1") == edge).join(right, cell)
+    links = down.select(*keys, F.col("seg").alias("u"), "v").unionByName(
+        across.select(*keys, F.col("seg").alias("u"), "v"))
+    parts = connected(segs.select(*keys, F.col("seg").alias("id")), links, keys).select(
+        *keys, F.col("id").alias("seg"), F.col("component").alias("_part"))
+    named = segs.join(parts, [*keys, "seg"])
+    inside = single.select(*cell, "id", F.col("c0").alias("_r0"))
+    lowest = named.join(inside, cell).filter(
+        (F.col("_r0") >= F.col("c0")) & (F.col("_r0") < F.col("c1"))).groupBy(
+        *keys, "_part").agg(F.min("id").alias("component"))
+    return named.join(lowest, [*keys, "_part"]).select(
+        *keys, "component", "line", F.col("c0").cast("int").alias("c0"),
+        F.col("c1").cast("int").alias("c1"))
 
 
 def overlay_union(a: DataFrame, b: DataFrame, a_id: str = "a_id", b_id: str = "b_id",

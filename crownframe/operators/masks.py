@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from crownframe.functions import boxes as B
-from crownframe.operators.spatial_join import bbox_join
+from crownframe.operators.spatial_join import bbox_join, crowding
+from crownframe.session import cut
 
 RUN = ("line", "c0", "c1")
+HOT_CELL = 2_000   # masks in one grid cell above which equal masks are dropped before pairing
 
 
 def rle_to_runs(df: DataFrame, ids: Sequence[str], counts: str = "counts",
@@ -166,7 +168,8 @@ def subtract_runs(runs: DataFrame, holes: DataFrame, ids: Sequence[str]) -> Data
 def nms_ioa_disambiguate(runs: DataFrame, scores: DataFrame, threshold: float = 0.3,
                          keep_ratio: float = 0.5, score_threshold: float | None = None,
                          id_col: str = "object_id", score_col: str = "segmenter_score",
-                         keys: Sequence[str] = ("product_id",)) -> DataFrame:
+                         keys: Sequence[str] = ("product_id",),
+                         hot_cell: int = HOT_CELL) -> DataFrame:
     """Give shared pixels to the stronger mask; what is left of the weaker one must be enough.
 
     A mask that a single stronger one covers by more than `threshold` of its area is disputed: it
@@ -179,8 +182,17 @@ def nms_ioa_disambiguate(runs: DataFrame, scores: DataFrame, threshold: float =
     if score_threshold is not None:
         scores = scores.filter(F.col(score_col) >= score_threshold)
     ranked = runs.join(scores.select(*keys, id_col, F.col(score_col).alias("_s")), [*keys, id_col])
-    boxes = run_boxes(ranked, [*keys, id_col, "_s"]).select(
-        *keys, F.col(id_col).alias("id"), F.col("_s").alias("score"), *B.BOX)
+    boxes = cut(run_boxes(ranked, [*keys, id_col, "_s"]).select(
+        *keys, F.col(id_col).alias("id"), F.col("_s").alias("score"), *B.BOX), "boxes")
+    if crowding(boxes, keys)[0] > hot_cell:
+        # Of masks with the very same pixels only the strongest can keep any, and the others take
+        # nothing that it does not take, so they can go before the pairs are made.
+        shapes = collect_runs(ranked, [*keys, id_col, "_s"])
+        best = shapes.groupBy(*keys, "runs").agg(
+            F.min(F.struct((-F.col("_s")).alias("s"), F.col(id_col).alias("i"))).alias("_b"))
+        best = cut(best.select(*keys, F.col("_b.i").alias(id_col)), "shapes")
+        ranked = ranked.join(best, [*keys, id_col], "left_semi")
+        boxes = boxes.join(best.withColumnRenamed(id_col, "id"), [*keys, "id"], "left_semi")
     stronger = ((F.col("a_score") > F.col("b_score"))
                 | ((F.col("a_score") == F.col("b_score")) & (F.col("a_id") < F.col("b_id"))))
     pairs = bbox_join(boxes, boxes, keys, extra=stronger)

@@ -106,6 +106,14 @@ def bbox_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("product
     return pairs.drop(*cell, *[f"{s}_{f}" for s in "ab" for f in firsts])
 
 
+def crowding(nodes: DataFrame, keys: Sequence[str]) -> tuple[int, list[int]]:
+    """Boxes in the fullest grid cell, and the grid levels in use."""
+    homes = place(nodes.select(*keys, *B.BOX), [], home=[SAME])
+    counts = homes.groupBy(*keys, "_level", "_cx", "_cy").count()
+    top, levels = counts.agg(F.max("count"), F.collect_set("_level")).first()
+    return top or 0, sorted(levels) or [0]
+
+
 def iou_join(left: DataFrame, right: DataFrame, threshold: float,
              keys: Sequence[str] = ("product_id",), epsilon: float = 0.0, **levels) -> DataFrame:
     """Overlapping pairs with `iou >= threshold` (threshold above 0)."""

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
-from crownframe.operators.spatial_join import SAME, bbox_join, place
+from crownframe.operators.spatial_join import bbox_join, crowding, place
 from crownframe.session import cut
 
 HOT_CELL = 2_000      # boxes in one grid cell above which copies are thinned before pairing
@@ -40,14 +40,6 @@ def drop_copies(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
     return best.select(*nodes.columns).unionByName(nodes.filter(B.area(B.box()) <= 0))
 
 
-def _crowding(nodes: DataFrame, keys: Sequence[str]) -> tuple[int, list[int]]:
-    """Boxes in the fullest grid cell, and the grid levels in use."""
-    homes = place(nodes.select(*keys, *B.BOX), [], home=[SAME])
-    counts = homes.groupBy(*keys, "_level", "_cx", "_cy").count()
-    top, levels = counts.agg(F.max("count"), F.collect_set("_level")).first()
-    return top or 0, sorted(levels) or [0]
-
-
 def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
           hot_cell: int) -> tuple[DataFrame, DataFrame | None, list[int]]:
     """Resolve crowds of near copies in linear steps: returns (unresolved, taken, grid levels).
@@ -61,7 +53,7 @@ def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
     taken: list[DataFrame] = []
     total = None
     while True:
-        fullest, levels = _crowding(nodes, keys)
+        fullest, levels = crowding(nodes, keys)
         if fullest <= hot_cell:
             break
         if total is None:
@@ -204,7 +196,7 @@ def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: f
     if below:
         nodes = cut(whole, "nodes")
         every = F.array(*[F.lit(t) for t in below])
-        fullest, levels = _crowding(nodes, keys)
+        fullest, levels = crowding(nodes, keys)
         if fullest > hot_cell:
             for t in below:
                 live, taken, levels = _thin(nodes, t, keys, hot_cell)
