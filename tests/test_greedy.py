@@ -115,3 +115,14 @@ def test_candidates_share_crowds(spark):
         got = matching.match_rounds(pairs.withColumn("tier", F.col("shared").cast("int")), ["k"],
                                     tail_pairs=tail, tail_after=0)
         assert {(r["pred"], r["truth"]) for r in got.collect()} == {(1, 5), (2, 5), (3, 6)}
+
+
+def test_truths_on_one_spot_are_matched_by_count(spark):
+    """A third of the truths are copies of one another; places are handed out strongest first."""
+    preds = brute.boxes(80, seed=61, span=12) + [(500 + i, 0, (3, 3, 6 + i % 3 * 0.1, 6), i % 10 / 10) for i in range(30)]
+    truths = brute.boxes(50, seed=62, span=12) + [(600 + i, 0, (3, 3, 6, 6), 0.5) for i in range(25)]
+    p, t = brute.frame(spark, preds), brute.frame(spark, truths, "truth_id", "s")
+    want = {(x, y) for x, y in brute.match(preds, truths, 0.3).items()}
+    for copies in (10 ** 6, 1):
+        got = matching.greedy_match(p, t, [0.3], copies=copies)
+        assert {(r["object_id"], r["truth_id"]) for r in got.collect()} == want
