@@ -25,6 +25,7 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",   # many small stores share a disk
 }
 
 
