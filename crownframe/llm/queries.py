@@ -4,19 +4,40 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crownframe.llm import exact_dedup, simhash_trees
+from crownframe.llm import (byte_bpe, exact_dedup, pattern_packing, separator_scan, simhash_trees,
+                            token_store)
 from crownframe.llm.shared import table
 
 
+def op1_token_store(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    store = token_store.write_store(docs)
+    return token_store.read_ids(store, token_store.all_keys(docs), with_ids=False).select(
+        "doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op2_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf, "documents"))
 
 
+def op3_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return separator_scan.token_counts(table(spark, sf, "documents"))
+
+
 def op7_simhash_trees(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_trees.near_dups(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op7_simhash_trees)}
+def op9_pattern_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pattern_packing.pack(table(spark, sf, "documents"))
+
+
+def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    return byte_bpe.round_trip(table(spark, sf, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_store, op2_exact_dedup, op3_separator_scan, op7_simhash_trees,
+                                   op9_pattern_packing, op10_byte_bpe)}
 
 ORACLE = {
     "op2_exact_dedup": """
