@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from crownframe.llm import (byte_bpe, exact_dedup, pattern_packing, separator_scan, simhash_trees,
-                            token_store)
+from crownframe.llm import (arc_to_warc, byte_bpe, exact_dedup, html_text, language_id, metric_tree, pattern_packing,
+                            separator_scan, simhash_trees, token_store)
 from crownframe.llm.shared import table
 
 
@@ -24,10 +25,27 @@ def op3_separator_scan(spark: SparkSession, sf: str) -> DataFrame:
     return separator_scan.token_counts(table(spark, sf, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    return language_id.identify(table(spark, sf, "documents"))
+
+
+def op5_html_text(spark: SparkSession, sf: str) -> DataFrame:
+    return html_text.extract(table(spark, sf, "pages"))
+
+
+def op6_arc_to_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return arc_to_warc.convert(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_simhash_trees(spark: SparkSession, sf: str) -> DataFrame:
     return simhash_trees.near_dups(table(spark, sf, "documents"))
 
 
+def op8_metric_tree(spark: SparkSession, sf: str) -> DataFrame:
+    return metric_tree.top_k(table(spark, sf, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_pattern_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pattern_packing.pack(table(spark, sf, "documents"))
 
@@ -36,8 +54,9 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_store, op2_exact_dedup, op3_separator_scan, op7_simhash_trees,
-                                   op9_pattern_packing, op10_byte_bpe)}
+QUERIES = {f.__name__: f for f in (
+    op1_token_store, op2_exact_dedup, op3_separator_scan, op4_language_id, op5_html_text, op6_arc_to_warc,
+    op7_simhash_trees, op8_metric_tree, op9_pattern_packing, op10_byte_bpe)}
 
 ORACLE = {
     "op2_exact_dedup": """
@@ -45,4 +64,21 @@ ORACLE = {
                row_number() over (partition by coalesce(text, '') order by doc_id desc) = 1 as kept,
                sha256(coalesce(text, '')) as text_sha256
         from documents window same as (partition by coalesce(text, ''))""",
+    "op6_arc_to_warc": """
+        with p as (select page_id, encode(coalesce(html, '')) as payload from pages),
+        d as (select page_id, octet_length(payload) as payload_bytes, sha1(payload) as payload_digest, payload,
+                     max(page_id) over (partition by payload) as largest from p)
+        select page_id, payload_bytes, payload_digest,
+               case when payload_bytes >= 1000 and page_id <> largest then 'revisit' else 'response' end as record_type,
+               case when payload_bytes >= 1000 and page_id <> largest then largest end as refers_to
+        from d""",
+    "op8_metric_tree": """
+        with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as v
+                   from embeddings
+                   where embedding is not null and not list_contains(list_transform(embedding, lambda x:
+                       coalesce(isfinite(x), false)), false)),
+        s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.v::double[], c.v::double[]) as bigint) as score
+              from v q, v c where q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
+        r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
+        select query_id, rank, vec_id, score from r where rank <= 10""",
 }
