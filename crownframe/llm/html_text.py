@@ -146,7 +146,7 @@ class Page:
     def __init__(self) -> None:
         self.lines: list[str] = []
         self.words: list[str] = []
-        self.gap, self.indent, self.mark = 0, 0, ""
+        self.gap, self.indent, self.mark, self.exact = 0, 0, "", False
 
     def add(self, text: str, exact: bool) -> None:
         if exact:
@@ -155,12 +155,13 @@ class Page:
             for line in others:
                 self.flush(exact=True)
                 self.words.append(line)
+            self.exact = True
         else:
             self.words.append(BLANKS.sub(" ", text))
 
     def flush(self, exact: bool = False) -> None:
         line = "".join(self.words)
-        self.words = []
+        exact, self.words, self.exact = exact or self.exact, [], False
         if not exact:
             line = re.sub("  +", " ", line).strip(" ")
         if not line.strip() and not (exact and self.lines):
