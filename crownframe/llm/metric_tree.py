@@ -12,7 +12,7 @@ hands on k rows per query, and the best k of all shards remain.
 Bounds are floats with a margin; scores are exact, and an entry is only ruled out if it can't even tie.
 
 Defined results: null vectors and vectors with a null, NaN or infinite component take no part; shorter
-vectors count as ending in zeros; numbers beyond 2^31 are taken as that; equal scores go to the smaller
+vectors count as ending in zeros; numbers beyond 2^25 are taken as that; equal scores go to the smaller
 vec_id, null last; a query never meets rows of its own vec_id; rows that repeat a vec_id are candidates, and
 queries, of their own. Without rows there is no result. Other columns are not looked at.
 """
@@ -35,7 +35,8 @@ from crownframe.session import cut
 PAGE, SHARD, BLOCK = 64, 8192, 256
 PAGES = "shard int, kind int, seq long, leaf boolean, most double, ids binary, keys binary, vectors binary, " \
         "apart binary, radii binary, children binary"
-LIMIT = 1 << 31
+#: Numbers are held within this, so that inner products of up to 4096 of them fit in 64 bits.
+LIMIT = 1 << 25
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id",

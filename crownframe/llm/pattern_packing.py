@@ -113,7 +113,8 @@ def plan(histogram: dict[int, int], capacity: int, bins: int = BINS) -> list[tup
         made[((capacity, 1),)] = int(left[capacity])
         left[capacity] = 0
     width = -(-capacity // bins)
-    edges = np.minimum(np.arange(bins + 1) * width, capacity)
+    bins = capacity // width                    # what is longer than all bins together is left to the best fit
+    edges = np.arange(bins + 1) * width
     have = np.array([left[edges[b] + 1:edges[b + 1] + 1].sum() for b in range(bins)])
     shapes = bin_patterns(bins)
     a = np.stack([(shapes == b).sum(1) for b in range(1, bins + 1)]).astype(float)

@@ -80,7 +80,7 @@ class Forest:
     """One BK-tree per group of different fingerprints; rows are sorted by group."""
 
     def __init__(self, fp: np.ndarray, group: np.ndarray):
-        self.fp = fp
+        self.fp = fp = fp.view(np.uint64)          # bits of signed numbers would be counted without the sign
         new = np.concatenate(([True], group[1:] != group[:-1]))
         self.root = np.maximum.accumulate(np.where(new, np.arange(len(fp)), 0))
         codes, nodes = [], []
@@ -125,19 +125,14 @@ def stars(fp: np.ndarray, group: np.ndarray, radius: int) -> tuple[np.ndarray, n
     fp, group = fp[~alone], group[~alone]
     if not len(fp):
         return fp, fp
-    label = np.arange(len(fp))
+    label = np.arange(len(fp))                   # each row's root, after every step
     for a, b in Forest(fp, group).links(radius):
-        while True:
+        while (label[a] != label[b]).any():
             low = np.minimum(label[a], label[b])
-            changed = (label[a] != low) | (label[b] != low)
-            if not changed.any():
-                break
-            top_a, top_b = label[a], label[b]
-            for side in (top_a, top_b, a, b):
-                np.minimum.at(label, side, low)
-            label = label[label]
-    while (label != label[label]).any():
-        label = label[label]
+            for root in (label[a], label[b]):
+                np.minimum.at(label, root, low)
+            while (label != label[label]).any():
+                label = label[label]
     moved = label != np.arange(len(fp))
     return fp[moved], fp[label[moved]]
 
