@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from crownframe.llm.shared import ship, whole_text
 from crownframe.llm.words import encoder
@@ -199,7 +199,7 @@ def pieces(docs: DataFrame, carry: list[str], vocabulary: str = "word_bpe_49k.js
     ship(docs.sparkSession)
     rows = docs.select(*[F.col(f"`{c}`") for c in carry], whole_text(f"`{text_col}`").alias("__text"))
     fields = [*[rows.schema[c] for c in carry], *PIECES]
-    schema = StructType(fields).add("ids", "array<int>") if with_ids else StructType(fields)
+    schema = StructType(fields).add("ids", ArrayType(IntegerType())) if with_ids else StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, end = encoder(vocabulary), np.array([end_id], "<u2").tobytes()
