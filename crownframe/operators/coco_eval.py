@@ -14,9 +14,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from crownframe.functions import boxes as B
-from crownframe.operators.matching import match_rounds
+from crownframe.functions.ranks import ranked_score
 from crownframe.operators.numbering import running_totals, top_per_group
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
@@ -47,9 +48,6 @@ def _range_table(ranges: dict[str, tuple[float, float]]) -> Column:
         for n, (lo, hi) in ranges.items()])
 
 
-GROUP_PAIRS = 100_000   # candidate pairs of one image and category that one task may hold
-
-
 def _mask_schema(pairs: DataFrame, keys: Sequence[str]) -> T.StructType:
     fields = [pairs.schema[k] for k in keys]
     return T.StructType([*fields, T.StructField("det_id", T.LongType()),
@@ -109,61 +107,42 @@ def _match_image(keys: Sequence[str], ranges: dict[str, tuple[float, float]],
 
 def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
                  ranges: dict[str, tuple[float, float]], thresholds: Sequence[float],
-                 group_pairs: int) -> DataFrame:
+                 max_dets: int) -> DataFrame:
     """Matched thresholds per detection and range, as bits: countable ones and all.
 
-    An image with up to `group_pairs` candidate pairs is settled inside one task; larger ones go
-    through the matching rounds, which never gather an image.
+    An image's detections are at most `max_dets`, so a detection loses at most `max_dets - 1` truths to
+    others and needs no more than its best `max_dets` truths of each kind (crowd, and the ranges it counts
+    in). That bounds the pairs of an image, and each image is settled inside one task.
     """
     pairs = bbox_join(dets.select(*keys, "det_id", "score", *B.BOX),
                       truths.select(*keys, "gt_id", *B.BOX, "area", "iscrowd"), keys)
     a, b = B.box("a_"), B.box("b_")
     value = F.when(F.col("b_iscrowd"), B.ioa(a, b)).otherwise(B.iou(a, b))
-    steps = F.array(*[
-        F.struct(F.lit(i).alias("i"), F.lit(min(float(t), 1 - 1e-10)).alias("t"))
-        for i, t in enumerate(thresholds)])
-    least = min(float(t) for t in thresholds)
-    pairs = cut(pairs.withColumn("iou", value).filter(F.col("iou") >= min(least, 1 - 1e-10)).select(
-        *keys, "a_det_id", "a_score", "b_gt_id", "b_area", "b_iscrowd", "iou"), "pairs")
-    sizes = pairs.groupBy(*keys).count()
-    crowded = cut(sizes.filter(F.col("count") > group_pairs).select(*keys), "crowded")
-    if crowded.count() == 0:
-        return pairs.groupBy(*keys).applyInPandas(
-            _match_image(keys, ranges, thresholds), _mask_schema(pairs, keys))
-    masks = pairs.join(crowded, keys, "left_anti").groupBy(*keys).applyInPandas(
+    least = min(min(float(t) for t in thresholds), 1 - 1e-10)
+    kind = F.array(F.col("b_iscrowd"), *[
+        (F.col("b_area") >= float(lo)) & (F.col("b_area") <= float(hi)) for lo, hi in ranges.values()])
+    best = Window.partitionBy(*keys, "a_det_id", kind).orderBy(F.desc("iou"), F.desc("b_gt_id"))
+    pairs = (pairs.withColumn("iou", value).filter(F.col("iou") >= least)
+             .withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= max_dets))
+    pairs = pairs.select(*keys, "a_det_id", "a_score", "b_gt_id", "b_area", "b_iscrowd", "iou")
+    return pairs.groupBy(*keys).applyInPandas(
         _match_image(keys, ranges, thresholds), _mask_schema(pairs, keys))
-    pairs = pairs.join(crowded, keys, "left_semi")
-    pairs = pairs.withColumn("_t", F.explode(F.filter(steps, lambda s: s["t"] <= F.col("iou"))))
-    pairs = pairs.withColumn("_r", F.explode(_range_table(ranges)))
-    outside = (F.col("b_area") < F.col("_r.lo")) | (F.col("b_area") > F.col("_r.hi"))
-    candidates = pairs.select(
-        *keys, F.col("_r.label").alias("area_label"), F.col("_t.i").alias("t"),
-        F.col("a_det_id").alias("pred"), F.col("a_score").alias("score"),
-        F.col("b_gt_id").alias("truth"), "iou",
-        (F.col("b_iscrowd") | outside).cast("int").alias("tier"),
-        (-F.col("b_gt_id")).cast("long").alias("truth_rank"),
-        F.col("b_iscrowd").alias("shared"))
-    found = match_rounds(candidates, [*keys, "area_label", "t"])
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("t"))
-    # One row per detection, threshold and range, so adding the bits sets them.
-    return masks.unionByName(found.groupBy(*keys, F.col("pred").alias("det_id"), "area_label").agg(
-        F.sum(F.when(F.col("tier") == 0, bit).otherwise(0)).alias("tp_mask"),
-        F.sum(bit).alias("any_mask")))
 
 
 def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple[float, float]],
                thresholds: Sequence[float] = IOU_THRESHOLDS, max_dets: int = 100,
-               group: Sequence[str] = (), group_pairs: int = GROUP_PAIRS) -> DataFrame:
+               group: Sequence[str] = ()) -> DataFrame:
     """Outcome per detection and area range: `rank, tp_mask, fp_mask`.
 
     Bit i of a mask stands for the i-th threshold. `detections` has `image_id, category_id, det_id,
-    score` and a box, `truths` has `image_id, category_id, gt_id, area, iscrowd` and a box; both
+    score` and a box (null and NaN scores come last), `truths` has `image_id, category_id, gt_id, area, iscrowd` and a box; both
     carry the `group` columns (e.g. the raster).
     """
     group = list(group)
     keys = [*group, "image_id", "category_id"]
-    dets = top_dets(detections.select(*keys, "det_id", "score", *B.BOX), max_dets, keys)
-    masks = _match_masks(dets, truths, keys, ranges, thresholds, group_pairs)
+    dets = cut(top_dets(detections.select(
+        *keys, "det_id", ranked_score(F.col("score")).alias("score"), *B.BOX), max_dets, keys), "dets")
+    masks = _match_masks(dets, truths, keys, ranges, thresholds, max_dets)
     every = dets.withColumn("_r", F.explode(_range_table(ranges))).select(
         *keys, "det_id", "score", "rank", F.col("_r.label").alias("area_label"),
         ((B.area(B.box()) >= F.col("_r.lo")) & (B.area(B.box()) <= F.col("_r.hi")))
@@ -269,14 +248,6 @@ def coco_summary(accumulated: DataFrame, max_dets: Sequence[int], labels: Sequen
     return table.groupBy(*group).agg(*aggs)
 
 
-def keypoint_selection(summary_inputs: DataFrame, group: Sequence[str] = ()) -> DataFrame:
-    """The ten values of the keypoint variant: limit 20, sizes medium and large only."""
-    full = coco_summary(summary_inputs, [20], ["all", "medium", "large"], group)
-    return full.drop("AR_20").select(
-        *group, "AP", "AP50", "AP75", "AP_medium", "AP_large",
-        "AR", "AR50", "AR75", "AR_medium", "AR_large")
-
-
 def align_by_file_name(truth_images: DataFrame, pred_images: DataFrame,
                        pred_annotations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Predictions re-keyed to the truth's image ids by file name.
@@ -298,28 +269,38 @@ def align_by_file_name(truth_images: DataFrame, pred_images: DataFrame,
 def tile_level(detections: DataFrame, truths: DataFrame, max_dets: Sequence[int],
                gsd: float | None = None, thresholds: Sequence[float] = IOU_THRESHOLDS,
                group: Sequence[str] = (), units: DataFrame | None = None,
-               unit_key: str = "product_id") -> DataFrame:
+               unit_key: str = "product_id", images: DataFrame | None = None) -> DataFrame:
     """All steps from boxes to the summary row, with the three counts. Truth scores are ignored.
 
+    `images` (the `group` columns or `unit_key`, and `image_id`) are the images of the truth document, by
+    default those of the truths: predictions on other images don't count, and images without truths do. A
+    group without countable truths has -1 everywhere.
+
     With `units` (`unit_key` and the `group` columns, any number of rows per key) images are matched
     once per `unit_key` and counted in every group their key belongs to.
     """
     ranges = ranges_for(gsd)
     truths = truths.drop("score")
-    base = list(group) if units is None else [unit_key]
+    group = list(group)
+    base = group if units is None else [unit_key]
+    images = (truths if images is None else images).select(*base, "image_id").distinct()
+    detections = detections.join(images, [*base, "image_id"], "left_semi")
     outcomes = coco_match(detections, truths, ranges, thresholds, max(max_dets), base)
     if units is not None:
-        outcomes, truths, detections = (
-            df.join(units, unit_key) for df in (outcomes, truths, detections))
+        outcomes, truths, detections, images = (
+            df.join(units, unit_key) for df in (outcomes, truths, detections, images))
     npig = countable_truths(truths, ranges, group)
     acc = coco_accumulate(outcomes, npig, max_dets, thresholds, group)
     summary = coco_summary(acc, max_dets, list(ranges), group)
-    n_truth = truths.groupBy(*group).agg(F.count_distinct("image_id").alias("num_images"),
-                                         F.count(F.lit(1)).alias("num_truths"))
+    n_image = images.groupBy(*group).agg(F.count(F.lit(1)).alias("num_images"))
+    n_truth = truths.groupBy(*group).agg(F.count(F.lit(1)).alias("num_truths"))
     n_pred = detections.groupBy(*group).agg(F.count(F.lit(1)).alias("num_preds"))
+    on = group
     if not group:
-        one = F.lit(1).alias("_one")
-        return (summary.select("*", one).join(n_truth.select("*", one), "_one")
-                .join(n_pred.select("*", one), "_one").drop("_one"))
-    return summary.join(n_truth, list(group)).join(n_pred, list(group), "left").fillna(
-        0, ["num_preds"])
+        on = ["_one"]
+        summary, n_image, n_truth, n_pred = (
+            df.withColumn("_one", F.lit(1)) for df in (summary, n_image, n_truth, n_pred))
+    values = [c for c in summary.columns if c not in on]
+    return (n_image.join(n_truth, on, "left").join(n_pred, on, "left")
+            .fillna(0, ["num_truths", "num_preds"]).join(summary, on, "left")
+            .fillna(-1.0, values).select(*group, *values, "num_images", "num_truths", "num_preds"))

@@ -95,21 +95,17 @@ def visible_box_filter(annotations: DataFrame, images: DataFrame, bbox: str = "b
 
 def prefix_filter(annotations: DataFrame, rasters: DataFrame, image: str = "image_name",
                   raster: str = "raster_name", length: int | None = None) -> DataFrame:
-    """Annotations whose image name starts with the name of a raster in the list.
+    """Annotations whose image name starts with the name of a raster in the list, once per such name.
 
-    Names are joined by equality on a prefix of the length every raster name in the list has, so no
-    nested loop is needed; `length` saves the look at the list.
+    A name is cut to each length that the raster names have (`length` saves the look at the list) and all
+    cuts are joined in one equality join, so the annotations are read once and no nested loop is needed.
     """
     lengths = ([length] if length is not None else
                [r[0] for r in rasters.select(F.length(raster)).distinct().collect()])
-    hit = None
-    for n in sorted(v for v in lengths if v is not None):
-        part = annotations.withColumn(raster, F.substring(image, 1, n)).join(
-            rasters.filter(F.length(raster) == n).select(raster).distinct(), raster)
-        hit = part if hit is None else hit.unionByName(part)
-    if hit is None:
-        return annotations.withColumn(raster, F.lit(None).cast("string")).filter(F.lit(False))
-    return hit.select(*annotations.columns, raster)
+    cuts = F.array(*[F.substring(image, 1, n) for n in sorted({v for v in lengths if v is not None})])
+    wanted = rasters.select(raster).filter(F.col(raster).isNotNull()).distinct()
+    return annotations.withColumn(raster, F.explode(F.array_distinct(cuts.cast("array<string>")))).join(
+        wanted, raster).select(*annotations.columns, raster)
 
 
 def drop_degenerate_boxes(df: DataFrame, width: Column, height: Column) -> DataFrame:
@@ -236,10 +232,9 @@ def map_categories(labels: DataFrame, categories: DataFrame | None = None,
 
 
 def annotations_by_image(annotations: DataFrame, columns: Sequence[str], image: str = "image_id",
-                         order: str = "id", chunk: int = 10_000) -> DataFrame:
-    """Annotations as arrays per image, at most `chunk` per row so one image never fills one cell."""
-    batched = in_batches(annotations, [image], [F.col(order)], chunk, "part")
-    return batched.groupBy(image, "part").agg(F.array_sort(F.collect_list(F.struct(
+                         order: str = "id") -> DataFrame:
+    """Annotations as one ordered array per image."""
+    return annotations.groupBy(image).agg(F.array_sort(F.collect_list(F.struct(
         order, *[c for c in columns if c != order]))).alias("annotations"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from crownframe.functions import boxes as B
-from crownframe.operators.spatial_join import bbox_join, crowding
+from crownframe.operators.spatial_join import bbox_join, cell_crowds
 from crownframe.session import cut
 
 RUN = ("line", "c0", "c1")
@@ -184,7 +184,7 @@ def nms_ioa_disambiguate(runs: DataFrame, scores: DataFrame, threshold: float =
     ranked = runs.join(scores.select(*keys, id_col, F.col(score_col).alias("_s")), [*keys, id_col])
     boxes = cut(run_boxes(ranked, [*keys, id_col, "_s"]).select(
         *keys, F.col(id_col).alias("id"), F.col("_s").alias("score"), *B.BOX), "boxes")
-    if crowding(boxes, keys)[0] > hot_cell:
+    if not cell_crowds(boxes, keys, hot_cell)[0].isEmpty():
         # Of masks with the very same pixels only the strongest can keep any, and the others take
         # nothing that it does not take, so they can go before the pairs are made.
         shapes = collect_runs(ranked, [*keys, id_col, "_s"])

@@ -16,30 +16,27 @@ from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
 from crownframe.functions.polygons import clipped_inter_area, iou_from
-from crownframe.operators.numbering import row_index
+from crownframe.functions.ranks import ranked_score, tie_of
 from crownframe.operators.spatial_join import bbox_join
-from crownframe.session import cut
+from crownframe.session import cut, release
 
-TAIL_PAIRS = 20_000   # candidate pairs few enough to finish the last chains inside one task ...
-TAIL_AFTER = 8        # ... once this many rounds have gone by
-
-
-COPIES = 1_000        # truths with equal corners from which they are matched as one with many places
+#: Candidate pairs of one key few enough to be finished in a task, after some rounds; the result is the same.
+TAIL_PAIRS, TAIL_AFTER = 20_000, 8
 
 
 def _finish(keys: Sequence[str]):
-    """The sequential rule over one key's candidate pairs."""
+    """The sequential rule over one key's candidate pairs; at most `tail_pairs` rows."""
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(
-            ["score", "pred", "tier", "iou", "truth_rank"],
-            ascending=[False, True, True, False, True], kind="stable")
-        used, done, rows = {}, set(), []
-        for i, (pred, truth, shared, room) in enumerate(
-                zip(frame["pred"], frame["truth"], frame["shared"], frame["room"])):
-            if pred in done or (not shared and used.get(truth, 0) >= room):
+            ["score", "pred_rank", "pred", "tier", "iou", "truth_rank", "truth"],
+            ascending=[False, True, True, True, False, True, True], kind="stable")
+        used, done, rows = set(), set(), []
+        for i, (pred, truth, shared) in enumerate(zip(frame["pred"], frame["truth"], frame["shared"])):
+            if pred in done or (not shared and truth in used):
                 continue
             done.add(pred)
-            used[truth] = used.get(truth, 0) + 1
+            if not shared:
+                used.add(truth)
             rows.append(i)
         return frame.iloc[rows][[*keys, "pred", "truth", "iou", "tier", "score"]]
 
@@ -51,58 +48,53 @@ def match_rounds(candidates: DataFrame, keys: Sequence[str],
     """Matches `(keys, pred, truth, iou, tier, score)` from candidate pairs.
 
     `candidates` has `keys, pred, score, truth, iou` and may have
+    `pred_rank` (order among equal scores, lower first, default the prediction's id),
     `tier` (lower is preferred before IoU is looked at, default 0),
-    `truth_rank` (order among equal IoU, lower first, default the truth id),
-    `shared` (the truth may be taken any number of times, default false) and
-    `room` (how often the truth may be taken, default 1).
+    `truth_rank` (order among equal IoU, lower first, default the truth id) and
+    `shared` (the truth may be taken any number of times, default false).
+    Null and NaN scores come last. After `tail_after` rounds each key with at most `tail_pairs` open pairs is
+    finished in one task; larger keys go on in rounds.
     """
     keys = list(keys)
-    roomy = "room" in candidates.columns
     for name, default in (("tier", F.lit(0)), ("truth_rank", F.col("truth").cast("long")),
-                          ("shared", F.lit(False)), ("room", F.lit(1).cast("long"))):
+                          ("shared", F.lit(False)), ("pred_rank", F.col("pred").cast("long"))):
         if name not in candidates.columns:
             candidates = candidates.withColumn(name, default)
-    columns = [*keys, "pred", "score", "truth", "iou", "tier", "truth_rank", "shared", "room"]
+    candidates = candidates.withColumn("score", ranked_score(F.col("score")))
+    columns = [*keys, "pred", "score", "pred_rank", "truth", "iou", "tier", "truth_rank", "shared"]
     live = cut(candidates.select(*columns), "candidates")
     out = [*keys, "pred", "truth", "iou", "tier", "score"]
     schema = live.select(*out).schema
     found: list[DataFrame] = []
-    while True:
-        open_pairs = live.count()
-        if open_pairs == 0:
-            break
-        if len(found) >= tail_after and open_pairs <= tail_pairs and keys:
-            # Only long chains are left and they are few: a group is at most `tail_pairs` rows.
-            found.append(cut(live.groupBy(*keys).applyInPandas(_finish(keys), schema), "matches"))
-            break
+    rounds = 0
+    while not live.isEmpty():
+        if rounds >= tail_after and keys:
+            few = cut(live.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") <= tail_pairs).select(*keys), "few")
+            if not few.isEmpty():
+                ends = live.join(few, keys, "left_semi").groupBy(*keys).applyInPandas(_finish(keys), schema)
+                found.append(cut(ends, "matches"))
+                old, live = live, cut(live.join(few, keys, "left_anti"), "candidates")
+                release(old, few)
+                continue
         wish = live.groupBy(*keys, "pred").agg(
             F.min(F.struct("tier", (-F.col("iou")).alias("i"), "truth_rank", "truth", "shared",
                            "score")).alias("_w"))
         wish = wish.select(*keys, "pred", F.col("_w.truth").alias("truth"),
                            (-F.col("_w.i")).alias("iou"), F.col("_w.tier").alias("tier"),
                            F.col("_w.shared").alias("shared"), F.col("_w.score").alias("score"))
-        bound = live.filter(~F.col("shared"))
-        first = bound.filter("room = 1").groupBy(*keys, "truth").agg(
-            F.min(F.struct((-F.col("score")).alias("s"), F.col("pred").alias("p"))).alias("_f"))
+        first = live.filter(~F.col("shared")).groupBy(*keys, "truth").agg(
+            F.min(F.struct((-F.col("score")).alias("s"), F.col("pred_rank").alias("r"),
+                           F.col("pred").alias("p"))).alias("_f"))
         ahead = first.select(*keys, "truth", F.col("_f.p").alias("pred"))
-        if roomy:
-            # With n places left the n strongest that may want them can all be sure of one.
-            many = bound.filter("room > 1").select(*keys, "truth", "pred", "score", "room")
-            placed = row_index(many, [*keys, "truth"], [F.col("score").desc(), F.col("pred")], "_at")
-            ahead = ahead.unionByName(placed.filter("_at < room").select(*keys, "truth", "pred"))
         sole = wish.filter(~F.col("shared")).join(ahead, [*keys, "truth", "pred"])
-        free = wish.filter("shared")
-        won = cut(sole.select(*out, "shared").unionByName(free.select(*out, "shared")), "matches")
+        won = cut(sole.select(*out, "shared").unionByName(wish.filter("shared").select(*out, "shared")), "matches")
         found.append(won.drop("shared"))
-        taken = won.filter(~F.col("shared")).groupBy(*keys, "truth").agg(
-            F.count(F.lit(1)).alias("_n"))
-        rest = live.join(won.select(*keys, "pred"), [*keys, "pred"], "left_anti")
-        if roomy:
-            rest = rest.join(taken, [*keys, "truth"], "left").withColumn(
-                "room", F.col("room") - F.coalesce("_n", F.lit(0))).filter("room > 0").drop("_n")
-        else:
-            rest = rest.join(taken.select(*keys, "truth"), [*keys, "truth"], "left_anti")
-        live = cut(rest.select(*columns), "candidates")
+        rest = live.join(won.select(*keys, "pred"), [*keys, "pred"], "left_anti").join(
+            won.filter(~F.col("shared")).select(*keys, "truth"), [*keys, "truth"], "left_anti")
+        old, live = live, cut(rest.select(*columns), "candidates")
+        release(old)
+        rounds += 1
     if not found:
         return live.select(*out)
     union = found[0]
@@ -111,25 +103,6 @@ def match_rounds(candidates: DataFrame, keys: Sequence[str],
     return union
 
 
-def _merge_copies(truths: DataFrame, keys: Sequence[str], truth_id: str,
-                  copies: int) -> tuple[DataFrame, DataFrame | None]:
-    """Truths with equal corners as one row with `room`, if any group of them reaches `copies`.
-
-    Returns (truths, members): members are `(keys, truth, nth, member)`, in id order.
-    """
-    box = [*keys, *B.BOX]
-    counted = truths.groupBy(*box).agg(F.count(F.lit(1)).alias("room"), F.min(truth_id).alias("_one"))
-    if counted.filter(F.col("room") >= copies).limit(1).count() == 0:
-        return truths, None
-    counted = cut(counted, "copies")
-    kept = truths.join(counted.select(*keys, F.col("_one").alias(truth_id), "room"), [*keys, truth_id])
-    several = truths.join(counted.filter("room > 1"), box)
-    members = row_index(several.select(*keys, F.col("_one").alias("truth"),
-                                       F.col(truth_id).alias("member")),
-                        [*keys, "truth"], [F.col("member")], "nth")
-    return kept, members
-
-
 def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
                     keys: Sequence[str] = ("product_id",), pred_id: str = "object_id",
                     truth_id: str = "truth_id", epsilon: float = 0.0,
@@ -145,7 +118,7 @@ def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
     out_pred, out_truth = pred_extra, truth_extra
     pred_extra, truth_extra = [*pred_extra, *shape_cols], [*truth_extra, *shape_cols]
     p = predictions.select(*keys, *pred_keys, F.col(pred_id).alias("id"), *B.BOX,
-                           F.col(score_col).cast("double").alias("score"), *pred_extra)
+                           ranked_score(F.col(score_col)).alias("score"), *pred_extra)
     t = truths.select(*keys, F.col(truth_id).alias("id"), *B.BOX, *truth_extra)
     pairs = bbox_join(p, t, keys)
     if shape_cols:
@@ -168,23 +141,19 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
                  score_col: str = "detector_score", keys: Sequence[str] = ("product_id",),
                  size_col: str | None = None, pred_id: str = "object_id",
                  truth_id: str = "truth_id", tail_pairs: int = TAIL_PAIRS,
-                 pred_keys: Sequence[str] = (), shape_cols: Sequence[str] = (),
-                 copies: int = COPIES) -> DataFrame:
+                 pred_keys: Sequence[str] = (), shape_cols: Sequence[str] = ()) -> DataFrame:
     """Matches per `keys`, IoU threshold and size bin: `(keys, iou_threshold, size_label, ...)`.
 
     The bin `all` holds everyone; with `size_col` (a label column in both tables) a pair also
     competes inside its own bin when both sides carry the same label.
 
-    Truths with equal corners are joined once and matched by count when at least `copies` of them
-    lie on one spot; among shapes of exactly equal IoU such a group stands where its lowest id does.
-    Polygons are not merged, since equal boxes do not make equal shapes.
+    Predictions come by score (null and NaN last), then by a hash of the id, then by the id; among equal IoU
+    the truth with the lowest id is taken.
     """
     extra = [size_col] if size_col else []
     steps = sorted({float(t) for t in thresholds})
-    truths, members = (truths, None) if shape_cols else _merge_copies(truths, keys, truth_id, copies)
-    room = ["room"] if members is not None else []
     pairs = candidate_pairs(predictions, truths, score_col, keys, pred_id, truth_id,
-                            pred_extra=extra, truth_extra=[*extra, *room], pred_keys=pred_keys,
+                            pred_extra=extra, truth_extra=extra, pred_keys=pred_keys,
                             least_iou=steps[0], shape_cols=shape_cols)
     levels = F.array(*[F.lit(t) for t in steps])
     pairs = pairs.withColumn("iou_threshold", F.explode(
@@ -195,13 +164,8 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
         bins = F.when(same, F.array(F.lit("all"), F.col(f"pred_{size_col}"))).otherwise(bins)
     pairs = pairs.withColumn("size_label", F.explode(bins))
     key = [*keys, *pred_keys, "iou_threshold", "size_label"]
-    found = match_rounds(pairs.select(*key, "pred", "score", "truth", "iou", *[
-        F.col(f"truth_{c}").alias(c) for c in room]), key, tail_pairs)
-    if members is not None:
-        # The strongest prediction of a group of copies has the copy with the lowest id.
-        nth = row_index(found, [*key, "truth"], [F.col("score").desc(), F.col("pred")], "nth")
-        found = nth.join(members, [*keys, "truth", "nth"], "left").withColumn(
-            "truth", F.coalesce("member", "truth"))
+    pairs = pairs.withColumn("pred_rank", tie_of(F.col("pred")))
+    found = match_rounds(pairs.select(*key, "pred", "score", "pred_rank", "truth", "iou"), key, tail_pairs)
     return found.select(*key, F.col("pred").alias(pred_id), F.col("truth").alias(truth_id), "iou")
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
+from crownframe.session import cut
 
 LOWEST, HIGHEST = -8, 24
 
@@ -106,12 +107,12 @@ def bbox_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("product
     return pairs.drop(*cell, *[f"{s}_{f}" for s in "ab" for f in firsts])
 
 
-def crowding(nodes: DataFrame, keys: Sequence[str]) -> tuple[int, list[int]]:
-    """Boxes in the fullest grid cell, and the grid levels in use."""
+def cell_crowds(nodes: DataFrame, keys: Sequence[str], most: int) -> tuple[DataFrame, list[int]]:
+    """Grid cells with more than `most` boxes (`keys, _level, _cx, _cy, n`), and the grid levels in use."""
     homes = place(nodes.select(*keys, *B.BOX), [], home=[SAME])
-    counts = homes.groupBy(*keys, "_level", "_cx", "_cy").count()
-    top, levels = counts.agg(F.max("count"), F.collect_set("_level")).first()
-    return top or 0, sorted(levels) or [0]
+    counts = cut(homes.groupBy(*keys, "_level", "_cx", "_cy").agg(F.count(F.lit(1)).alias("n")), "cells")
+    levels = counts.agg(F.collect_set("_level")).first()[0]     # at most 33 small integers
+    return counts.filter(F.col("n") > most), sorted(levels) or [0]
 
 
 def iou_join(left: DataFrame, right: DataFrame, threshold: float,

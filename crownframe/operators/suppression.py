@@ -2,8 +2,11 @@
 
 The sequential rule "take boxes by descending score, drop what overlaps a taken one" has one
 result, and that result follows from the edges alone: a box without a living stronger neighbour is
-taken, and its weaker neighbours fall. Each round settles every such box at once, so the number of
-rounds follows the longest chain of overlaps, not the number of rows.
+taken, and its weaker neighbours fall. Each round settles every such box at once. Any number of IoU
+thresholds is settled together: bit i of a mask stands for the i-th threshold, a box has the bits at
+which it is still alive and an edge those at which it counts.
+
+Order: score descending (null and NaN last), then a hash of the id, then the id.
 """
 
 from __future__ import annotations
@@ -15,17 +18,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
-from crownframe.operators.spatial_join import bbox_join, crowding, place
-from crownframe.session import cut
+from crownframe.functions.ranks import at_least, ranked_score, tie_of
+from crownframe.operators.spatial_join import bbox_join, cell_crowds, place
+from crownframe.session import cut, release
+
+#: Boxes in one grid cell above which the boxes of that cell are thinned before pairing, and edges of
+#: one key few enough to be finished in a task, after some rounds. Neither changes the result.
+HOT_CELL, TAIL_EDGES, TAIL_AFTER = 2_000, 20_000, 8
 
-HOT_CELL = 2_000      # boxes in one grid cell above which copies are thinned before pairing
-TAIL_EDGES = 20_000   # edges few enough to finish the last chains inside one task ...
-TAIL_AFTER = 8        # ... once this many rounds have gone by
 
+def _order(prefix: str = "") -> Column:
+    """Sort key: the strongest box has the smallest one."""
+    return F.struct((-F.col(f"{prefix}score")).alias("s"), F.col(f"{prefix}tie").alias("t"),
+                    F.col(f"{prefix}id").alias("i"))
 
-def _stronger(score: str, ident: str) -> Column:
-    """Sort key: the strongest box has the smallest one (score descending, id ascending)."""
-    return F.struct((-F.col(score)).alias("s"), F.col(ident).alias("i"))
+
+def _minus(mask: Column, gone: Column) -> Column:
+    """The bits of `mask` that aren't in `gone` (null: none)."""
+    return mask.bitwiseAND(F.bitwise_not(F.coalesce(gone, F.lit(0).cast("long"))))
 
 
 def drop_copies(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,119 +45,155 @@ def drop_copies(nodes: DataFrame, keys: Sequence[str]) -> DataFrame:
     and are left alone.
     """
     solid = nodes.filter(B.area(B.box()) > 0)
-    best = solid.groupBy(*keys, *B.BOX).agg(F.min(_stronger("score", "id")).alias("_b"))
-    best = best.select(*keys, F.col("_b.i").alias("id"), *B.BOX, (-F.col("_b.s")).alias("score"))
+    best = solid.groupBy(*keys, *B.BOX).agg(F.min(F.struct(_order().alias("o"), "alive")).alias("_b"))
+    best = best.select(*keys, F.col("_b.o.i").alias("id"), *B.BOX, (-F.col("_b.o.s")).alias("score"),
+                       F.col("_b.o.t").alias("tie"), F.col("_b.alive").alias("alive"))
     return best.select(*nodes.columns).unionByName(nodes.filter(B.area(B.box()) <= 0))
 
 
-def _thin(nodes: DataFrame, threshold: float, keys: Sequence[str],
+def _edges(strong: DataFrame, weak: DataFrame, keys: Sequence[str], levels: Sequence[int],
+           thresholds: Sequence[float]) -> DataFrame:
+    """(keys, hi, lo, mask, hi_score, hi_tie): hi comes before lo and overlaps it by more than the
+    thresholds in the mask, at which both are alive."""
+    before = _order("a_") < _order("b_")
+    pairs = bbox_join(strong, weak, keys, extra=before, left_levels=levels, right_levels=levels)
+    value = B.iou(B.box("a_"), B.box("b_"))
+    crossed = sum((F.when(F.col("_iou") > t, F.lit(1 << i)).otherwise(F.lit(0))
+                   for i, t in enumerate(thresholds)), F.lit(0).cast("long"))
+    pairs = pairs.withColumn("_iou", value).filter(F.col("_iou") > min(thresholds))
+    mask = crossed.cast("long").bitwiseAND(F.col("a_alive")).bitwiseAND(F.col("b_alive"))
+    return pairs.select(
+        *keys, F.col("a_id").alias("hi"), F.col("b_id").alias("lo"), mask.alias("mask"),
+        F.col("a_score").alias("hi_score"), F.col("a_tie").alias("hi_tie")).filter("mask != 0")
+
+
+def _thin(nodes: DataFrame, thresholds: Sequence[float], keys: Sequence[str],
           hot_cell: int) -> tuple[DataFrame, DataFrame | None, list[int]]:
     """Resolve crowds of near copies in linear steps: returns (unresolved, taken, grid levels).
 
     A box that is the strongest of every grid cell it reaches has no stronger neighbour, so it is
-    taken; pairing the taken boxes with the rest costs one row per box and cell, never all pairs.
-    Exact copies go first. Stops when no cell is crowded or a step no longer removes much; the edge
-    rounds do the rest.
+    taken; pairing the taken boxes with the rest costs one row per box and cell, never all pairs. Only
+    boxes that reach a crowded cell are taken here, and exact copies go first. Ends when no cell is
+    crowded or the crowds no longer shrink; the edge rounds do the rest.
     """
     keys = list(keys)
-    taken: list[DataFrame] = []
-    total = None
+    taken: DataFrame | None = None
+    crowd = None
     while True:
-        fullest, levels = crowding(nodes, keys)
-        if fullest <= hot_cell:
-            break
-        if total is None:
-            total = nodes.count()
+        crowds, levels = cell_crowds(nodes, keys, hot_cell)
+        now = crowds.agg(F.sum("n")).first()[0] or 0
+        if not now or (crowd is not None and crowd - now < 0.1 * crowd):
+            return nodes, taken, levels
+        if crowd is None:
+            crowd = float("inf")
             nodes = cut(drop_copies(nodes, keys), "nodes")
             continue
-        cells = place(nodes, levels, home=[0], visit=[1])
-        cells = cells.withColumn("_rank", _stronger("score", "id"))
+        crowd = now
         cell = [*keys, "_level", "_cx", "_cy"]
+        cells = place(nodes, levels, home=[0], visit=[1]).withColumn("_rank", _order())
         best = cells.groupBy(*cell).agg(
             F.min("_rank").alias("_all"),
             F.min(F.when(F.col("_role") == 0, F.col("_rank"))).alias("_home"))
+        best = best.join(crowds.select(*cell, F.lit(True).alias("_hot")), cell, "left")
         rival = F.when(F.col("_role") == 0, F.col("_all")).otherwise(F.col("_home"))
-        tops = (cells.join(best, cell)
-                .groupBy(*keys, "id")
-                .agg(F.bool_and(rival.isNull() | (F.col("_rank") <= rival)).alias("_top"))
-                .filter("_top").select(*keys, "id"))
+        tops = (cells.join(best, cell).groupBy(*keys, "id").agg(
+            F.bool_and(rival.isNull() | (F.col("_rank") <= rival)).alias("_top"),
+            F.bool_or(F.coalesce("_hot", F.lit(False))).alias("_near"))
+            .filter("_top and _near").select(*keys, "id"))
         winners = cut(nodes.join(tops, [*keys, "id"], "left_semi"), "winners")
-        fallen = _edges(winners, nodes, keys, levels).filter(F.col("iou") > threshold)
-        gone = winners.select(*keys, "id").unionByName(fallen.select(*keys, F.col("lo").alias("id")))
-        nodes = cut(nodes.join(gone.distinct(), [*keys, "id"], "left_anti"), "unresolved")
-        taken.append(winners.select(*keys, "id"))
-        left = nodes.count()
-        if total - left < 0.1 * total:
-            break
-        total = left
-    if not taken:
-        return nodes, None, levels
-    union = taken[0]
-    for more in taken[1:]:
-        union = union.unionByName(more)
-    return nodes, union, levels
-
-
-def _edges(strong: DataFrame, weak: DataFrame, keys: Sequence[str],
-           levels: Sequence[int]) -> DataFrame:
-    """Pairs (hi, lo, iou, hi_score, lo_score): hi outranks lo and both share some area."""
-    outranks = ((F.col("a_score") > F.col("b_score"))
-                | ((F.col("a_score") == F.col("b_score")) & (F.col("a_id") < F.col("b_id"))))
-    pairs = bbox_join(strong, weak, keys, extra=outranks, left_levels=levels, right_levels=levels)
-    return pairs.select(
-        *keys, F.col("a_id").alias("hi"), F.col("b_id").alias("lo"),
-        B.iou(B.box("a_"), B.box("b_")).alias("iou"),
-        F.col("a_score").alias("hi_score"), F.col("b_score").alias("lo_score"))
+        gone = _edges(winners, nodes, keys, levels, thresholds).select(
+            *keys, F.col("lo").alias("id"), F.col("mask").alias("_gone")).unionByName(
+            winners.select(*keys, "id", F.col("alive").alias("_gone")))
+        gone = gone.groupBy(*keys, "id").agg(F.bit_or("_gone").alias("_gone"))
+        left = nodes.join(gone, [*keys, "id"], "left").withColumn(
+            "alive", _minus(F.col("alive"), F.col("_gone")))
+        old, nodes = nodes, cut(left.filter("alive != 0").select(*nodes.columns), "unresolved")
+        release(old)
+        won = winners.select(*keys, "id", "alive")
+        taken = won if taken is None else taken.unionByName(won)
 
 
 def _finish(keys: Sequence[str]):
-    """The sequential rule over one key's edges, strongest first."""
+    """The sequential rule over one key's edges, strongest first; at most `tail_edges` rows."""
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values(["hi_score", "hi"], ascending=[False, True], kind="stable")
-        fallen: set[int] = set()
-        for hi, lo in zip(frame["hi"], frame["lo"]):
-            if hi not in fallen:
-                fallen.add(lo)
-        out = frame[frame["lo"].isin(fallen)][[*keys, "lo"]].drop_duplicates()
-        return out.rename(columns={"lo": "id"})
+        frame = frame.sort_values(["hi_score", "hi_tie", "hi"], ascending=[False, True, True], kind="stable")
+        fallen: dict[int, int] = {}
+        for hi, lo, mask in zip(frame["hi"].tolist(), frame["lo"].tolist(), frame["mask"].tolist()):
+            if falls := mask & ~fallen.get(hi, 0):
+                fallen[lo] = fallen.get(lo, 0) | falls
+        out = {k: frame[k].iloc[0] for k in keys}
+        return pd.DataFrame({**{k: [v] * len(fallen) for k, v in out.items()},
+                             "id": list(fallen), "mask": list(fallen.values())})
 
     return settle
 
 
 def suppressed(edges: DataFrame, keys: Sequence[str], tail_edges: int = TAIL_EDGES,
                tail_after: int = TAIL_AFTER) -> DataFrame:
-    """Ids that fall, from edges `(keys, hi, lo, hi_score)`; see the module text for the rule."""
+    """`(keys, id, mask)`: the thresholds at which a box falls, from `(keys, hi, lo, mask, hi_score, hi_tie)`.
+
+    After `tail_after` rounds each key whose living edges are at most `tail_edges` is finished in one task;
+    larger keys go on in rounds, which give the same.
+    """
     keys = list(keys)
-    edges = cut(edges.select(*keys, "hi", "lo", "hi_score"), "edges")
-    schema = edges.select(*keys, F.col("hi").alias("id")).schema
+    edges = cut(edges.select(*keys, "hi", "lo", "mask", "hi_score", "hi_tie"), "edges")
+    schema = edges.select(*keys, F.col("hi").alias("id"), "mask").schema
     fallen: list[DataFrame] = []
     rounds = 0
-    while True:
-        alive = edges.count()
-        if alive == 0:
-            break
-        if rounds >= tail_after and alive <= tail_edges and keys:
-            # Only long chains are left and they are few: a group is at most `tail_edges` rows.
-            fallen.append(cut(edges.groupBy(*keys).applyInPandas(_finish(keys), schema), "fallen"))
-            break
-        weak = edges.select(*keys, F.col("lo").alias("hi")).distinct()
-        hit = edges.join(weak, [*keys, "hi"], "left_anti")
-        hit = cut(hit.select(*keys, F.col("lo").alias("id")).distinct(), "fallen")
+    while not edges.isEmpty():
+        if rounds >= tail_after and keys:
+            few = cut(edges.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+                      .filter(F.col("_n") <= tail_edges).select(*keys), "few")
+            if not few.isEmpty():
+                ends = edges.join(few, keys, "left_semi").groupBy(*keys).applyInPandas(_finish(keys), schema)
+                fallen.append(cut(ends, "fallen"))
+                old, edges = edges, cut(edges.join(few, keys, "left_anti"), "edges")
+                release(old, few)
+                continue
+        weak = edges.groupBy(*keys, F.col("lo").alias("hi")).agg(F.bit_or("mask").alias("_weak"))
+        sure = edges.join(weak, [*keys, "hi"], "left").withColumn("mask", _minus(F.col("mask"), F.col("_weak")))
+        hit = cut(sure.filter("mask != 0").groupBy(*keys, F.col("lo").alias("id")).agg(
+            F.bit_or("mask").alias("mask")), "fallen")
         fallen.append(hit)
-        edges = cut(edges.join(hit.withColumnRenamed("id", "lo"), [*keys, "lo"], "left_anti")
-                    .join(hit.withColumnRenamed("id", "hi"), [*keys, "hi"], "left_anti"), "edges")
+        left = edges
+        for side in ("lo", "hi"):
+            gone = hit.select(*keys, F.col("id").alias(side), F.col("mask").alias("_gone"))
+            left = left.join(gone, [*keys, side], "left").withColumn(
+                "mask", _minus(F.col("mask"), F.col("_gone"))).drop("_gone")
+        old, edges = edges, cut(left.filter("mask != 0").select(*edges.columns), "edges")
+        release(old)
         rounds += 1
     if not fallen:
-        return edges.select(*keys, F.col("hi").alias("id"))
+        return edges.select(*keys, F.col("hi").alias("id"), "mask")
     union = fallen[0]
     for more in fallen[1:]:
         union = union.unionByName(more)
-    return union
+    return union.groupBy(*keys, "id").agg(F.bit_or("mask").alias("mask"))
+
 
+def nodes_of(objects: DataFrame, keys: Sequence[str], id_col: str, score_col: str,
+             thresholds: Sequence[float]) -> DataFrame:
+    if len(thresholds) > 62:
+        raise ValueError("at most 62 thresholds at once")
+    return objects.select(
+        *keys, F.col(id_col).alias("id"), *B.BOX, ranked_score(F.col(score_col)).alias("score"),
+        tie_of(F.col(id_col)).alias("tie"), F.lit((1 << len(thresholds)) - 1).cast("long").alias("alive"))
 
-def _nodes(objects: DataFrame, keys: Sequence[str], id_col: str, score_col: str) -> DataFrame:
-    return objects.select(*keys, F.col(id_col).alias("id"), *B.BOX,
-                          F.col(score_col).cast("double").alias("score"))
+
+def kept_masks(nodes: DataFrame, keys: Sequence[str], thresholds: Sequence[float], hot_cell: int,
+               tail_edges: int) -> DataFrame:
+    """`(keys, id, mask)`: the thresholds (all below 1) at which a box stays."""
+    keys = list(keys)
+    nodes = cut(nodes, "nodes")
+    live, taken, levels = _thin(nodes, thresholds, keys, hot_cell)
+    fallen = suppressed(_edges(live, live, keys, levels, thresholds), keys, tail_edges)
+    kept = live.select(*keys, "id", "alive").join(
+        fallen.withColumnRenamed("mask", "_gone"), [*keys, "id"], "left").select(
+        *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask"))
+    if taken is None:
+        return kept.filter("mask != 0")
+    both = kept.unionByName(taken.withColumnRenamed("alive", "mask"))
+    return both.groupBy(*keys, "id").agg(F.bit_or("mask").alias("mask")).filter("mask != 0")
 
 
 def nms(objects: DataFrame, threshold: float, score_threshold: float | None = None,
@@ -156,21 +202,16 @@ def nms(objects: DataFrame, threshold: float, score_threshold: float | None = No
         tail_edges: int = TAIL_EDGES) -> DataFrame:
     """Keep the rows greedy suppression at `IoU > threshold` keeps, per `keys`.
 
-    Order: score descending, then id ascending. Rows below `score_threshold` are dropped first.
+    Rows below `score_threshold` are dropped first, and then those without a score too.
     """
     keys = list(keys)
     if score_threshold is not None:
-        objects = objects.filter(F.col(score_col) >= score_threshold)
+        objects = objects.filter(at_least(F.col(score_col), score_threshold))
     if threshold >= 1:
         return objects  # no IoU exceeds 1
-    nodes = cut(_nodes(objects, keys, id_col, score_col), "nodes")
-    live, taken, levels = _thin(nodes, threshold, keys, hot_cell)
-    edges = _edges(live, live, keys, levels).filter(F.col("iou") > threshold)
-    kept = live.select(*keys, "id").join(
-        suppressed(edges, keys, tail_edges), [*keys, "id"], "left_anti")
-    if taken is not None:
-        kept = kept.unionByName(taken)
-    return objects.join(kept.withColumnRenamed("id", id_col), [*keys, id_col], "left_semi")
+    nodes = nodes_of(objects, keys, id_col, score_col, [threshold])
+    kept = kept_masks(nodes, keys, [threshold], hot_cell, tail_edges)
+    return objects.join(kept.select(*keys, F.col("id").alias(id_col)), [*keys, id_col], "left_semi")
 
 
 def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: float | None = None,
@@ -179,43 +220,37 @@ def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: f
              tail_edges: int = TAIL_EDGES) -> DataFrame:
     """`nms` for many IoU thresholds at once: kept `(nms_iou, keys, id_col, score)`.
 
-    Overlaps are measured once. No loop over score thresholds is needed: a box is judged only by
-    stronger boxes, so the result for a higher score threshold is the part of this one above it.
+    No loop over score thresholds is needed: a box is judged only by stronger boxes, so the result for a
+    higher score threshold is the part of this one above it.
     """
+    masks, wanted = nms_masks(objects, iou_thresholds, score_floor, score_col, id_col, keys, hot_cell, tail_edges)
+    each = F.filter(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(1 << i).cast("long").alias("b"))
+                              for i, t in enumerate(wanted)]),
+                    lambda s: s["b"].bitwiseAND(F.col("mask")) != 0)
+    return masks.withColumn("_t", F.explode(each)).select(
+        F.col("_t.t").alias("nms_iou"), *keys, id_col, "score")
+
+
+def nms_masks(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: float | None = None,
+              score_col: str = "detector_score", id_col: str = "object_id",
+              keys: Sequence[str] = ("product_id",), hot_cell: int = HOT_CELL,
+              tail_edges: int = TAIL_EDGES) -> tuple[DataFrame, list[float]]:
+    """Per kept object the thresholds at which it stays as bits of `mask`: `(keys, id_col, score, mask)`, and the
+    thresholds that the bits stand for."""
     keys = list(keys)
     if score_floor is not None:
-        objects = objects.filter(F.col(score_col) >= score_floor)
+        objects = objects.filter(at_least(F.col(score_col), score_floor))
     wanted = sorted({float(t) for t in iou_thresholds})
-    wide = ["nms_iou", *keys]
-    whole = _nodes(objects, keys, id_col, score_col)
-    parts = []
-    if wanted[-1] >= 1:
-        always = F.array(*[F.lit(t) for t in wanted if t >= 1])
-        parts.append(whole.select(F.explode(always).alias("nms_iou"), *keys, "id", "score"))
     below = [t for t in wanted if t < 1]
-    if below:
-        nodes = cut(whole, "nodes")
-        every = F.array(*[F.lit(t) for t in below])
-        fullest, levels = crowding(nodes, keys)
-        if fullest > hot_cell:
-            for t in below:
-                live, taken, levels = _thin(nodes, t, keys, hot_cell)
-                edges = _edges(live, live, keys, levels).filter(F.col("iou") > t)
-                part = live.select(*keys, "id").join(
-                    suppressed(edges, keys, tail_edges), [*keys, "id"], "left_anti")
-                part = part if taken is None else part.unionByName(taken)
-                parts.append(nodes.join(part, [*keys, "id"], "left_semi").select(
-                    F.lit(t).alias("nms_iou"), *keys, "id", "score"))
-        else:
-            crossing = F.filter(every, lambda t: t < F.col("iou"))
-            edges = _edges(nodes, nodes, keys, levels).withColumn("nms_iou", F.explode(crossing))
-            all_nodes = nodes.select(F.explode(every).alias("nms_iou"), *keys, "id", "score")
-            parts.append(all_nodes.join(
-                suppressed(edges, wide, tail_edges), [*wide, "id"], "left_anti"))
-    kept = parts[0]
-    for part in parts[1:]:
-        kept = kept.unionByName(part)
-    return kept.withColumnRenamed("id", id_col)
+    always = sum(1 << i for i, t in enumerate(wanted) if t >= 1)
+    base = objects.select(*keys, id_col, F.col(score_col).cast("double").alias("score"))
+    if not below:
+        return base.withColumn("mask", F.lit(always).cast("long")), wanted
+    kept = kept_masks(nodes_of(objects, keys, id_col, score_col, below), keys, below, hot_cell, tail_edges)
+    mask = F.coalesce("_mask", F.lit(0).cast("long")).bitwiseOR(F.lit(always).cast("long"))
+    out = base.join(kept.select(*keys, F.col("id").alias(id_col), F.col("mask").alias("_mask")),
+                    [*keys, id_col], "left").select(*keys, id_col, "score", mask.alias("mask"))
+    return out.filter("mask != 0"), wanted
 
 
 def tile_postprocess(objects: DataFrame, score_threshold: float = 0.05, nms_threshold: float = 0.5,

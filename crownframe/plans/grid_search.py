@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from crownframe.functions.ranks import at_least, tie_of
 from crownframe.operators import metrics
 from crownframe.operators.matching import TAIL_PAIRS, candidate_pairs, match_rounds
 from crownframe.operators.suppression import nms_grid
@@ -33,7 +34,7 @@ def nms_grid_search(predictions: DataFrame, truths: DataFrame, gsd: float,
     ious, scores = sorted({float(v) for v in nms_ious}), sorted({float(v) for v in nms_scores})
     steps = sorted({float(t) for t in eval_thresholds})
     kept = cut(nms_grid(predictions, ious, scores[0], score, keys=[KEY]), "kept")
-    strong = predictions.filter(F.col(score) >= scores[0])
+    strong = predictions.filter(at_least(F.col(score), scores[0]))
     # The score column keeps its name through the AOI filter; ids of cut objects may change there.
     strong = strong.withColumn("_source_id", F.col("object_id"))
     p, t = prepare(strong, truths, gsd, aoi)
@@ -46,7 +47,8 @@ def nms_grid_search(predictions: DataFrame, truths: DataFrame, gsd: float,
     pairs = pairs.withColumn("iou_threshold", F.explode(
         F.filter(levels, lambda v: v <= F.col("iou"))))
     run = ["nms_iou", KEY, "iou_threshold"]
-    found = match_rounds(pairs.select(*run, "pred", "score", "truth", "iou"), run, tail_pairs)
+    pairs = pairs.withColumn("pred_rank", tie_of(F.col("pred")))
+    found = match_rounds(pairs.select(*run, "pred", "score", "pred_rank", "truth", "iou"), run, tail_pairs)
     hits = found.select(*run, "pred").join(
         p.select(KEY, F.col("object_id").alias("pred"), F.col(score).alias("score")), [KEY, "pred"])
 

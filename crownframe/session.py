@@ -58,4 +58,16 @@ def cut(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete the files of tables made by `cut` that no later step reads; others are left alone."""
+    for df in tables:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            spark = df.sparkSession
+            where = spark._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)

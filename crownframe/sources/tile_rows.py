@@ -7,27 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownframe.operators.numbering import in_batches, row_index
+from crownframe.operators.numbering import row_index
 
 # Our fold name and the name used for it outside.
 FOLD_NAMES = {"valid": "validation"}
 GROUP = ("location", "raster_name", "fold")
-LABELS_PER_ROW = 10_000
 
 
 def write_tile_rows(tiles: DataFrame, labels: DataFrame, path: str | None = None,
                     category: str = "tree") -> DataFrame:
     """One row per tile with `annotations {bbox, segmentation, area, iscrowd, category}` arrays.
 
-    With `path` also written as JSON lines, one folder per fold. A tile with very many labels is
-    continued in further rows (`part` 1, 2, ...), so a row stays bounded. Tiles without labels get
-    empty arrays.
+    With `path` also written as JSON lines, one folder per fold. Tiles without labels get empty arrays.
+    A row holds the labels of one tile, as the exchange format has it.
     """
-    cells = in_batches(labels, ["tile_name"], [F.col("id")], LABELS_PER_ROW, "part")
     has_rings = "rings" in labels.columns
-    grouped = cells.groupBy("tile_name", "part").agg(F.array_sort(F.collect_list(F.struct(
+    grouped = labels.groupBy("tile_name").agg(F.array_sort(F.collect_list(F.struct(
         "id", "bbox", *(["rings"] if has_rings else []), "area", "iscrowd"))).alias("_l"))
-    joined = tiles.join(grouped, "tile_name", "left").withColumn("part", F.coalesce("part", F.lit(0)))
+    joined = tiles.join(grouped, "tile_name", "left")
     empty = F.coalesce(F.size("_l"), F.lit(0)) == 0
 
     def values(field, kind):
@@ -61,21 +58,18 @@ def read_tile_rows(source: DataFrame | str, spark: SparkSession | None = None,
     if folds is not None:
         rows = rows.filter(F.col("fold").isin(*folds))
     keys = list(GROUP)
-    tiles = rows.filter("part = 0") if "part" in rows.columns else rows
-    numbered = row_index(tiles.drop("annotations", "part"), keys, [F.col("tile_name")], "id", start=1)
-    part = F.col("part") if "part" in rows.columns else F.lit(0)
+    numbered = row_index(rows.drop("annotations"), keys, [F.col("tile_name")], "id", start=1)
     zipped = F.arrays_zip(F.col("annotations.bbox").alias("bbox"),
                           F.col("annotations.area").alias("area"),
                           F.col("annotations.iscrowd").alias("iscrowd"))
-    cells = rows.select(*keys, "tile_name", part.alias("part"),
-                        F.posexplode(zipped).alias("pos", "_a"),
+    cells = rows.select(*keys, "tile_name", F.posexplode(zipped).alias("pos", "_a"),
                         F.col("annotations.segmentation").alias("_s"))
-    cells = cells.select(*keys, "tile_name", "part", "pos", F.col("_a.bbox").alias("bbox"),
+    cells = cells.select(*keys, "tile_name", "pos", F.col("_a.bbox").alias("bbox"),
                          F.col("_a.area").alias("area"), F.col("_a.iscrowd").alias("iscrowd"),
                          F.try_element_at("_s", F.col("pos") + 1).alias("rings"))
     with_image = cells.join(numbered.select(*keys, "tile_name", F.col("id").alias("image_id")),
                             [*keys, "tile_name"])
-    order = [F.col("image_id"), F.col("part"), F.col("pos")]
+    order = [F.col("image_id"), F.col("pos")]
     annotations = row_index(with_image, keys, order, "id", start=1)
     return numbered, annotations.select(*keys, "id", "image_id", F.lit(1).alias("category_id"),
                                         "bbox", "rings", "area", "iscrowd")

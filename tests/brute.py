@@ -1,8 +1,17 @@
 """Plain sequential versions of the greedy rules, as the yardstick for the distributed ones."""
 
+import hashlib
+import math
 import random
 
 
+def turn(row):
+    """Sort key of (id, product, box, score): score descending, none last, then a hash of the id, then the id."""
+    score = row[3]
+    value = -math.inf if score is None or math.isnan(score) else score
+    return -value, hashlib.md5(str(row[0]).encode()).hexdigest()[:15], row[0]
+
+
 def iou(a, b):
     w = max(min(a[2], b[2]) - max(a[0], b[0]), 0.0)
     h = max(min(a[3], b[3]) - max(a[1], b[1]), 0.0)
@@ -28,7 +37,7 @@ def boxes(n, seed, span=40, sizes=(1, 8), products=2):
 
 def nms(rows, t):
     kept = []
-    for row in sorted(rows, key=lambda r: (-r[3], r[0])):
+    for row in sorted(rows, key=turn):
         if all(k[1] != row[1] or iou(k[2], row[2]) <= t for k in kept):
             kept.append(row)
     return {r[0] for r in kept}
@@ -36,7 +45,7 @@ def nms(rows, t):
 
 def match(preds, truths, t):
     used, out = set(), {}
-    for p in sorted(preds, key=lambda r: (-r[3], r[0])):
+    for p in sorted(preds, key=turn):
         best = None
         for g in truths:
             if g[1] != p[1] or g[0] in used:

@@ -26,31 +26,32 @@ def evaluate(spark, preds, scores, truths, **options):
     return out.collect()[0]
 
 
-A, C, D = (0, 0, 10, 10), (20, 20, 30, 30), (40, 40, 50, 50)
+def row_of_squares(n, side, gap=3.0, y=5.0):
+    return [(i * (side + gap), y, i * (side + gap) + side, y + side) for i in range(n)]
 
 
-def test_perfect_match(spark):
-    r = evaluate(spark, [A, C, D], [0.9, 0.85, 0.8], [A, C, D])
-    assert (r["precision"], r["recall"], r["f1"], r["tp"], r["fp"], r["fn"]) == (1, 1, 1, 3, 0, 0)
+A = (0, 0, 10, 10)
 
 
-def test_disjoint(spark):
-    r = evaluate(spark, [A, C], [0.9, 0.8], [(100, 100, 110, 110), (120, 120, 130, 130)])
-    assert (r["precision"], r["recall"], r["f1"]) == (0, 0, 0)
+@pytest.mark.parametrize(("hits", "extra", "missed"), [(5, 0, 0), (0, 4, 6), (7, 2, 1), (3, 0, 9)])
+def test_counts_of_hits_extras_and_misses(spark, hits, extra, missed):
+    """Squares of side 7: some in both tables, some only predicted (far above), some only true (far below)."""
+    same = row_of_squares(hits, 7.0)
+    preds = same + row_of_squares(extra, 7.0, y=900.0)
+    truths = same[::-1] + row_of_squares(missed, 7.0, y=-900.0)
+    r = evaluate(spark, preds, [0.95 - 0.01 * i for i in range(len(preds))], truths)
+    assert (r["tp"], r["fp"], r["fn"]) == (hits, extra, missed)
+    assert r["precision"] == pytest.approx(hits / (hits + extra)) and r["recall"] == pytest.approx(hits / (hits + missed))
+    assert r["f1"] == pytest.approx(2 * hits / (2 * hits + extra + missed))
 
 
-def test_two_of_three_against_four(spark):
-    truths = [A, C, (200, 200, 210, 210), (220, 220, 230, 230)]
-    r = evaluate(spark, [A, C, D], [0.9, 0.8, 0.7], truths)
-    assert r["precision"] == pytest.approx(2 / 3) and r["recall"] == 0.5
-    assert r["f1"] == pytest.approx(4 / 7)
-
-
-def test_means_over_two_thresholds(spark):
-    r = evaluate(spark, [A, (22, 20, 32, 30)], [0.9, 0.8], [A, C], thresholds=(0.75, 0.5, 0.5))
-    assert list(r["iou_thresholds"]) == [0.5, 0.75]
-    assert r["precision_per_iou"] == [1.0, 0.5] and r["precision"] == 0.75
-    assert r["tp"] == 2 and r["precision_50"] == 1.0 and r["precision_75"] == 0.5
+def test_means_over_three_thresholds(spark):
+    """Strips of 12 by 4 moved along by 0, 1, 2 and 4: IoU 1, 11/13, 5/7 and 1/2."""
+    truths = [(40.0 * i, 0.0, 40.0 * i + 12.0, 4.0) for i in range(4)]
+    preds = [(x0 + d, y0, x1 + d, y1) for (x0, y0, x1, y1), d in zip(truths, (0.0, 1.0, 2.0, 4.0))]
+    r = evaluate(spark, preds, [0.3, 0.6, 0.4, 0.5], truths, thresholds=(0.8, 0.45, 0.7, 0.45))
+    assert list(r["iou_thresholds"]) == [0.45, 0.7, 0.8]
+    assert r["recall_per_iou"] == [1.0, 0.75, 0.5] and r["recall"] == pytest.approx(0.75)
 
 
 def test_polygons_and_their_boxes(spark):
@@ -146,20 +147,20 @@ def protocol(dets, gts, ranges, thresholds, limits):
     return out
 
 
-@pytest.mark.parametrize("group_pairs", [100_000, 0])
-def test_coco_metrics_equal_the_protocol(spark, group_pairs):
+@pytest.mark.parametrize("limits", [(1, 3, 20), (2,)])
+def test_coco_metrics_equal_the_protocol(spark, limits):
     rng = random.Random(4)
     dets = [(i % 4, i, b, s) for i, _, b, s in brute.boxes(120, seed=41, span=15, sizes=(2, 6))]
     gts = []
     for i, _, b, _ in brute.boxes(60, seed=42, span=15, sizes=(2, 6)):
         gts.append((i % 5, i, b, (b[2] - b[0]) * (b[3] - b[1]), rng.random() < 0.15))
     ranges = {"all": (0.0, 1e10), "small": (0.0, 12.0), "huge": (1e6, 1e7)}
-    thresholds, limits = (0.3, 0.5, 0.75), (1, 3, 20)
+    thresholds = (0.3, 0.5, 0.75)
     d = spark.createDataFrame([(r[0], 1, r[1], r[3], *r[2]) for r in dets],
                               f"image_id bigint, category_id int, det_id bigint, score double, {BOX}")
     g = spark.createDataFrame([(r[0], 1, r[1], *map(float, r[2]), r[3], r[4]) for r in gts],
                               f"image_id bigint, category_id int, gt_id bigint, {BOX}, area double, iscrowd boolean")
-    outcomes = coco_eval.coco_match(d, g, ranges, thresholds, max(limits), group_pairs=group_pairs)
+    outcomes = coco_eval.coco_match(d, g, ranges, thresholds, max(limits))
     acc = coco_eval.coco_accumulate(outcomes, coco_eval.countable_truths(g, ranges), limits, thresholds)
     got = {(r["area_label"], r["max_dets"], r["iou_threshold"]): (r["recall"], list(r["precision"]))
            for r in acc.collect()}
@@ -180,6 +181,31 @@ def test_coco_summary_without_truth_is_minus_one(spark):
     assert (r["num_images"], r["num_truths"], r["num_preds"]) == (1, 1, 1)
 
 
+def test_tile_level_goes_by_the_images_of_the_truth(spark):
+    """Raster 1: a hit on image 1, a prediction on image 7, which the truth doesn't have, and image 2 without
+    truths. Raster 2: predictions only."""
+    truths = spark.createDataFrame([(1, 1, 1, 0, 0.0, 0.0, 2.0, 2.0, 4.0, False)],
+                                   f"product_id int, image_id bigint, category_id int, gt_id bigint, {BOX}, area double, iscrowd boolean")
+    dets = spark.createDataFrame([(1, 1, 1, 0, 0.9, 0.0, 0.0, 2.0, 2.0), (1, 7, 1, 1, 0.95, 0.0, 0.0, 2.0, 2.0),
+                                  (2, 4, 1, 2, 0.5, 0.0, 0.0, 2.0, 2.0)],
+                                 f"product_id int, image_id bigint, category_id int, det_id bigint, score double, {BOX}")
+    images = spark.createDataFrame([(1, 1), (1, 2), (2, 4)], "product_id int, image_id bigint")
+    rows = {r["product_id"]: r for r in coco_eval.tile_level(dets, truths, (1, 10, 100), group=["product_id"], images=images).collect()}
+    assert (rows[1]["AP"], rows[1]["num_images"], rows[1]["num_truths"], rows[1]["num_preds"]) == (1.0, 2, 1, 1)
+    assert (rows[2]["AP"], rows[2]["AR"], rows[2]["num_images"], rows[2]["num_truths"], rows[2]["num_preds"]) == (-1.0, -1.0, 1, 0, 1)
+    alone = coco_eval.tile_level(dets, truths, (1, 10, 100)).collect()[0]
+    assert (alone["AP"], alone["num_images"], alone["num_preds"]) == (1.0, 1, 1)
+
+
+def test_coco_puts_null_scores_last(spark):
+    truths = spark.createDataFrame([(1, 1, 0, 0.0, 0.0, 2.0, 2.0, 4.0, False)],
+                                   f"image_id bigint, category_id int, gt_id bigint, {BOX}, area double, iscrowd boolean")
+    dets = spark.createDataFrame([(1, 1, 10, None, 0.0, 0.0, 2.0, 2.0), (1, 1, 11, 0.1, 0.0, 0.0, 2.0, 2.0)],
+                                 f"image_id bigint, category_id int, det_id bigint, score double, {BOX}")
+    got = coco_eval.coco_match(dets, truths, {"all": (0.0, 1e10)}, (0.5,), 10).collect()
+    assert {(r["det_id"], r["rank"], r["tp_mask"], r["fp_mask"]) for r in got} == {(11, 1, 1, 0), (10, 2, 0, 1)}
+
+
 # --- search -----------------------------------------------------------------------------------
 
 def test_grid_search_equals_running_every_pair(spark):

@@ -17,14 +17,45 @@ def test_nms_equals_the_sequential_rule(spark, t, options):
     assert ids(got) == brute.nms(rows, t)
 
 
-def test_nms_tail_path_equals_the_sequential_rule(spark):
-    rows = brute.boxes(200, seed=5)
-    df = brute.frame(spark, rows).withColumnRenamed("object_id", "id").withColumnRenamed(
-        "detector_score", "score")
-    edges = suppression._edges(df, df, ["product_id"], spatial_join.levels_of(df)).filter("iou > 0.3")
-    fallen = suppression.suppressed(edges, ["product_id"], tail_edges=10 ** 9, tail_after=0)
-    kept = df.join(fallen, ["product_id", "id"], "left_anti")
-    assert ids(kept, "id") == brute.nms(rows, 0.3)
+def odd_scores(rows):
+    """Some scores are null or NaN."""
+    return [(i, p, b, None if i % 7 == 0 else float("nan") if i % 11 == 0 else s) for i, p, b, s in rows]
+
+
+@pytest.mark.parametrize("options", [{}, {"hot_cell": 1}, {"tail_edges": 0}, {"hot_cell": 3, "tail_edges": 5}])
+def test_nms_without_some_scores(spark, options):
+    rows = odd_scores(brute.boxes(150, seed=8))
+    got = suppression.nms(brute.frame(spark, rows), 0.3, **options)
+    assert ids(got) == brute.nms(rows, 0.3)
+    scored = [r for r in rows if r[3] is not None and r[3] == r[3] and r[3] >= 0.2]
+    assert ids(suppression.nms(brute.frame(spark, rows), 0.3, 0.2, **options)) == brute.nms(scored, 0.3)
+
+
+def chain(n):
+    """Boxes side by side, each overlapping the next, all with the same score."""
+    return [(i, 0, (2.0 * i, 0.0, 2.0 * i + 3.0, 3.0), 0.5) for i in range(n)]
+
+
+def test_rounds_do_not_follow_a_chain_of_equal_scores(spark, monkeypatch):
+    rows = chain(3000)
+    rounds = []
+    true_cut = suppression.cut
+    monkeypatch.setattr(suppression, "cut", lambda df, label="": (rounds.append(label), true_cut(df, label))[1])
+    got = suppression.nms(brute.frame(spark, rows), 0.1, tail_edges=0)
+    assert ids(got) == brute.nms(rows, 0.1)
+    assert rounds.count("fallen") < 20
+
+
+def test_keys_are_finished_one_by_one(spark):
+    """A key with few edges left is finished in a task while a larger one goes on in rounds."""
+    rows = brute.boxes(200, seed=5, products=1) + [(1000 + i, 1, b, s) for i, _, b, s in brute.boxes(20, seed=6)]
+    df = brute.frame(spark, rows)
+    nodes = suppression.nodes_of(df, ["product_id"], "object_id", "detector_score", [0.3])
+    edges = suppression._edges(nodes, nodes, ["product_id"], spatial_join.levels_of(df), [0.3])
+    for after, few in ((0, 10 ** 9), (0, 30), (1, 0)):
+        fallen = suppression.suppressed(edges, ["product_id"], tail_edges=few, tail_after=after)
+        kept = nodes.join(fallen.select("product_id", "id"), ["product_id", "id"], "left_anti")
+        assert ids(kept, "id") == brute.nms(rows, 0.3)
 
 
 def test_nms_on_a_crowd_of_near_copies(spark):
@@ -55,6 +86,25 @@ def test_nms_grid_equals_single_runs(spark, hot_cell):
     assert got == {t: brute.nms(rows, t) if t < 1 else {r[0] for r in rows} for t in (0.2, 0.6, 1.0)}
 
 
+def test_matching_without_some_scores(spark):
+    preds, truths = odd_scores(brute.boxes(120, seed=13)), brute.boxes(90, seed=14)
+    for tail in (0, 10 ** 9):
+        got = matching.greedy_match(brute.frame(spark, preds), brute.frame(spark, truths, "truth_id", "s"), [0.2],
+                                    tail_pairs=tail)
+        assert {(r["object_id"], r["truth_id"]) for r in got.collect()} == set(brute.match(preds, truths, 0.2).items())
+
+
+def test_match_rounds_do_not_follow_a_chain_of_equal_scores(spark, monkeypatch):
+    preds = chain(1500)
+    truths = [(i, 0, (2.0 * i + 1.0, 0.0, 2.0 * i + 4.0, 3.0), 0.0) for i in range(1500)]
+    rounds = []
+    true_cut = matching.cut
+    monkeypatch.setattr(matching, "cut", lambda df, label="": (rounds.append(label), true_cut(df, label))[1])
+    got = matching.greedy_match(brute.frame(spark, preds), brute.frame(spark, truths, "truth_id", "s"), [0.1], tail_pairs=0)
+    assert {(r["object_id"], r["truth_id"]) for r in got.collect()} == set(brute.match(preds, truths, 0.1).items())
+    assert rounds.count("matches") < 30
+
+
 @pytest.mark.parametrize("tail", [0, 10 ** 9])
 def test_greedy_match_equals_the_sequential_rule(spark, tail):
     preds, truths = brute.boxes(150, seed=11), brute.boxes(100, seed=12)
@@ -117,12 +167,11 @@ def test_candidates_share_crowds(spark):
         assert {(r["pred"], r["truth"]) for r in got.collect()} == {(1, 5), (2, 5), (3, 6)}
 
 
-def test_truths_on_one_spot_are_matched_by_count(spark):
-    """A third of the truths are copies of one another; places are handed out strongest first."""
+def test_truths_on_one_spot(spark):
+    """A third of the truths are copies of one another, and some others have the same IoU."""
     preds = brute.boxes(80, seed=61, span=12) + [(500 + i, 0, (3, 3, 6 + i % 3 * 0.1, 6), i % 10 / 10) for i in range(30)]
     truths = brute.boxes(50, seed=62, span=12) + [(600 + i, 0, (3, 3, 6, 6), 0.5) for i in range(25)]
-    p, t = brute.frame(spark, preds), brute.frame(spark, truths, "truth_id", "s")
-    want = {(x, y) for x, y in brute.match(preds, truths, 0.3).items()}
-    for copies in (10 ** 6, 1):
-        got = matching.greedy_match(p, t, [0.3], copies=copies)
-        assert {(r["object_id"], r["truth_id"]) for r in got.collect()} == want
+    truths += [(610.5 * 2 + i, 0, (3, 3, 6, 6), 0.5) for i in range(3)]
+    truths = [(int(i), *rest) for i, *rest in truths]
+    got = matching.greedy_match(brute.frame(spark, preds), brute.frame(spark, truths, "truth_id", "s"), [0.3])
+    assert {(r["object_id"], r["truth_id"]) for r in got.collect()} == set(brute.match(preds, truths, 0.3).items())

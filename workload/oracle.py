@@ -95,10 +95,16 @@ def size_label(value, gsd=0.5):
 
 # Suppression: `{p}_n` (k, id, score, box) -> `{p}_keep` (k, id); a box falls when a kept stronger
 # one overlaps it by more than t, and stands when all stronger neighbours have fallen.
+def tie(column):
+    """What comes before the id among equal scores."""
+    return f"substr(md5({column}::varchar), 1, 15)"
+
+
 def nms_ctes(p, t):
     return f"""{p}_e as materialized (
   select a.k, a.id as hi, b.id as lo from {p}_n a join {p}_n b on a.k = b.k and {meets()}
-    and (a.score > b.score or (a.score = b.score and a.id < b.id)) where {iou()} > {t}::double),
+    and (a.score > b.score or (a.score = b.score and ({tie('a.id')}, a.id) < ({tie('b.id')}, b.id)))
+  where {iou()} > {t}::double),
 {p}_st(k, id, state) using key (k, id) as (
   select k, id, case when (k, id) in (select (k, lo) from {p}_e) then 0 else 1 end from {p}_n
   union
@@ -111,7 +117,7 @@ def nms_ctes(p, t):
 
 
 # Matching: `{p}_c` (k, pred, score, truth, iou, tier, truth_rank, shared) -> `{p}_m` (k, pred, truth).
-def match_ctes(p):
+def match_ctes(p, by_id=False):
     return f"""{p}_st(k, kind, id, other) using key (k, kind, id) as (
   select k, 'start', 0::bigint, 0::bigint from (select min(k) as k from {p}_c) q
   union
@@ -123,7 +129,7 @@ def match_ctes(p):
     wish as (select distinct on (k, pred) k, pred, truth, shared from live
       order by k, pred, tier, iou desc, truth_rank, truth),
     first as (select distinct on (k, truth) k, truth, pred from live where not shared
-      order by k, truth, score desc, pred),
+      order by k, truth, score desc, {'' if by_id else tie('pred') + ', '}pred),
     won as materialized (
       select w.k, w.pred, w.truth, false as shared from wish w join first f
         on f.k = w.k and f.truth = w.truth and f.pred = w.pred where not w.shared
@@ -142,8 +148,8 @@ _COCO = """img as (select row_number() over (order by file_name) as id, file_nam
     from fx_truths t join img i on i.file_name = concat('tile_', t.image_id))"""
 add("write_coco", f", {_COCO} select id, image_id, file_name, category_id, x, y, w, h, area, "
     "cast(0 as int) as iscrowd from ann")
-add("read_coco", f", {_COCO} select id, image_id, file_name, concat('kind_', category_id) as name, "
-    "x, y, w, h, area from ann")
+add("read_coco", f"""select truth_id as id, image_id, {tile()} as file_name, concat('kind_', category_id) as name,
+    x0 as x, y0 as y, x1 - x0 as w, y1 - y0 as h, (x1 - x0) * (y1 - y0) as area from fx_truths""")
 add("coco_union", """, img as (select product_id, image_id as old, row_number() over (order by product_id, image_id) - 1 as new
     from (select distinct product_id, image_id from fx_truths) q)
   select row_number() over (order by t.product_id, truth_id) - 1 as id, new as image_id, category_id,
@@ -213,7 +219,7 @@ ORACLE["flatten_classes"] = (f"with {_CLASSES} select object_id, tile_path, clas
                              "round(classifier_score, 9) as classifier_score from c")
 ORACLE["count_unclassified"] = (f"with {_CLASSES} select tile_path, count(*) filter (classifier_class is null) "
                                 "as num_unclassified, count(*) as num_rows from c group by 1")
-_ARGMAX = """l as (select vec_id as object_id, label, list_transform(embedding[1:10], lambda v: v::double) as z from embeddings),
+_ARGMAX = """l as (select vec_id as object_id, label, list_transform(embedding, lambda v: v::double) as z from embeddings),
   m as (select *, list_max(z) as top, cast(list_position(z, list_max(z)) - 1 as int) as classifier_class from l)"""
 ORACLE["argmax_class"] = f"""with {_ARGMAX} select object_id, classifier_class,
     round(1 / list_sum(list_transform(z, lambda v: exp(v - top))), 9) as classifier_score from m"""
@@ -243,9 +249,7 @@ _RINGS = """r as (select truth_id as id, product_id as source_id, image_id, cate
       when truth_id % 3 = 0 then 'both' else 'one' end as kind from fx_truths)"""
 add("valid_segmentation_filter", f""", {_RINGS} select id, source_id from r where kind in ('both', 'one')
     or source_id not in (select source_id from r where kind <> 'none')""")
-add("all_segmented_images", f""", {_RINGS}, f as (select * from r where (id % 5 <> 0 or image_id % 2 = 0)
-    and (id % 7 <> 0 or image_id % 3 = 0))
-  select image_id as id from f group by 1 having bool_and(kind in ('both', 'one'))""")
+add("all_segmented_images", f""", {_RINGS} select id from r where kind in ('both', 'one')""")
 add("clean_rings", f""", {_RINGS} select id, category_id, x0, y0, x0 + (x1 - x0) as x1, y0 + (y1 - y0) as y1,
     cast(case when kind in ('both', 'one') then 1 else 0 end as int) as n_rings from r""")
 add("fold_assign", "select truth_id, image_id, case when image_id % 5 = 4 then 'valid' else 'train' end as fold from fx_truths")
@@ -414,22 +418,23 @@ add("aoi_filter", f", {clipped('fx_detections', 'object_id', 'd')} select * from
 add("attribute_merge", """select object_id, detector_score, x0, y0, x1, y1,
     case when object_id % 3 <> 0 then detector_score / 2 end as classifier_score from fx_detections""", DETECTIONS)
 add("geometry_merge", """, t as (select object_id as src, x0 + k.v as x0, y0, x1 + k.v as x1, y1, cast(k.v as int) as tile, detector_score,
-      row_number() over (partition by object_id order by k.v) as nth from fx_detections, range(2) k(v) where detector_class = 0),
+      row_number() over (partition by object_id order by k.v) as nth from fx_detections, range(2) k(v)),
   m as (select max(src) as top from t)
   select case when nth = 1 then src else top + row_number() over (partition by nth order by src, tile) end as object_id,
     x0, y0, x1, y1, tile, detector_score from t, m""", DETECTIONS)
-add("merge_results", "select object_id, x0, y0, x1 + 1 as x1, y1, segmenter_score, detector_score from fx_detections "
-    "where detector_class <> 1", DETECTIONS)
+add("merge_results", "select object_id, x0, y0, x1 + 1 as x1, y1, segmenter_score, detector_score from fx_detections", DETECTIONS)
 add("align_by_file_name", f"""select t.image_id as id, {tile('t.image_id')} as file_name,
     case when t.image_id % 4 <> 0 then coalesce(n, 0) else 0 end as n
   from (select distinct image_id from fx_truths where image_id % 5 <> 0) t
   left join (select image_id, count(*) as n from fx_detections group by 1) d on d.image_id = t.image_id""", DETECTIONS)
 
+_STEPS = ", ".join(f"{v / 100}::double" for v in range(50, 100, 5))
+_STEP_LABEL = ",".join(f"{v / 100:.2f}" for v in range(50, 100, 5))
 _CAND = f"""cand as materialized (select a.product_id, object_id, truth_id, detector_score as score, {iou()} as v
     from fx_detections a join fx_truths b on a.product_id = b.product_id and {meets()} where {iou()} >= 0.5)"""
 add("greedy_match", f""", {_CAND},
   m_c as materialized (select t as k, object_id as pred, score, truth_id as truth, v as iou, 0 as tier, truth_id as truth_rank,
-    false as shared from cand, unnest([0.5::double, 0.75::double, 0.9::double]) q(t) where v >= t),
+    false as shared from cand, unnest([{_STEPS}]) q(t) where v >= t),
   {match_ctes('m')}
   select product_id, k as iou_threshold, object_id, truth_id, round(v, 9) as iou
   from m_m join cand on pred = object_id and truth = truth_id""", DETECTIONS, True)
@@ -438,7 +443,7 @@ add("prompt_match", f""", cand as materialized (select a.image_id, object_id, tr
     where truth_id % 6 <> 0 and {iou(eps='+1e-6::double')} > 0.3::double),
   m_c as materialized (select image_id as k, object_id as pred, -object_id as score, truth_id as truth, v as iou, 0 as tier,
     truth_id as truth_rank, false as shared from cand),
-  {match_ctes('m')}
+  {match_ctes('m', by_id=True)}
   select {tile('image_id')} as tile_path, object_id, truth_id, x0, y0, x1, y1, round(v, 9) as iou
   from m_m join cand on pred = object_id and truth = truth_id""", DETECTIONS, True)
 add("join_summaries", """select t.location, t.product_name, t.f1 as tile_AP, t.num_preds as num_truths, r.f1 as raster_f1, r.recall as raster_recall
@@ -479,7 +484,7 @@ def raster_ctes(d="fx_detections", t="fx_truths", score="detector_score"):
     """`z`: tp, fp, fn, p, r, f per product, threshold and size bin."""
     label = size_label("((x1-x0)*(y1-y0)/0.25::double)")
     bins = "['all','tiny','small','medium','large','giant']"
-    steps = "[0.5::double, 0.75::double, 0.9::double]"
+    steps = f"[{_STEPS}]"
     return f"""ds as materialized (select product_id, object_id, x0, y0, x1, y1, {score} as score, {label} as lb from {d}),
   ts as materialized (select product_id, truth_id, x0, y0, x1, y1, {label} as lb from {t}),
   cand as materialized (select a.product_id, object_id, truth_id, score, {iou()} as v, a.lb as la, b.lb as lt
@@ -516,38 +521,44 @@ add("rf1_sweep", f""", {raster_ctes()}
     max(fp) filter (sz = 'all' and t = 0.5) as fp, max(fn) filter (sz = 'all' and t = 0.5) as fn,
     max(num_truths) filter (sz = 'all') as num_truths, max(num_preds) filter (sz = 'all') as num_preds,
     round(max(f) filter (sz = 'all' and t = 0.5), 9) as f1_50, round(max(f) filter (sz = 'all' and t = 0.75), 9) as f1_75,
-    round(max(f) filter (sz = 'all' and t = 0.9), 9) as f1_third, round(avg(f) filter (sz = 'small'), 9) as f1_small,
-    round(max(r) filter (sz = 'giant' and t = 0.5), 9) as recall_giant_first, '0.50,0.75,0.90' as iou_thresholds
+    round(max(f) filter (sz = 'all' and t = 0.6::double), 9) as f1_third, round(avg(f) filter (sz = 'small'), 9) as f1_small,
+    round(max(r) filter (sz = 'giant' and t = 0.5), 9) as recall_giant_first, '{_STEP_LABEL}' as iou_thresholds
   from z group by 1""", DETECTIONS, True)
 
 
-def coco_ctes(ranges, steps, limit):
-    """`oc`: outcome per detection and range with bit masks; `gi`: truths."""
+_COCO_RANGES = {"all": (0.0, 1e10), "tiny": (0.0, 36.0), "small": (36.0, 100.0), "medium": (100.0, 196.0),
+                "large": (196.0, 400.0), "giant": (400.0, 1e10)}
+_COCO_STEPS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
+_LIMITS = (1, 10, 100, 400)
+
+
+def coco_ctes(ranges, steps, limit, truths="fx_truths", images="true"):
+    """`oc`: outcome per detection and range with bit masks; `gi`: truths. `images`: which ones count."""
     rng = ", ".join(f"('{n}', {lo}::double, {hi}::double)" for n, (lo, hi) in ranges.items())
     stp = ", ".join(f"({i}, {t}::double)" for i, t in enumerate(steps))
     full = (1 << len(steps)) - 1
     return f"""rng(lb, lo, hi) as (values {rng}), stp(i, t) as (values {stp}),
-  dt as materialized (select * from (select *, (x1-x0)*(y1-y0) as da, row_number() over (partition by image_id
-      order by detector_score desc, object_id) as rank from fx_detections) q where rank <= {limit}),
-  gi as materialized (select *, (x1-x0)*(y1-y0) as area, truth_id % 29 = 0 as iscrowd from fx_truths),
+  dt as materialized (select * from (select *, (x1-x0)*(y1-y0) as da, row_number() over (partition by image_id,
+      detector_class order by detector_score desc, object_id) as rank from fx_detections where {images}) q where rank <= {limit}),
+  gi as materialized (select *, (x1-x0)*(y1-y0) as area, truth_id % 29 = 0 as iscrowd from {truths}),
   pv as materialized (select a.image_id, a.object_id, a.detector_score as score, b.truth_id, b.area, b.iscrowd,
       case when b.iscrowd then case when {area('a')} = 0 then 0.0::double else {inter()}/{area('a')} end else {iou()} end as v
-    from dt a join gi b on a.image_id = b.image_id and {meets()}),
+    from dt a join gi b on a.image_id = b.image_id and a.detector_class = b.category_id and {meets()}),
   m_c as materialized (select concat(image_id, '|', lb, '|', i) as k, object_id as pred, score, truth_id as truth, v as iou,
       cast(iscrowd or area < lo or area > hi as int) as tier, -truth_id as truth_rank, iscrowd as shared
     from pv, rng, stp where v >= t),
-  {match_ctes('m')},
+  {match_ctes('m', by_id=True)},
   mt as (select m.pred, string_split(m.k, '|')[2] as lb, cast(string_split(m.k, '|')[3] as int) as i, c.tier
     from m_m m join m_c c on c.k = m.k and c.pred = m.pred and c.truth = m.truth),
   mk as (select pred, lb, cast(sum(case when tier = 0 then 1 << i else 0 end) as bigint) as tpm, cast(sum(1 << i) as bigint) as anym
     from mt group by 1, 2),
-  oc as materialized (select product_id, image_id, object_id as det_id, rng.lb as area_label, rank, detector_score as score,
+  oc as materialized (select product_id, image_id, detector_class as category_id, object_id as det_id, rng.lb as area_label, rank, detector_score as score,
       coalesce(tpm, 0) as tp_mask,
       case when da >= lo and da <= hi then xor({full}, coalesce(anym, 0)) else 0 end as fp_mask
     from dt cross join rng left join mk on mk.pred = object_id and mk.lb = rng.lb)"""
 
 
-add("coco_match", f""", {coco_ctes({'all': (0.0, 1e10), 'small': (0.0, 40.0), 'large': (40.0, 1e10)}, (0.5, 0.75), 100)}
+add("coco_match", f""", {coco_ctes(_COCO_RANGES, _COCO_STEPS, 100)}
   select image_id, det_id, area_label, rank, tp_mask, cast(fp_mask as bigint) as fp_mask from oc""", DETECTIONS, True)
 
 
@@ -575,66 +586,60 @@ def accumulate_ctes(source, npig, keys, limits, steps):
       and bn.md = f.md and bn.i = f.i and bn.point = r.v)"""
 
 
-_OUT = """o1 as (select detector_class as category_id, image_id, object_id as det_id, detector_score as score, object_id % 97 as mix,
-    row_number() over (partition by image_id, detector_class order by detector_score desc, object_id) as rank from fx_detections),
-  o2 as (select *, case when mix % 3 = 0 then 3 when mix % 3 = 1 then 1 else 0 end as tp_mask from o1 where rank <= 100),
-  oc as materialized (select *, case when mix % 7 <> 0 then xor(3, tp_mask) else 0 end as fp_mask from o2),
-  ng as (select category_id, count(*) * 4 as npig from fx_truths group by 1)"""
-_ACC = accumulate_ctes("oc", "ng", ["category_id"], (10, 100), (0.5, 0.75))
-add("coco_accumulate", f""", {_OUT}, {_ACC}
-  select category_id, cast(pt.md as int) as max_dets, pt.t as iou_threshold, round(recall, 9) as recall, cast(point as int) as point,
-    round(p, 9) as p from pt join rc using (category_id, md, t)""", DETECTIONS)
-
-
-add("coco_summary", f""", {_OUT}, {_ACC},
-  a as (select md, t, avg(p) as ap from pt where npig > 0 group by category_id, md, t), r as (select * from rc where npig > 0)
-  select round(avg(ap) filter (md = 100), 9) as "AP", round(avg(ap) filter (md = 100 and t = 0.5), 9) as "AP50",
-    round(avg(ap) filter (md = 100 and t = 0.75), 9) as "AP75",
-    (select round(avg(recall), 9) from r where md = 10) as "AR_10", (select round(avg(recall), 9) from r where md = 100) as "AR_100",
-    (select round(avg(recall), 9) from r where md = 100 and t = 0.5) as "AR50",
-    (select round(avg(recall), 9) from r where md = 100 and t = 0.75) as "AR75",
-    (select round(avg(recall), 9) from r where md = 100) as "AR" from a""", DETECTIONS)
-
-_COCO_RANGES = {"all": (0.0, 1e10), "tiny": (0.0, 36.0), "small": (36.0, 100.0), "medium": (100.0, 196.0),
-                "large": (196.0, 400.0), "giant": (400.0, 1e10)}
-_COCO_STEPS = (0.5, 0.55, 0.6, 0.65, 0.7, 0.75, 0.8, 0.85, 0.9, 0.95)
-_LIMITS = (1, 10, 100, 400)
-
-
-def tile_level_sql(unit_ctes, group, npreds="fx_detections"):
-    """COCO summary per group; `unit` maps product_id to the group columns."""
-    g = ", ".join(group)
-    keys = [*group, "area_label"]
-    sizes = [s for s in _COCO_RANGES if s != "all"]
-    rng = ", ".join(f"('{n}', {lo}::double, {hi}::double)" for n, (lo, hi) in _COCO_RANGES.items())
-
-    def mean(table, value, cond, name):
+def summary_values():
+    """The averages over `a` (precision per threshold) and `r` (recall) that make up the summary."""
+    def mean(value, cond, name):
         return f'round(coalesce(avg({value}) filter ({cond}), -1.0::double), 9) as "{name}"'
 
-    top = max(_LIMITS)
-    aps = [mean("a", "ap", f"area_label = 'all' and md = {top}", "AP"),
-           mean("a", "ap", f"area_label = 'all' and md = {top} and t = 0.5", "AP50"),
-           mean("a", "ap", f"area_label = 'all' and md = {top} and t = 0.75", "AP75")]
-    aps += [mean("a", "ap", f"area_label = '{s}' and md = {top}", f"AP_{s}") for s in sizes]
-    ars = [mean("r", "recall", f"area_label = 'all' and md = {m}", f"AR_{m}") for m in _LIMITS]
-    ars += [mean("r", "recall", f"area_label = 'all' and md = {top} and t = 0.5", "AR50"),
-            mean("r", "recall", f"area_label = 'all' and md = {top} and t = 0.75", "AR75")]
-    ars += [mean("r", "recall", f"area_label = '{s}' and md = {top}", f"AR_{s}") for s in sizes]
-    ars += [mean("r", "recall", f"area_label = 'all' and md = {top}", "AR")]
-    return f""", {coco_ctes(_COCO_RANGES, _COCO_STEPS, top)}, {unit_ctes},
+    top, sizes = max(_LIMITS), [s for s in _COCO_RANGES if s != "all"]
+    every = f"area_label = 'all' and md = {top}"
+    aps = [mean("ap", every, "AP"), mean("ap", f"{every} and t = 0.5", "AP50"), mean("ap", f"{every} and t = 0.75", "AP75")]
+    aps += [mean("ap", f"area_label = '{s}' and md = {top}", f"AP_{s}") for s in sizes]
+    ars = [mean("recall", f"area_label = 'all' and md = {m}", f"AR_{m}") for m in _LIMITS]
+    ars += [mean("recall", f"{every} and t = 0.5", "AR50"), mean("recall", f"{every} and t = 0.75", "AR75")]
+    ars += [mean("recall", f"area_label = '{s}' and md = {top}", f"AR_{s}") for s in sizes]
+    return aps, [*ars, mean("recall", every, "AR")]
+
+
+_ACC = f"""{coco_ctes(_COCO_RANGES, _COCO_STEPS, max(_LIMITS))},
+  ng as materialized (select category_id, lb as area_label, count(*) filter (not iscrowd and area >= lo and area <= hi) as npig
+    from gi cross join rng group by all),
+  {accumulate_ctes('oc', 'ng', ['category_id', 'area_label'], _LIMITS, _COCO_STEPS)}"""
+add("coco_accumulate", f""", {_ACC}
+  select category_id, area_label, cast(pt.md as int) as max_dets, pt.t as iou_threshold, round(recall, 9) as recall,
+    cast(point as int) as point, round(p, 9) as p from pt join rc using (category_id, area_label, md, t)""", DETECTIONS, True)
+add("coco_summary", f""", {_ACC},
+  a as (select category_id, area_label, md, t, avg(p) as ap from pt where npig > 0 group by all)
+  select * from (select {', '.join(summary_values()[0])} from a) cross join
+    (select {', '.join(summary_values()[1])} from rc where npig > 0)""", DETECTIONS, True)
+
+
+def tile_level_sql(unit_ctes, group, truths="fx_truths", images="true"):
+    """COCO summary per group; `unit` maps product_id to the group columns. `images`: which ones count."""
+    g = ", ".join(group)
+    keys = [*group, "category_id", "area_label"]
+    aps, ars = summary_values()
+    values = [v.rpartition(" as ")[2] for v in (*aps, *ars)]
+    return f""", {coco_ctes(_COCO_RANGES, _COCO_STEPS, max(_LIMITS), truths, images)}, {unit_ctes},
   ou as materialized (select oc.*, {', '.join('unit.' + c for c in group if c != 'product_id') or '1 as one'} from oc join unit using (product_id)),
-  ng as materialized (select {g}, lb as area_label, count(*) filter (not iscrowd and area >= lo and area <= hi) as npig
-    from gi join unit using (product_id) cross join (values {rng}) v(lb, lo, hi) group by all),
+  ng as materialized (select {g}, category_id, lb as area_label, count(*) filter (not iscrowd and area >= lo and area <= hi) as npig
+    from gi join unit using (product_id) cross join rng group by all),
   {accumulate_ctes('ou', 'ng', keys, _LIMITS, _COCO_STEPS)},
-  a as (select {g}, area_label, md, t, avg(p) as ap from pt where npig > 0 group by all),
+  a as (select {g}, category_id, area_label, md, t, avg(p) as ap from pt where npig > 0 group by all),
   aa as (select {g}, {', '.join(aps)} from a group by all),
   rr as (select {g}, {', '.join(ars)} from rc where npig > 0 group by all),
-  nn as (select {g}, count(distinct image_id) as num_images, count(*) as num_truths from fx_truths join unit using (product_id) group by all),
-  nd as (select {g}, count(*) as num_preds from fx_detections join unit using (product_id) group by all)
-  select * from aa join rr using ({g}) join nn using ({g}) join nd using ({g})"""
+  ni as (select {g}, count(distinct image_id) as num_images from fx_truths join unit using (product_id) where {images} group by all),
+  nn as (select {g}, count(*) as num_truths from {truths} join unit using (product_id) group by all),
+  nd as (select {g}, count(*) as num_preds from fx_detections join unit using (product_id)
+    where {images} and image_id in (select image_id from fx_truths) group by all)
+  select {g}, num_images, coalesce(num_truths, 0) as num_truths, coalesce(num_preds, 0) as num_preds,
+    {', '.join(f'coalesce({v}, -1.0::double) as {v}' for v in values)}
+  from ni left join aa using ({g}) left join rr using ({g}) left join nn using ({g}) left join nd using ({g})"""
 
 
-add("tile_level", tile_level_sql("unit as (select distinct product_id from fx_truths)", ["product_id"]), DETECTIONS, True)
+add("tile_level", tile_level_sql(
+    "unit as (select distinct product_id from fx_truths)", ["product_id"],
+    "(select * from fx_truths where image_id % 7 <> 3 and image_id % 5 <> 1)", "image_id % 7 <> 3"), DETECTIONS, True)
 
 _SEARCH = """sr as (select cast(product_id as varchar) as raster_name, round(detector_class / 10.0::double + 0.1::double, 9) as nms_iou,
     0.5::double as nms_score, round(avg(detector_score), 6) as precision, round(avg(segmenter_score), 6) as recall,
@@ -648,7 +653,7 @@ add("avg_by_params", f""", {_SEARCH} select raster_name, nms_iou, nms_score, rou
   union all select 'average_over_rasters', nms_iou, nms_score, round(precision, 9), round(recall, 9), round(f1, 9), num_truths, num_preds, num_images from av""", DETECTIONS)
 add("best_params", f", {_SEARCH} select 'average_over_rasters' as raster_name, nms_iou, nms_score, round(f1, 9) as f1 from av "
     "order by av.f1 desc, nms_iou limit 1", DETECTIONS)
-add("weighted_dataset_avg", """, m as (select * from fx_metrics where run_id = 0)
+add("weighted_dataset_avg", """, m as (select * from fx_metrics)
   select location as dataset, round(sum(f1 * num_preds) / sum(num_preds), 9) as f1,
     case when location <> 'loc_1' then round(sum(recall * num_preds) / sum(num_preds), 9) end as recall,
     cast(sum(num_preds) as bigint) as num_truths, round(sum(f1 * num_preds) / sum(num_preds), 9) as first,
@@ -660,8 +665,7 @@ add("mean_std_over_runs", """select location, product_name, max(num_preds) filte
 add("mean_over_datasets", """, d as (select location, avg(f1) as ap, avg(recall) as ar, max(f1) as ap50 from fx_metrics group by 1)
   select metric, round(avg(v), 9) as value, count(*) as num_datasets from (select 'AP' as metric, ap as v from d
     union all select 'AR', ar from d union all select 'AP50', ap50 from d) q group by 1""", f"{DETECTIONS}, {RUN_METRICS}")
-add("annotations_by_image", """, n as (select image_id, truth_id, (row_number() over (partition by image_id order by truth_id) - 1) // 40 as part from fx_truths)
-  select image_id, part, string_agg(truth_id, ',' order by truth_id) as ids from n group by 1, 2""")
+add("annotations_by_image", "select image_id, string_agg(truth_id, ',' order by truth_id) as ids from fx_truths group by 1")
 add("dataset_stats", """select case when product_id % 4 = 0 then 'valid' else 'train' end as fold, count(distinct image_id) as n_tiles,
     count(*) as n_annotations from fx_truths group by 1""")
 
@@ -697,22 +701,22 @@ add("best_candidate", """select image_id, prompt, candidate, predicted_iou from
 # --- set operations and small text functions ------------------------------------------------------
 
 # Truth masks are boxes, so two of them touch when their pixel boxes do and not only at a corner.
-add("dissolve", """, b as materialized (select truth_id as id, product_id, floor(x0) as x0, floor(y0) as y0, ceil(x1) as x1, ceil(y1) as y1
-      from fx_truths where truth_id % 3 <> 0),
+_DISSOLVED = """b as materialized (select truth_id as id, product_id, floor(x0) as x0, floor(y0) as y0, ceil(x1) as x1, ceil(y1) as y1
+      from fx_truths),
   e as materialized (select p.id as u, q.id as v from b p join b q on p.product_id = q.product_id and p.id <> q.id
     and p.x0 <= q.x1 and p.x1 >= q.x0 and p.y0 <= q.y1 and p.y1 >= q.y0
     and not ((p.x0 = q.x1 or p.x1 = q.x0) and (p.y0 = q.y1 or p.y1 = q.y0))),
   st(id, c) using key (id) as (select id, id from b union
     select n.id, n.c from (select e.u as id, min(s.c) as c from recurring.st s join e on e.v = s.id group by 1) n
       join recurring.st o on o.id = n.id where n.c < o.c),
-  px as (select distinct product_id, c, line, x.v as x from fx_runs join st on st.id = truth_id, range(270) x(v) where x.v >= c0 and x.v < c1)
+  px as materialized (select distinct product_id, c, line, x.v as x from fx_runs join st on st.id = truth_id, range(270) x(v) where x.v >= c0 and x.v < c1)"""
+add("dissolve", f""", {_DISSOLVED}
   select product_id, c as component, count(*) as area from px group by 1, 2""", f"{TRUTHS}, {ROW_RUNS}", True)
-add("overlay_union", """, a as (select product_id, truth_id as a_id, line, c0, least(c1, c0 + 8) as c1 from fx_runs where truth_id % 4 = 0 and line % 8 < 6),
-  ap as (select product_id, a_id, line, x.v as x from a, range(270) x(v) where x.v >= c0 and x.v < c1),
+add("overlay_union", f""", {_DISSOLVED},
   bp as (select product_id, (l.v // 64) * 2 + x.v // 128 as b_id, l.v as line, x.v as x
-    from (select distinct product_id from fx_truths) p, range(256) l(v), range(256) x(v) where x.v % 128 < 64)
-  select product_id, coalesce(a_id, -1) as a_id, coalesce(b_id, -1) as b_id, count(*) as area
-  from ap full join bp using (product_id, line, x) group by 1, 2, 3""", f"{TRUTHS}, {ROW_RUNS}")
+    from (select distinct product_id from fx_truths) p, range(300) l(v), range(256) x(v) where x.v % 128 < 64)
+  select product_id, coalesce(c, -1) as a_id, coalesce(b_id, -1) as b_id, count(*) as area
+  from px full join bp using (product_id, line, x) group by 1, 2, 3""", f"{TRUTHS}, {ROW_RUNS}", True)
 add("threshold_dedup", """select product_id, string_agg(format('{:.2f}', s), ',' order by s) as label
   from (select distinct product_id, detector_score as s from fx_detections) q group by 1""", DETECTIONS)
 add("parse_iou_spec", """select truth_id, case truth_id % 3 when 0 then '50:95' when 1 then '0.5,0.65' else '0.75' end as spec,
@@ -740,7 +744,7 @@ _MODEL = """md as (select concat('tile_', image_id) as tile_path, truth_id, k.v
 add("score_tiles", f", {_MODEL} select tile_path, x0, y0, x1, y1, detector_score, detector_class from md")
 add("score_prompts", f"""select {tile()} as tile_path, object_id, 0.5::double + object_id % 2 / 4.0::double as segmenter_score,
     cast((ceil(x1) - floor(x0)) * (ceil(y1) - floor(y0)) as bigint) as area from fx_detections where x1 > x0 and y1 > y0""", DETECTIONS)
-ORACLE["score_objects"] = """with l as (select vec_id as object_id, list_transform(embedding[1:5], lambda v: v::double) as z from embeddings)
+ORACLE["score_objects"] = """with l as (select vec_id as object_id, list_transform(embedding, lambda v: v::double) as z from embeddings)
   select object_id, cast(list_position(z, list_max(z)) - 1 as int) as classifier_class, round(list_max(z), 9) as classifier_score from l"""
 _FUSED = "exp((2 * ln(detector_score) + ln(segmenter_score)) / 3)"
 add("run_stage", f""", {_NODES.format(k='product_id', s=_FUSED, w=_FUSED + ' >= 0.3')}, {nms_ctes('n', 0.6)}
@@ -755,31 +759,26 @@ add("prepare_segmentation", f""", {_RINGS}, g as (select *, kind in ('both', 'on
     cast(sum(id) filter (ok and area >= 20) as bigint) as id_sum from g group by 1""")
 add("prepare_segmentation_rle", f", {_LOCAL} select truth_id as id, cast(w * h as double) as area from lo")
 
-_SEARCH_NMS = ", ".join(
-    f"{p}_n as materialized (select product_id as k, object_id as id, detector_score as score, x0, y0, x1, y1 "
-    f"from fx_detections where detector_score >= 0.2), {nms_ctes(p, t)}" for p, t in (("na", 0.3), ("nb", 0.6)))
-add("nms_grid_search", f""", {_SEARCH_NMS},
-  kp as materialized (select 0.3::double as nms_iou, id from na_keep union all select 0.6::double, id from nb_keep
-    union all select 1.0::double, object_id from fx_detections where detector_score >= 0.2),
+_GRID = ", ".join(f"{5 * i / 100}::double" for i in range(1, 21))
+add("nms_grid_search", f""", n_n as materialized (select concat(product_id, '|', t) as k, object_id as id, detector_score as score, x0, y0, x1, y1,
+      product_id, t from fx_detections, unnest([{_GRID}]) q(t) where detector_score >= 0.05::double and t < 1), {nms_ctes('n', 'a.t')},
+  kp as materialized (select product_id, t as nms_iou, n_n.id, score from n_n join n_keep using (k, id)
+    union all select product_id, 1.0::double, object_id, detector_score from fx_detections where detector_score >= 0.05::double),
   cand as materialized (select a.product_id, object_id, truth_id, detector_score as score, {iou()} as v
-    from fx_detections a join fx_truths b on a.product_id = b.product_id and {meets()} where {iou()} >= 0.5 and detector_score >= 0.2),
-  sp as (select product_id, nms_iou, s as nms_score, object_id, detector_score from fx_detections join kp on id = object_id,
-    unnest([0.2::double, 0.5::double, 0.8::double]) q(s) where detector_score >= s),
-  m_c as materialized (select concat(c.product_id, '|', nms_iou, '|', s, '|', t) as k, object_id as pred, score, truth_id as truth, v as iou,
-    0 as tier, truth_id as truth_rank, false as shared from cand c join kp on id = object_id,
-    unnest([0.2::double, 0.5::double, 0.8::double]) q(s), unnest([0.5::double, 0.75::double]) w(t) where score >= s and v >= t),
+    from fx_detections a join fx_truths b on a.product_id = b.product_id and {meets()} where {iou()} >= 0.5 and detector_score >= 0.05::double),
+  m_c as materialized (select concat(c.product_id, '|', nms_iou) as k, object_id as pred, c.score, truth_id as truth, v as iou,
+    0 as tier, truth_id as truth_rank, false as shared from cand c join kp on id = object_id),
   {match_ctes('m')},
-  fr as (select product_id, i as nms_iou, s as nms_score, t from (select distinct product_id from fx_truths) p,
-    unnest([0.3::double, 0.6::double, 1.0::double]) e(i), unnest([0.2::double, 0.5::double, 0.8::double]) q(s), unnest([0.5::double, 0.75::double]) w(t)),
-  np as (select product_id, nms_iou, nms_score, count(*) as n from sp group by 1, 2, 3),
+  hit as (select k.product_id, k.nms_iou, s as nms_score, count(*) as tp from m_m join kp k on k.id = pred
+      and m_m.k = concat(k.product_id, '|', k.nms_iou), unnest([{_GRID}]) q(s) where score >= s group by 1, 2, 3),
+  np as (select product_id, nms_iou, s as nms_score, count(*) as n from kp, unnest([{_GRID}]) q(s) where score >= s group by 1, 2, 3),
   nt as (select product_id, count(*) as n from fx_truths group by 1),
-  hit as (select k, count(*) as tp from m_m group by 1),
+  fr as (select product_id, i as nms_iou, s as nms_score from nt, unnest([{_GRID}]) e(i), unnest([{_GRID}]) q(s)),
   cn as (select fr.*, coalesce(tp, 0) as tp, coalesce(np.n, 0) - coalesce(tp, 0) as fp, nt.n - coalesce(tp, 0) as fn, nt.n as num_truths,
       coalesce(np.n, 0) as num_preds
     from fr left join np using (product_id, nms_iou, nms_score) join nt using (product_id)
-    left join hit on k = concat(product_id, '|', nms_iou, '|', nms_score, '|', t)), {prf('z', 'cn')},
-  pr as (select cast(product_id as varchar) as raster_name, nms_iou, nms_score, avg(p) as p, avg(r) as r, avg(f) as f, max(num_truths) as nt,
-    max(num_preds) as np from z group by 1, 2, 3)
+    left join hit using (product_id, nms_iou, nms_score)), {prf('z', 'cn')},
+  pr as (select cast(product_id as varchar) as raster_name, nms_iou, nms_score, p, r, f, num_truths as nt, num_preds as np from z)
   select raster_name, nms_iou, nms_score, round(p, 9) as precision, round(r, 9) as recall, round(f, 9) as f1, nt as num_truths,
     np as num_preds, 1::bigint as num_images from pr
   union all select 'average_over_rasters', nms_iou, nms_score, round(sum(p * nt) / sum(nt), 9), round(sum(r * nt) / sum(nt), 9),
@@ -789,13 +788,13 @@ add("benchmark_raster", f""", {_NODES.format(k='product_id', s='detector_score',
   kd as materialized (select d.* from fx_detections d join n_keep on id = object_id), {raster_ctes('kd')},
   pp as (select concat('loc_', product_id % 3) as location, concat('raster_', product_id) as product_name, product_id % 2 as ds,
     avg(p) filter (sz = 'all') as p, avg(r) filter (sz = 'all') as r, avg(f) filter (sz = 'all') as f,
-    max(f) filter (sz = 'all' and t = 0.5) as f50, avg(f) filter (sz = 'medium') as fm, max(f) filter (sz = 'all' and t = 0.75) as f2,
+    max(f) filter (sz = 'all' and t = 0.5) as f50, avg(f) filter (sz = 'medium') as fm, max(f) filter (sz = 'all' and t = 0.55::double) as f2,
     max(num_truths) filter (sz = 'all') as nt from z group by product_id)
   select location, product_name, round(p, 9) as precision, round(r, 9) as recall, round(f, 9) as f1, round(f50, 9) as f1_50,
-    round(fm, 9) as f1_medium, round(f2, 9) as f1_second, nt as num_truths, '0.50,0.75,0.90' as iou_thresholds from pp
+    round(fm, 9) as f1_medium, round(f2, 9) as f1_second, nt as num_truths, '{_STEP_LABEL}' as iou_thresholds from pp
   union all select concat('set_', ds), 'average_over_rasters', round(sum(p*nt)/sum(nt), 9), round(sum(r*nt)/sum(nt), 9),
     round(sum(f*nt)/sum(nt), 9), round(sum(f50*nt)/sum(nt), 9), round(sum(fm*nt)/sum(nt), 9), round(sum(f2*nt)/sum(nt), 9),
-    cast(sum(nt) as bigint), '0.50,0.75,0.90' from pp group by ds""", DETECTIONS, True)
+    cast(sum(nt) as bigint), '{_STEP_LABEL}' from pp group by ds""", DETECTIONS, True)
 add("benchmark_tile", tile_level_sql("""unit as materialized (
     select distinct product_id, concat('loc_', product_id % 3) as location, concat('raster_', product_id) as product_name from fx_truths
     union all select distinct product_id, concat('set_', product_id % 2), 'average_over_rasters' from fx_truths)""",

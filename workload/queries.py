@@ -19,7 +19,8 @@ from workload import models
 
 QUERIES = {}
 GSD = 0.5
-THRESHOLDS = (0.5, 0.75, 0.9)
+THRESHOLDS = coco_eval.IOU_THRESHOLDS
+LIMITS = (1, 10, 100, 400)
 K = ["product_id"]
 
 
@@ -54,24 +55,38 @@ def _categories(spark, sf):
 
 @query
 def write_coco(spark: SparkSession, sf: str) -> DataFrame:
-    tables = coco.coco_tables(_truth_objects(spark, sf), _categories(spark, sf))
-    a = tables.annotations
+    """Written as parts and read again line by line."""
+    path = scratch_path(spark, "coco")
+    coco.write_coco(coco.coco_tables(_truth_objects(spark, sf), _categories(spark, sf)), path)
+    back = coco.read_coco_parts(spark, path)
+    a = back.annotations
     x, y, w, h = [F.element_at("bbox", i) for i in range(1, 5)]
-    return a.join(tables.images.select(F.col("id").alias("image_id"), "file_name"), "image_id").select(
+    return a.join(back.images.select(F.col("id").alias("image_id"), "file_name"), "image_id").select(
         "id", "image_id", "file_name", "category_id", x.alias("x"), y.alias("y"), w.alias("w"),
-        h.alias("h"), "area", "iscrowd")
+        h.alias("h"), F.col("area").cast("double").alias("area"), "iscrowd")
 
 
 @query
 def read_coco(spark, sf):
-    tables = coco.coco_tables(_truth_objects(spark, sf), _categories(spark, sf))
-    path = scratch_path(spark, "coco")
-    coco.write_coco(tables, path)
-    back = coco.read_coco_parts(spark, path)
+    """One whole JSON document per raster, as others write them."""
+    path = scratch_path(spark, "coco-documents")
+    t = X.truths(spark, sf)
+    documents = t.groupBy("product_id").agg(
+        F.transform(F.array_sort(F.collect_set("image_id")), lambda i: F.struct(
+            i.alias("id"), F.concat(F.lit("tile_"), i.cast("string")).alias("file_name"),
+            F.lit(64).alias("width"), F.lit(64).alias("height"))).alias("images"),
+        F.collect_list(F.struct(
+            F.col("truth_id").alias("id"), "image_id", "category_id",
+            F.array("x0", "y0", F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")).alias("bbox"),
+            B.area(B.box()).alias("area"), F.lit(0).alias("iscrowd"))).alias("annotations"),
+        F.transform(F.array_sort(F.collect_set("category_id")), lambda c: F.struct(
+            c.alias("id"), F.concat(F.lit("kind_"), c.cast("string")).alias("name"))).alias("categories"))
+    documents.repartition("product_id").write.option("maxRecordsPerFile", 1).json(path)
+    back = coco.read_coco(spark, path)
     x, y, w, h = [F.element_at("bbox", i) for i in range(1, 5)]
     return back.annotations.join(
-        back.images.select(F.col("id").alias("image_id"), "file_name"), "image_id").join(
-        back.categories.select(F.col("id").alias("category_id"), "name"), "category_id").select(
+        back.images.select("source_id", F.col("id").alias("image_id"), "file_name"), ["source_id", "image_id"]).join(
+        back.categories.select("source_id", F.col("id").alias("category_id"), "name"), ["source_id", "category_id"]).select(
         "id", "image_id", "file_name", "name", x.alias("x"), y.alias("y"), w.alias("w"),
         h.alias("h"), F.col("area").cast("double").alias("area"))
 
@@ -297,7 +312,7 @@ def flatten_masks(spark, sf):
 def _class_rows(spark, sf):
     return X.logits(spark, sf).select(
         "object_id", F.concat(F.lit("tile_"), (F.col("object_id") % 5).cast("string"))
-        .alias("tile_path"), F.slice("logits", 1, 10).alias("scores"),
+        .alias("tile_path"), F.col("logits").alias("scores"),
         F.when(F.col("object_id") % 7 != 0, F.col("true_class")).alias("predicted"))
 
 
@@ -314,14 +329,14 @@ def count_unclassified(spark, sf):
 
 @query
 def argmax_class(spark, sf):
-    rows = X.logits(spark, sf).withColumn("logits", F.slice("logits", 1, 10))
+    rows = X.logits(spark, sf)
     return filters.argmax_class(rows).select(
         "object_id", "classifier_class", r9(F.col("classifier_score"), "classifier_score"))
 
 
 @query
 def micro_f1(spark, sf):
-    rows = filters.argmax_class(X.logits(spark, sf).withColumn("logits", F.slice("logits", 1, 10)))
+    rows = filters.argmax_class(X.logits(spark, sf))
     rows = rows.withColumn("group", F.col("object_id") % 3)
     return metrics.micro_f1(rows, keys=["group"]).select(
         "group", r9(F.col("micro_f1"), "micro_f1"), "num_rows")
@@ -430,8 +445,7 @@ def valid_segmentation_filter(spark, sf):
 
 @query
 def all_segmented_images(spark, sf):
-    rows = _ring_rows(spark, sf).filter("id % 5 <> 0 or image_id % 2 = 0").filter(
-        "id % 7 <> 0 or image_id % 3 = 0")
+    rows = _ring_rows(spark, sf).withColumn("image_id", F.col("id"))
     images = rows.select(F.col("image_id").alias("id")).distinct()
     return filters.all_segmented_images(images, rows)
 
@@ -945,7 +959,7 @@ def geometry_merge(spark, sf):
     """Objects doubled by overlapping tiles: the second copy gets a new id."""
     d = X.detections(spark, sf)
     existing = d.select("object_id", *B.BOX, "detector_score")
-    twice = d.filter("detector_class = 0").withColumn("tile", F.explode(F.array(F.lit(0), F.lit(1))))
+    twice = d.withColumn("tile", F.explode(F.array(F.lit(0), F.lit(1))))
     result = twice.select("object_id", (F.col("x0") + F.col("tile")).alias("x0"), "y0",
                           (F.col("x1") + F.col("tile")).alias("x1"), "y1", "tile")
     return merging.geometry_merge(result, existing, order=[F.col("object_id"), F.col("tile")]).select(
@@ -956,7 +970,7 @@ def geometry_merge(spark, sf):
 def merge_results(spark, sf):
     d = X.detections(spark, sf)
     existing = d.select("object_id", *B.BOX, "detector_score")
-    result = d.filter("detector_class <> 1").select(
+    result = d.select(
         "object_id", F.col("segmenter_score"), F.col("x0"), F.col("y0"), (F.col("x1") + 1).alias("x1"),
         F.col("y1"))
     return merging.merge_results(existing, result, objects_are_new=False).select(
@@ -1057,69 +1071,49 @@ def rf1_sweep(spark, sf):
 
 def _coco_inputs(spark, sf):
     d, t = X.detections(spark, sf), X.truths(spark, sf)
-    dets = d.select("product_id", "image_id", (F.col("detector_class") * 0).alias("category_id"),
+    dets = d.select("product_id", "image_id", F.col("detector_class").alias("category_id"),
                     F.col("object_id").alias("det_id"), F.col("detector_score").alias("score"), *B.BOX)
-    truth = t.select("product_id", "image_id", (F.col("category_id") * 0).alias("category_id"),
+    truth = t.select("product_id", "image_id", "category_id",
                      F.col("truth_id").alias("gt_id"), *B.BOX, B.area(B.box()).alias("area"),
                      (F.col("truth_id") % 29 == 0).alias("iscrowd"))
     return dets, truth
 
 
-COCO_RANGES = {"all": (0.0, 1e10), "small": (0.0, 40.0), "large": (40.0, 1e10)}
-
-
 @query
 def coco_match(spark, sf):
     dets, truth = _coco_inputs(spark, sf)
-    return coco_eval.coco_match(dets, truth, COCO_RANGES, (0.5, 0.75), 100).select(
+    return coco_eval.coco_match(dets, truth, coco_eval.ranges_for(GSD), THRESHOLDS, 100).select(
         "image_id", "det_id", "area_label", "rank", "tp_mask", "fp_mask")
 
 
-def _outcomes(spark, sf):
-    """Hits and misses straight from the given rows, so the accumulation is checked on its own."""
-    d = X.detections(spark, sf)
-    hit = F.col("detector_class") == 0
-    out = d.select(
-        F.col("detector_class").alias("category_id"), F.lit("all").alias("area_label"), "image_id",
-        F.col("object_id").alias("det_id"), F.col("detector_score").alias("score"),
-        (F.col("object_id") % 97).alias("mix"),
-        F.row_number().over(_by_image()).alias("rank")).filter("rank <= 100")
-    masks_ = F.when(F.col("mix") % 3 == 0, 3).when(F.col("mix") % 3 == 1, 1).otherwise(0)
-    return out.withColumn("tp_mask", masks_.cast("long")).withColumn(
-        "fp_mask", F.when(F.col("mix") % 7 != 0, F.lit(3).bitwiseXOR(masks_)).otherwise(0).cast("long"))
-
-
-def _by_image():
-    from pyspark.sql.window import Window
-    return Window.partitionBy("image_id", "detector_class").orderBy(
-        F.col("detector_score").desc(), "object_id")
-
-
-def _npig(spark, sf):
-    return X.truths(spark, sf).groupBy("category_id").agg(
-        (F.count(F.lit(1)) * 4).alias("npig")).withColumn("area_label", F.lit("all"))
+def _accumulated(spark, sf):
+    dets, truth = _coco_inputs(spark, sf)
+    ranges = coco_eval.ranges_for(GSD)
+    outcomes = coco_eval.coco_match(dets, truth, ranges, THRESHOLDS, max(LIMITS))
+    return coco_eval.coco_accumulate(outcomes, coco_eval.countable_truths(truth, ranges), LIMITS, THRESHOLDS)
 
 
 @query
 def coco_accumulate(spark, sf):
-    acc = coco_eval.coco_accumulate(_outcomes(spark, sf), _npig(spark, sf), (10, 100), (0.5, 0.75))
-    points = acc.select("category_id", "max_dets", "iou_threshold", "recall",
-                        F.posexplode("precision").alias("point", "p"))
-    return points.select("category_id", "max_dets", "iou_threshold", r9(F.col("recall"), "recall"),
+    points = _accumulated(spark, sf).select("category_id", "area_label", "max_dets", "iou_threshold", "recall",
+                                            F.posexplode("precision").alias("point", "p"))
+    return points.select("category_id", "area_label", "max_dets", "iou_threshold", r9(F.col("recall"), "recall"),
                          "point", r9(F.col("p"), "p"))
 
 
 @query
 def coco_summary(spark, sf):
-    acc = coco_eval.coco_accumulate(_outcomes(spark, sf), _npig(spark, sf), (10, 100), (0.5, 0.75))
-    out = coco_eval.coco_summary(acc, (10, 100), ["all"])
+    out = coco_eval.coco_summary(_accumulated(spark, sf), LIMITS, list(coco_eval.ranges_for(GSD)))
     return out.select(*[r9(F.col(c), c) for c in out.columns])
 
 
 @query
 def tile_level(spark, sf):
+    """Images are those of the truth document: some have no truths, and predictions on others don't count."""
     dets, truth = _coco_inputs(spark, sf)
-    out = coco_eval.tile_level(dets, truth, (1, 10, 100, 400), GSD, group=K)
+    images = X.truths(spark, sf).filter("image_id % 7 <> 3").select("product_id", "image_id").distinct()
+    truth = truth.join(images, ["product_id", "image_id"], "left_semi").filter("image_id % 5 <> 1")
+    out = coco_eval.tile_level(dets, truth, LIMITS, GSD, group=K, images=images)
     kept = [c for c in out.columns if c not in ("product_id", "num_images", "num_truths", "num_preds")]
     return out.select("product_id", "num_images", "num_truths", "num_preds",
                       *[r9(F.col(c), c) for c in kept])
@@ -1154,7 +1148,7 @@ def best_params(spark, sf):
 
 @query
 def weighted_dataset_avg(spark, sf):
-    m = X.run_metrics(spark, sf).filter("run_id = 0").select(
+    m = X.run_metrics(spark, sf).select(
         F.col("location").alias("dataset"), "f1", F.when(F.col("location") != "loc_1", F.col("recall"))
         .alias("recall"), F.array("f1", "recall").alias("f1_per_iou"),
         F.col("num_preds").alias("num_truths"))
@@ -1185,8 +1179,8 @@ def mean_over_datasets(spark, sf):
 @query
 def annotations_by_image(spark, sf):
     t = X.truths(spark, sf).withColumnRenamed("truth_id", "id")
-    out = filters.annotations_by_image(t, ["category_id"], chunk=40)
-    return out.select("image_id", "part", text(F.transform("annotations", lambda a: a["id"]), "ids"))
+    out = filters.annotations_by_image(t, ["category_id"])
+    return out.select("image_id", text(F.transform("annotations", lambda a: a["id"]), "ids"))
 
 
 @query
@@ -1255,7 +1249,8 @@ def sort_by_score(spark, sf):
     """Strongest first, with the place each row ends up at."""
     d = X.detections(spark, sf).select("object_id", "detector_score", "segmenter_score")
     score = metrics.pick_score(d)
-    return numbering.row_index(d, [], [F.col(score).desc(), F.col("object_id")], "place").select(
+    ranked = metrics.sort_by_score(d).withColumn("_at", F.monotonically_increasing_id())
+    return numbering.row_index(ranked, [], [F.col("_at")], "place").select(
         "object_id", F.col(score).alias("score"), "place")
 
 
@@ -1278,17 +1273,15 @@ def best_candidate(spark, sf):
 
 @query
 def dissolve_(spark, sf):
-    runs = _row_runs(spark, sf).filter("truth_id % 3 <> 0")
+    runs = _row_runs(spark, sf)
     return masks.mask_area(dissolve.dissolve(runs, "truth_id"), ["product_id", "component"])
 
 
 @query
 def overlay_union(spark, sf):
-    """Truth masks against the grid of 64-pixel blocks, two layers without overlaps of their own."""
-    a = _row_runs(spark, sf).filter("truth_id % 4 = 0").withColumnRenamed("truth_id", "a_id")
-    a = a.withColumn("c1", F.least("c1", F.col("c0") + 8)).filter(
-        "line % 8 < 6").withColumn("line", F.col("line"))
-    rows = F.sequence(F.lit(0), F.lit(255))
+    """Truth masks, merged where they overlap, against the grid of 64-pixel blocks."""
+    a = dissolve.dissolve(_row_runs(spark, sf), "truth_id").withColumnRenamed("component", "a_id")
+    rows = F.sequence(F.lit(0), F.lit(299))
     blocks = X.truths(spark, sf).select("product_id").distinct().withColumn("line", F.explode(rows))
     b = blocks.withColumn("k", F.explode(F.array(F.lit(0), F.lit(1)))).select(
         "product_id", (F.floor(F.col("line") / 64) * 2 + F.col("k")).alias("b_id"), "line",
@@ -1400,7 +1393,7 @@ def score_prompts(spark, sf):
 @query
 def score_objects(spark, sf):
     rows = X.logits(spark, sf).select(
-        "object_id", F.lit("tile").alias("tile_path"), F.slice("logits", 1, 5).alias("logits"))
+        "object_id", F.lit("tile").alias("tile_path"), "logits")
     out = scoring.score_objects(rows, models.load_classifier)
     return filters.flatten_classes(out).select(
         "object_id", "classifier_class", r9(F.col("classifier_score"), "classifier_score"))
@@ -1450,12 +1443,10 @@ def prepare_segmentation_rle(spark, sf):
     return kept.select("id", R.polygon_area(F.col("rings")).alias("area"))
 
 
-SEARCH = dict(nms_ious=(0.3, 0.6, 1.0), nms_scores=(0.2, 0.5, 0.8), eval_thresholds=(0.5, 0.75))
-
-
 @query
 def nms_grid_search(spark, sf):
-    out = grid_search.search_with_average(X.detections(spark, sf), X.truths(spark, sf), GSD, **SEARCH)
+    """All 20 by 20 pairs of thresholds."""
+    out = grid_search.search_with_average(X.detections(spark, sf), X.truths(spark, sf), GSD)
     return out.select("raster_name", "nms_iou", "nms_score", r9(F.col("precision"), "precision"),
                       r9(F.col("recall"), "recall"), r9(F.col("f1"), "f1"), "num_truths", "num_preds",
                       "num_images")
@@ -1481,7 +1472,7 @@ def benchmark_raster(spark, sf):
 @query
 def benchmark_tile(spark, sf):
     dets, truth = _coco_inputs(spark, sf)
-    out = bench_plan.tile_table(dets, truth, _products(spark, sf), (1, 10, 100, 400), GSD)
+    out = bench_plan.tile_table(dets, truth, _products(spark, sf), LIMITS, GSD)
     kept = [c for c in out.columns if c not in ("location", "product_name", "num_images", "num_truths",
                                                 "num_preds")]
     return out.select("location", "product_name", "num_images", "num_truths", "num_preds",
