@@ -18,6 +18,7 @@ from pyspark.sql.window import Window
 
 from crownframe.functions import boxes as B
 from crownframe.functions.ranks import ranked_score
+from crownframe.operators.masks import mask_area, mask_pairs
 from crownframe.operators.numbering import running_totals, top_per_group
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
@@ -107,17 +108,27 @@ def _match_image(keys: Sequence[str], ranges: dict[str, tuple[float, float]],
 
 def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
                  ranges: dict[str, tuple[float, float]], thresholds: Sequence[float],
-                 max_dets: int) -> DataFrame:
+                 max_dets: int, runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Matched thresholds per detection and range, as bits: countable ones and all.
 
     An image's detections are at most `max_dets`, so a detection loses at most `max_dets - 1` truths to
     others and needs no more than its best `max_dets` truths of each kind (crowd, and the ranges it counts
     in). That bounds the pairs of an image, and each image is settled inside one task.
     """
-    pairs = bbox_join(dets.select(*keys, "det_id", "score", *B.BOX),
-                      truths.select(*keys, "gt_id", *B.BOX, "area", "iscrowd"), keys)
-    a, b = B.box("a_"), B.box("b_")
-    value = F.when(F.col("b_iscrowd"), B.ioa(a, b)).otherwise(B.iou(a, b))
+    if runs:
+        mine, real = (r.join(df.select(*keys, i), [*keys, i], "left_semi")
+                      for r, df, i in zip(runs, (dets, truths), ("det_id", "gt_id")))
+        pairs = mask_pairs(mine, real, "det_id", "gt_id", keys).withColumnsRenamed({"a_id": "a_det_id", "b_id": "b_gt_id"})
+        pairs = pairs.join(dets.select(*keys, F.col("det_id").alias("a_det_id"), F.col("score").alias("a_score")),
+                           [*keys, "a_det_id"])
+        pairs = pairs.join(truths.select(*keys, F.col("gt_id").alias("b_gt_id"), F.col("area").alias("b_area"),
+                                         F.col("iscrowd").alias("b_iscrowd")), [*keys, "b_gt_id"])
+        value = F.when(F.col("b_iscrowd"), F.col("inter") / F.col("area_a")).otherwise(F.col("iou"))
+    else:
+        pairs = bbox_join(dets.select(*keys, "det_id", "score", *B.BOX),
+                          truths.select(*keys, "gt_id", *B.BOX, "area", "iscrowd"), keys)
+        a, b = B.box("a_"), B.box("b_")
+        value = F.when(F.col("b_iscrowd"), B.ioa(a, b)).otherwise(B.iou(a, b))
     least = min(min(float(t) for t in thresholds), 1 - 1e-10)
     kind = F.array(F.col("b_iscrowd"), *[
         (F.col("b_area") >= float(lo)) & (F.col("b_area") <= float(hi)) for lo, hi in ranges.values()])
@@ -131,21 +142,27 @@ def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
 
 def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple[float, float]],
                thresholds: Sequence[float] = IOU_THRESHOLDS, max_dets: int = 100,
-               group: Sequence[str] = ()) -> DataFrame:
+               group: Sequence[str] = (), runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Outcome per detection and area range: `rank, tp_mask, fp_mask`.
 
     Bit i of a mask stands for the i-th threshold. `detections` has `image_id, category_id, det_id,
     score` and a box (null and NaN scores come last), `truths` has `image_id, category_id, gt_id, area, iscrowd` and a box; both
-    carry the `group` columns (e.g. the raster).
+    carry the `group` columns (e.g. the raster). With `runs` (of detections and truths, each with the columns
+    named here, its id, `line, c0, c1`) overlaps and the detections' areas are those of masks.
     """
     group = list(group)
     keys = [*group, "image_id", "category_id"]
+    shape = [] if runs else B.BOX
     dets = cut(top_dets(detections.select(
-        *keys, "det_id", ranked_score(F.col("score")).alias("score"), *B.BOX), max_dets, keys), "dets")
-    masks = _match_masks(dets, truths, keys, ranges, thresholds, max_dets)
+        *keys, "det_id", ranked_score(F.col("score")).alias("score"), *shape), max_dets, keys), "dets")
+    masks = _match_masks(dets, truths, keys, ranges, thresholds, max_dets, runs)
+    size = B.area(B.box())
+    if runs:
+        dets = dets.join(mask_area(runs[0], [*keys, "det_id"]), [*keys, "det_id"], "left")
+        size = F.coalesce(F.col("area"), F.lit(0))
     every = dets.withColumn("_r", F.explode(_range_table(ranges))).select(
         *keys, "det_id", "score", "rank", F.col("_r.label").alias("area_label"),
-        ((B.area(B.box()) >= F.col("_r.lo")) & (B.area(B.box()) <= F.col("_r.hi")))
+        ((size >= F.col("_r.lo")) & (size <= F.col("_r.hi")))
         .alias("in_range"))
     full = (1 << len(thresholds)) - 1
     joined = every.join(masks, [*keys, "det_id", "area_label"], "left").fillna(
@@ -269,12 +286,13 @@ def align_by_file_name(truth_images: DataFrame, pred_images: DataFrame,
 def tile_level(detections: DataFrame, truths: DataFrame, max_dets: Sequence[int],
                gsd: float | None = None, thresholds: Sequence[float] = IOU_THRESHOLDS,
                group: Sequence[str] = (), units: DataFrame | None = None,
-               unit_key: str = "product_id", images: DataFrame | None = None) -> DataFrame:
+               unit_key: str = "product_id", images: DataFrame | None = None,
+               runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """All steps from boxes to the summary row, with the three counts. Truth scores are ignored.
 
     `images` (the `group` columns or `unit_key`, and `image_id`) are the images of the truth document, by
     default those of the truths: predictions on other images don't count, and images without truths do. A
-    group without countable truths has -1 everywhere.
+    group without countable truths has -1 everywhere. `runs` as in `coco_match`.
 
     With `units` (`unit_key` and the `group` columns, any number of rows per key) images are matched
     once per `unit_key` and counted in every group their key belongs to.
@@ -285,7 +303,7 @@ def tile_level(detections: DataFrame, truths: DataFrame, max_dets: Sequence[int]
     base = group if units is None else [unit_key]
     images = (truths if images is None else images).select(*base, "image_id").distinct()
     detections = detections.join(images, [*base, "image_id"], "left_semi")
-    outcomes = coco_match(detections, truths, ranges, thresholds, max(max_dets), base)
+    outcomes = coco_match(detections, truths, ranges, thresholds, max(max_dets), base, runs)
     if units is not None:
         outcomes, truths, detections, images = (
             df.join(units, unit_key) for df in (outcomes, truths, detections, images))

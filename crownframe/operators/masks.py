@@ -117,7 +117,7 @@ def overlap_area(a: DataFrame, b: DataFrame, a_id: str, b_id: str,
     """
     keys = list(keys)
     boxes_a = run_boxes(a, [*keys, a_id]).withColumnRenamed(a_id, "id")
-    boxes_b = run_boxes(b, [*keys, b_id]).withColumnRenamed(b_id, "id")
+    boxes_b = boxes_a if a is b and a_id == b_id else run_boxes(b, [*keys, b_id]).withColumnRenamed(b_id, "id")
     pairs = bbox_join(boxes_a, boxes_b, keys, extra=extra)
     low, high = F.greatest("a_y0", "b_y0"), F.least("a_y1", "b_y1")
     lines = pairs.select(*keys, "a_id", "b_id", F.explode(F.sequence(
@@ -238,11 +238,6 @@ def downscale_runs(runs: DataFrame, factor: int, ids: Sequence[str]) -> DataFram
     return merge_intervals(single, [*ids, "line"], "c0", "c1")
 
 
-def downscale_factor(height: int, width: int, limit: int = 512) -> int:
-    """Whole factor that brings the longer side to at most `limit` pixels."""
-    return max(1, -(-max(height, width) // limit))
-
-
 def explode_runs(df: DataFrame, ids: Sequence[str], column: str = "runs") -> DataFrame:
     """Run table from an array-of-runs column."""
     return df.select(*ids, F.explode(column).alias("_r")).select(

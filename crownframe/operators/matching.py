@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from crownframe.functions import boxes as B
 from crownframe.functions.polygons import clipped_inter_area, iou_from
 from crownframe.functions.ranks import ranked_score, tie_of
+from crownframe.operators.masks import mask_pairs
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut, release
 
@@ -137,24 +138,44 @@ def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
     ).filter(F.col("iou") >= least_iou)
 
 
+def run_pairs(predictions: DataFrame, truths: DataFrame, pred_runs: DataFrame, truth_runs: DataFrame,
+              score_col: str, keys: Sequence[str] = ("product_id",), pred_id: str = "object_id",
+              truth_id: str = "truth_id", pred_extra: Sequence[str] = (), truth_extra: Sequence[str] = (),
+              least_iou: float = 0.0) -> DataFrame:
+    """`candidate_pairs` by the pixels of masks given as runs `(keys, id, line, c0, c1)`."""
+    keys = list(keys)
+    p = predictions.select(*keys, F.col(pred_id).alias("a_id"), ranked_score(F.col(score_col)).alias("score"),
+                           *[F.col(c).alias(f"pred_{c}") for c in pred_extra])
+    t = truths.select(*keys, F.col(truth_id).alias("b_id"), *[F.col(c).alias(f"truth_{c}") for c in truth_extra])
+    mine = pred_runs.join(p.select(*keys, F.col("a_id").alias(pred_id)), [*keys, pred_id], "left_semi")
+    real = truth_runs.join(t.select(*keys, F.col("b_id").alias(truth_id)), [*keys, truth_id], "left_semi")
+    pairs = mask_pairs(mine, real, pred_id, truth_id, keys).filter(F.col("iou") >= least_iou)
+    pairs = pairs.join(p, [*keys, "a_id"]).join(t, [*keys, "b_id"])
+    return pairs.withColumnsRenamed({"a_id": "pred", "b_id": "truth"}).drop("inter", "area_a", "area_b", "dice_loss")
+
+
 def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence[float],
                  score_col: str = "detector_score", keys: Sequence[str] = ("product_id",),
                  size_col: str | None = None, pred_id: str = "object_id",
                  truth_id: str = "truth_id", tail_pairs: int = TAIL_PAIRS,
-                 pred_keys: Sequence[str] = (), shape_cols: Sequence[str] = ()) -> DataFrame:
+                 pred_keys: Sequence[str] = (), shape_cols: Sequence[str] = (),
+                 runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Matches per `keys`, IoU threshold and size bin: `(keys, iou_threshold, size_label, ...)`.
 
     The bin `all` holds everyone; with `size_col` (a label column in both tables) a pair also
     competes inside its own bin when both sides carry the same label.
 
     Predictions come by score (null and NaN last), then by a hash of the id, then by the id; among equal IoU
-    the truth with the lowest id is taken.
+    the truth with the lowest id is taken. With `runs` (of predictions and truths) the IoU is that of masks.
     """
     extra = [size_col] if size_col else []
     steps = sorted({float(t) for t in thresholds})
-    pairs = candidate_pairs(predictions, truths, score_col, keys, pred_id, truth_id,
-                            pred_extra=extra, truth_extra=extra, pred_keys=pred_keys,
-                            least_iou=steps[0], shape_cols=shape_cols)
+    if runs:
+        pairs = run_pairs(predictions, truths, *runs, score_col, keys, pred_id, truth_id, extra, extra, steps[0])
+    else:
+        pairs = candidate_pairs(predictions, truths, score_col, keys, pred_id, truth_id,
+                                pred_extra=extra, truth_extra=extra, pred_keys=pred_keys,
+                                least_iou=steps[0], shape_cols=shape_cols)
     levels = F.array(*[F.lit(t) for t in steps])
     pairs = pairs.withColumn("iou_threshold", F.explode(
         F.filter(levels, lambda t: t <= F.col("iou"))))

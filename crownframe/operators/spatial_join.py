@@ -33,6 +33,14 @@ def levels_of(df: DataFrame) -> list[int]:
     return sorted(found) or [0]
 
 
+def _levels_of_both(left: DataFrame, right: DataFrame) -> tuple[list[int], list[int]]:
+    """The grid levels of two tables, in one pass."""
+    sides = [df.select(grid_level(B.box()).alias("l"), F.lit(i).alias("side")) for i, df in enumerate((left, right))]
+    rows = sides[0].unionByName(sides[1]).groupBy("side").agg(F.collect_set("l").alias("l")).collect()
+    found = {r["side"]: sorted(r["l"]) for r in rows}
+    return found.get(0) or [0], found.get(1) or [0]
+
+
 def cell_side(level: Column) -> Column:
     return F.pow(F.lit(4.0), level)
 
@@ -82,8 +90,14 @@ def bbox_join(left: DataFrame, right: DataFrame, keys: Sequence[str] = ("product
     condition over those names. Pass thin tables: what they hold is what gets shuffled.
     """
     keys = list(keys)
-    left_levels = levels_of(left) if left_levels is None else list(left_levels)
-    right_levels = levels_of(right) if right_levels is None else list(right_levels)
+    if left_levels is None or right_levels is None:
+        # What comes before is worked out once; the levels are then read from thin files.
+        same = left is right
+        left = cut(left, "left")
+        right = left if same else cut(right, "right")
+        found = _levels_of_both(left, right)
+        left_levels, right_levels = (given or own for given, own in zip((left_levels, right_levels), found))
+    left_levels, right_levels = list(left_levels), list(right_levels)
     if set(left_levels) == set(right_levels) and len(set(left_levels)) == 1:
         a, b = place(left, [], home=[SAME]), place(right, [], home=[SAME])
     else:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
 from crownframe.functions.ranks import at_least, ranked_score, tie_of
+from crownframe.operators.masks import collect_runs, mask_pairs
 from crownframe.operators.spatial_join import bbox_join, cell_crowds, place
 from crownframe.session import cut, release
 
@@ -172,58 +173,94 @@ def suppressed(edges: DataFrame, keys: Sequence[str], tail_edges: int = TAIL_EDG
 
 
 def nodes_of(objects: DataFrame, keys: Sequence[str], id_col: str, score_col: str,
-             thresholds: Sequence[float]) -> DataFrame:
+             thresholds: Sequence[float], boxes: bool = True) -> DataFrame:
     if len(thresholds) > 62:
         raise ValueError("at most 62 thresholds at once")
     return objects.select(
-        *keys, F.col(id_col).alias("id"), *B.BOX, ranked_score(F.col(score_col)).alias("score"),
+        *keys, F.col(id_col).alias("id"), *(B.BOX if boxes else []), ranked_score(F.col(score_col)).alias("score"),
         tie_of(F.col(id_col)).alias("tie"), F.lit((1 << len(thresholds)) - 1).cast("long").alias("alive"))
 
 
+def _remaining(live: DataFrame, edges: DataFrame, keys: Sequence[str], tail_edges: int) -> DataFrame:
+    fallen = suppressed(edges, keys, tail_edges)
+    return live.select(*keys, "id", "alive").join(
+        fallen.withColumnRenamed("mask", "_gone"), [*keys, "id"], "left").select(
+        *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask"))
+
+
 def kept_masks(nodes: DataFrame, keys: Sequence[str], thresholds: Sequence[float], hot_cell: int,
                tail_edges: int) -> DataFrame:
     """`(keys, id, mask)`: the thresholds (all below 1) at which a box stays."""
     keys = list(keys)
     nodes = cut(nodes, "nodes")
     live, taken, levels = _thin(nodes, thresholds, keys, hot_cell)
-    fallen = suppressed(_edges(live, live, keys, levels, thresholds), keys, tail_edges)
-    kept = live.select(*keys, "id", "alive").join(
-        fallen.withColumnRenamed("mask", "_gone"), [*keys, "id"], "left").select(
-        *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask"))
+    kept = _remaining(live, _edges(live, live, keys, levels, thresholds), keys, tail_edges)
     if taken is None:
         return kept.filter("mask != 0")
     both = kept.unionByName(taken.withColumnRenamed("alive", "mask"))
     return both.groupBy(*keys, "id").agg(F.bit_or("mask").alias("mask")).filter("mask != 0")
 
 
+def kept_run_masks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thresholds: Sequence[float],
+                   tail_edges: int) -> DataFrame:
+    """`kept_masks` for shapes given as runs `(keys, id, line, c0, c1)`; an object without runs overlaps
+    nothing. Of objects with the very same pixels only the first can stay."""
+    keys = list(keys)
+    nodes = cut(nodes, "nodes")
+    mine = runs.join(nodes.select(*keys, "id"), [*keys, "id"], "left_semi")
+    shapes = collect_runs(mine, [*keys, "id"], "_shape").join(nodes, [*keys, "id"])
+    first = shapes.groupBy(*keys, "_shape").agg(F.min(_order()).alias("_b"))
+    first = cut(first.select(*keys, F.col("_b.i").alias("id")), "shapes")
+    bare = nodes.join(mine.select(*keys, "id").distinct(), [*keys, "id"], "left_anti")
+    live = cut(nodes.join(first, [*keys, "id"], "left_semi").unionByName(bare), "nodes")
+    mine = cut(mine.join(first, [*keys, "id"], "left_semi"), "runs")
+    pairs = mask_pairs(mine, mine, "id", "id", keys, extra=F.col("a_id") < F.col("b_id"))
+    pairs = pairs.filter(F.col("iou") > min(thresholds))
+    for side in "ab":
+        node = live.select(*keys, F.col("id").alias(f"{side}_id"), F.col("score").alias(f"{side}_score"),
+                           F.col("tie").alias(f"{side}_tie"))
+        pairs = pairs.join(node, [*keys, f"{side}_id"])
+    ahead = _order("a_") < _order("b_")
+    crossed = sum((F.when(F.col("iou") > t, F.lit(1 << i)).otherwise(F.lit(0))
+                   for i, t in enumerate(thresholds)), F.lit(0).cast("long"))
+    edges = pairs.select(*keys, crossed.cast("long").alias("mask"), *[
+        F.when(ahead, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(n)
+        for c, n in (("id", "hi"), ("score", "hi_score"), ("tie", "hi_tie"))],
+        F.when(ahead, F.col("b_id")).otherwise(F.col("a_id")).alias("lo"))
+    return _remaining(live, edges, keys, tail_edges).filter("mask != 0")
+
+
 def nms(objects: DataFrame, threshold: float, score_threshold: float | None = None,
         score_col: str = "detector_score", id_col: str = "object_id",
         keys: Sequence[str] = ("product_id",), hot_cell: int = HOT_CELL,
-        tail_edges: int = TAIL_EDGES) -> DataFrame:
+        tail_edges: int = TAIL_EDGES, runs: DataFrame | None = None) -> DataFrame:
     """Keep the rows greedy suppression at `IoU > threshold` keeps, per `keys`.
 
-    Rows below `score_threshold` are dropped first, and then those without a score too.
+    Rows below `score_threshold` are dropped first, and then those without a score too. With `runs` (`keys,
+    id_col, line, c0, c1`) the IoU is that of the masks, else that of the boxes.
     """
     keys = list(keys)
     if score_threshold is not None:
         objects = objects.filter(at_least(F.col(score_col), score_threshold))
     if threshold >= 1:
         return objects  # no IoU exceeds 1
-    nodes = nodes_of(objects, keys, id_col, score_col, [threshold])
-    kept = kept_masks(nodes, keys, [threshold], hot_cell, tail_edges)
+    nodes = nodes_of(objects, keys, id_col, score_col, [threshold], runs is None)
+    kept = (kept_masks(nodes, keys, [threshold], hot_cell, tail_edges) if runs is None else
+            kept_run_masks(nodes, runs.withColumnRenamed(id_col, "id"), keys, [threshold], tail_edges))
     return objects.join(kept.select(*keys, F.col("id").alias(id_col)), [*keys, id_col], "left_semi")
 
 
 def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: float | None = None,
              score_col: str = "detector_score", id_col: str = "object_id",
              keys: Sequence[str] = ("product_id",), hot_cell: int = HOT_CELL,
-             tail_edges: int = TAIL_EDGES) -> DataFrame:
+             tail_edges: int = TAIL_EDGES, runs: DataFrame | None = None) -> DataFrame:
     """`nms` for many IoU thresholds at once: kept `(nms_iou, keys, id_col, score)`.
 
     No loop over score thresholds is needed: a box is judged only by stronger boxes, so the result for a
     higher score threshold is the part of this one above it.
     """
-    masks, wanted = nms_masks(objects, iou_thresholds, score_floor, score_col, id_col, keys, hot_cell, tail_edges)
+    masks, wanted = nms_masks(objects, iou_thresholds, score_floor, score_col, id_col, keys, hot_cell, tail_edges,
+                              runs)
     each = F.filter(F.array(*[F.struct(F.lit(t).alias("t"), F.lit(1 << i).cast("long").alias("b"))
                               for i, t in enumerate(wanted)]),
                     lambda s: s["b"].bitwiseAND(F.col("mask")) != 0)
@@ -234,7 +271,7 @@ def nms_grid(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: f
 def nms_masks(objects: DataFrame, iou_thresholds: Sequence[float], score_floor: float | None = None,
               score_col: str = "detector_score", id_col: str = "object_id",
               keys: Sequence[str] = ("product_id",), hot_cell: int = HOT_CELL,
-              tail_edges: int = TAIL_EDGES) -> tuple[DataFrame, list[float]]:
+              tail_edges: int = TAIL_EDGES, runs: DataFrame | None = None) -> tuple[DataFrame, list[float]]:
     """Per kept object the thresholds at which it stays as bits of `mask`: `(keys, id_col, score, mask)`, and the
     thresholds that the bits stand for."""
     keys = list(keys)
@@ -246,7 +283,9 @@ def nms_masks(objects: DataFrame, iou_thresholds: Sequence[float], score_floor:
     base = objects.select(*keys, id_col, F.col(score_col).cast("double").alias("score"))
     if not below:
         return base.withColumn("mask", F.lit(always).cast("long")), wanted
-    kept = kept_masks(nodes_of(objects, keys, id_col, score_col, below), keys, below, hot_cell, tail_edges)
+    nodes = nodes_of(objects, keys, id_col, score_col, below, runs is None)
+    kept = (kept_masks(nodes, keys, below, hot_cell, tail_edges) if runs is None else
+            kept_run_masks(nodes, runs.withColumnRenamed(id_col, "id"), keys, below, tail_edges))
     mask = F.coalesce("_mask", F.lit(0).cast("long")).bitwiseOR(F.lit(always).cast("long"))
     out = base.join(kept.select(*keys, F.col("id").alias(id_col), F.col("mask").alias("_mask")),
                     [*keys, id_col], "left").select(*keys, id_col, "score", mask.alias("mask"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from crownframe.functions.ranks import at_least, tie_of
 from crownframe.operators import metrics
-from crownframe.operators.matching import TAIL_PAIRS, candidate_pairs, match_rounds
+from crownframe.operators.matching import TAIL_PAIRS, candidate_pairs, match_rounds, run_pairs
 from crownframe.operators.suppression import nms_grid
 from crownframe.plans.raster_level import KEY, prepare
 from crownframe.session import cut
@@ -22,18 +22,22 @@ def nms_grid_search(predictions: DataFrame, truths: DataFrame, gsd: float,
                     nms_ious: Sequence[float] = DEFAULT_GRID,
                     nms_scores: Sequence[float] = DEFAULT_GRID,
                     eval_thresholds: Sequence[float] = (0.5,), aoi: DataFrame | None = None,
-                    score_col: str | None = None, tail_pairs: int = TAIL_PAIRS) -> DataFrame:
+                    score_col: str | None = None, tail_pairs: int = TAIL_PAIRS,
+                    runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
     """Precision, recall, f1 (means over `eval_thresholds`) per raster and pair of thresholds.
 
     Both suppression and matching go through the boxes by descending score and judge a box only by
     stronger ones. So the result for a score threshold is the part of the result for the lowest one
     that lies above it: the score axis costs one count per score band instead of one run per value.
-    Overlaps among predictions and with truths are each measured once.
+    Overlaps among predictions and with truths are each measured once. With `runs` (of predictions and
+    truths) both are those of the masks; an AOI then cuts the boxes only, so it isn't taken.
     """
+    if runs and aoi is not None:
+        raise ValueError("an AOI can't be given together with masks")
     score = score_col or metrics.pick_score(predictions)
     ious, scores = sorted({float(v) for v in nms_ious}), sorted({float(v) for v in nms_scores})
     steps = sorted({float(t) for t in eval_thresholds})
-    kept = cut(nms_grid(predictions, ious, scores[0], score, keys=[KEY]), "kept")
+    kept = cut(nms_grid(predictions, ious, scores[0], score, keys=[KEY], runs=runs[0] if runs else None), "kept")
     strong = predictions.filter(at_least(F.col(score), scores[0]))
     # The score column keeps its name through the AOI filter; ids of cut objects may change there.
     strong = strong.withColumn("_source_id", F.col("object_id"))
@@ -42,7 +46,8 @@ def nms_grid_search(predictions: DataFrame, truths: DataFrame, gsd: float,
     seen = p.select(KEY, "object_id", F.col("_source_id"), F.col(score).alias("score")).join(
         kept.select("nms_iou", KEY, F.col("object_id").alias("_source_id")), [KEY, "_source_id"])
     levels = F.array(*[F.lit(v) for v in steps])
-    pairs = candidate_pairs(p, t, score, [KEY], least_iou=steps[0])
+    pairs = (run_pairs(p, t, *runs, score, [KEY], least_iou=steps[0]) if runs else
+             candidate_pairs(p, t, score, [KEY], least_iou=steps[0]))
     pairs = pairs.join(seen.select("nms_iou", KEY, F.col("object_id").alias("pred")), [KEY, "pred"])
     pairs = pairs.withColumn("iou_threshold", F.explode(
         F.filter(levels, lambda v: v <= F.col("iou"))))

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from crownframe.functions import boxes as B
 from crownframe.operators import filters, scoring
 from crownframe.operators.merging import merge_results
+from crownframe.operators.masks import collect_runs, explode_runs, nms_ioa_disambiguate
 from crownframe.operators.suppression import nms
 from crownframe.operators.tiling import labeled_tiles, polygon_tiles, tile_grid
 from crownframe.session import cut
@@ -212,11 +213,17 @@ def aggregator_stage(score_threshold: float = 0.2, nms_threshold: float = 0.5,
                      weights: dict[str, float] | None = None,
                      method: str = "weighted_geometric_mean", edge_band: float | None = None,
                      least_centroid_weight: float | None = None,
-                     keys: Sequence[str] = ("product_id",)) -> Stage:
+                     keys: Sequence[str] = ("product_id",), nms_algorithm: str = "iou",
+                     best_geom_keep_area_ratio: float = 0.5) -> Stage:
     """Fuse scores, then suppress duplicates across tiles.
 
+    `nms_algorithm` is `iou`, by the boxes or, where the objects have a `runs` column (their mask as an array of
+    line, c0, c1), by the masks; or `ioa-disambiguate`, which gives shared pixels to the stronger mask and keeps
+    what is left of the weaker one, if that is at least `best_geom_keep_area_ratio` of it.
     `edge_band` and `least_centroid_weight` need the tile windows `px0..py1` on the objects.
     """
+    if nms_algorithm not in ("iou", "ioa-disambiguate"):
+        raise ValueError(f"unknown suppression {nms_algorithm!r}, expected 'iou' or 'ioa-disambiguate'")
     weights = weights or filters.weights_from()
     used = {c for c, w in weights.items() if w and w > 0}
 
@@ -227,12 +234,19 @@ def aggregator_stage(score_threshold: float = 0.2, nms_threshold: float = 0.5,
             rows = filters.centroid_distance_weight(rows, least_centroid_weight, "aggregator_score")
         if edge_band:
             rows = filters.edge_band_filter(rows, edge_band)
-        kept = nms(rows, nms_threshold, score_threshold, "aggregator_score", keys=keys)
+        runs = explode_runs(rows, [*keys, "object_id"]) if "runs" in rows.columns else None
+        if nms_algorithm == "iou":
+            kept = nms(rows, nms_threshold, score_threshold, "aggregator_score", keys=keys, runs=runs)
+        else:
+            rest = nms_ioa_disambiguate(runs, rows.drop("runs"), nms_threshold, best_geom_keep_area_ratio,
+                                        score_threshold, "object_id", "aggregator_score", keys)
+            kept = rows.drop("runs").join(collect_runs(rest, [*keys, "object_id"]), [*keys, "object_id"])
         return Result(objects=kept, objects_are_new=False, save_as="aggregated")
 
+    shapes = {"runs"} if nms_algorithm == "ioa-disambiguate" else set()
     windows = {"px0", "py0", "px1", "py1"} if edge_band or least_centroid_weight is not None else set()
     return Stage("aggregator", run, needs=frozenset({"objects"}),
-                 needs_columns=frozenset(_BOXES | {"object_id", *keys} | used | windows),
+                 needs_columns=frozenset(_BOXES | {"object_id", *keys} | used | windows | shapes),
                  makes=frozenset({"objects"}), makes_columns=frozenset({"aggregator_score"}),
                  hints={c: f"the weight of {c} is above 0, so the column is needed" for c in used}
                  | {"objects": "add a detector or segmenter before the aggregator"})

@@ -799,3 +799,27 @@ add("benchmark_tile", tile_level_sql("""unit as materialized (
     select distinct product_id, concat('loc_', product_id % 3) as location, concat('raster_', product_id) as product_name from fx_truths
     union all select distinct product_id, concat('set_', product_id % 2), 'average_over_rasters' from fx_truths)""",
     ["location", "product_name"]), DETECTIONS, True)
+
+# --- masks: every box as the pixels it touches, which is again a box -------------------------------
+
+_PX = "* replace (floor(x0) as x0, floor(y0) as y0, ceil(x1) as x1, ceil(y1) as y1)"
+PIXELS = (DETECTIONS.replace("fx_truths", "raw_truths").replace("fx_detections", "raw_detections")
+          + f", fx_truths as (select {_PX} from raw_truths)"
+          + f", fx_detections as (select {_PX} from raw_detections where x1 > x0 and y1 > y0)")
+for _name, _of in (("nms_iou_masks", "nms_iou"), ("greedy_match_masks", "greedy_match"),
+                   ("nms_grid_search_segm", "nms_grid_search")):
+    ORACLE[_name] = ORACLE[_of].replace(DETECTIONS, PIXELS)
+add("tile_level_segm", tile_level_sql("unit as (select distinct product_id from fx_truths)", ["product_id"]), PIXELS, True)
+_STRONG = _NODES.format(k="product_id", s="segmenter_score", w="segmenter_score >= 0.595::double")
+add("run_stages_segmentation", f""", {_STRONG}, {nms_ctes('n', 0.5)}, {DET_RUNS},
+  s as materialized (select r.*, n_n.score from fx_det_runs r join n_keep on n_keep.id = r.object_id join n_n on n_n.id = r.object_id),
+  ov as materialized (select b.product_id, b.object_id, a.object_id as strong, b.line, greatest(a.c0, b.c0) as c0, least(a.c1, b.c1) as c1
+    from s a join s b on a.product_id = b.product_id and a.line = b.line and a.c0 < b.c1 and a.c1 > b.c0
+      and (a.score > b.score or (a.score = b.score and a.object_id < b.object_id))),
+  worst as (select object_id, max(i) as w from (select object_id, strong, sum(c1 - c0) as i from ov group by 1, 2) q group by 1),
+  ar as (select product_id, object_id, min(score) as score, sum(c1 - c0) as a from s group by 1, 2),
+  px as (select distinct object_id, line, p.v from ov, range(-10, 290) p(v) where p.v >= c0 and p.v < c1),
+  tk as (select object_id, count(*) as n from px group by 1)
+  select product_id, object_id, cast(a - coalesce(n, 0) as int) as area, round(score, 9) as aggregator_score
+  from ar left join worst using (object_id) left join tk using (object_id)
+  where a - coalesce(n, 0) > 0 and (coalesce(w, 0) <= 0.3::double * a or a - coalesce(n, 0) >= 0.5::double * a)""", PIXELS, True)

@@ -1477,3 +1477,68 @@ def benchmark_tile(spark, sf):
                                                 "num_preds")]
     return out.select("location", "product_name", "num_images", "num_truths", "num_preds",
                       *[r9(F.col(c), c) for c in kept])
+
+
+# --- masks instead of boxes: the same boxes as pixels -------------------------------------------------
+
+def _masked(spark, sf):
+    """Detections that have pixels, truths, and the runs of both."""
+    d = X.detections(spark, sf).filter("x1 > x0 and y1 > y0")
+    return d, X.truths(spark, sf), X.detection_runs(spark, sf).withColumnRenamed("y", "line"), \
+        X.runs(spark, sf).withColumnRenamed("y", "line")
+
+
+@query
+def nms_iou_masks(spark, sf):
+    d, _, runs, _ = _masked(spark, sf)
+    return suppression.nms(d, 0.5, runs=runs).select("product_id", "object_id")
+
+
+@query
+def greedy_match_masks(spark, sf):
+    d, t, d_runs, t_runs = _masked(spark, sf)
+    return matching.greedy_match(d, t, THRESHOLDS, runs=(d_runs, t_runs)).select(
+        "product_id", "iou_threshold", "object_id", "truth_id", r9(F.col("iou"), "iou"))
+
+
+@query
+def tile_level_segm(spark, sf):
+    d, t, d_runs, t_runs = _masked(spark, sf)
+    keys = ["product_id", "image_id", "category_id"]
+    dets = d.select("product_id", "image_id", F.col("detector_class").alias("category_id"),
+                    F.col("object_id").alias("det_id"), F.col("detector_score").alias("score"))
+    area = masks.mask_area(t_runs, ["product_id", "truth_id"])
+    truth = t.join(area, ["product_id", "truth_id"]).select(
+        *keys, F.col("truth_id").alias("gt_id"), "area", (F.col("truth_id") % 29 == 0).alias("iscrowd"))
+    runs = (d_runs.withColumnRenamed("object_id", "det_id").join(dets.select(*keys, "det_id"), ["product_id", "det_id"]),
+            t_runs.withColumnRenamed("truth_id", "gt_id").join(truth.select(*keys, "gt_id"), ["product_id", "gt_id"]))
+    out = coco_eval.tile_level(dets, truth, LIMITS, GSD, group=K, runs=runs)
+    kept = [c for c in out.columns if c not in ("product_id", "num_images", "num_truths", "num_preds")]
+    return out.select("product_id", "num_images", "num_truths", "num_preds", *[r9(F.col(c), c) for c in kept])
+
+
+@query
+def nms_grid_search_segm(spark, sf):
+    """All 20 by 20 pairs of thresholds, by masks."""
+    d, t, d_runs, t_runs = _masked(spark, sf)
+    out = grid_search.search_with_average(d, t, GSD, runs=(d_runs, t_runs))
+    return out.select("raster_name", "nms_iou", "nms_score", r9(F.col("precision"), "precision"),
+                      r9(F.col("recall"), "recall"), r9(F.col("f1"), "f1"), "num_truths", "num_preds",
+                      "num_images")
+
+
+def _with_runs(spark, sf):
+    d, _, runs, _ = _masked(spark, sf)
+    return stages.State(objects=X.with_tile(d).join(
+        masks.collect_runs(runs, ["product_id", "object_id"]), ["product_id", "object_id"]), product_name="given")
+
+
+@query
+def run_stages_segmentation(spark, sf):
+    """Aggregation of masks: equal ones suppressed by IoU, then shared pixels given to the stronger mask."""
+    weights = {"segmenter_score": 1.0}
+    plan = [stages.aggregator_stage(0.595, 0.5, weights),
+            stages.aggregator_stage(0.595, 0.3, weights, nms_algorithm="ioa-disambiguate")]
+    out = stages.run_stages(plan, _with_runs(spark, sf)).objects
+    area = F.aggregate("runs", F.lit(0), lambda s, r: s + (r["c1"] - r["c0"]))
+    return out.select("product_id", "object_id", area.alias("area"), r9(F.col("aggregator_score"), "aggregator_score"))
