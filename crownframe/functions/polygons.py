@@ -92,13 +92,6 @@ def even_odd_area(a: pd.Series) -> pd.Series:
     return pd.Series([shared_area(p) for p in a], dtype=float)
 
 
-@F.pandas_udf(T.DoubleType())
-def clipped_area(a: pd.Series, clip: pd.Series) -> pd.Series:
-    """Area of a polygon inside its clip ring (null: not clipped)."""
-    return pd.Series([shared_area(p) if c is None else shared_area(p, c)
-                      for p, c in zip(a, clip)], dtype=float)
-
-
 @F.pandas_udf(T.DoubleType())
 def clipped_inter_area(a: pd.Series, b: pd.Series, clip_a: pd.Series,
                        clip_b: pd.Series) -> pd.Series:
@@ -154,16 +147,22 @@ def _split_self_crossing(ring) -> list[list[float]]:
 def repair(rings: pd.Series) -> pd.Series:
     """Valid parts of a polygon (a list of polygons); empty when nothing with area is left.
 
-    A crossing outer ring is taken apart at its crossings; holes stay with a polygon that has only
-    one part.
+    A crossing outer ring is taken apart at its crossings; each hole stays with the part that holds most of it,
+    and holes outside all parts are dropped.
     """
     def fix(shape):
         if shape is None or len(shape) == 0 or len(shape[0]) < 6:
             return []
         parts = _split_self_crossing(shape[0])
+        holes = [list(h) for h in shape[1:] if len(h) >= 6]
         if len(parts) == 1:
-            return [[parts[0], *[list(h) for h in shape[1:] if len(h) >= 6]]]
-        return [[p] for p in parts]
+            return [[parts[0], *holes]]
+        fixed = [[p] for p in parts]
+        for h in holes:
+            common = [shared_area([p], [h]) for p in parts]
+            if parts and max(common) > 0:
+                fixed[common.index(max(common))].append(h)
+        return fixed
 
     return rings.map(fix)
 

@@ -10,10 +10,14 @@ from pyspark.sql import functions as F
 from crownframe.functions import boxes as B
 
 
+DIGITS = 13     # hexadecimal digits of the md5 of ids and seed that make a number: 52 bits
+
+
 def draw(seed: int, *ids: Column | str) -> Column:
-    """Uniform number in (0, 1), the same on every run and in any partitioning."""
-    bits = F.shiftrightunsigned(F.xxhash64(*ids, F.lit(seed)), 11)
-    return (bits.cast("double") + 0.5) / float(1 << 53)
+    """Uniform number in (0, 1), the same on every run, in any partitioning and on any engine with md5."""
+    text = F.concat_ws(":", *[(F.col(i) if isinstance(i, str) else i).cast("string") for i in ids], F.lit(str(seed)))
+    bits = F.conv(F.substring(F.md5(text), 1, DIGITS), 16, 10)
+    return (bits.cast("double") + 0.5) / float(1 << 4 * DIGITS)
 
 
 def normal(seed: int, *ids: Column | str) -> Column:

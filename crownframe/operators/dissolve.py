@@ -112,11 +112,6 @@ def overlay_union(a: DataFrame, b: DataFrame, a_id: str = "a_id", b_id: str = "b
         only_b, allowMissingColumns=True)
 
 
-def overlay_areas(pieces: DataFrame, a_id: str = "a_id", b_id: str = "b_id",
-                  keys: Sequence[str] = ("product_id",)) -> DataFrame:
-    return mask_area(pieces, [*keys, a_id, b_id])
-
-
 def disjoint_boxes(aoi: DataFrame, key: str = "product_id") -> DataFrame:
     """Cut overlapping AOI boxes into disjoint ones that cover the same ground.
 

@@ -134,23 +134,30 @@ def remove_category(images: DataFrame, annotations: DataFrame, categories: DataF
                     drop_empty: bool = False, source: Sequence[str] = ()) -> tuple:
     """Drop one category by name and close the gap in the ids: (images, annotations, categories).
 
-    Only images with annotations are visited, so images without any are lost; with `drop_empty`
-    also those left without annotations.
+    With `source` (the column of the document) each document has its own ids; else all share them. Only images
+    with annotations are visited, so images without any are lost; with `drop_empty` also those left
+    without annotations.
     """
-    found = categories.filter(F.col("name") == name).agg(F.min("id")).first()[0]
-    if found is None:
+    source = list(source)
+    ids = categories.filter(F.col("name") == name).groupBy(*source).agg(F.min("id").alias("_gone"))
+    found = ids.filter("_gone is not null").limit(1).collect()
+    if not found:
         raise ValueError(f"category {name!r} not found")
 
-    def shifted(column):
-        return F.when(F.col(column) > found, F.col(column) - 1).otherwise(F.col(column))
+    def known(df):
+        """With the removed id of the row's own document (null: it has none)."""
+        return df.join(ids, source, "left") if source else df.withColumn("_gone", F.lit(found[0]["_gone"]))
 
-    rest = annotations.filter(F.col("category_id") != found)
+    def closed(df, column):
+        kept = df.filter(F.col("_gone").isNull() | (F.col(column) != F.col("_gone")))
+        return kept.withColumn(column, F.when(F.col(column) > F.col("_gone"), F.col(column) - 1)
+                               .otherwise(F.col(column))).drop("_gone")
+
+    rest = closed(known(annotations), "category_id").select(*annotations.columns)
     visited = rest if drop_empty else annotations
     used = visited.select(*source, F.col("image_id").alias("id")).distinct()
     kept = images.join(used, [*source, "id"], "left_semi")
-    rest = rest.withColumn("category_id", shifted("category_id"))
-    cats = categories.filter(F.col("id") != found).withColumn("id", shifted("id"))
-    return kept, rest, cats
+    return kept, rest, closed(known(categories), "id").select(*categories.columns)
 
 
 def min_area_filter(annotations: DataFrame, min_area: float, area: str = "area",

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crownframe.functions.boxes import SIZE_LABELS
+from crownframe.operators.numbering import row_index
+from crownframe.session import cut
 
 # Score columns in the order in which one is looked for.
 SCORE_COLUMNS = ("score", "aggregator_score", "detector_score", "segmentation_score",
@@ -295,9 +297,22 @@ def mean_over_datasets(metrics: DataFrame, dataset_col: str = "location",
 
 
 def iou_stats(df: DataFrame, value: str = "iou", keys: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*keys).agg(
-        F.avg(value).alias("mean_iou"), F.median(value).alias("median_iou"),
-        F.stddev_pop(value).alias("std_iou"), F.count(value).alias("num_masks"))
+    """Mean, median, standard deviation and number of the values that aren't null.
+
+    The median is found by the values' ranks, so a group is never held in one task.
+    """
+    keys = list(keys)
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    sums = df.groupBy(*keys).agg(F.avg(value).alias("mean_iou"), F.stddev_pop(value).alias("std_iou"),
+                                 F.count(value).alias("num_masks"))
+    sums = cut(sums if keys else sums.withColumn("_one", F.lit(1)), "sums")
+    on = keys or ["_one"]
+    ranked = row_index(rows, keys, [F.col("_v")], "_n")
+    ranked = ranked if keys else ranked.withColumn("_one", F.lit(1))
+    middle = ranked.join(sums.select(*on, "num_masks"), on).filter(
+        (F.col("_n") >= F.floor((F.col("num_masks") - 1) / 2)) & (F.col("_n") <= F.floor(F.col("num_masks") / 2)))
+    median = middle.groupBy(*on).agg(F.avg("_v").alias("median_iou"))
+    return sums.join(median, on, "left").select(*keys, "mean_iou", "median_iou", "std_iou", "num_masks")
 
 
 def micro_f1(df: DataFrame, predicted: str = "classifier_class", actual: str = "true_class",

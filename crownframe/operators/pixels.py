@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crownframe.operators.masks import merge_intervals
+
 
 def _array(raw, bands: int, height: int, width: int, dtype: str = "uint8") -> np.ndarray:
     return np.frombuffer(raw, dtype=dtype).reshape(bands, height, width)
@@ -117,9 +119,11 @@ def crop_pixels(tiles: DataFrame, windows: DataFrame, key: str = "tile_path") ->
 def black_out(tiles: DataFrame, runs: DataFrame, key: str = "tile_path") -> DataFrame:
     """Set the pixels under the given row runs to zero in every band.
 
-    Runs of one tile are bounded by its pixels; they travel as one array next to the tile.
+    Runs that overlap are joined first, so those of one tile are bounded by its pixels; they travel as one
+    array next to the tile.
     """
-    lists = runs.groupBy(key).agg(F.collect_list(F.struct("line", "c0", "c1")).alias("_runs"))
+    merged = merge_intervals(runs.select(key, "line", "c0", "c1"), [key, "line"], "c0", "c1")
+    lists = merged.groupBy(key).agg(F.collect_list(F.struct("line", "c0", "c1")).alias("_runs"))
 
     @F.pandas_udf(T.BinaryType())
     def erase(pixels: pd.Series, bands: pd.Series, height: pd.Series, width: pd.Series,

@@ -43,6 +43,26 @@ def raster_table(predictions: DataFrame, truths: DataFrame, products: DataFrame,
     return named.unionByName(mean, allowMissingColumns=True).drop("dataset")
 
 
+def _by_settings(products: DataFrame, gsd: float, max_dets: Sequence[int]) -> list[tuple]:
+    """(products, gsd, max_dets) for each pair of settings in use. `products` may have columns `gsd` and
+    `max_dets` (an array), which belong to the dataset; a missing column or null means the given default."""
+    named = products.withColumns({
+        "_g": F.coalesce("gsd", F.lit(float(gsd))) if "gsd" in products.columns else F.lit(float(gsd)),
+        "_m": F.coalesce("max_dets", F.array(*map(F.lit, max_dets))) if "max_dets" in products.columns
+        else F.array(*map(F.lit, max_dets))})
+    settings = named.select("_g", "_m").distinct().collect()           # a few, chosen by hand per dataset
+    plain = products.drop("gsd", "max_dets").columns
+    return [(named.filter((F.col("_g") == g) & (F.col("_m") == F.array(*map(F.lit, m)))).select(*plain), g, list(m))
+            for g, m in sorted((r["_g"], tuple(r["_m"])) for r in settings)]
+
+
+def _stacked(tables: list[DataFrame]) -> DataFrame:
+    out = tables[0]
+    for more in tables[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    return out
+
+
 def benchmark(detections: DataFrame, aggregated: DataFrame, tile_truths: DataFrame,
               raster_truths: DataFrame, products: DataFrame, gsd: float,
               max_dets: Sequence[int] = (1, 10, 100, 400),
@@ -50,13 +70,21 @@ def benchmark(detections: DataFrame, aggregated: DataFrame, tile_truths: DataFra
               aoi: DataFrame | None = None, output: str | None = None) -> tuple:
     """(tile table, raster table); with `output` also as two CSV folders.
 
-    `detections` are scored per tile, `aggregated` are the merged objects of a raster. Rasters
-    without truth are absent from the raster table.
+    `detections` are scored per tile, `aggregated` are the merged objects of a raster. Ground resolution
+    and detection limits may differ by dataset (`gsd` and `max_dets` on `products`). Rasters
+    without truth, or with an `aoi` table without AOI, are absent from the raster table.
     """
-    tile = tile_table(detections, tile_truths, products, max_dets, gsd)
-    with_truth = raster_truths.select(KEY).distinct()
-    raster = raster_table(aggregated.join(with_truth, KEY, "left_semi"), raster_truths, products,
-                          gsd, thresholds, aoi)
+    measured = raster_truths.select(KEY).distinct()
+    if aoi is not None:
+        measured = measured.join(aoi.select(KEY).distinct(), KEY, "left_semi")
+    tiles, rasters = [], []
+    for some, size, limits in _by_settings(products, gsd, max_dets):
+        ours = some.select(KEY).distinct()
+        tiles.append(tile_table(*(df.join(ours, KEY, "left_semi") for df in (detections, tile_truths)), some, limits, size))
+        there = ours.join(measured, KEY, "left_semi")
+        rasters.append(raster_table(*(df.join(there, KEY, "left_semi") for df in (aggregated, raster_truths)),
+                                    some, size, thresholds, aoi))
+    tile, raster = _stacked(tiles), _stacked(rasters)
     if output:
         write_metrics(tile, f"{output}/tile_level_metrics")
         write_metrics(raster, f"{output}/raster_level_metrics")

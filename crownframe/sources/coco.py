@@ -61,23 +61,29 @@ def read_coco(spark: SparkSession, path: str | Sequence[str]) -> Coco:
 
 
 def read_coco_parts(spark: SparkSession, path: str) -> Coco:
-    """A folder written by `write_coco`, read line by line. `source_id` is the sub-folder value."""
+    """A folder written by `write_coco`, read line by line. `source_id` is the sub-folder value.
+
+    An element's outer keys tell its section: annotations have `image_id`, images `file_name` (written even if
+    null) and no `image_id`, and the others are categories.
+    """
     lines = spark.read.text(path)
     if "source_id" not in lines.columns:
         lines = lines.withColumn("source_id", F.lit(path))
     element = F.regexp_replace("value", "^,", "")
     rows = lines.filter(element.startswith('{"id"')).select("source_id", element.alias("_t"))
+    keys = F.json_object_keys("_t")
+    of_image, named = F.array_contains(keys, "image_id"), F.array_contains(keys, "file_name")
 
-    def section(schema, marker):
+    def section(schema, wanted):
         names = schema[len("struct<"):-1]
-        parsed = rows.filter(F.col("_t").contains(marker)).select(
+        parsed = rows.filter(wanted).select(
             "source_id", F.from_json("_t", f"struct<{names}>").alias("_e"))
         return parsed.select("source_id", "_e.*")
 
-    annotations = section(ANNOTATION, '"image_id"')
+    annotations = section(ANNOTATION, of_image)
     annotations = annotations.withColumns(segmentation_columns(F.col("segmentation"))).drop(
         "segmentation")
-    return Coco(section(IMAGE, '"file_name"'), annotations, section(CATEGORY, '"supercategory"'))
+    return Coco(section(IMAGE, named & ~of_image), annotations, section(CATEGORY, ~named & ~of_image))
 
 
 def coco_tables(objects: DataFrame, categories: DataFrame, tile_col: str = "tile_path",
@@ -117,7 +123,7 @@ def write_coco(coco: Coco, path: str, by_source: bool = False) -> None:
         columns += [c for c in df.columns if c not in (*columns, *keys)]
         columns = [F.col("rings").alias("segmentation") if c == "rings" else F.col(c)
                    for c in columns]
-        text = F.to_json(F.struct(*columns))
+        text = F.to_json(F.struct(*columns), {"ignoreNullFields": str(section == 1).lower()})
         if keys:
             firsts = df.groupBy(*keys).agg(F.min("id").alias("_first"))
             df = df.join(firsts, keys)

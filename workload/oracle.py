@@ -800,6 +800,31 @@ add("benchmark_tile", tile_level_sql("""unit as materialized (
     union all select distinct product_id, concat('set_', product_id % 2), 'average_over_rasters' from fx_truths)""",
     ["location", "product_name"]), DETECTIONS, True)
 
+# --- random changes: draws from the md5 of id and seed ----------------------------------------------
+
+def draw(ident, seed):
+    return f"((('0x' || substr(md5(concat({ident}, ':{seed}')), 1, 13))::bigint + 0.5::double) / {1 << 52}::double)"
+
+
+def normal(ident, seed):
+    return f"(sqrt(-2 * ln({draw(ident, seed)})) * cos(2 * pi() * {draw(ident, seed + 1_000_003)}))"
+
+
+add("drop_boxes", f"select object_id from fx_detections where {draw('object_id', 3)} >= 0.3::double", DETECTIONS)
+add("jitter_boxes", "select object_id, " + ", ".join(
+    f"round(least(greatest({c} + {normal('object_id', 24 + i)} * 0.1::double * ({s}), 0.0::double), 300.0::double), 6) as {c}"
+    for i, (c, s) in enumerate((("x0", "x1 - x0"), ("y0", "y1 - y0"), ("x1", "x1 - x0"), ("y1", "y1 - y0"))))
+    + " from fx_detections", DETECTIONS)
+add("random_square_crop", f""", w as materialized (select tile_path, s, cast(floor({draw('tile_path', 41)} * (256 - s + 1)) as bigint) as cx,
+      cast(floor({draw('tile_path', 42)} * (256 - s + 1)) as bigint) as cy
+    from (select tile_path, 64 + cast(floor({draw('tile_path', 40)} * 97) as bigint) as s
+      from (select distinct {tile()} as tile_path from fx_detections) q) q),
+  p as (select d.*, w.tile_path, cx, cy, greatest(x0, cx) as a0, greatest(y0, cy) as b0, least(x1, cx + s) as a1, least(y1, cy + s) as b1
+    from fx_detections d join w on w.tile_path = {tile()})
+  select object_id, image_id, tile_path, a0 - cx as x0, b0 - cy as y0, a1 - cx as x1, b1 - cy as y1 from p
+  where (x1 - x0) * (y1 - y0) > 0 and greatest(a1 - a0, 0) * greatest(b1 - b0, 0) > 0
+    and greatest(a1 - a0, 0) * greatest(b1 - b0, 0) / ((x1 - x0) * (y1 - y0)) >= 0.4::double""", DETECTIONS)
+
 # --- masks: every box as the pixels it touches, which is again a box -------------------------------
 
 _PX = "* replace (floor(x0) as x0, floor(y0) as y0, ceil(x1) as x1, ceil(y1) as y1)"

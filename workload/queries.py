@@ -1340,7 +1340,8 @@ def required_minus_available(spark, sf):
 @query
 def jitter_boxes(spark, sf):
     d = corners(X.detections(spark, sf), "object_id")
-    return augment.jitter_boxes(d, 0.1, F.lit(300.0), F.lit(300.0), seed=3)
+    out = augment.jitter_boxes(d, 0.1, F.lit(300.0), F.lit(300.0), seed=3)
+    return out.select("object_id", *[F.round(c, 6).alias(c) for c in B.BOX])
 
 
 @query
