@@ -186,3 +186,43 @@ def test_rgb_rules(spark):
     got = {(r["tile_path"], r["severity"]) for r in pixels.validate_rgb(df).collect()}
     assert got == {("grey", "error"), ("odd", "error")}
     assert {r["severity"] for r in pixels.validate_rgb(df, strict=False).filter("tile_path = 'odd'").collect()} == {"warning"}
+
+
+def test_repair_keeps_holes_of_split_polygons(spark):
+    """A bow tie with a hole in each wing, and one hole outside."""
+    bow = [0.0, 0.0, 10.0, 10.0, 10.0, 0.0, 0.0, 10.0]
+    left, right = [1.0, 4.0, 2.0, 4.0, 2.0, 6.0, 1.0, 6.0], [8.0, 4.0, 9.0, 4.0, 9.0, 6.0, 8.0, 6.0]
+    away = [50.0, 50.0, 51.0, 50.0, 51.0, 51.0]
+    df = spark.createDataFrame([([bow, left, right, away],)], "rings array<array<double>>")
+    parts = df.select(polygons.repair("rings").alias("p")).first()["p"]
+    assert sorted(len(p) for p in parts) == [2, 2]
+    for part in parts:
+        wing = 0 if min(part[0][::2]) < 1 else 1
+        assert part[1] == (left, right)[wing]
+
+
+def masked(spark, rows):
+    """Runs of boxes on whole numbers: (id, product, box, score)."""
+    runs = [(i, p, y, int(b[0]), int(b[2])) for i, p, b, _ in rows for y in range(int(b[1]), int(b[3]))]
+    return spark.createDataFrame(runs, "object_id bigint, product_id int, line int, c0 int, c1 int")
+
+
+def whole(rows):
+    return [(i, p, tuple(float(int(v)) for v in b), s) for i, p, b, s in rows]
+
+
+def test_suppression_and_matching_by_masks(spark):
+    """Masks that are boxes of whole pixels give what the boxes give; equal masks and empty ones are among them."""
+    from crownframe.operators import matching, suppression
+    from tests import brute
+    rows = whole(brute.boxes(120, seed=71, sizes=(2, 9)))
+    truths = whole(brute.boxes(80, seed=72, sizes=(2, 9)))
+    df, t = brute.frame(spark, rows), brute.frame(spark, truths, "truth_id", "s")
+    runs, t_runs = masked(spark, rows), masked(spark, truths).withColumnRenamed("object_id", "truth_id")
+    got = {r["object_id"] for r in suppression.nms(df, 0.3, runs=runs).collect()}
+    assert got == brute.nms(rows, 0.3)
+    kept = suppression.nms_grid(df, [0.2, 0.6, 1.0], runs=runs).collect()
+    for step in (0.2, 0.6, 1.0):
+        assert {r["object_id"] for r in kept if r["nms_iou"] == step} == (brute.nms(rows, step) if step < 1 else {r[0] for r in rows})
+    pairs = matching.greedy_match(df, t, [0.3], runs=(runs, t_runs)).collect()
+    assert {(r["object_id"], r["truth_id"]) for r in pairs} == set(brute.match(rows, truths, 0.3).items())

@@ -291,3 +291,41 @@ def test_empty_objects_are_not_written(spark, existing, tmp_path):
         assert geotables.write_objects(existing.limit(0), str(tmp_path), "final") is None
     with pytest.raises(ValueError):
         geotables.write_objects(existing, str(tmp_path), "other")
+
+
+def test_coco_parts_with_nulls_and_extra_attributes(spark, tmp_path):
+    """Sections are told apart by keys: a category without supercategory, an image without a name, an
+    annotation with an attribute called file_name."""
+    images = spark.createDataFrame([(1, "a.tif"), (2, None)], "id bigint, file_name string")
+    annotations = spark.createDataFrame(
+        [(5, 1, 7, [0.0, 0.0, 1.0, 1.0], 1.0, 0, "x")],
+        "id bigint, image_id bigint, category_id int, bbox array<double>, area double, iscrowd int, file_name string")
+    categories = spark.createDataFrame([(7, "oak", None), (8, None, "tree")], "id int, name string, supercategory string")
+    path = str(tmp_path / "doc")
+    coco.write_coco(coco.Coco(images, annotations, categories), path)
+    back = coco.read_coco_parts(spark, path)
+    assert sorted(r["id"] for r in back.images.collect()) == [1, 2]
+    assert [r["id"] for r in back.annotations.collect()] == [5]
+    assert sorted(r["id"] for r in back.categories.collect()) == [7, 8]
+
+
+def test_category_is_removed_by_each_document_s_own_id(spark):
+    cats = spark.createDataFrame([("p", 1, "oak"), ("p", 2, "elm"), ("q", 1, "elm"), ("q", 2, "oak"), ("r", 1, "fir")],
+                                 "source_id string, id int, name string")
+    ann = spark.createDataFrame([("p", 10, 1, 1), ("p", 11, 1, 2), ("q", 12, 1, 1), ("q", 13, 1, 2), ("r", 14, 1, 1)],
+                                "source_id string, id int, image_id int, category_id int")
+    images = ann.select("source_id", F.col("image_id").alias("id")).distinct()
+    _, rest, left = filters.remove_category(images, ann, cats, "oak", source=["source_id"])
+    assert {(r["id"], r["category_id"]) for r in rest.collect()} == {(11, 1), (12, 1), (14, 1)}
+    assert {(r["source_id"], r["id"], r["name"]) for r in left.collect()} == {("p", 1, "elm"), ("q", 1, "elm"), ("r", 1, "fir")}
+
+
+@pytest.mark.parametrize("values", [[3.0], [1.0, 4.0], [5.0, 1.0, 2.0], [1.0, 1.0, 9.0, 2.0, None]])
+def test_median_by_rank(spark, values):
+    from crownframe.operators import metrics
+    df = spark.createDataFrame([(v, "k") for v in values], "iou double, k string")
+    real = sorted(v for v in values if v is not None)
+    want = (real[(len(real) - 1) // 2] + real[len(real) // 2]) / 2
+    for keys in ([], ["k"]):
+        got = metrics.iou_stats(df, keys=keys).collect()
+        assert [(r["median_iou"], r["num_masks"]) for r in got] == [(want, len(real))]
