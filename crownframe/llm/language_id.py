@@ -30,7 +30,7 @@ from crownframe.llm.shared import ship, whole_text
 
 FEATURES, ORDERS, MOST_LABELS = 1 << 16, 3, 256
 #: Labelled rows that are fitted on, at most; smoothing; characters handled at a time.
-FIT_ROWS, ALPHA, STEP = 200_000, 0.5, 1 << 20
+FIT_ROWS, ALPHA, STEP = 200_000, 0.5, 1 << 18
 UNKNOWN = "und"
 #: Odd numbers for the hash of the first, second and third character.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
