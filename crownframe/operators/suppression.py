@@ -34,6 +34,13 @@ def _order(prefix: str = "") -> Column:
                     F.col(f"{prefix}id").alias("i"))
 
 
+def _before(a: str, b: str) -> Column:
+    """Whether the box of one prefix comes before that of the other; the same order, pair by pair."""
+    score, tie = (F.col(f"{a}score"), F.col(f"{b}score")), (F.col(f"{a}tie"), F.col(f"{b}tie"))
+    return (score[0] > score[1]) | ((score[0] == score[1]) & (
+        (tie[0] < tie[1]) | ((tie[0] == tie[1]) & (F.col(f"{a}id") < F.col(f"{b}id")))))
+
+
 def _minus(mask: Column, gone: Column) -> Column:
     """The bits of `mask` that aren't in `gone` (null: none)."""
     return mask.bitwiseAND(F.bitwise_not(F.coalesce(gone, F.lit(0).cast("long"))))
@@ -56,16 +63,21 @@ def _edges(strong: DataFrame, weak: DataFrame, keys: Sequence[str], levels: Sequ
            thresholds: Sequence[float]) -> DataFrame:
     """(keys, hi, lo, mask, hi_score, hi_tie): hi comes before lo and overlaps it by more than the
     thresholds in the mask, at which both are alive."""
-    before = _order("a_") < _order("b_")
-    pairs = bbox_join(strong, weak, keys, extra=before, left_levels=levels, right_levels=levels)
-    value = B.iou(B.box("a_"), B.box("b_"))
-    crossed = sum((F.when(F.col("_iou") > t, F.lit(1 << i)).otherwise(F.lit(0))
-                   for i, t in enumerate(thresholds)), F.lit(0).cast("long"))
-    pairs = pairs.withColumn("_iou", value).filter(F.col("_iou") > min(thresholds))
-    mask = crossed.cast("long").bitwiseAND(F.col("a_alive")).bitwiseAND(F.col("b_alive"))
-    return pairs.select(
-        *keys, F.col("a_id").alias("hi"), F.col("b_id").alias("lo"), mask.alias("mask"),
-        F.col("a_score").alias("hi_score"), F.col("a_tie").alias("hi_tie")).filter("mask != 0")
+    pairs = bbox_join(strong, weak, keys, extra=_before("a_", "b_"), left_levels=levels, right_levels=levels)
+    # The overlap is written before the mask is made of it: as one expression it would be worked out again for
+    # each threshold, in a join condition too long for the compiler.
+    pairs = cut(pairs.withColumn("iou", B.iou(B.box("a_"), B.box("b_"))).filter(F.col("iou") > min(thresholds)).select(
+        *keys, F.col("a_id").alias("hi"), F.col("b_id").alias("lo"), "iou",
+        F.col("a_alive").bitwiseAND(F.col("b_alive")).alias("_both"),
+        F.col("a_score").alias("hi_score"), F.col("a_tie").alias("hi_tie")), "pairs")
+    mask = _crossed(thresholds).bitwiseAND(F.col("_both"))
+    return pairs.select(*keys, "hi", "lo", mask.alias("mask"), "hi_score", "hi_tie").filter("mask != 0")
+
+
+def _crossed(thresholds: Sequence[float]) -> Column:
+    """The thresholds below the column `iou`, as bits."""
+    bits = [F.when(F.col("iou") > t, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, t in enumerate(thresholds)]
+    return sum(bits, F.lit(0).cast("long"))
 
 
 def _thin(nodes: DataFrame, thresholds: Sequence[float], keys: Sequence[str],
@@ -220,10 +232,8 @@ def kept_run_masks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thres
         node = live.select(*keys, F.col("id").alias(f"{side}_id"), F.col("score").alias(f"{side}_score"),
                            F.col("tie").alias(f"{side}_tie"))
         pairs = pairs.join(node, [*keys, f"{side}_id"])
-    ahead = _order("a_") < _order("b_")
-    crossed = sum((F.when(F.col("iou") > t, F.lit(1 << i)).otherwise(F.lit(0))
-                   for i, t in enumerate(thresholds)), F.lit(0).cast("long"))
-    edges = pairs.select(*keys, crossed.cast("long").alias("mask"), *[
+    ahead = _before("a_", "b_")
+    edges = pairs.select(*keys, _crossed(thresholds).alias("mask"), *[
         F.when(ahead, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(n)
         for c, n in (("id", "hi"), ("score", "hi_score"), ("tie", "hi_tie"))],
         F.when(ahead, F.col("b_id")).otherwise(F.col("a_id")).alias("lo"))
