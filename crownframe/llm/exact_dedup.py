@@ -25,7 +25,10 @@ PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProv
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": PROVIDER,
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "8",     # and its memory
+    "spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB": "4",     # and its memory
+    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
+    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "96",
+    "spark.sql.streaming.stateStore.unloadOnCommit": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",   # many small stores share a disk
 }
 

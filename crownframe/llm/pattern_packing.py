@@ -31,6 +31,8 @@ from crownframe.session import cut
 
 #: Bins of a sequence's length for the fit, and documents in a fitted pattern.
 BINS, MOST = 64, 3
+#: Words remembered by a worker; other operators of a pipeline need room beside it.
+REMEMBERED = 150_000
 
 Pattern = tuple[tuple[int, int], ...]      # (length, how many), longest first
 
@@ -202,7 +204,7 @@ def pieces(docs: DataFrame, carry: list[str], vocabulary: str = "word_bpe_49k.js
     schema = StructType(fields).add("ids", ArrayType(IntegerType())) if with_ids else StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary), np.array([end_id], "<u2").tobytes()
+        enc, end = encoder(vocabulary, remembered=REMEMBERED), np.array([end_id], "<u2").tobytes()
         for b in batches:
             source, piece, length, crc, ids = [], [], [], [], []
             for i, data in enumerate(enc.encode(b.column(len(carry)).to_pylist())):

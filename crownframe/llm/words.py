@@ -33,7 +33,8 @@ REMEMBERED, STEP = 400_000, 1 << 20
 class WordEncoder:
     """Ids of texts as little-endian bytes of `dtype`."""
 
-    def __init__(self, name: str, dtype: str = "<u2"):
+    def __init__(self, name: str, dtype: str = "<u2", remembered: int | None = None):
+        self.remembered = remembered or REMEMBERED
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark's tasks use the cores
         self.library = Tokenizer.from_file(public_tokenizers.path(name))
         self.library.encode_special_tokens = True
@@ -69,11 +70,11 @@ class WordEncoder:
         get = self.known.__getitem__
         for t, words in zip(texts, split):
             yield b"".join(map(get, words)) if words is not None else next(self._by_library([t]))
-        if len(self.known) > REMEMBERED:          # words seen early tend to be the frequent ones
-            self.known = dict(islice(self.known.items(), REMEMBERED // 2))
+        if len(self.known) > self.remembered:     # words seen early tend to be the frequent ones
+            self.known = dict(islice(self.known.items(), self.remembered // 2))
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(name: str, dtype: str = "<u2") -> WordEncoder:
+def encoder(name: str, dtype: str = "<u2", remembered: int | None = None) -> WordEncoder:
     """The worker's own encoder, kept between tasks."""
-    return WordEncoder(name, dtype)
+    return WordEncoder(name, dtype, remembered)
