@@ -40,18 +40,25 @@ BITS = 64
 STEP = 1 << 16
 
 
-def fingerprint(text: str, words_per_shingle: int = 3) -> int:
-    """The 64 bits of a text as a signed number."""
+def shingle_hashes(text: str, words_per_shingle: int) -> np.ndarray:
+    """The hashes of a text's word shingles, in order."""
     words = text.encode("utf-8", "surrogatepass").lower().split()   # bytes: A-Z and ASCII spaces only
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
     k = min(words_per_shingle, len(words))
     first, last = starts[: len(words) - k + 1].tolist(), ends[k - 1:].tolist()
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, map(slice, first, last)),
-                             repeat(42)), np.uint64, len(first))
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(joined.__getitem__, map(slice, first, last)),
+                           repeat(42)), np.uint64, len(first))
+
+
+def fingerprint(text: str, words_per_shingle: int = 3) -> int:
+    """The 64 bits of a text as a signed number."""
+    hashes = shingle_hashes(text, words_per_shingle)
+    if not len(hashes):
+        return 0
     ones = np.zeros(BITS, np.int64)
     for i in range(0, len(hashes), STEP):
         part = hashes[i:i + STEP].view(np.uint8).reshape(-1, 8)
@@ -245,6 +252,17 @@ def near_dups(docs: DataFrame, radius: int = 2, words_per_shingle: int = 3, shar
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def one_of_each(at: DataFrame, prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the located table `at` that come first in their component, of (__id, place, fp) and (fp, root)."""
+    place = F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"),
+                     F.col(FILE).alias("f"), F.col(ROW).alias("r"))
+    first = prints.groupBy("fp").agg(F.min(place).alias("first")).join(roots, "fp")
+    chosen = first.groupBy("root").agg(F.min("first").alias("first"))
+    stays = roots.join(chosen, "root").select("fp", "first")
+    gone = prints.join(stays, "fp").filter((F.col("first.f") != F.col(FILE)) | (F.col("first.r") != F.col(ROW)))
+    return without(at, gone)
+
+
 def keep_one(docs: DataFrame, radius: int = 2, words_per_shingle: int = 3, shard_size: int = 512,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one row of each component: that of the smallest doc_id (nulls last), then of
@@ -254,10 +272,4 @@ def keep_one(docs: DataFrame, radius: int = 2, words_per_shingle: int = 3, shard
                                         F.col(f"`{text_col}`").alias("text")),
                               ["__id", FILE, ROW], "text", words_per_shingle), "prints")
     roots = cut(grouped(prints.select("fp"), radius, shard_size), "roots")
-    place = F.struct(F.col("__id").isNull().alias("n"), F.col("__id").alias("i"),
-                     F.col(FILE).alias("f"), F.col(ROW).alias("r"))
-    first = prints.groupBy("fp").agg(F.min(place).alias("first")).join(roots, "fp")
-    chosen = first.groupBy("root").agg(F.min("first").alias("first"))
-    stays = roots.join(chosen, "root").select("fp", "first")
-    gone = prints.join(stays, "fp").filter((F.col("first.f") != F.col(FILE)) | (F.col("first.r") != F.col(ROW)))
-    return without(at, gone)
+    return one_of_each(at, prints, roots)
