@@ -3,7 +3,11 @@
 A tree builder reads the markup with HTML's implied tags (a paragraph ends where a block begins, a list
 item or table cell where the next one does, void elements have no content), and a renderer walks the tree as a
 screen reader would: what isn't shown (scripts, styles, templates, `hidden`, `display:none`,
-`visibility:hidden`, closed dialogs, hidden inputs) is left out and all other text is emitted. Blocks stand on
+`visibility:hidden`, closed dialogs, hidden inputs, passwords; sound, video and canvas, whose content is for browsers
+without them) is left out and all other text is emitted: formulas, labels of inline drawings, what stands in
+an object, marked `aria-hidden` or not, and the values of inputs (the placeholder if there is none). In formulas and
+drawings, names, descriptions, metadata, annotations, phantoms and definitions aren't shown, nor is text of a drawing
+outside its labels; a definition is shown where it is used (not one used within another). Blocks stand on
 lines of their own, with a blank line around those that have a margin; list items have bullets or numbers and
 are indented by depth; tables are grids with columns aligned to their widest cell, spans included;
 preformatted text keeps its spaces.
@@ -26,9 +30,18 @@ from pyspark.sql import functions as F
 from crownframe.llm.shared import ship, whole_text
 
 #: Element names by their role in HTML.
+#: Parts of drawings and formulas that aren't shown; elements whose text is apart from its neighbours'; HTML inside them.
+UNDRAWN = set("desc metadata defs symbol clippath mask pattern marker annotation annotation-xml mphantom".split())
+APART = set("text mfrac mtr mtd".split())
+INNER_HTML = set("foreignobject desc title mi mo mn ms mtext".split())
+#: Opening tags that end a drawing or formula.
+BREAKS_OUT = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing "
+                 "menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var".split())
+#: Inputs that show no value.
+NO_VALUE = set("hidden password checkbox radio range color file image".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("script style head title meta link base template noscript iframe object svg math audio video canvas "
+UNSEEN = set("script style head title meta link base template noscript iframe audio video canvas "
              "noembed noframes datalist".split())
 BLOCKS = set("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
              "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre "
@@ -53,16 +66,19 @@ TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
                    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
+UNDRAWN_STYLE = {"display": ("none",), "visibility": ("hidden", "collapse")}
+SELF_CLOSING = re.compile(r"(?<!/)/\s*\Z")
+OPEN_VALUE = re.compile(r"=\s*[^\s\"']*/\Z")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
 #: Nesting that is kept; tables wider than this in cells a row are written row by row, unaligned.
 DEEPEST, WIDEST = 200, 500
 
 
 class Node:
-    __slots__ = ("name", "attributes", "children")
+    __slots__ = ("name", "attributes", "children", "foreign")
 
-    def __init__(self, name: str, attributes: str = ""):
-        self.name, self.children = name, []
+    def __init__(self, name: str, attributes: str = "", foreign: str = ""):
+        self.name, self.children, self.foreign = name, [], foreign       # foreign: svg or math, of their own elements
         self.attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} \
             if attributes.strip(" \t\n\r\f/") else {}
 
@@ -70,7 +86,7 @@ class Node:
 def build(markup: str) -> Node:
     """The tree of a page; strings are children too."""
     root = Node("html")
-    open_, at = [root], 0
+    open_, at, uses = [root], 0, []
 
     def close(names: set[str], walls: set[str]) -> None:
         for i in range(len(open_) - 1, 0, -1):
@@ -87,15 +103,29 @@ def build(markup: str) -> Node:
             if len(open_) == n:
                 return
 
-    def text(piece: str) -> None:
-        if piece:
-            open_[-1].children.append(html.unescape(piece) if "&" in piece else piece)
+    def within() -> str:
+        top = open_[-1]
+        return "" if top.name in INNER_HTML else top.foreign
+
+    def text(piece: str, exact: bool = False) -> None:
+        if piece and (open_[-1].foreign != "svg" or labelled()):
+            open_[-1].children.append(html.unescape(piece) if "&" in piece and not exact else piece)
+
+    def labelled() -> bool:
+        for x in reversed(open_):
+            if x.name in ("text", "foreignobject") or x.foreign != "svg":
+                return True
+            if x.name == "svg":
+                return False
+        return True
 
     for m in iter(lambda: TOKEN.search(markup, at), None):
         text(markup[at:m.start()])
         at = m.end()
         name = m[2]
         if not name:
+            if within() and m[0].startswith("<![CDATA["):
+                text(m[0][9:].removesuffix("]]>"), exact=True)
             continue
         name = name.lower()
         if m[1]:
@@ -106,6 +136,23 @@ def build(markup: str) -> Node:
             else:
                 close({name}, ({"table", "html", "body", "template"} if name in TABLE_PARTS else WALLS) - {name})
             continue
+        kind = within()
+        if kind and name in BREAKS_OUT:
+            while within():
+                open_.pop()
+            kind = ""
+        if kind or name in ("svg", "math"):
+            node = Node(name, m[3], kind or name)
+            if name == "svg":
+                node.foreign = "svg"
+            if not kind and open_[-1].name == "head":
+                open_.pop()
+            open_[-1].children.append(node)
+            if name == "use":
+                uses.append(node)
+            if not (SELF_CLOSING.search(m[3]) and not OPEN_VALUE.search(m[3])) and len(open_) < DEEPEST:
+                open_.append(node)
+            continue
         if name in ("html", "body") and len(open_) > 1 and any(x.name == name for x in open_):
             continue
         if name in ENDS_P:
@@ -130,14 +177,39 @@ def build(markup: str) -> Node:
         elif name not in VOID and len(open_) < DEEPEST:
             open_.append(node)
     text(markup[at:])
+    if uses:
+        show_used(root, uses)
     return root
 
 
+def show_used(root: Node, uses: list[Node]) -> None:
+    """Put the parts of drawings that are used where they are used."""
+    named: dict[str, Node] = {}
+    waiting = [root]
+    while waiting:
+        node = waiting.pop()
+        if node.foreign and node.attributes.get("id"):
+            named.setdefault(node.attributes["id"], node)
+        waiting += [x for x in reversed(node.children) if not isinstance(x, str)]
+    for use in uses:
+        target = named.get((use.attributes.get("href") or use.attributes.get("xlink:href") or "").removeprefix("#"))
+        inside = [target] if target else []
+        for x in inside:
+            inside += [y for y in x.children if not isinstance(y, str)]
+        if target and not any(x.name == "use" for x in inside):
+            shown = Node(target.name if target.name not in UNDRAWN else "g", "", "svg")
+            shown.attributes = {k: v for k, v in target.attributes.items() if k != "id"}
+            shown.children = target.children
+            use.children = [shown]
+
+
 def hidden(node: Node) -> bool:
     a = node.attributes
     return (node.name in UNSEEN or "hidden" in a or bool(a.get("style") and HIDING.search(a["style"]))
-            or a.get("aria-hidden") == "true" or (node.name == "dialog" and "open" not in a)
-            or (node.name == "input" and a.get("type", "").lower() == "hidden"))
+            or (node.name == "dialog" and "open" not in a)
+            or (node.name == "input" and a.get("type", "").lower() == "hidden")
+            or bool(node.foreign and (node.name in UNDRAWN or any(
+                a.get(k, "").lower() in v for k, v in UNDRAWN_STYLE.items()))))
 
 
 class Page:
@@ -188,6 +260,8 @@ class Page:
 
 def render(node: Node, page: Page, exact: bool = False) -> None:
     for child in node.children:
+        if node.name == "mfrac":
+            page.add(" ", False)
         if isinstance(child, str):
             page.add(child, exact)
         elif hidden(child):
@@ -200,8 +274,20 @@ def render(node: Node, page: Page, exact: bool = False) -> None:
             if child.attributes.get("alt"):
                 page.add(child.attributes["alt"], False)
         elif child.name == "input":
-            if child.attributes.get("value") and child.attributes.get("type", "").lower() in ("submit", "button", "reset"):
-                page.add(child.attributes["value"], False)
+            kind, value = child.attributes.get("type", "").lower(), child.attributes.get("value")
+            if kind in ("submit", "button", "reset"):
+                page.add(value or "", False)
+            elif kind == "image":
+                page.add(child.attributes.get("alt") or "", False)
+            elif kind not in NO_VALUE:
+                page.add(f" {value or child.attributes.get('placeholder') or ''} ", False)
+            elif kind == "password" and not value:
+                page.add(f" {child.attributes.get('placeholder') or ''} ", False)
+        elif child.foreign and (child.name in APART or child.attributes.get("display") == "block"):
+            apart = child.attributes.get("display") == "block" and child.name == "math"
+            page.block(1) if apart else page.add(" ", False)
+            render(child, page, exact)
+            page.block(1) if apart else page.add(" ", False)
         elif child.name == "table":
             page.block(2)
             page.put(table(child))
@@ -216,6 +302,8 @@ def render(node: Node, page: Page, exact: bool = False) -> None:
             render(child, page, exact or child.name == "pre")
             page.block(gap)
             page.indent -= deeper
+        elif child.name == "textarea" and not any(child.children):
+            page.add(f" {child.attributes.get('placeholder') or ''} ", False)
         else:
             render(child, page, exact or child.name == "textarea")
 
