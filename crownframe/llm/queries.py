@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownframe.llm import (arc_to_warc, byte_bpe, exact_dedup, html_text, language_id, metric_tree, pattern_packing,
-                            separator_scan, simhash_trees, token_store)
+from crownframe.llm import (arc_to_warc, byte_bpe, exact_dedup, fill_middle, html_text, language_id, metric_tree,
+                            pattern_packing, separator_scan, simhash_trees, spelling_variants, token_store)
 from crownframe.llm.shared import table
 
 
@@ -54,9 +54,18 @@ def op10_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return byte_bpe.round_trip(table(spark, sf, "documents"))
 
 
+def op11_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    return fill_middle.digests(table(spark, sf, "documents"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
+    return spelling_variants.variants(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_store, op2_exact_dedup, op3_separator_scan, op4_language_id, op5_html_text, op6_arc_to_warc,
-    op7_simhash_trees, op8_metric_tree, op9_pattern_packing, op10_byte_bpe)}
+    op7_simhash_trees, op8_metric_tree, op9_pattern_packing, op10_byte_bpe, op11_fill_middle,
+    op12_spelling_variants)}
 
 ORACLE = {
     "op2_exact_dedup": """
@@ -81,4 +90,22 @@ ORACLE = {
               from v q, v c where q.vec_id % 100 = 0 and c.vec_id <> q.vec_id),
         r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from s)
         select query_id, rank, vec_id, score from r where rank <= 10""",
+    "op11_fill_middle": r"""
+        with d as (select doc_id, coalesce(text, '') as text, sha256('42:' || doc_id) as h from documents),
+        t as (select *, regexp_extract_all(text, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') as tokens,
+                     ('0x' || h[1:8])::bigint as h1, ('0x' || h[9:16])::bigint as h2,
+                     ('0x' || h[17:24])::bigint as h3, ('0x' || h[25:32])::bigint as h4 from d),
+        c as (select *, len(tokens) as n, least(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as a,
+                     greatest(h1 % (len(tokens) + 1), h2 % (len(tokens) + 1)) as b,
+                     case when text = '' or h3 % 100 >= 50 or contains(text, '<P>') or contains(text, '<S>')
+                               or contains(text, '<M>') then 'plain'
+                          when h4 % 100 < 80 then 'spm' else 'psm' end as form from t),
+        p as (select *, array_to_string(tokens[1:a], '') as prefix, array_to_string(tokens[a + 1:b], '') as middle,
+                     array_to_string(tokens[b + 1:], '') as suffix from c)
+        select doc_id, n, form, case when form <> 'plain' then length(prefix) end as prefix_chars,
+               case when form <> 'plain' then length(middle) end as middle_chars,
+               sha256(case form when 'plain' then text when 'psm' then '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                      else '<S>' || suffix || '<P>' || prefix || '<M>' || middle end) as output_sha256,
+               sha256(text) as restored_sha256
+        from p""",
 }
