@@ -1,319 +1,53 @@
-"""Near copies by the exact Jaccard similarity of five-word shingles.
+"""Near copies for the pipeline: SimHash groups first, then every link at a Jaccard similarity of 0.8.
 
-Two documents are linked if their sets of shingles have a Jaccard similarity of at least 4/5, and a group is
-a connected component of links. No link is missed and none is made below that.
-
-Fingerprints can't find these links: at 4/5 they differ in about ten of 64 bits and in up to 17, and trees or parts
-of the bits no longer tell anything at that radius. Instead, shingles are put in one order, and each document is
-listed under its first ones: two sets of similarity 4/5 share one of the first n - ceil(4 n / 5) + 1 at least, by
-any order. The order puts shingles that are frequent in a sample of the documents last, most frequent at the
-end, so repeated lines seldom bring documents together. Pairs listed under one shingle are compared by 16 bits of each
-shingle first, which count what both have or more, and those that may be similar are compared whole.
-
-Where more than `CROWD` sets are listed under a shingle, they are compared with `PIVOTS` of them first. After
-that only sets outside the largest component of the crowd are compared with all that aren't in theirs, as links
-within a component change nothing. So a crowd of copies costs a few comparisons each; a crowd of sets that
-share their rarest shingles but aren't similar is still compared in pairs.
+Fingerprints of five-word shingles are grouped by the BK-trees of `simhash_trees`, and each document is compared
+with one of its group. That settles the closest copies. It can't find them all: at a similarity of 0.8 fingerprints differ
+in about ten of 64 bits, a radius at which neither trees nor parts of the bits tell documents apart. So documents that share
+a band of their MinHash signatures are compared too (`jaccard_groups`), with 40 bands of 4: a pair at 0.8 shares
+none with probability 7e-10. Links are made by exact similarity alone, so no document goes for its fingerprint.
 
 Defined results: words are those of `simhash_trees`; fewer words than a shingle make one shingle of them all;
-null and wordless texts are copies of each other. Equal sets are one by a 64-bit hash of the set.
+null and wordless texts are copies of each other; repeated rows are copies; columns of any name pass through; an empty
+table stays empty.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crownframe.llm.shared import FILE, ROW, bounded, located, ship, whole_text
-from crownframe.llm.simhash_trees import components, one_of_each, shingle_hashes
+from crownframe.llm import simhash_trees
+from crownframe.llm.circulant_minhash import different_sets, listings
+from crownframe.llm.jaccard_groups import Rule, grouped
+from crownframe.llm.shared import located, ship
 from crownframe.session import cut, release
 
-WORDS = 5
-#: Documents whose shingles are counted, about; frequent shingles that are put last, at most, and their least count.
-SAMPLE, LISTED, FREQUENT = 20_000, 1 << 17, 3
-CROWD, PIVOTS = 8, 4
-#: Tasks that one set's comparisons are dealt to; rows and bytes handed on at a time.
-SALT, STEP, STEP_BYTES = 32, 1 << 16, 1 << 24
-
-
-def shingle_set(text: str) -> np.ndarray:
-    """The different shingles in ascending order."""
-    return np.unique(shingle_hashes(text, WORDS)).view(np.int64)
-
-
-def node_of(shingles: np.ndarray) -> int:
-    return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), 42)).view(np.int64))
-
-
-def similar(shared, n, m):
-    """Whether sets of n and m shingles, `shared` of them in both, have a similarity of 4/5 or more."""
-    return 9 * shared >= 4 * (n + m)
-
-
-def prefix(shingles: np.ndarray, listed: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The first shingles by the common order; `listed` is ascending."""
-    n = len(shingles)
-    if not n:
-        return shingles
-    often = np.zeros(n, np.int64)
-    if len(listed):
-        at = np.minimum(np.searchsorted(listed, shingles), len(listed) - 1)
-        often = np.where(listed[at] == shingles, counts[at], 0)
-    return shingles[np.argsort(often, kind="stable")[:n - (4 * n + 4) // 5 + 1]]
-
-
-def _sample(docs: DataFrame, text_col: str) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent shingles of a sample, ascending, and their counts."""
-    share = SAMPLE / max(SAMPLE, docs.count())
-    some = docs.filter(F.pmod(F.xxhash64(FILE, ROW), F.lit(1 << 30)) < int((1 << 30) * share))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t in b.column(0).to_pylist():
-                s = shingle_set(t)
-                for i in range(0, len(s), STEP):
-                    yield pa.RecordBatch.from_arrays([pa.array(s[i:i + STEP])], names=["x"])
-
-    found = (some.select(whole_text(f"`{text_col}`").alias("text")).mapInArrow(run, "x long").groupBy("x")
-             .agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= FREQUENT)
-             .orderBy(F.desc("n"), "x").limit(LISTED).toArrow())
-    x, n = np.asarray(found["x"]), np.asarray(found["n"])
-    order = np.argsort(x)
-    return x[order], n[order]
-
-
-def listings(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per document of a located table: __id, its place, node, n and the array `first`."""
-    sent = docs.sparkSession.sparkContext.broadcast(_sample(docs, text_col))       # LISTED numbers at most
-    rows = docs.select(F.col(f"`{id_col}`").alias("__id"), FILE, ROW, whole_text(f"`{text_col}`").alias("__text"))
-    kind = rows.schema["__id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        listed, counts = sent.value
-        for b in batches:
-            nodes, sizes, first, start, held = [], [], [], 0, 0
-            for i, t in enumerate(b.column(3).to_pylist()):
-                s = shingle_set(t)
-                nodes.append(node_of(s))
-                sizes.append(len(s))
-                first.append(prefix(s, listed, counts))
-                held += first[-1].nbytes
-                if held >= STEP_BYTES or i == b.num_rows - 1:
-                    ends = np.cumsum([0, *map(len, first)], dtype=np.int32)
-                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(first)))
-                    part = b.slice(start, len(nodes))
-                    yield pa.RecordBatch.from_arrays(
-                        [*part.columns[:3], pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), lists],
-                        names=["__id", FILE, ROW, "node", "n", "first"])
-                    nodes, sizes, first, start, held = [], [], [], i + 1, 0
-
-    return rows.mapInArrow(run, f"__id {kind}, {FILE} string, {ROW} long, node long, n int, first array<long>")
-
-
-def _possible(n: np.ndarray, pos: np.ndarray, i, j) -> np.ndarray:
-    """Whether i and j can be similar if the shingle they are listed under is the first they share."""
-    return similar(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i], n[j])
-
-
-def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
-    """Rows sorted by their first column, in pieces that hold whole groups of it."""
-    rest = None
-    for b in batches:
-        if not b.num_rows:
-            continue
-        new = [np.asarray(c) for c in b.columns]
-        if rest is not None and rest[0][0][0] != new[0][0]:
-            yield [np.concatenate(c) for c in zip(*rest)]
-            rest = None
-        last = int(np.searchsorted(new[0], new[0][-1]))
-        if last and rest is not None:
-            rest.append([c[:last] for c in new])
-            yield [np.concatenate(c) for c in zip(*rest)]
-            rest = None
-        elif last:
-            yield [c[:last] for c in new]
-        rest = [*(rest or []), [c[last:] for c in new]]     # the last group may go on
-    if rest:
-        yield [np.concatenate(c) for c in zip(*rest)]
-
-
-def _bounds(x: np.ndarray) -> Iterator[tuple[int, int]]:
-    starts = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-    ends = np.append(starts[1:], len(x))
-    more = ends - starts > 1
-    yield from zip(starts[more].tolist(), ends[more].tolist())
-
-
-class _Rows:
-    """Columns of numbers, handed on when there are many."""
-
-    def __init__(self, names: list[str]):
-        self.names, self.parts, self.n = names, [], 0
-
-    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
-        self.parts.append(columns)
-        self.n += len(columns[0])
-        if self.n >= STEP:
-            yield from self.all()
-
-    def all(self) -> Iterator[pa.RecordBatch]:
-        if self.n:
-            whole = [np.concatenate(c) for c in zip(*self.parts)]
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in whole], names=self.names)
-        self.parts, self.n = [], 0
-
-
-def first_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (x, node, n, pos) by x and node: pairs (0, a, b, 0, 0), a < b, of small groups and with the pivots of
-    crowds, and the crowds' members (1, x, node, n, pos)."""
-    out = _Rows(["crowd", "a", "b", "n", "pos"])
-    for x, node, n, pos in _groups(batches):
-        for start, end in _bounds(x):
-            own = slice(start, end)
-            fresh = np.concatenate(([True], node[own][1:] != node[own][:-1]))      # equal sets once
-            v, size, at = node[own][fresh], n[own][fresh], pos[own][fresh]
-            m = len(v)
-            if m < 2:
-                continue
-            if m > CROWD:
-                full = np.full(m, x[start])
-                yield from out.add(np.ones(m, np.int64), full, v, size, at)
-            for i in range(min(m - 1, m if m <= CROWD else PIVOTS)):
-                j = np.arange(i + 1, m)
-                j = j[_possible(size, at, i, j)]
-                zero = np.zeros(len(j), np.int64)
-                yield from out.add(zero, np.full(len(j), v[i]), v[j], zero, zero)
-    yield from out.all()
-
-
-def other_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From (x, node, n, pos, root) by x and node: pairs of which one is outside its crowd's largest component."""
-    out = _Rows(["a", "b"])
-    for x, node, n, pos, root in _groups(batches):
-        for start, end in _bounds(x):
-            v, size, at, of = (c[start:end] for c in (node, n, pos, root))
-            names, count = np.unique(of, return_counts=True)
-            outside = of != names[count.argmax()]
-            for i in np.flatnonzero(outside).tolist():
-                j = np.flatnonzero((of != of[i]) & (~outside | (np.arange(len(v)) > i)))
-                j = j[_possible(size, at, i, j)]
-                yield from out.add(np.minimum(v[i], v[j]), np.maximum(v[i], v[j]))
-    yield from out.all()
-
-
-def shortened(shingles: np.ndarray) -> np.ndarray:
-    """The upper 16 bits of each shingle; those of both sets are as many as their shared shingles at least."""
-    return (shingles.view(np.uint64) >> np.uint64(48)).astype(np.uint16)
-
-
-def numbered(short: np.ndarray) -> np.ndarray:
-    """Different numbers for ascending ones that repeat: the n-th of a kind always gets the same."""
-    at = np.arange(len(short))
-    new = np.concatenate(([True], short[1:] != short[:-1]))[:len(short)]
-    return short + ((at - np.maximum.accumulate(np.where(new, at, 0))) << 16)
-
-
-def _sets(docs: DataFrame, text_col: str, short: bool) -> DataFrame:
-    """node, s: the shingles, shortened or whole, as bytes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def batch(nodes: list[int], sets: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())],
-                                              names=["node", "s"])
-        for b in batches:
-            nodes, sets, held = [], [], 0
-            for t in b.column(0).to_pylist():
-                s = shingle_set(t)
-                nodes.append(node_of(s))
-                sets.append((shortened(s) if short else s).tobytes())
-                held += len(sets[-1])
-                if held >= STEP_BYTES:
-                    yield batch(nodes, sets)
-                    nodes, sets, held = [], [], 0
-            yield batch(nodes, sets)
-
-    return docs.select(whole_text(f"`{text_col}`").alias("t")).mapInArrow(run, "node long, s binary")
-
-
-def compared(pairs: DataFrame, sets: DataFrame, short: bool) -> DataFrame:
-    """The pairs (a, b) whose sets are similar, or may be if they are shortened."""
-    dealt = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALT)))
-    right = dealt.join(sets.withColumnRenamed("node", "b"), "b").select("a", "salt", "b", "s")
-    left = dealt.select("a", "salt").distinct().join(sets.withColumnRenamed("node", "a"), "a").select(
-        "a", "salt", F.lit(None).cast("long").alias("b"), "s")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = None
-        for batch in batches:
-            found = []
-            for p, q, s in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
-                s = np.frombuffer(s.as_buffer(), np.uint16 if short else np.int64)
-                s = numbered(s) if short else s
-                if q is None:
-                    one = s.copy()
-                elif similar(len(np.intersect1d(one, s, assume_unique=True)), len(one), len(s)):
-                    found.append((p, q))
-            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)],
-                                             names=["a", "b"])
-
-    meet = left.unionByName(right).repartition("a", "salt").sortWithinPartitions(
-        "a", "salt", F.col("b").asc_nulls_first())
-    return meet.mapInArrow(run, "a long, b long")
-
-
-def _ends(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node")))
-
-
-def _at(docs: DataFrame, places: DataFrame) -> DataFrame:
-    return docs.join(bounded(places.select(FILE, ROW), 200), [FILE, ROW], "left_semi")
-
-
-def linked(pairs: DataFrame, short: DataFrame, docs: DataFrame, places: DataFrame, text_col: str) -> DataFrame:
-    """The pairs (u, v) whose whole sets are similar."""
-    likely = cut(compared(pairs, short, True), "likely")
-    some = cut(places.join(_ends(likely).distinct(), "node", "left_semi"), "likely-places")
-    sets = cut(_sets(_at(docs, some), text_col, False), "whole-sets")
-    links = cut(compared(likely, sets, False).select(F.col("b").alias("u"), F.col("a").alias("v")), "links")
-    release(sets, some, likely)
-    return links
+RULE, BANDS = Rule(5, 80), 40
+#: Stands for the set of wordless texts.
+EMPTY = 0
 
 
-def grouped(docs: DataFrame, lists: DataFrame, text_col: str) -> DataFrame:
-    """(node, root) for each node; `root` stands for its component."""
-    rows = lists.select("node", "n", F.posexplode("first").alias("pos", "x"))
-    near = rows.select("x", "node", "n", "pos").repartition("x").sortWithinPartitions("x", "node")
-    met = cut(near.mapInArrow(first_pairs, "crowd long, a long, b long, n long, pos long"), "met")
-    pairs = cut(met.filter("crowd = 0").select("a", "b").distinct(), "pairs")
-    crowds = met.filter("crowd = 1").select(F.col("a").alias("x"), F.col("b").alias("node"), "n", "pos")
-    asked = _ends(pairs).unionByName(crowds.select("node")).distinct()
-    places = lists.join(asked, "node", "left_semi").groupBy("node").agg(F.min(F.struct(FILE, ROW)).alias("at"))
-    places = cut(places.select("node", f"at.{FILE}", f"at.{ROW}"), "places")
-    short = cut(_sets(_at(docs, places), text_col, True), "short-sets")
-    links = linked(pairs, short, docs, places, text_col)
-    star = components(links)
-    if not crowds.isEmpty():
-        of = star.withColumnRenamed("u", "node")
-        known = crowds.join(of, "node", "left").select("x", "node", "n", "pos", F.coalesce("root", "node").alias("root"))
-        other = (known.repartition("x").sortWithinPartitions("x", "node")
-                 .mapInArrow(other_pairs, "a long, b long").distinct().join(pairs, ["a", "b"], "left_anti"))
-        star = components(links.unionByName(linked(cut(other, "other-pairs"), short, docs, places, text_col)))
-    release(met, pairs, places, short)
-    nodes = lists.select("node").distinct()
-    return nodes.join(star.withColumnRenamed("u", "node"), "node", "left").select(
-        "node", F.coalesce("root", "node").alias("root"))
+def fingerprint_pairs(nodes: DataFrame, radius: int) -> DataFrame:
+    """(a, b): each node with the first of its fingerprint's group."""
+    roots = simhash_trees.grouped(nodes.select("fp"), radius)
+    of = nodes.select("node", "fp").join(roots, "fp").select("node", "root")
+    first = of.groupBy("root").agg(F.min("node").alias("pivot"))
+    return of.join(first, "root").filter("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one(docs: DataFrame, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents with one row of each component: that of the smallest doc_id (nulls last), then of
     the first file and position."""
     ship(docs.sparkSession)
     at = located(docs)
-    lists = cut(listings(at, id_col, text_col), "listings")
-    roots = cut(grouped(at, lists, text_col), "roots")
-    return one_of_each(at, lists.select("__id", FILE, ROW, F.col("node").alias("fp")),
-                       roots.withColumnRenamed("node", "fp"))
+    lists = cut(listings(at, id_col, text_col, RULE.words, BANDS, prints=True), "listings")
+    nodes = cut(different_sets(lists), "nodes")
+    also = cut(fingerprint_pairs(nodes, radius), "fingerprint-pairs")
+    roots = grouped(at, nodes, text_col, RULE, also)
+    if not lists.filter("node is null").isEmpty():
+        roots = roots.unionByName(lists.select(F.lit(EMPTY).cast("long").alias("node"),
+                                               F.lit(EMPTY).cast("long").alias("root")).limit(1))
+    roots = cut(roots, "roots")
+    release(nodes, also)
+    prints = lists.withColumn("fp", F.coalesce("node", F.lit(EMPTY).cast("long"))).drop("node", "n", "keys")
+    return simhash_trees.one_of_each(at, prints, roots.withColumnRenamed("node", "fp"))

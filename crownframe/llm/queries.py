@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crownframe.llm import (arc_to_warc, byte_bpe, exact_dedup, fill_middle, html_text, language_id, metric_tree,
+from crownframe.llm import (arc_to_warc, byte_bpe, circulant_minhash, exact_dedup, fill_middle, html_text, language_id, metric_tree,
                             pattern_packing, separator_scan, simhash_trees, spelling_variants, token_store)
 from crownframe.llm.shared import table
 
@@ -62,10 +62,14 @@ def op12_spelling_variants(spark: SparkSession, sf: str) -> DataFrame:
     return spelling_variants.variants(table(spark, sf, "documents"))
 
 
+def op13_minhash_near_dups(spark: SparkSession, sf: str) -> DataFrame:
+    return circulant_minhash.near_dups(table(spark, sf, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_token_store, op2_exact_dedup, op3_separator_scan, op4_language_id, op5_html_text, op6_arc_to_warc,
     op7_simhash_trees, op8_metric_tree, op9_pattern_packing, op10_byte_bpe, op11_fill_middle,
-    op12_spelling_variants)}
+    op12_spelling_variants, op13_minhash_near_dups)}
 
 ORACLE = {
     "op2_exact_dedup": """

@@ -56,7 +56,11 @@ def shingle_hashes(text: str, words_per_shingle: int) -> np.ndarray:
 
 def fingerprint(text: str, words_per_shingle: int = 3) -> int:
     """The 64 bits of a text as a signed number."""
-    hashes = shingle_hashes(text, words_per_shingle)
+    return fingerprint_of(shingle_hashes(text, words_per_shingle))
+
+
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The same of the shingles' hashes."""
     if not len(hashes):
         return 0
     ones = np.zeros(BITS, np.int64)

@@ -71,11 +71,9 @@ def test_planted_copies_are_found(spark):
         assert a in kept and (b in kept) == (v < 0.8), v
 
 
-@pytest.mark.parametrize("listed", [True, False])
-def test_crowds_are_linked_as_by_all_pairs(spark, monkeypatch, listed):
+@pytest.mark.parametrize("radius", [0, 2])
+def test_crowds_are_linked_as_by_all_pairs(spark, radius):
     """Copies in chains and crowds, lines that many share, and rows without words."""
-    if not listed:
-        monkeypatch.setattr(near_copies, "LISTED", 0)
     rng, texts = random.Random(9), [None, "", " \n", "one two", "ONE  two", "one two three"]
     line = [f"line{i}" for i in range(150)]
     for _ in range(4):
@@ -86,7 +84,7 @@ def test_crowds_are_linked_as_by_all_pairs(spark, monkeypatch, listed):
         texts += [" ".join([*line, *[f"v{rng.randrange(10**6)}" for _ in range(n)]]) for n in (25, 35, 50, 60, 80)]
     rng.shuffle(texts)
     rows = list(enumerate(texts))
-    kept = sorted(r.doc_id for r in near_copies.keep_one(frame(spark, rows)).collect())
+    kept = sorted(r.doc_id for r in near_copies.keep_one(frame(spark, rows), radius).collect())
     assert kept == plain_kept(rows) and len(kept) < len(rows)
 
 

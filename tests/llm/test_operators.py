@@ -19,6 +19,7 @@ from crownframe.llm.shared import open_input
 from tests import compare
 from tests.conftest import SMALL
 from tests.llm.test_functions import clusters, plain_components, plain_fingerprint
+from tests.llm.test_near_copies import plain_kept
 
 LONG = " ".join(f"word{i % 977} and{i % 13}" for i in range(40_000))
 #: Null ids and texts, empty and very long texts, ties and repeated rows.
@@ -349,8 +350,8 @@ def plain_pipeline(spark, docs):
     for i, t in rows:
         last[t] = max(last.get(t, i), i)
     rows = [(i, t) for i, t in rows if last[t] == i]
-    near = {i: c for i, _, c in plain_near(rows)}
-    return sorted((i, t) for i, t in rows if near[i] == i)
+    kept = set(plain_kept(rows))                 # five-word shingles, Jaccard 0.8
+    return sorted((i, t) for i, t in rows if i in kept)
 
 
 def test_pipeline(spark, docs):
