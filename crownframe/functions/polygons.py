@@ -7,97 +7,47 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from crownframe.functions import sweep
+
 # Types as objects, so workers can import this module without a session.
 _RINGS = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 
 def _segments(rings) -> np.ndarray:
     """Non-horizontal edges as rows (x_low, y_low, x_high, y_high)."""
-    found = []
-    for ring in rings if rings is not None else ():
-        p = np.asarray(ring, dtype=float).reshape(-1, 2)
-        if len(p) >= 3:
-            found.append(np.hstack([p, np.roll(p, -1, axis=0)]))
-    if not found:
-        return np.empty((0, 4))
-    s = np.vstack(found)
-    s = s[s[:, 1] != s[:, 3]]
-    down = s[:, 1] > s[:, 3]
-    s[down] = s[down][:, [2, 3, 0, 1]]
-    return s
-
-
-def _crossing_heights(s: np.ndarray) -> np.ndarray:
-    """Heights at which two edges cross."""
-    if len(s) < 2:
-        return np.empty(0)
-    d = s[:, 2:] - s[:, :2]
-    p = s[:, None, :2] - s[None, :, :2]
-    cross = d[:, None, 0] * d[None, :, 1] - d[:, None, 1] * d[None, :, 0]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (d[None, :, 0] * p[..., 1] - d[None, :, 1] * p[..., 0]) / cross
-        u = (d[:, None, 0] * p[..., 1] - d[:, None, 1] * p[..., 0]) / cross
-    hit = (cross != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-    return (s[:, None, 1] + t * d[:, None, 1])[hit]
-
-
-def _spans(s: np.ndarray, low: float, high: float):
-    """Inside of one shape between two heights free of corners: pairs of (x at low, x at high)."""
-    live = s[(s[:, 1] <= low) & (s[:, 3] >= high)]
-    if len(live) == 0:
-        return np.empty((0, 2)), np.empty((0, 2))
-    slope = (live[:, 2] - live[:, 0]) / (live[:, 3] - live[:, 1])
-    a = live[:, 0] + (low - live[:, 1]) * slope
-    b = live[:, 0] + (high - live[:, 1]) * slope
-    order = np.argsort(a + b, kind="stable")
-    ends = np.column_stack([a, b])[order]
-    return ends[0::2], ends[1::2]
+    return sweep.segments(_array([rings]), 0).xy
+
+
+def _array(shapes) -> pa.Array:
+    return pa.array([None if s is None else [np.asarray(r, float) for r in s] for s in shapes],
+                    pa.list_(pa.list_(pa.float64())))
 
 
 def shared_area(*shapes) -> float:
-    """Area common to all shapes: cut at every corner and crossing, add up trapezoids."""
-    segs = [_segments(s) for s in shapes]
-    if any(len(s) == 0 for s in segs):
-        return 0.0
-    heights = np.unique(np.concatenate(
-        [np.vstack(segs)[:, [1, 3]].ravel(), _crossing_heights(np.vstack(segs))]))
-    low = max(s[:, 1].min() for s in segs)
-    high = min(s[:, 3].max() for s in segs)
-    heights = heights[(heights >= low) & (heights <= high)]
-    total = 0.0
-    for y0, y1 in zip(heights[:-1], heights[1:]):
-        left, right = _spans(segs[0], y0, y1)
-        for s in segs[1:]:
-            other_left, other_right = _spans(s, y0, y1)
-            lo = np.maximum(left[:, None, :], other_left[None, :, :]).reshape(-1, 2)
-            hi = np.minimum(right[:, None, :], other_right[None, :, :]).reshape(-1, 2)
-            keep = (hi - lo).sum(axis=1) > 0
-            left, right = lo[keep], hi[keep]
-        if len(left):
-            total += float(np.maximum(right - left, 0).sum()) * (y1 - y0) / 2
-    return total
-
-
-@F.pandas_udf(T.DoubleType())
-def polygon_inter_area(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([shared_area(p, q) for p, q in zip(a, b)], dtype=float)
-
-
-@F.pandas_udf(T.DoubleType())
-def even_odd_area(a: pd.Series) -> pd.Series:
-    return pd.Series([shared_area(p) for p in a], dtype=float)
-
-
-@F.pandas_udf(T.DoubleType())
-def clipped_inter_area(a: pd.Series, b: pd.Series, clip_a: pd.Series,
-                       clip_b: pd.Series) -> pd.Series:
+    """Area common to all shapes."""
+    return float(sweep.shared_areas(1, [_array([s]) for s in shapes])[0])
+
+
+@F.arrow_udf(T.DoubleType())
+def polygon_inter_area(a: pa.Array, b: pa.Array) -> pa.Array:
+    return pa.array(sweep.shared_areas(len(a), [a, b]))
+
+
+@F.arrow_udf(T.DoubleType())
+def even_odd_area(a: pa.Array) -> pa.Array:
+    return pa.array(sweep.shared_areas(len(a), [a]))
+
+
+@F.arrow_udf(T.DoubleType())
+def clipped_inter_area(a: pa.Array, b: pa.Array, clip_a: pa.Array, clip_b: pa.Array) -> pa.Array:
     """Common area of two polygons, each inside its own clip ring (null: not clipped)."""
-    return pd.Series([shared_area(*[s for s in shapes if s is not None])
-                      for shapes in zip(a, b, clip_a, clip_b)], dtype=float)
+    return pa.array(sweep.shared_areas(len(a), [a, b, clip_a, clip_b], optional=(2, 3)))
 
 
 def iou_from(inter: Column, area_a: Column, area_b: Column) -> Column:
@@ -106,28 +56,12 @@ def iou_from(inter: Column, area_a: Column, area_b: Column) -> Column:
     return F.when(union > 0, inter / F.when(union > 0, union)).otherwise(0.0)
 
 
-def _split_self_crossing(ring) -> list[list[float]]:
-    """Loops of a ring, cut where two of its edges cross; loops without area are left out."""
-    pts = [tuple(p) for p in np.asarray(ring, dtype=float).reshape(-1, 2)]
-    n = len(pts)
-    hits: list[list[tuple[float, tuple[float, float]]]] = [[] for _ in range(n)]
-    for i in range(n):
-        (ax, ay), (bx, by) = pts[i], pts[(i + 1) % n]
-        for j in range(i + 1, n):
-            (cx, cy), (dx, dy) = pts[j], pts[(j + 1) % n]
-            den = (bx - ax) * (dy - cy) - (by - ay) * (dx - cx)
-            if den == 0:
-                continue
-            t = ((cx - ax) * (dy - cy) - (cy - ay) * (dx - cx)) / den
-            u = ((cx - ax) * (by - ay) - (cy - ay) * (bx - ax)) / den
-            if 0 < t < 1 and 0 < u < 1:
-                at = (ax + t * (bx - ax), ay + t * (by - ay))
-                hits[i].append((t, at))
-                hits[j].append((u, at))
+def _loops(pts: list[tuple[float, float]], hits: dict[int, list]) -> list[list[float]]:
+    """Loops of a ring, cut at the crossings `hits` of its edges; loops without area are left out."""
     path: list[tuple[float, float]] = []
-    for i in range(n):
-        path.append(pts[i])
-        path += [at for _, at in sorted(hits[i])]
+    for i, p in enumerate(pts):
+        path.append(p)
+        path += [at for _, at in sorted(hits.get(i, ()))]
     loops, stack, seen = [], [], {}
     for p in [*path, path[0]]:
         if p in seen:
@@ -143,39 +77,65 @@ def _split_self_crossing(ring) -> list[list[float]]:
     return [loop for loop in loops if shared_area([loop]) > 0]
 
 
-@F.pandas_udf(T.ArrayType(_RINGS))
-def repair(rings: pd.Series) -> pd.Series:
+def _crossings_of(rings: pa.Array) -> dict[int, dict[int, list]]:
+    """Per row and edge of the outer rings: (share, point) of each crossing."""
+    row, _, s = sweep.ring_edges(rings)
+    first = np.searchsorted(row, row)                    # rows are in order
+    found: dict[int, dict[int, list]] = {}
+    for i, j, t, u in sweep.crossings(row, s):
+        at = s[i, :2] + t[:, None] * (s[i, 2:] - s[i, :2])
+        for k, a, b, p, v, w in zip(row[i].tolist(), (i - first[i]).tolist(), (j - first[j]).tolist(),
+                                    map(tuple, at.tolist()), t.tolist(), u.tolist()):
+            hits = found.setdefault(k, {})
+            hits.setdefault(a, []).append((v, p))
+            hits.setdefault(b, []).append((w, p))
+    return found
+
+
+@F.arrow_udf(T.ArrayType(_RINGS))
+def repair(rings: pa.Array) -> pa.Array:
     """Valid parts of a polygon (a list of polygons); empty when nothing with area is left.
 
     A crossing outer ring is taken apart at its crossings; each hole stays with the part that holds most of it,
-    and holes outside all parts are dropped.
+    and holes outside all parts are dropped. All crossings of a batch are found in one sweep.
     """
-    def fix(shape):
-        if shape is None or len(shape) == 0 or len(shape[0]) < 6:
-            return []
-        parts = _split_self_crossing(shape[0])
-        holes = [list(h) for h in shape[1:] if len(h) >= 6]
-        if len(parts) == 1:
-            return [[parts[0], *holes]]
+    shapes = rings.to_pylist()
+    outer = pa.array([s[:1] if s and len(s[0]) >= 6 else [] for s in shapes], pa.list_(pa.list_(pa.float64())))
+    crossed, whole = _crossings_of(outer), sweep.shared_areas(len(shapes), [outer])
+    out = []
+    for k, shape in enumerate(shapes):
+        if not shape or len(shape[0]) < 6:
+            out.append([])
+            continue
+        pts = list(zip(shape[0][0::2], shape[0][1::2]))
+        if k in crossed or len(set(pts)) < len(pts):
+            parts = _loops(pts, crossed.get(k, {}))
+        else:
+            parts = [shape[0]] if whole[k] > 0 else []
+        holes = [h for h in shape[1:] if len(h) >= 6]
         fixed = [[p] for p in parts]
-        for h in holes:
-            common = [shared_area([p], [h]) for p in parts]
-            if parts and max(common) > 0:
-                fixed[common.index(max(common))].append(h)
-        return fixed
-
-    return rings.map(fix)
-
-
-@F.pandas_udf(_RINGS)
-def largest_part(parts: pd.Series) -> pd.Series:
+        if len(parts) == 1:
+            fixed[0] += holes
+        elif parts:
+            for h in holes:
+                common = [shared_area([p], [h]) for p in parts]
+                if max(common) > 0:
+                    fixed[common.index(max(common))].append(h)
+        out.append(fixed)
+    return pa.array(out, pa.list_(pa.list_(pa.list_(pa.float64()))))
+
+
+@F.arrow_udf(_RINGS)
+def largest_part(parts: pa.Array) -> pa.Array:
     """The part with the largest area, null when there is none."""
-    def pick(shapes):
-        if shapes is None or len(shapes) == 0:
-            return None
-        return max(shapes, key=lambda s: shared_area(s))
-
-    return parts.map(pick)
+    row = np.asarray(pc.list_parent_indices(parts))
+    shapes = parts.flatten()
+    area = sweep.shared_areas(len(shapes), [shapes])
+    best = np.lexsort((-np.arange(len(row)), area, row))       # of equal ones the first
+    last = np.flatnonzero(np.append(row[best][1:] != row[best][:-1], True))[:len(row)]
+    chosen = np.full(len(parts), -1)
+    chosen[row[best[last]]] = best[last]
+    return shapes.take(pa.array(chosen, mask=chosen < 0))
 
 
 def _simplify_ring(ring, tolerance: float) -> list[float]:

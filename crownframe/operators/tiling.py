@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
+from crownframe.operators.fragments import aoi_package
 from crownframe.operators.numbering import row_index
 from crownframe.operators.spatial_join import bbox_join
 
@@ -114,8 +115,8 @@ def aoi_split(tiles: DataFrame, mode: str | None = None, aoi: DataFrame | None =
     """Name the AOI of each tile in a column `aoi`.
 
     No mode: the whole raster is `infer`. `generate`: horizontal bands as (name, share, position),
-    a tile belongs to the band that holds its centre. `package`: `aoi` has keys, `aoi` and a box;
-    a tile gets one row per AOI box that it overlaps.
+    a tile belongs to the band that holds its centre. `package`: `aoi` has keys, `aoi` and a box or
+    `rings`; a tile gets one row per AOI that it shares ground with.
     """
     if mode is None:
         return tiles.withColumn("aoi", F.lit("infer"))
@@ -132,8 +133,10 @@ def aoi_split(tiles: DataFrame, mode: str | None = None, aoi: DataFrame | None =
         return tiles.withColumn("aoi", name).filter(F.col("aoi").isNotNull())
     if mode == "package":
         if aoi is None:
-            raise ValueError("mode 'package' needs AOI boxes")
+            raise ValueError("mode 'package' needs AOI boxes or polygons")
         keys = list(keys)
+        if "rings" in aoi.columns:
+            return aoi_package(tiles, aoi, keys)
         hits = bbox_join(_tile_boxes(tiles, keys), aoi.select(*keys, "aoi", *B.BOX), keys)
         names = hits.select(*keys, F.col("a_col").alias("col"), F.col("a_row").alias("row"),
                             F.col("b_aoi").alias("aoi")).distinct()

@@ -12,6 +12,7 @@ from crownframe.functions import rings as R
 from crownframe.functions.polygons import even_odd_area, polygon_inter_area
 from crownframe.operators import metrics
 from crownframe.operators.dissolve import disjoint_boxes
+from crownframe.operators.fragments import aoi_polygon_filter
 from crownframe.operators.matching import greedy_match
 from crownframe.operators.numbering import reassign_duplicates
 from crownframe.operators.spatial_join import aoi_filter, bbox_join, to_pixel_space
@@ -50,16 +51,26 @@ def _clip_polygons(objects: DataFrame, aoi: DataFrame, id_col: str, min_frac: fl
 def prepare(predictions: DataFrame, truths: DataFrame, gsd: float, aoi: DataFrame | None = None,
             iou_type: str = "bbox", min_frac: float = 0.4, pred_id: str = "object_id",
             truth_id: str = "truth_id") -> tuple[DataFrame, DataFrame]:
-    """Both tables inside the AOI, in pixels, with `_area` and a `size_label`."""
+    """Both tables inside the AOI, in pixels, with `_area` and a `size_label`.
+
+    `aoi` has boxes, or `aoi` and `rings`, polygons that don't overlap each other.
+    """
     if iou_type not in ("bbox", "segm"):
         raise ValueError(f"unknown IoU type {iou_type!r}, expected 'bbox' or 'segm'")
-    if aoi is not None:
+    polygons = aoi is not None and "rings" in aoi.columns
+    if polygons and iou_type == "bbox":
+        # A box inside an irregular AOI is no box any more.
+        predictions, truths = (df.withColumn("rings", R.box_ring(*B.box())) for df in (predictions, truths))
+        iou_type = "segm"
+    if aoi is not None and not polygons:
         aoi = disjoint_boxes(aoi)
     out = []
     for df, ident in ((predictions, pred_id), (truths, truth_id)):
         if iou_type == "segm":
             df = df.withColumns(R.envelope(F.col("rings")))
-            if aoi is not None:
+            if polygons:
+                df = _unique_ids(cut(aoi_polygon_filter(df, aoi, ident, min_frac, [KEY]), "aoi"), ident)
+            elif aoi is not None:
                 df = _unique_ids(cut(_clip_polygons(df, aoi, ident, min_frac), "aoi"), ident)
             else:
                 df = df.withColumns({"clip": F.lit(None).cast(R.RINGS),
@@ -90,7 +101,7 @@ def raster_counts(predictions: DataFrame, truths: DataFrame, gsd: float,
     p = cut(p, "predictions")
     t = cut(t, "truths")
     matches = greedy_match(p, t, thresholds, score, [KEY], "size_label", pred_id, truth_id,
-                           shape_cols=SHAPE if iou_type == "segm" else ())
+                           shape_cols=SHAPE if "clip" in p.columns else ())
     return metrics.count_matches(matches, p, t, thresholds, [KEY], "size_label")
 
 
