@@ -19,11 +19,14 @@ from pyspark.sql import types as T
 from crownframe.functions import boxes as B
 from crownframe.functions import rings as R
 from crownframe.functions import sweep
-from crownframe.operators.spatial_join import HIGHEST, LOWEST, bbox_join, cell_side, grid_level
+from crownframe.functions.polygons import even_odd_area
+from crownframe.operators.spatial_join import LOWEST, bbox_join, cell_side, grid_level
 from crownframe.session import cut
 
 #: Edges that a cell may hold before it is cut again, and levels a cell of a polygon's border is cut in any case.
 EDGES, DEPTH = 32, 3
+#: A share this little below the least one counts as equal to it: shares of polygons are sums of rounded parts.
+ROUNDING = 1e-9
 _EDGES = T.ArrayType(T.DoubleType())
 
 
@@ -142,14 +145,10 @@ def aoi_polygon_filter(objects: DataFrame, aoi: DataFrame, id_col: str, min_frac
     """
     keys = list(keys)
     parts = cut(aoi_parts(objects, aoi, id_col, keys, aoi_id), "aoi-parts")
-    if "rings" in objects.columns:
-        from crownframe.functions.polygons import even_odd_area
-        size = even_odd_area("rings")
-    else:
-        size = B.area(B.box())
+    size = even_odd_area("rings") if "rings" in objects.columns else B.area(B.box())
     whole = objects.select(*keys, id_col, size.alias("_own")).filter("_own > 0")
     inside = parts.groupBy(*keys, id_col).agg(F.sum("area").alias("_in")).join(whole, [*keys, id_col]).filter(
-        F.col("_in") / F.col("_own") >= min_frac).select(*keys, id_col)
+        F.col("_in") / F.col("_own") >= min_frac - ROUNDING).select(*keys, id_col)
     kept = parts.join(inside, [*keys, id_col], "left_semi").withColumnRenamed("area", "_area")
     rest = objects.drop(*B.BOX, aoi_id)
     return kept.join(rest, [*keys, id_col])

@@ -82,6 +82,11 @@ def labeled_tiles(objects: DataFrame, tiles: DataFrame, id_col: str = "object_id
         (crop["x0"] - b[0]).alias("x0"), (crop["y0"] - b[1]).alias("y0"),
         (crop["x1"] - b[0]).alias("x1"), (crop["y1"] - b[1]).alias("y1"),
         B.inter_area(a, b).alias("area"))
+    return _numbered(tiles, labels, id_col, keys, keep_unlabeled)
+
+
+def _numbered(tiles: DataFrame, labels: DataFrame, id_col: str, keys: list[str],
+              keep_unlabeled: bool) -> tuple[DataFrame, DataFrame]:
     place = [*keys, "row", "col"]
     kept = tiles if keep_unlabeled else tiles.join(
         labels.select(*place).distinct(), place, "left_semi")
@@ -91,6 +96,46 @@ def labeled_tiles(objects: DataFrame, tiles: DataFrame, id_col: str = "object_id
     return kept, labels
 
 
+def _tiles_of(low: Column, high: Column, length: Column, size: int, step: int) -> Column:
+    """Indexes of the tiles of `tile_grid` along one axis that share pixels low to high (excluded)."""
+    last = F.greatest(F.ceil((length - size) / step), F.lit(0)).cast("int")
+    first = F.greatest(F.floor((low - size) / step) + 1, F.lit(0)).cast("int")
+    upto = F.least(F.floor((high - 1) / step), last - 1).cast("int")
+    end = F.greatest(length - size, F.lit(0))                  # where the last tile starts
+    regular = F.when(first <= upto, F.sequence(first, upto)).otherwise(F.array().cast("array<int>"))
+    return F.concat(regular, F.when((high > end) & (low < end + size), F.array(last)).otherwise(F.array().cast("array<int>")))
+
+
+def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap: float,
+                       id_col: str = "object_id", min_ratio: float = 0.4, keys: Sequence[str] = ("product_id",),
+                       keep_unlabeled: bool = False) -> tuple[DataFrame, DataFrame]:
+    """`labeled_tiles` for masks: labels where at least `min_ratio` of the mask's pixels are in the tile.
+
+    `runs` are keys, id, line, c0, c1 without overlap within a mask; `rasters` have keys, width and height. The tiles are
+    those of `tile_grid`. Each run finds its tiles by arithmetic, so nothing is joined in space. Labels have the mask
+    cropped and shifted (`runs`: line, c0, c1 in order), its tight box x0..y1 and its pixels as `area`.
+    """
+    keys = list(keys)
+    step = grid_step(size, overlap)
+    parts = runs.filter("c1 > c0 and c0 >= 0 and line >= 0").join(rasters.select(*keys, "width", "height"), keys)
+    line, width, height = F.col("line"), F.col("width"), F.col("height")
+    parts = parts.filter((line < height) & (F.col("c0") < width)).withColumn("c1", F.least("c1", width))
+    parts = parts.withColumn("row", F.explode(_tiles_of(line, line + 1, height, size, step)))
+    parts = parts.withColumn("col", F.explode(_tiles_of(F.col("c0"), F.col("c1"), width, size, step)))
+    left, top = (F.greatest(F.least(F.col(i) * step, length - size), F.lit(0)).cast("int")
+                 for i, length in (("col", width), ("row", height)))
+    parts = parts.select(*keys, id_col, "row", "col", (line - top).cast("int").alias("line"),
+                         F.greatest(F.col("c0") - left, F.lit(0)).cast("int").alias("c0"),
+                         F.least(F.col("c1") - left, F.lit(size)).cast("int").alias("c1"))
+    whole = runs.filter("c1 > c0").groupBy(*keys, id_col).agg(F.sum(F.col("c1") - F.col("c0")).alias("_all"))
+    inside = parts.groupBy(*keys, id_col, "row", "col").agg(
+        F.sum(F.col("c1") - F.col("c0")).alias("area"), F.min("c0").alias("x0"), F.min("line").alias("y0"),
+        F.max("c1").alias("x1"), (F.max("line") + 1).alias("y1"),
+        F.array_sort(F.collect_list(F.struct("line", "c0", "c1"))).alias("runs"))      # a tile's pixels at most
+    labels = inside.join(whole, [*keys, id_col]).filter(F.col("area") >= min_ratio * F.col("_all")).drop("_all")
+    return _numbered(tile_grid(rasters, size, overlap), labels, id_col, keys, keep_unlabeled)
+
+
 def polygon_tiles(objects: DataFrame, size: int | None = None, buffer: int = 5) -> DataFrame:
     """One square window per object, centred on its box.
 

@@ -390,6 +390,18 @@ add("labeled_tiles", f""", b as (select product_id, col, row, px0 as x0, py0 as
     from (select distinct product_id, row, col from l) q)
   select row_number() over (order by product_id, row, col, object_id) as label_id, tile_id, product_id, row, col, object_id,
     x0, y0, x1, y1, area from l join t using (product_id, row, col)""", f"{TRUTHS}, {TILES}")
+add("labeled_tiles_masks", """, b as (select p.product_id, c.v as col, r.v as row, least(c.v * 64, 172) as px0, least(r.v * 64, 172) as py0
+    from (select distinct product_id from fx_truths) p, range(4) c(v), range(4) r(v)),
+  n as (select truth_id, sum(c1 - c0) as pixels from fx_runs group by 1),
+  i as (select product_id, row, col, truth_id as object_id, line - py0 as line, greatest(c0 - px0, 0) as c0, least(c1 - px0, 128) as c1
+    from fx_runs join b using (product_id) where line >= py0 and line < py0 + 128 and c0 < px0 + 128 and c1 > px0),
+  l as (select product_id, row, col, object_id, min(c0) as x0, min(line) as y0, max(c1) as x1, max(line) + 1 as y1, sum(c1 - c0) as area,
+      string_agg(concat(line, ':', c0, ':', c1), ',' order by line, c0) as mask from i group by 1, 2, 3, 4),
+  k as (select l.* from l join n on truth_id = object_id where area >= 0.4::double * pixels),
+  t as (select product_id, row, col, row_number() over (order by product_id, row, col) as tile_id
+    from (select distinct product_id, row, col from k) q)
+  select row_number() over (order by product_id, row, col, object_id) as label_id, tile_id, product_id, row, col, object_id,
+    x0, y0, x1, y1, area, mask from k join t using (product_id, row, col)""", f"{TRUTHS}, {ROW_RUNS}")
 add("polygon_tiles", """, s as (select truth_id, (x0+x1)/2 as cx, (y0+y1)/2 as cy, ceil(greatest(x1-x0, y1-y0)) + 10 as side from fx_truths)
   select truth_id, floor(cx - side/2) as px0, floor(cy - side/2) as py0, floor(cx - side/2) + side as px1, floor(cy - side/2) + side as py1 from s""")
 add("aoi_split", """select product_id, col, row, case when (py0+py1)/2/320 < 0.5 then 'train' when (py0+py1)/2/320 < 0.75 then 'valid'
@@ -415,6 +427,31 @@ def clipped(table, ident, name):
 
 
 add("aoi_filter", f", {clipped('fx_detections', 'object_id', 'd')} select * from d_cl", f"{DETECTIONS}, {AOI}")
+
+
+def half(x, y):
+    """Ground right of x and above y under the line x + y = 200."""
+    return f"power(greatest(200 - greatest({x}, 0) - greatest({y}, 0), 0), 2) / 2"
+
+
+def triangle(x0="x0", y0="y0", x1="x1", y1="y1"):
+    return f"({half(x0, y0)} - {half(x1, y0)} - {half(x0, y1)} + {half(x1, y1)})"
+
+
+def within(bounds):
+    return "(" + " * ".join(f"greatest(least({c}1, {hi}) - greatest({c}0, {lo}), 0)" for c, lo, hi in bounds) + ")"
+
+
+_FRAME = f"({within((('x', 204, 268), ('y', 10, 250)))} - {within((('x', 220, 240), ('y', 60, 200)))})"
+add("aoi_polygons", f""", s as (select product_id, object_id, (x1 - x0) * (y1 - y0) as whole, {triangle()} as t, {_FRAME} as f
+    from fx_detections where x1 > x0 and y1 > y0)
+  select product_id, object_id, k.v as aoi, round(case k.v when 'frame' then f else t end, 6) as area
+  from s, (values ('frame'), ('triangle')) k(v) where (t + f) / whole >= 0.4::double - 1e-9::double
+    and case k.v when 'frame' then f else t end > 0""", DETECTIONS)
+_TILE_BOX = ("px0", "py0", "px1", "py1")
+add("aoi_package_polygons", f"""select product_id, col, row, k.v as aoi from (select *, {triangle(*_TILE_BOX)} as t, {_FRAME} as f
+    from (select *, px0 as x0, py0 as y0, px1 as x1, py1 as y1 from fx_tiles) q) s, (values ('frame'), ('triangle')) k(v)
+  where case k.v when 'frame' then f else t end > 0""", f"{TRUTHS}, {TILES}")
 add("attribute_merge", """select object_id, detector_score, x0, y0, x1, y1,
     case when object_id % 3 <> 0 then detector_score / 2 end as classifier_score from fx_detections""", DETECTIONS)
 add("geometry_merge", """, t as (select object_id as src, x0 + k.v as x0, y0, x1 + k.v as x1, y1, cast(k.v as int) as tile, detector_score,
@@ -717,6 +754,9 @@ add("overlay_union", f""", {_DISSOLVED},
     from (select distinct product_id from fx_truths) p, range(300) l(v), range(256) x(v) where x.v % 128 < 64)
   select product_id, coalesce(c, -1) as a_id, coalesce(b_id, -1) as b_id, count(*) as area
   from px full join bp using (product_id, line, x) group by 1, 2, 3""", f"{TRUTHS}, {ROW_RUNS}", True)
+add("dissolve_polygons", f""", {_DISSOLVED}
+  select product_id, c as component, count(*) as area, count(*) as ring_area from px group by 1, 2""", f"{TRUTHS}, {ROW_RUNS}", True)
+ORACLE["overlay_polygons"] = f"select *, area as ring_area from ({ORACLE['overlay_union']}) q"
 add("threshold_dedup", """select product_id, string_agg(format('{:.2f}', s), ',' order by s) as label
   from (select distinct product_id, detector_score as s from fx_detections) q group by 1""", DETECTIONS)
 add("parse_iou_spec", """select truth_id, case truth_id % 3 when 0 then '50:95' when 1 then '0.5,0.65' else '0.75' end as spec,

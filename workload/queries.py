@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from crownframe.functions import boxes as B
 from crownframe.functions import geodesy, names, polygons, rle
 from crownframe.functions import rings as R
-from crownframe.operators import augment, coco_eval, dissolve, filters, masks, matching, merging
-from crownframe.operators import metrics, numbering, pixels, scoring, spatial_join, suppression, tiling
+from crownframe.operators import augment, coco_eval, dissolve, filters, fragments, masks, matching, merging
+from crownframe.operators import metrics, numbering, pixels, polygon_layers, scoring, spatial_join, suppression, tiling
 from crownframe.plans import benchmark as bench_plan
 from crownframe.plans import grid_search, prepare_segmentation, raster_level, stages
 from crownframe.session import cut, scratch_path
@@ -891,6 +891,17 @@ def labeled_tiles(spark, sf):
     return labels.select("label_id", "tile_id", "product_id", "row", "col", "object_id", *B.BOX, "area")
 
 
+@query
+def labeled_tiles_masks(spark, sf):
+    """Masks in tiles of 128 pixels on rasters of 300 x 300; the last tiles are moved back."""
+    runs = X.runs(spark, sf).select("product_id", F.col("truth_id").alias("object_id"), F.col("y").alias("line"), "c0", "c1")
+    rasters = runs.select("product_id").distinct().withColumns({"width": F.lit(300), "height": F.lit(300)})
+    _, labels = tiling.labeled_tile_masks(runs, rasters, 128, 0.5)
+    lines = F.transform("runs", lambda r: F.concat_ws(":", *[r[c].cast("string") for c in ("line", "c0", "c1")]))
+    return labels.select("label_id", "tile_id", "product_id", "row", "col", "object_id", *B.BOX, "area",
+                         F.array_join(lines, ",").alias("mask"))
+
+
 @query
 def polygon_tiles(spark, sf):
     return tiling.polygon_tiles(X.truths(spark, sf)).select("truth_id", "px0", "py0", "px1", "py1")
@@ -946,6 +957,29 @@ def aoi_filter(spark, sf):
     return spatial_join.aoi_filter(d, _aoi(spark, sf), "object_id")
 
 
+def _aoi_polygons(spark, sf):
+    """A triangle and a frame per raster."""
+    triangle = [[0.0, 0.0, 200.0, 0.0, 0.0, 200.0]]
+    frame = [[204.0, 10.0, 268.0, 10.0, 268.0, 250.0, 204.0, 250.0], [220.0, 60.0, 240.0, 60.0, 240.0, 200.0, 220.0, 200.0]]
+    shapes = F.array(*[F.struct(F.lit(name).alias("aoi"), F.array(*[F.array(*map(F.lit, r)) for r in rings]).alias("rings"))
+                       for name, rings in (("triangle", triangle), ("frame", frame))])
+    p = X.truths(spark, sf).select("product_id").distinct()
+    return p.select("product_id", F.inline(shapes))
+
+
+@query
+def aoi_polygons(spark, sf):
+    """Detections with two fifths of their area inside the polygons, and what they have in each."""
+    d = corners(X.detections(spark, sf), "product_id", "object_id").filter("x1 > x0 and y1 > y0")
+    return fragments.aoi_polygon_filter(d, _aoi_polygons(spark, sf), "object_id").select(
+        "product_id", "object_id", "aoi", F.round("_area", 6).alias("area"))
+
+
+@query
+def aoi_package_polygons(spark, sf):
+    return tiling.aoi_split(X.tiles(spark, sf), "package", _aoi_polygons(spark, sf)).select("product_id", "col", "row", "aoi")
+
+
 @query
 def attribute_merge(spark, sf):
     d = corners(X.detections(spark, sf), "object_id", "detector_score")
@@ -1277,6 +1311,34 @@ def dissolve_(spark, sf):
     return masks.mask_area(dissolve.dissolve(runs, "truth_id"), ["product_id", "component"])
 
 
+def _grid_polygons(spark, sf):
+    """The truth boxes, widened to whole numbers."""
+    ring = R.box_ring(*[f(c).cast("double") for f, c in ((F.floor, "x0"), (F.floor, "y0"), (F.ceil, "x1"), (F.ceil, "y1"))])
+    return X.truths(spark, sf).select("product_id", "truth_id", ring.alias("rings"))
+
+
+@query
+def dissolve_polygons(spark, sf):
+    merged = polygon_layers.dissolve_polygons(_grid_polygons(spark, sf), "truth_id")
+    return merged.select("product_id", "component", F.col("area").cast("long").alias("area"),
+                         polygons.even_odd_area("rings").cast("long").alias("ring_area"))
+
+
+@query
+def overlay_polygons(spark, sf):
+    """Truth polygons, merged where they meet, against blocks of 64 pixels."""
+    a = polygon_layers.dissolve_polygons(_grid_polygons(spark, sf), "truth_id").withColumnRenamed("component", "a_id")
+    p = X.truths(spark, sf).select("product_id").distinct()
+    k, j = F.col("k"), F.col("j")
+    blocks = p.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(1)))).withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(4))))
+    ring = R.box_ring(*[c.cast("double") for c in (k * 128, j * 64, k * 128 + 64, F.least(j * 64 + 64, F.lit(300)))])
+    b = blocks.select("product_id", (j * 2 + k).alias("b_id"), ring.alias("rings"))
+    pieces = polygon_layers.overlay_polygons(a, b)
+    return pieces.filter("area > 0").select(
+        "product_id", F.coalesce("a_id", F.lit(-1)).alias("a_id"), F.coalesce("b_id", F.lit(-1)).alias("b_id"),
+        F.col("area").cast("long").alias("area"), polygons.even_odd_area("rings").cast("long").alias("ring_area"))
+
+
 @query
 def overlay_union(spark, sf):
     """Truth masks, merged where they overlap, against the grid of 64-pixel blocks."""
