@@ -6,12 +6,11 @@ pairs are written:
 
 1. Under each key one node is the pivot, and the others are compared with it alone. Pivots have the smallest hash of
    their node, so near copies mostly have the same pivot under all their keys.
-2. Where a key's nodes are in different components then, links between these may be left. For the nodes of such
-   keys, a shingle counts only if nodes of different components have it. A node whose counting shingles are too few for
-   a link to another component is done; this is repeated, as others may then have too few. The rest are listed under
-   the first of their counting shingles, rarest first: two sets of n shingles at similarity s share one of the
-   first n - ceil(s n) + 1, by any order. Nodes of different components under one shingle are compared if their sizes
-   and the shingle's places allow a link.
+2. Where a pivot's nodes are in different components then, links between these may be left: nodes that share a key
+   share its pivot too. For the nodes of such pivots, a shingle counts only if nodes of different components have it. A
+   node whose counting shingles are too few for a link to another component is done; this is repeated, as others may
+   then have too few. The rest meet once per pivot with their counting shingles and are compared in the task that holds
+   them, which hands on only links that join components it knows. More than `GROUP` nodes of a pivot meet in blocks.
 
 So a crowd of near copies costs a few comparisons each, and documents that share only a frequent passage
 fall out by their own shingles. Candidates are compared by 16 bits of each shingle first, which count what
@@ -26,9 +25,8 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from crownframe.llm.shared import FILE, ROW, bounded, whole_text
 from crownframe.llm.simhash_trees import components, shingle_hashes
@@ -36,6 +34,8 @@ from crownframe.session import cut, release
 
 #: Times that nodes without enough counting shingles are looked for; tasks that one set's comparisons are dealt to.
 PEELS, SALT = 2, 32
+#: Nodes of one block of a pivot; rows and columns of the matrices they are compared by.
+GROUP, ROWS, COLUMNS = 4096, 256, 4096
 #: Rows and bytes handed on at a time.
 STEP, STEP_BYTES = 1 << 16, 1 << 24
 
@@ -49,10 +49,6 @@ class Rule(NamedTuple):
         """Whether sets of n and m shingles, `shared` of them in both, are linked."""
         return (100 + self.percent) * shared >= self.percent * (n + m)
 
-    def first(self, n: Column) -> Column:
-        """How many shingles of a set must be listed so that similar sets meet, by any common order."""
-        return n - F.ceil(n * self.percent / 100.0 - 1e-9) + 1
-
 
 def shingle_set(text: str, words: int) -> np.ndarray:
     """The different shingles in ascending order."""
@@ -172,60 +168,120 @@ def by_pivots(nodes: DataFrame) -> DataFrame:
     return keyed.join(bounded(heads, 40), "key")
 
 
-def crossing(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """From (x, node, n, most, root), rows of an x together: pairs (a, b) of nodes of different components under one x
-    that may be linked. Of its n shingles a node can share `most` at most if x is the first that it shares."""
-    def pairs(part: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        x = part[0]
-        starts = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-        for start, end in zip(starts.tolist(), np.append(starts[1:], len(x)).tolist()):
-            node, n, most, root = (c[start:end] for c in part[1:])
-            for i in range(end - start - 1):
-                j = slice(i + 1, None)
-                hit = node[j][(root[j] != root[i]) & rule.similar(np.minimum(most[i], most[j]), n[i], n[j])]
-                if len(hit):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(node[i], hit)), pa.array(np.maximum(node[i], hit))], names=["a", "b"])
-
-    rest = None
+class Listed(NamedTuple):
+    """Nodes of one pivot, in two blocks or one; `sets` and `ends` hold their counting shingles in a row, `most` is their number."""
+    block: np.ndarray
+    node: np.ndarray
+    n: np.ndarray
+    most: np.ndarray
+    root: np.ndarray
+    sets: np.ndarray
+    ends: np.ndarray
+
+
+def links_of(g: Listed, rule: Rule) -> Iterator[tuple[int, int]]:
+    """Links that join all components that may be joined: of nodes in the largest component and of the others, and of
+    these with each other. Shared shingles are counted by products of matrices with a row per node and a column per shingle."""
+    label = np.unique(g.root, return_inverse=True)[1]
+    strays = np.flatnonzero(label != np.bincount(label).argmax())
+    two = g.block.min() != g.block.max()
+    lengths = np.diff(g.ends, prepend=0)
+    column = np.unique(g.sets, return_inverse=True)[1]
+    row = np.repeat(np.arange(len(g.node)), lengths)
+    often = np.bincount(column) > 1
+    number = np.cumsum(often) - 1
+    keep = often[column]
+    row, column = row[keep], number[column[keep]]
+    for k in range(0, len(strays), ROWS):
+        i = strays[k:k + ROWS, None]
+        may = (label[i] != label) & rule.similar(np.minimum(g.most[i], g.most), g.n[i], g.n)
+        if two:
+            may &= g.block[i] != g.block
+        j = np.flatnonzero(may.any(0))
+        if not len(j):
+            continue
+        shared = np.zeros((len(i), len(j)), np.float32)
+        place = [np.full(len(g.node), -1), np.full(len(g.node), -1)]
+        place[0][i[:, 0]], place[1][j] = np.arange(len(i)), np.arange(len(j))
+        for c in range(0, int(often.sum()), COLUMNS):
+            part = (column >= c) & (column < c + COLUMNS)
+            sides = []
+            for at, size in zip(place, (len(i), len(j))):
+                mine = part & (at[row] >= 0)
+                m = np.zeros((size, COLUMNS), np.float32)
+                m[at[row[mine]], column[mine] - c] = 1
+                sides.append(m)
+            shared += sides[0] @ sides[1].T
+        hit = may[:, j] & rule.similar(shared.astype(np.int64), g.n[i], g.n[j])
+        for a, b in zip(*np.nonzero(hit)):
+            a, b = i[a, 0], j[b]
+            if label[a] != label[b]:
+                label[label == label[a]] = label[b]
+                yield int(g.node[a]), int(g.node[b])
+
+
+def settled(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """From (x, low, high, block, node, n, most, root, s), rows of one (x, low, high) together: their links (u, v)."""
+    def links(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        whole = pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+        s = whole.column("s")
+        g = Listed(*(np.asarray(whole.column(c)) for c in ("block", "node", "n", "most", "root")),
+                   np.asarray(s.flatten()), np.cumsum(np.asarray(s.value_lengths())))
+        found = list(links_of(g, rule))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], names=["u", "v"])
+
+    held: list[pa.RecordBatch] = []
     for b in batches:
         if not b.num_rows:
             continue
-        now = [np.asarray(c) for c in b.columns]
-        if rest is not None:
-            now = [np.concatenate(c) for c in zip(rest, now)]
-        last = int(np.searchsorted(now[0], now[0][-1]))       # the last x may go on
-        yield from pairs([c[:last] for c in now])
-        rest = [c[last:] for c in now]
-    if rest is not None:
-        yield from pairs(rest)
+        keys = np.stack([np.asarray(b.column(c)) for c in ("x", "low", "high")], 1)
+        starts = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(1)) + 1).tolist(), b.num_rows]
+        for a, z in zip(starts[:-1], starts[1:]):
+            part = b.slice(a, z - a)
+            if held and any(held[0].column(c)[0] != part.column(c)[0] for c in ("x", "low", "high")):
+                if sum(p.num_rows for p in held) > 1:
+                    yield from links(held)
+                held = []
+            held.append(part)
+    if sum(p.num_rows for p in held) > 1:
+        yield from links(held)
 
 
 def left_over(members: DataFrame, star: DataFrame, nodes: DataFrame, docs: DataFrame, text_col: str,
               rule: Rule) -> DataFrame | None:
-    """Pairs (a, b) of different components that share a key and may be linked; None if no key has any."""
-    known = _rooted(members.filter("size > 2").select("key", "node", "n"), star)
-    mixed = known.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi")
-    crowd = cut(known.join(mixed, "key", "left_semi").select("node", "n", "root").distinct(), "crowd")
+    """Links (u, v) that join the components of nodes with one pivot; None if no pivot has several."""
+    both = members.select("pivot", "node", "n").unionByName(members.select("pivot", F.col("pivot").alias("node"), F.col("pivot_n").alias("n")))
+    known = _rooted(both.distinct(), star)
+    mixed = known.groupBy("pivot").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("size")).filter(
+        "lo != hi and size > 2").select("pivot")
+    known = cut(known.join(mixed, "pivot", "left_semi"), "mixed")
+    crowd = cut(known.select("node", "n", "root").distinct(), "crowd")
     if crowd.isEmpty():
         return None
     places = nodes.join(crowd, "node", "left_semi").select(FILE, ROW)
     rows = cut(_rows(_texts(docs, places, text_col), rule).join(bounded(crowd, 40), "node"), "crowd-shingles")
     for _ in range(PEELS):
-        often = rows.groupBy("x").agg(F.count(F.lit(1)).alias("often"), F.min("root").alias("lo"), F.max("root").alias("hi"))
-        counting = cut(rows.select("node", "n", "root", "x").join(
-            often.filter("lo != hi").select("x", "often"), "x"), "counting")
+        often = rows.groupBy("x").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("x")
+        counting = cut(rows.select("node", "n", "root", "x").join(often, "x"), "counting")
         enough = counting.groupBy("node").agg(F.count(F.lit(1)).alias("k"), F.first("n").alias("n")).filter(
-            100 * F.col("k") >= rule.percent * F.col("n")).select("node", "k")
-        less = cut(counting.join(enough, "node"), "crowd-shingles")
+            100 * F.col("k") >= rule.percent * F.col("n")).select("node")
+        less = cut(counting.join(bounded(enough, 16), "node", "left_semi"), "crowd-shingles")
         release(rows, counting)
         rows = less
-    n, own = F.col("n"), F.col("n") - F.col("k")              # shingles that don't count come first
-    place = own + F.row_number().over(Window.partitionBy("node").orderBy("often", "x")) - 1
-    first = rows.withColumn("place", place).filter(F.col("place") < rule.first(n))
-    lists = first.select("x", "node", n.cast("long").alias("n"), (n - F.col("place")).cast("long").alias("most"), "root")
-    met = lists.repartition("x").sortWithinPartitions("x", "node").mapInArrow(lambda b: crossing(b, rule), "a long, b long")
-    return cut(met.distinct(), "left-over")
+    sets = rows.groupBy("node").agg(F.first("n").cast("long").alias("n"), F.first("root").alias("root"), F.collect_list("x").alias("s"))
+    sets = cut(sets.withColumn("most", F.size("s").cast("long")), "counting-sets")
+    listed = cut(known.select("pivot", "node").join(sets.select("node", "root"), "node"), "listed")
+    blocks = listed.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP)).alias("blocks"), F.min("root").alias("lo"),
+                                         F.max("root").alias("hi")).filter("lo != hi").select("pivot", "blocks")
+    mine, other = F.pmod(F.xxhash64("node"), F.col("blocks")), F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = listed.join(blocks, "pivot").select("pivot", "node", mine.alias("block"), other.alias("other"))
+    met = dealt.join(sets, "node").select(
+        F.col("pivot").alias("x"), F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block",
+        "node", "n", "most", "root", "s").repartition("x", "low", "high").sortWithinPartitions("x", "low", "high")
+    out = cut(met.mapInArrow(lambda b: settled(b, rule), "u long, v long").distinct(), "left-over")
+    release(known, crowd, rows, sets, listed)
+    return out
 
 
 def grouped(docs: DataFrame, nodes: DataFrame, text_col: str, rule: Rule, also: DataFrame | None = None) -> DataFrame:
@@ -241,9 +297,7 @@ def grouped(docs: DataFrame, nodes: DataFrame, text_col: str, rule: Rule, also:
     links = linked(pairs, nodes, docs, text_col, rule)
     star = components(links)
     other = left_over(members, star, nodes, docs, text_col, rule)
-    if other is not None:
-        rest = cut(other.join(pairs, ["a", "b"], "left_anti"), "other-pairs")
-        if not rest.isEmpty():
-            star = components(links.unionByName(linked(rest, nodes, docs, text_col, rule)))
+    if other is not None and not other.isEmpty():
+        star = components(links.unionByName(other))
     release(members, pairs)
     return _rooted(nodes.select("node"), star).select("node", "root")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from crownframe.llm import circulant_minhash, jaccard_groups, queries
@@ -60,7 +61,9 @@ def crowds(seed=9):
     return list(enumerate(texts))
 
 
-def test_crowds_are_linked_as_by_all_pairs(spark):
+@pytest.mark.parametrize("group", [4096, 16])
+def test_crowds_are_linked_as_by_all_pairs(spark, monkeypatch, group):
+    monkeypatch.setattr(jaccard_groups, "GROUP", group)
     rows = crowds()
     want = plain_near(rows)
     sizes = {c: sum(x[2] == c for x in want) for _, _, c, _ in want}
@@ -82,16 +85,34 @@ def test_given_documents(spark):
     assert queries.op13_minhash_near_dups(spark, SMALL).columns == ["doc_id", "n_shingles", "component_id", "kept"]
 
 
-def test_pairs_of_two_components_under_one_shingle():
-    import pyarrow as pa
-
-    rule = jaccard_groups.Rule(3, 85)
-    columns = [[5, 5, 5, 6, 6], [1, 2, 3, 1, 4], [20, 20, 20, 20, 20], [20, 19, 15, 20, 20], [1, 1, 3, 1, 4]]
-    names = ["x", "node", "n", "most", "root"]
-    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-    for parts in ([whole], [whole.slice(0, 4), whole.slice(4)], [whole.slice(0, 1), whole.slice(1, 1), whole.slice(2)]):
-        found = [p for b in jaccard_groups.crossing(iter(parts), rule) for p in zip(*(c.to_pylist() for c in b.columns))]
-        assert found == [(1, 4)]          # 1 and 2 are one component, 3 can't share enough
+@pytest.mark.parametrize("columns, rows", [(4096, 256), (7, 2)])
+@pytest.mark.parametrize("pieces", [1, 2, 50])
+def test_listed_nodes_are_joined_as_by_all_pairs(monkeypatch, columns, rows, pieces):
+    """Links found in a task join what all pairs would, whatever the batches and blocks, and no pair twice."""
+    monkeypatch.setattr(jaccard_groups, "COLUMNS", columns)
+    monkeypatch.setattr(jaccard_groups, "ROWS", rows)
+    rule, rng = jaccard_groups.Rule(3, 85), random.Random(3)
+    table, sets = [], {}
+    for x in range(3):
+        base = rng.sample(range(1000), 40)
+        for k in range(30):
+            s = sorted({*rng.sample(base, 40 - rng.randrange(5)), *(rng.randrange(1000, 1010) for _ in range(rng.randrange(4)))})
+            sets[100 * x + k] = set(s)
+            table.append((x, 0, x % 2, k % (1 + x % 2), 100 * x + k, len(s), len(s), 100 * x + k - k % 3, s))
+    names = ["x", "low", "high", "block", "node", "n", "most", "root", "s"]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*table)], names=names)
+    size = -(-len(table) // pieces)
+    batches = [whole.slice(i, size) for i in range(0, len(table), size)]
+    found = [p for b in jaccard_groups.settled(iter(batches), rule) for p in zip(*(c.to_pylist() for c in b.columns))]
+    label = {r[4]: r[7] for r in table}
+    for u, v in found:
+        a, b = label[u], label[v]
+        assert a != b and rule.similar(len(sets[u] & sets[v]), len(sets[u]), len(sets[v]))
+        label = {k: b if c == a else c for k, c in label.items()}
+    for u in table:
+        for v in table:
+            if u[0] == v[0] and rule.similar(len(sets[u[4]] & sets[v[4]]), u[5], v[5]) and (not u[2] or u[3] != v[3]):
+                assert label[u[4]] == label[v[4]]
 
 
 def test_permutations_map_no_two_numbers_to_one():
