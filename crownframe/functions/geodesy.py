@@ -61,3 +61,20 @@ def from_utm(east: Column, north: Column, epsg: Column) -> tuple[Column, Column]
         phi = phi + d * F.sin(2 * j * chi)
     lam = F.atan2(F.sinh(x), F.cos(y))
     return _central(epsg) + F.degrees(lam), F.degrees(phi)
+
+
+def _each_point(rings: Column, to) -> Column:
+    """The rings with every point replaced by `to(x, y)`."""
+    def moved(ring):
+        at = F.sequence(F.lit(0), F.size(ring) - 2, F.lit(2))
+        return F.flatten(F.transform(at, lambda i: F.array(*to(ring[i], ring[i + 1]))))
+
+    return F.transform(rings, lambda r: F.when(F.size(r) >= 2, moved(r)).otherwise(r))
+
+
+def rings_to_utm(rings: Column, epsg: Column) -> Column:
+    return _each_point(rings, lambda x, y: to_utm(x, y, epsg))
+
+
+def rings_from_utm(rings: Column, epsg: Column) -> Column:
+    return _each_point(rings, lambda x, y: from_utm(x, y, epsg))

@@ -144,6 +144,8 @@ def aoi_polygon_filter(objects: DataFrame, aoi: DataFrame, id_col: str, min_frac
     AOI polygons of a key don't overlap each other; those that do go through `polygon_layers.dissolve_polygons` first.
     """
     keys = list(keys)
+    if "rings" in objects.columns:
+        objects = cut(objects, "objects")        # outlines are read twice, and by Python functions that take plain columns
     parts = cut(aoi_parts(objects, aoi, id_col, keys, aoi_id), "aoi-parts")
     size = even_odd_area("rings") if "rings" in objects.columns else B.area(B.box())
     whole = objects.select(*keys, id_col, size.alias("_own")).filter("_own > 0")

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
+from crownframe.functions import geodesy
 from crownframe.functions import rings as R
 from crownframe.functions.polygons import even_odd_area, polygon_inter_area
 from crownframe.operators import metrics
 from crownframe.operators.dissolve import disjoint_boxes
 from crownframe.operators.fragments import aoi_polygon_filter
 from crownframe.operators.matching import greedy_match
-from crownframe.operators.numbering import reassign_duplicates
+from crownframe.operators.numbering import reassign_duplicates, row_index
 from crownframe.operators.spatial_join import aoi_filter, bbox_join, to_pixel_space
 from crownframe.session import cut
 
@@ -48,15 +49,51 @@ def _clip_polygons(objects: DataFrame, aoi: DataFrame, id_col: str, min_frac: fl
         rest, [KEY, id_col]).withColumnRenamed("_in", "_area")
 
 
+def utm_zones(truths: DataFrame, predictions: DataFrame) -> DataFrame:
+    """(product_id, epsg): the UTM zone of the middle of a raster's truths, or of its predictions if it has no truths."""
+    def middle(df, name):
+        return df.groupBy(KEY).agg(F.struct(((F.min("x0") + F.max("x1")) / 2).alias("lon"),
+                                            ((F.min("y0") + F.max("y1")) / 2).alias("lat")).alias(name))
+
+    at = F.coalesce("_t", "_p")
+    zones = middle(truths, "_t").join(middle(predictions, "_p"), KEY, "full")
+    return zones.select(KEY, geodesy.utm_epsg(at["lon"], at["lat"]).alias("epsg"))
+
+
+def to_utm(predictions: DataFrame, truths: DataFrame, aoi: DataFrame | None,
+           iou_type: str) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """Geographic tables in metres, all shapes of a raster in one UTM zone. Boxes become rings, as a box in degrees is no box in
+    metres; an AOI gets `rings` and `aoi` numbers."""
+    if iou_type == "bbox":
+        predictions, truths = (df.withColumn("rings", R.box_ring(*B.box())) for df in (predictions, truths))
+    else:
+        predictions, truths = (df.withColumns(R.envelope(F.col("rings"))) for df in (predictions, truths))
+    zones = cut(utm_zones(truths, predictions), "zones")
+
+    def moved(df):
+        with_zone = df.join(zones, KEY)
+        return with_zone.withColumn("rings", geodesy.rings_to_utm(F.col("rings"), F.col("epsg"))).drop("epsg")
+
+    if aoi is not None:
+        if "rings" not in aoi.columns:
+            aoi = row_index(disjoint_boxes(aoi).withColumn("rings", R.box_ring(*B.box())).drop(*B.BOX), [], [F.col(KEY), F.col("rings")], "aoi")
+        aoi = cut(moved(aoi), "utm-aoi")
+    return (*(cut(moved(df).drop(*B.BOX), "utm") for df in (predictions, truths)), aoi)
+
+
 def prepare(predictions: DataFrame, truths: DataFrame, gsd: float, aoi: DataFrame | None = None,
             iou_type: str = "bbox", min_frac: float = 0.4, pred_id: str = "object_id",
-            truth_id: str = "truth_id") -> tuple[DataFrame, DataFrame]:
+            truth_id: str = "truth_id", geographic: bool = False) -> tuple[DataFrame, DataFrame]:
     """Both tables inside the AOI, in pixels, with `_area` and a `size_label`.
 
-    `aoi` has boxes, or `aoi` and `rings`, polygons that don't overlap each other.
+    `aoi` has boxes, or `aoi` and `rings`, polygons that don't overlap each other. `geographic` tables are in degrees
+    (x: longitude, y: latitude) and are moved to the UTM zone of each raster's truths first.
     """
     if iou_type not in ("bbox", "segm"):
         raise ValueError(f"unknown IoU type {iou_type!r}, expected 'bbox' or 'segm'")
+    if geographic:
+        predictions, truths, aoi = to_utm(predictions, truths, aoi, iou_type)
+        iou_type = "segm"
     polygons = aoi is not None and "rings" in aoi.columns
     if polygons and iou_type == "bbox":
         # A box inside an irregular AOI is no box any more.
@@ -94,10 +131,10 @@ def prepare(predictions: DataFrame, truths: DataFrame, gsd: float, aoi: DataFram
 def raster_counts(predictions: DataFrame, truths: DataFrame, gsd: float,
                   thresholds: Sequence[float] = (0.5,), aoi: DataFrame | None = None,
                   iou_type: str = "bbox", score_col: str | None = None,
-                  pred_id: str = "object_id", truth_id: str = "truth_id") -> DataFrame:
+                  pred_id: str = "object_id", truth_id: str = "truth_id", geographic: bool = False) -> DataFrame:
     """tp, fp, fn, precision, recall, f1 per raster, threshold and size bin."""
     score = score_col or metrics.pick_score(predictions)
-    p, t = prepare(predictions, truths, gsd, aoi, iou_type, pred_id=pred_id, truth_id=truth_id)
+    p, t = prepare(predictions, truths, gsd, aoi, iou_type, pred_id=pred_id, truth_id=truth_id, geographic=geographic)
     p = cut(p, "predictions")
     t = cut(t, "truths")
     matches = greedy_match(p, t, thresholds, score, [KEY], "size_label", pred_id, truth_id,

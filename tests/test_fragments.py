@@ -117,3 +117,26 @@ def test_raster_level_inside_polygons(spark, kind):
     corner = spark.createDataFrame([(1, 1, [[0.0, 0.0, 40.0, 0.0, 0.0, 40.0]])], AOI)
     counts = raster_level.raster_counts(p, t, 1.0, aoi=corner, iou_type=kind).filter("size_label = 'all'").first()
     assert counts["tp"] + counts["fp"] == 3
+
+
+def test_degrees_give_the_counts_of_metres(spark):
+    """Boxes and an AOI in degrees near two zones and on the south, against their outlines in metres."""
+    from crownframe.functions import geodesy
+
+    rng = random.Random(4)
+    places = {1: (2.0, 48.0), 2: (-60.0, -3.0)}
+    rows = [(k, 100 * k + i, lon + x, lat + y, lon + x + rng.uniform(2e-5, 9e-5), lat + y + rng.uniform(2e-5, 9e-5))
+            for k, (lon, lat) in places.items() for i in range(60) for x, y in [(rng.uniform(0, 1e-3), rng.uniform(0, 1e-3))]]
+    p = spark.createDataFrame([(*r, rng.random()) for r in rows], BOXES + ", score double")
+    t = spark.createDataFrame([(k, i, x0 + 1e-5, y0, x1 + 1e-5, y1) for k, i, x0, y0, x1, y1 in rows], BOXES.replace("object_id", "truth_id"))
+    aoi = spark.createDataFrame([(k, lon, lat, lon + 6e-4, lat + 8e-4) for k, (lon, lat) in places.items()],
+                                "product_id int, x0 double, y0 double, x1 double, y1 double")
+    zones = {r.product_id: r.epsg for r in raster_level.utm_zones(t, p).collect()}
+    assert zones == {1: 32631, 2: 32721}
+    got = raster_level.raster_counts(p, t, 1.0, [0.4], aoi=aoi, geographic=True)
+    box = R.box_ring(*map(F.col, ("x0", "y0", "x1", "y1")))
+    epsg = F.when(F.col("product_id") == 1, 32631).otherwise(32721)
+    flat = [df.withColumn("rings", geodesy.rings_to_utm(box, epsg)).drop("x0", "y0", "x1", "y1") for df in (p, t, aoi.withColumn("aoi", F.lit(1)))]
+    want = raster_level.raster_counts(flat[0], flat[1], 1.0, [0.4], aoi=flat[2], iou_type="segm")
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert {r.product_id for r in got.filter("size_label = 'all' and tp > 0").collect()} == {1, 2}

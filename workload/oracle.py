@@ -517,11 +517,11 @@ add("prf1", f""", n_n as materialized (select product_id as k, object_id as id,
   select product_id, tp, fp, fn, round(p, 9) as precision, round(r, 9) as recall, round(f, 9) as f1 from z""", DETECTIONS, True)
 
 
-def raster_ctes(d="fx_detections", t="fx_truths", score="detector_score"):
+def raster_ctes(d="fx_detections", t="fx_truths", score="detector_score", steps=None):
     """`z`: tp, fp, fn, p, r, f per product, threshold and size bin."""
     label = size_label("((x1-x0)*(y1-y0)/0.25::double)")
     bins = "['all','tiny','small','medium','large','giant']"
-    steps = f"[{_STEPS}]"
+    steps = steps or f"[{_STEPS}]"
     return f"""ds as materialized (select product_id, object_id, x0, y0, x1, y1, {score} as score, {label} as lb from {d}),
   ts as materialized (select product_id, truth_id, x0, y0, x1, y1, {label} as lb from {t}),
   cand as materialized (select a.product_id, object_id, truth_id, score, {iou()} as v, a.lb as la, b.lb as lt
@@ -552,6 +552,9 @@ add("raster_counts", f""", {clipped('fx_detections', 'object_id', 'd')}, {clippe
   {raster_ctes('dsc', 't_id')}
   select product_id, t as iou_threshold, sz as size_label, tp, fp, fn, num_truths, num_preds, round(f, 9) as f1 from z""",
     f"{DETECTIONS}, {AOI}", True)
+_GROUND = "(select * from fx_detections where x1 > x0 and y1 > y0)"
+add("raster_level_geographic", f""", {raster_ctes(_GROUND, steps="[0.5031::double, 0.7017::double]")}
+  select product_id, t as iou_threshold, tp, fp, fn, num_truths, num_preds from z where sz = 'all'""", DETECTIONS, True)
 add("rf1_sweep", f""", {raster_ctes()}
   select product_id, round(avg(p) filter (sz = 'all'), 9) as precision, round(avg(r) filter (sz = 'all'), 9) as recall,
     round(avg(f) filter (sz = 'all'), 9) as f1, max(tp) filter (sz = 'all' and t = 0.5) as tp,

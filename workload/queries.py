@@ -1090,6 +1090,19 @@ def raster_counts(spark, sf):
                       "num_preds", r9(F.col("f1"), "f1"))
 
 
+@query
+def raster_level_geographic(spark, sf):
+    """Outlines in degrees, a kilometre per unit; thresholds that no pair meets exactly."""
+    epsg = F.lit(32618)
+    ground = lambda c, start: F.lit(float(start)) + F.col(c) * 1000
+    ring = R.box_ring(ground("x0", 400_000), ground("y0", 5_000_000), ground("x1", 400_000), ground("y1", 5_000_000))
+    d, t = (df.select("product_id", ident, *more, geodesy.rings_from_utm(ring, epsg).alias("rings")) for df, ident, more in (
+        (X.detections(spark, sf).filter("x1 > x0 and y1 > y0"), "object_id", ["detector_score"]), (X.truths(spark, sf), "truth_id", [])))
+    counts = raster_level.raster_counts(d, t, 500.0, [0.5031, 0.7017], iou_type="segm", geographic=True)
+    return counts.filter("size_label = 'all'").select(
+        "product_id", "iou_threshold", "tp", "fp", "fn", "num_truths", "num_preds")
+
+
 @query
 def rf1_sweep(spark, sf):
     out = raster_level.raster_level(
