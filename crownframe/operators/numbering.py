@@ -11,7 +11,7 @@ from pyspark.sql.window import Window
 from crownframe.session import cut
 
 
-def _stamp(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def range_stamped(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Rows range-sorted by keys and order, with their position `_pos` and range block `_blk`."""
     sort = [F.col(k) for k in keys] + list(order)
     ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
@@ -28,7 +28,7 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
     end in a unique column.
     """
     keys = list(keys)
-    stamped = _stamp(df, keys, order)
+    stamped = range_stamped(df, keys, order)
     blocks = stamped.groupBy(*keys, "_blk").agg(
         F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -48,7 +48,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """Inclusive running sum of each expression in `sums` within `keys` in `order`."""
     keys, names = list(keys), list(sums)
     valued = df.withColumns({f"_v_{n}": e for n, e in sums.items()})
-    stamped = _stamp(valued, keys, order)
+    stamped = range_stamped(valued, keys, order)
     inside = Window.partitionBy(*keys, "_blk").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = stamped.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(inside) for n in names})

@@ -11,8 +11,10 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from crownframe.operators.numbering import row_index
+from crownframe.operators.numbering import range_stamped, row_index
+from crownframe.session import cut
 
 
 class Coco(NamedTuple):
@@ -55,11 +57,96 @@ def _tables(docs: DataFrame) -> Coco:
 
 
 def read_coco(spark: SparkSession, path: str | Sequence[str]) -> Coco:
-    """Documents as they come, one JSON text per file; `source_id` is the file path."""
+    """Documents as they come, one JSON text per file; `source_id` is the file path. Each is read by one task, which suits many
+    small documents; for large ones see `read_coco_pieces`."""
     docs = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
     return _tables(docs.withColumn("source_id", F.col("_metadata.file_path")))
 
 
+def _brackets(text: Column) -> Column:
+    """Brackets opened less brackets closed; a closing brace never stands inside a piece."""
+    return F.length(F.regexp_replace(text, r"[^\[{]", "")) - F.length(F.regexp_replace(text, r"[^\]]", ""))
+
+
+def _pieces(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The text up to each closing brace, with what is known before it: `inside` a string or not, and `depth`.
+
+    Files are split like lines. A piece's effect on the state depends on the state before it, so each has two: the brackets
+    it opens if it starts outside a string (`d0`) or inside (`d1`); its quotes tell whether it turns the one into the
+    other. Effects are put together within range blocks, then over blocks, a row each, and the result is handed back.
+    """
+    raw = spark.read.option("lineSep", "}").text(path).select(
+        F.col("_metadata.file_path").alias("source_id"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_n"), "value")
+    segments = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"', -1)
+    quotes = F.size(segments) - 1
+
+    def effect(inside):
+        outside = F.filter(segments, lambda x, i: i % 2 == inside)
+        return _brackets(F.array_join(outside, "")) - ((quotes + inside) % 2 == 0).cast("int")
+
+    effects = raw.select("*", quotes.alias("q"), effect(0).alias("d0"), effect(1).alias("d1"))
+    stamped = range_stamped(effects, ["source_id"], [F.col("_start"), F.col("_n")])
+    block = ["source_id", "_blk"]
+    before = Window.partitionBy(*block).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
+    prior = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
+    local = stamped.withColumn("_odd", prior("q") % 2)
+    local = local.withColumns({"_a": F.when(F.col("_odd") == 0, F.col("d0")).otherwise(F.col("d1")),
+                               "_b": F.when(F.col("_odd") == 0, F.col("d1")).otherwise(F.col("d0"))})
+    local = cut(local.withColumns({"_da": prior("_a"), "_db": prior("_b")}), "json-effects")
+    blocks = local.groupBy(*block).agg((F.sum("q") % 2).alias("q"), F.sum("_a").alias("a"), F.sum("_b").alias("b"))
+    earlier = Window.partitionBy("source_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    starts = blocks.withColumn("_p", F.coalesce(F.sum("q").over(earlier), F.lit(0)) % 2)
+    starts = starts.withColumn("_d", F.coalesce(F.sum(F.when(F.col("_p") == 0, F.col("a")).otherwise(F.col("b"))).over(earlier), F.lit(0)))
+    state = local.join(starts.select(*block, "_p", "_d"), block)
+    inside = (F.col("_odd") + F.col("_p")) % 2
+    depth = F.col("_d") + F.when(F.col("_p") == 0, F.col("_da")).otherwise(F.col("_db"))
+    return state.select(*block, "_pos", "value", inside.alias("inside"), depth.alias("depth"),
+                        ((inside + F.col("q")) % 2 == 0).alias("closes"),
+                        (depth + F.when(inside == 0, F.col("d0")).otherwise(F.col("d1"))).alias("after"))
+
+
+def read_coco_pieces(spark: SparkSession, path: str | Sequence[str]) -> Coco:
+    """`read_coco` for large documents: each is read, split and parsed by many tasks, and none holds a document.
+
+    Elements are the objects of the document's outer arrays; a piece that leaves an array or stands before the first one
+    starts a section, named by the key of the next array of objects. Any layout and order of keys and sections is read.
+    """
+    state = _pieces(spark, path)
+    ends = F.col("closes") & (F.col("after") == 2)
+    starts = (F.col("inside") == 0) & ((F.col("depth") < 2) | ((F.col("depth") == 2) & F.col("value").rlike(r"^\s*\]")))
+    section = r'(?s)"((?:[^"\\]|\\.)*)"\s*:\s*\[\s*\{(.*)$'
+    named = F.regexp_extract("value", section, 1)
+    text = F.when(F.col("starts"), F.concat(F.lit("{"), F.regexp_extract("value", section, 2))).when(
+        (F.col("inside") == 0) & (F.col("depth") == 2), F.regexp_replace("value", r"^\s*,\s*", "")).otherwise(F.col("value"))
+    block = ["source_id", "_blk"]
+    upto = Window.partitionBy(*block).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    marked = state.withColumns({"ends": ends.cast("int"), "starts": starts}).withColumns({
+        "_h": F.sum(F.col("starts").cast("int")).over(upto), "_e": F.sum("ends").over(upto) - F.col("ends")})
+    marked = cut(marked, "json-pieces")
+    sums = marked.groupBy(*block).agg(F.sum(F.col("starts").cast("int")).alias("h"), F.sum("ends").alias("e"))
+    earlier = Window.partitionBy("source_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(*block, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_o{c}") for c in "he"])
+    placed = marked.join(offsets, block).select(
+        "source_id", "_pos", "ends", "starts", (F.col("_h") + F.col("_oh")).alias("_h"), (F.col("_e") + F.col("_oe")).alias("_e"),
+        F.when(F.col("starts"), named).alias("section"), F.concat(text, F.lit("}")).alias("text"))
+    placed = cut(placed, "json-placed")
+    sections = placed.filter("starts and section <> ''").select("source_id", "_h", F.col("_e").alias("_first"), "section")
+    elements = placed.groupBy("source_id", "_h", "_e").agg(
+        F.array_sort(F.collect_list(F.struct("_pos", "text"))).alias("t"), F.max("ends").alias("ends"))      # one element each
+    elements = elements.filter("ends = 1").join(sections, ["source_id", "_h"]).select(
+        "source_id", "section", (F.col("_e") - F.col("_first")).cast("int").alias("pos"),
+        F.array_join(F.transform("t", lambda p: p["text"]), "").alias("t"))
+
+    def part(name, schema):
+        rows = elements.filter(F.col("section") == name)
+        return rows.select("source_id", "pos", F.from_json("t", schema).alias("_e")).select("source_id", "pos", "_e.*")
+
+    annotations = part("annotations", ANNOTATION)
+    annotations = annotations.withColumns(segmentation_columns(F.col("segmentation"))).drop("segmentation")
+    return Coco(part("images", IMAGE), annotations, part("categories", CATEGORY))
+
+
 def read_coco_parts(spark: SparkSession, path: str) -> Coco:
     """A folder written by `write_coco`, read line by line. `source_id` is the sub-folder value.
 

@@ -150,6 +150,7 @@ add("write_coco", f", {_COCO} select id, image_id, file_name, category_id, x, y,
     "cast(0 as int) as iscrowd from ann")
 add("read_coco", f"""select truth_id as id, image_id, {tile()} as file_name, concat('kind_', category_id) as name,
     x0 as x, y0 as y, x1 - x0 as w, y1 - y0 as h, (x1 - x0) * (y1 - y0) as area from fx_truths""")
+ORACLE["read_coco_pieces"] = ORACLE["read_coco"]
 add("coco_union", """, img as (select product_id, image_id as old, row_number() over (order by product_id, image_id) - 1 as new
     from (select distinct product_id, image_id from fx_truths) q)
   select row_number() over (order by t.product_id, truth_id) - 1 as id, new as image_id, category_id,

@@ -66,9 +66,8 @@ def write_coco(spark: SparkSession, sf: str) -> DataFrame:
         h.alias("h"), F.col("area").cast("double").alias("area"), "iscrowd")
 
 
-@query
-def read_coco(spark, sf):
-    """One whole JSON document per raster, as others write them."""
+def _documents(spark, sf):
+    """Folder with one whole JSON document per raster, as others write them."""
     path = scratch_path(spark, "coco-documents")
     t = X.truths(spark, sf)
     documents = t.groupBy("product_id").agg(
@@ -82,7 +81,10 @@ def read_coco(spark, sf):
         F.transform(F.array_sort(F.collect_set("category_id")), lambda c: F.struct(
             c.alias("id"), F.concat(F.lit("kind_"), c.cast("string")).alias("name"))).alias("categories"))
     documents.repartition("product_id").write.option("maxRecordsPerFile", 1).json(path)
-    back = coco.read_coco(spark, path)
+    return path
+
+
+def _with_names(back):
     x, y, w, h = [F.element_at("bbox", i) for i in range(1, 5)]
     return back.annotations.join(
         back.images.select("source_id", F.col("id").alias("image_id"), "file_name"), ["source_id", "image_id"]).join(
@@ -91,6 +93,17 @@ def read_coco(spark, sf):
         h.alias("h"), F.col("area").cast("double").alias("area"))
 
 
+@query
+def read_coco(spark, sf):
+    return _with_names(coco.read_coco(spark, _documents(spark, sf)))
+
+
+@query
+def read_coco_pieces(spark, sf):
+    """The same documents, each split over many tasks."""
+    return _with_names(coco.read_coco_pieces(spark, _documents(spark, sf)))
+
+
 @query
 def coco_union(spark, sf):
     t = X.truths(spark, sf)
