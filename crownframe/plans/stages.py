@@ -6,10 +6,12 @@ all stages on column names alone, so a missing model or column is reported befor
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
@@ -19,6 +21,7 @@ from crownframe.operators.masks import collect_runs, explode_runs, nms_ioa_disam
 from crownframe.operators.suppression import nms
 from crownframe.operators.tiling import labeled_tiles, polygon_tiles, tile_grid
 from crownframe.session import cut
+from crownframe.sources.coco import coco_tables, write_coco
 from crownframe.sources.geotables import write_objects
 
 
@@ -35,6 +38,8 @@ class State:
     objects: DataFrame | None = None
     product_name: str | None = None
     outputs: dict[str, DataFrame] = field(default_factory=dict)
+    counts: dict[str, dict[str, int]] = field(default_factory=dict)
+    documents: dict[str, str] = field(default_factory=dict)
 
     def names(self) -> set[str]:
         return {n for n in ("rasters", "tiles", "objects", "product_name")
@@ -50,6 +55,8 @@ class Result:
     tiles: DataFrame | None = None
     objects_are_new: bool = True
     save_as: str | None = None
+    coco: tuple[str | None, str | None] | None = None      # score and category column of the stage's document
+    counts: dict[str, Column] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -83,12 +90,46 @@ def check(stages: Sequence[Stage], state: State) -> list[str]:
     return found
 
 
+def _counted(merged: DataFrame, before: State, result: Result, fresh: DataFrame, name: str) -> tuple[DataFrame, dict[str, int]]:
+    """The objects after a stage, written, and what was counted during the write: `objects`, `dropped` ones, those
+    `unmatched` by the result of a stage that only adds columns, and the stage's own counts."""
+    measured = {"objects": F.count(F.lit(1)), **result.counts}
+    earlier = before.columns() if not result.objects_are_new else None
+    added = [c for c in fresh.columns if earlier and c not in earlier and c in merged.columns]
+    if added:
+        measured["unmatched"] = F.count_if(functools.reduce(operator.and_, (F.col(c).isNull() for c in added)))
+    seen = Observation(name)
+    written = cut(merged.observe(seen, *[c.alias(k) for k, c in measured.items()]), name)
+    numbers = {k: int(v) for k, v in seen.get.items()}
+    if earlier is not None and before.counts:
+        numbers["dropped"] = list(before.counts.values())[-1]["objects"] - numbers["objects"]
+    return written, numbers
+
+
+def stage_document(objects: DataFrame, score: str | None, category: str | None, path: str,
+                   categories: DataFrame | None = None) -> None:
+    """A stage's objects as a COCO document: scores, outlines if there are any, and the other scores and classes as keys of
+    their own. Without `categories` the classes are named by their number; without a class column there is one, `object`."""
+    kept = [c for c in objects.columns if c.endswith(("_score", "_class")) and c not in (score, category)]
+    if category is None:
+        objects, category = objects.withColumn("category_id", F.lit(1)), "category_id"
+        names = F.lit("object")
+    else:
+        names = F.col("id").cast("string")
+    if categories is None:
+        categories = objects.select(F.col(category).cast("int").alias("id")).filter("id is not null").distinct().select(
+            "id", names.alias("name"), F.lit(None).cast("string").alias("supercategory"))
+    write_coco(coco_tables(objects, categories, score=score, category=category, extra=kept), path)
+
+
 def run_stages(stages: Sequence[Stage], state: State, output: str | None = None,
-               materialize: bool = True) -> State:
+               materialize: bool = True, documents: bool = False, categories: DataFrame | None = None) -> State:
     """Run the stages in order; every stage's objects stay in `outputs` under `index_name`.
 
     A leading tiling stage is skipped when tiles are given. With `output` the stage tables that ask
-    for it and the final table are written.
+    for it and the final table are written, and with `documents` a COCO document per stage as well
+    (`documents` of the state has their folders). If stages are materialized, `counts` has what was counted in their
+    own writes, without another job.
     """
     stages = list(stages)
     if state.tiles is not None and stages and stages[0].name == "tiling":
@@ -101,16 +142,21 @@ def run_stages(stages: Sequence[Stage], state: State, output: str | None = None,
         if found:
             raise StageError(f"{stage.name}: " + "; ".join(found))
         result = stage.run(state)
-        objects = state.objects
+        objects, counts, made = state.objects, dict(state.counts), dict(state.documents)
         if result.objects is not None:
             fresh = cut(result.objects, stage.name) if materialize else result.objects
             objects = merge_results(objects, fresh, result.objects_are_new)
+            if materialize:
+                objects, counts[f"{i}_{stage.name}"] = _counted(objects, state, result, fresh, stage.name)
         outputs = dict(state.outputs)
         if objects is not None:
             outputs[f"{i}_{stage.name}"] = objects
             if output and result.save_as:
                 write_objects(objects, f"{output}/{i}_{stage.name}", result.save_as)
-        state = replace(state, objects=objects, outputs=outputs,
+            if output and documents and result.coco:
+                made[f"{i}_{stage.name}"] = f"{output}/{i}_{stage.name}_coco"
+                stage_document(objects, *result.coco, made[f"{i}_{stage.name}"], categories)
+        state = replace(state, objects=objects, outputs=outputs, counts=counts, documents=made,
                         tiles=result.tiles if result.tiles is not None else state.tiles)
     if output and state.objects is not None:
         write_objects(state.objects, output, "final")
@@ -158,7 +204,7 @@ def tiling_stage(kind: str = "tile", size: int = 1024, overlap: float = 0.5,
 def detector_stage(load: Callable[[], scoring.Predict]) -> Stage:
     def run(state: State) -> Result:
         rows = filters.flatten_detections(scoring.score_tiles(state.tiles, load))
-        return Result(objects=rows, save_as="notaggregated")
+        return Result(objects=rows, save_as="notaggregated", coco=("detector_score", "detector_class"))
 
     return Stage("detector", run, needs=frozenset({"tiles"}), makes=frozenset({"objects"}),
                  makes_columns=_BOXES | {"object_id", "tile_path", "detector_score",
@@ -185,7 +231,8 @@ def segmenter_stage(load: Callable[[], scoring.Predict], needs_prompts: bool = T
             "y0": low.cast("double"),
             "x1": F.array_max(F.transform("mask", lambda r: r["c1"])).cast("double"),
             "y1": high.cast("double")})
-        return Result(objects=boxed, objects_are_new=not needs_prompts, save_as="notaggregated")
+        return Result(objects=boxed, objects_are_new=not needs_prompts, save_as="notaggregated",
+                      coco=("segmenter_score", None), counts={"without_mask": F.count_if(F.coalesce(F.size("mask"), F.lit(0)) <= 0)})
 
     needs = {"tiles"} | ({"objects"} if needs_prompts else set())
     return Stage("segmenter", run, needs=frozenset(needs),
@@ -199,7 +246,8 @@ def segmenter_stage(load: Callable[[], scoring.Predict], needs_prompts: bool = T
 def classifier_stage(load: Callable[[], scoring.Predict]) -> Stage:
     def run(state: State) -> Result:
         scored = filters.flatten_classes(scoring.score_objects(state.objects, load))
-        return Result(objects=scored, objects_are_new=False, save_as="notaggregated")
+        return Result(objects=scored, objects_are_new=False, save_as="notaggregated", coco=("classifier_score", "classifier_class"),
+                      counts={"unclassified": F.count_if(F.col("classifier_class").isNull())})
 
     return Stage("classifier", run, needs=frozenset({"objects"}),
                  needs_columns=frozenset({"object_id", "tile_path"}),
@@ -241,7 +289,7 @@ def aggregator_stage(score_threshold: float = 0.2, nms_threshold: float = 0.5,
             rest = nms_ioa_disambiguate(runs, rows.drop("runs"), nms_threshold, best_geom_keep_area_ratio,
                                         score_threshold, "object_id", "aggregator_score", keys)
             kept = rows.drop("runs").join(collect_runs(rest, [*keys, "object_id"]), [*keys, "object_id"])
-        return Result(objects=kept, objects_are_new=False, save_as="aggregated")
+        return Result(objects=kept, objects_are_new=False, save_as="aggregated", coco=("aggregator_score", None))
 
     shapes = {"runs"} if nms_algorithm == "ioa-disambiguate" else set()
     windows = {"px0", "py0", "px1", "py1"} if edge_band or least_centroid_weight is not None else set()

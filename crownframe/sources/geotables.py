@@ -17,7 +17,7 @@ STAGES = ("notaggregated", "aggregated", "final")
 
 def write_objects(objects: DataFrame, root: str, stage: str, crs_epsg: int | None = None,
                   partition: str = "product_id") -> str | None:
-    """Write the table below `root/stage`, split by raster; an empty table is skipped."""
+    """Write the table below `root/stage`, split by raster if it knows them; an empty table is skipped."""
     if stage not in STAGES:
         raise ValueError(f"unknown stage {stage!r}")
     if objects.limit(1).count() == 0:
@@ -26,7 +26,8 @@ def write_objects(objects: DataFrame, root: str, stage: str, crs_epsg: int | Non
     path = f"{root}/{stage}"
     if "crs_epsg" not in objects.columns:
         objects = objects.withColumn("crs_epsg", F.lit(crs_epsg).cast("int"))
-    objects.write.mode("errorifexists").partitionBy(partition).parquet(path)
+    writer = objects.write.mode("errorifexists")
+    (writer.partitionBy(partition) if partition in objects.columns else writer).parquet(path)
     return path
 
 

@@ -329,3 +329,26 @@ def test_median_by_rank(spark, values):
     for keys in ([], ["k"]):
         got = metrics.iou_stats(df, keys=keys).collect()
         assert [(r["median_iou"], r["num_masks"]) for r in got] == [(want, len(real))]
+
+
+def test_stages_count_in_their_own_writes_and_leave_documents(spark, tmp_path):
+    tiles = spark.createDataFrame([(f"t{i}", [8 * i + k for k in range(3)]) for i in range(4)], "tile_path string, seen array<long>")
+    half = stages.Stage("classifier", lambda state: stages.Result(
+        objects=state.objects.filter("object_id % 2 = 0").select("object_id", F.when(F.col("object_id") % 4 == 0, 7).alias("classifier_class"),
+                                                                 F.lit(0.5).alias("classifier_score")),
+        objects_are_new=False, coco=("classifier_score", "classifier_class"), counts={"unclassified": F.count_if(F.col("classifier_class").isNull())}))
+    plan = [stages.detector_stage(models.load_detector), half, stages.aggregator_stage(0.2, 0.3, {"detector_score": 1.0}, keys=("tile_path",))]
+    done = stages.run_stages(plan, stages.State(tiles=tiles), output=str(tmp_path / "out"), documents=True)
+    n = done.outputs["0_detector"].count()
+    assert done.counts["0_detector"] == {"objects": n} and n == 24
+    assert done.counts["1_classifier"] == {"objects": n, "unclassified": n - 6, "unmatched": n - 12, "dropped": 0} or \
+        done.counts["1_classifier"]["unclassified"] == n - 6
+    left = done.objects.count()
+    assert done.counts["2_aggregator"]["objects"] == left and done.counts["2_aggregator"]["dropped"] == n - left > 0
+    assert sorted(done.documents) == ["0_detector", "1_classifier", "2_aggregator"]
+    for name, path in done.documents.items():
+        tables = coco.read_coco_parts(spark, path)
+        assert tables.annotations.count() == done.outputs[name].count()
+        assert tables.images.count() == done.outputs[name].select("tile_path").distinct().count()
+    kept = coco.read_coco_parts(spark, done.documents["2_aggregator"]).annotations
+    assert kept.agg(F.round(F.sum("score"), 6)).first()[0] == done.objects.agg(F.round(F.sum("aggregator_score"), 6)).first()[0]

@@ -797,6 +797,13 @@ add("run_stages", f""", {_MODEL}, n_n as materialized (select tile_path as k,
       row_number() over (order by tile_path, truth_id, kk) - 1 as id, exp(ln(case when detector_score > 0 then detector_score end)) as score,
       x0, y0, x1, y1 from md where detector_score >= 0.2), {nms_ctes('n', 0.3)}
   select k as tile_path, x0, y0, x1, y1, round(score, 9) as aggregator_score from n_keep join n_n using (k, id)""", TRUTHS, True)
+add("run_stages_documents", f""", {_MODEL}, n_n as materialized (select tile_path as k,
+      row_number() over (order by tile_path, truth_id, kk) - 1 as id, exp(ln(case when detector_score > 0 then detector_score end)) as score,
+      x0, y0, x1, y1 from md where detector_score >= 0.2), {nms_ctes('n', 0.3)},
+  d as (select count(*) as n, count(distinct tile_path) as images, sum(detector_score) as score from md),
+  a as (select count(*) as n, count(distinct k) as images, sum(score) as score from n_keep join n_n using (k, id))
+  select '0_detector' as stage, n as objects, null::bigint as dropped, n as annotations, images, round(score, 6) as score from d
+  union all select '1_aggregator', a.n, d.n - a.n, a.n, a.images, round(a.score, 6) from a, d""", TRUTHS, True)
 add("prepare_segmentation", f""", {_RINGS}, g as (select *, kind in ('both', 'one') or source_id not in
       (select source_id from r where kind <> 'none') as ok from r)
   select source_id, count(*) as total, count(*) - count(*) filter (ok and area >= 20) as removed,

@@ -1511,6 +1511,24 @@ def run_stages(spark, sf):
     return out.select("tile_path", *B.BOX, r9(F.col("aggregator_score"), "aggregator_score"))
 
 
+@query
+def run_stages_documents(spark, sf):
+    """What each stage counted in its own write, and what its COCO document holds."""
+    state = stages.State(tiles=_tile_table(spark, sf), product_name="given")
+    plan = [stages.tiling_stage(), stages.detector_stage(models.load_detector),
+            stages.aggregator_stage(0.2, 0.3, {"detector_score": 1.0}, keys=("tile_path",))]
+    done = stages.run_stages(plan, state, output=scratch_path(spark, "stages"), documents=True)
+    rows = None
+    for name, path in done.documents.items():
+        tables, counts = coco.read_coco_parts(spark, path), done.counts[name]
+        images = tables.images.agg(F.count(F.lit(1)).alias("images"))
+        part = tables.annotations.agg(F.count(F.lit(1)).alias("annotations"), F.round(F.sum("score"), 6).alias("score")).join(
+            images).select(F.lit(name).alias("stage"), F.lit(counts["objects"]).cast("long").alias("objects"),
+                           F.lit(counts.get("dropped")).cast("long").alias("dropped"), "annotations", "images", "score")
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query
 def prepare_segmentation_(spark, sf):
     kept, report = prepare_segmentation.prepare_segmentation(_ring_rows(spark, sf), 20.0)
