@@ -13,7 +13,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crownframe.functions import sweep
+from crownframe.functions import faces, sweep
 
 # Types as objects, so workers can import this module without a session.
 _RINGS = T.ArrayType(T.ArrayType(T.DoubleType()))
@@ -174,92 +174,75 @@ def simplify(rings, tolerance: float):
     return run(rings)
 
 
-def _fill(rings, height: int, width: int) -> np.ndarray:
-    """Mask of the pixels whose centre is inside the rings."""
-    mask = np.zeros((height, width), dtype=bool)
-    s = _segments(rings)
-    if len(s) == 0:
-        return mask
-    for row in range(max(0, int(np.floor(s[:, 1].min()))),
-                     min(height, int(np.ceil(s[:, 3].max())))):
-        y = row + 0.5
-        live = s[(s[:, 1] <= y) & (s[:, 3] > y)]
-        xs = np.sort(live[:, 0] + (y - live[:, 1]) * (live[:, 2] - live[:, 0])
-                     / (live[:, 3] - live[:, 1]))
-        for a, b in zip(xs[0::2], xs[1::2]):
-            lo, hi = int(np.ceil(a - 0.5)), int(np.ceil(b - 0.5))
-            mask[row, max(lo, 0):max(min(hi, width), 0)] = True
-    return mask
-
-
 _RUNS = T.ArrayType(T.StructType([
     T.StructField(c, T.IntegerType()) for c in ("line", "c0", "c1")]))
 
 
-@F.pandas_udf(_RUNS)
-def polygon_to_runs(rings: pd.Series, height: pd.Series, width: pd.Series) -> pd.Series:
+def scan_lines(rings: pa.Array, height: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Row, line, c0 and c1 of the pixels whose centre is inside, for all rows of a batch, in order."""
+    s = sweep.segments(rings, 0)
+    first = np.maximum(np.ceil(s.xy[:, 1] - 0.5), 0).astype(np.int64)          # lines whose middle the segment passes
+    stop = np.minimum(np.ceil(s.xy[:, 3] - 0.5), height[s.row]).astype(np.int64)
+    count = np.maximum(stop - first, 0)
+    at = np.repeat(np.arange(len(count)), count)
+    line = np.arange(len(at)) - np.repeat(np.cumsum(count) - count, count) + first[at]
+    x0, y0, x1, y1 = s.xy[at].T
+    x = x0 + (line + 0.5 - y0) * (x1 - x0) / (y1 - y0)
+    row = s.row[at]
+    order = np.lexsort((x, line, row))
+    row, line, x = row[order][0::2], line[order][0::2], x[order]               # by pairs: in, out
+    c0, c1 = (np.clip(np.ceil(v - 0.5), 0, width[row]).astype(np.int64) for v in (x[0::2], x[1::2]))
+    some = c1 > c0
+    row, line, c0, c1 = row[some], line[some], c0[some], c1[some]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (line[1:] != line[:-1]) | (c0[1:] > c1[:-1])
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(row)) - 1 if len(row) else starts
+    return row[starts], line[starts], c0[starts], c1[ends]
+
+
+@F.arrow_udf(_RUNS)
+def polygon_to_runs(rings: pa.Array, height: pa.Array, width: pa.Array) -> pa.Array:
     """Row runs of a polygon whose corners are rounded to whole pixels first."""
-    def scan(shape, h, w):
-        whole = [np.round(np.asarray(r, dtype=float)) for r in shape] if shape is not None else []
-        mask = _fill(whole, int(h), int(w)).astype(np.int8)
-        edge = np.diff(np.pad(mask, ((0, 0), (1, 1))), axis=1)
-        line, start = np.nonzero(edge == 1)
-        _, stop = np.nonzero(edge == -1)
-        return [{"line": int(a), "c0": int(b), "c1": int(c)} for a, b, c in zip(line, start, stop)]
-
-    return pd.Series([scan(s, h, w) for s, h, w in zip(rings, height, width)])
-
-
-@F.pandas_udf(_RINGS)
-def runs_to_polygon(runs: pd.Series) -> pd.Series:
-    """Rectilinear outline of row runs; every closed border is one ring, largest first."""
-    def outline(items):
-        if items is None or len(items) == 0:
-            return []
-        cells = [(r["line"], r["c0"], r["c1"]) for r in items]
-        top = min(c[0] for c in cells)
-        left = min(c[1] for c in cells)
-        mask = np.zeros((max(c[0] for c in cells) - top + 1,
-                         max(c[2] for c in cells) - left), dtype=np.int8)
-        for line, a, b in cells:
-            mask[line - top, a - left:b - left] = 1
-        padded = np.pad(mask, 1)
-        steps: dict[tuple[int, int], list[tuple[int, int]]] = {}
-
-        def add(frm, to):
-            steps.setdefault(frm, []).append(to)
-
-        # Border edges with the inside on the right hand.
-        for y, x in zip(*np.nonzero((padded[1:, :] == 1) & (padded[:-1, :] == 0))):
-            add((x, y + 1), (x + 1, y + 1))
-        for y, x in zip(*np.nonzero((padded[:-1, :] == 1) & (padded[1:, :] == 0))):
-            add((x + 1, y + 1), (x, y + 1))
-        for y, x in zip(*np.nonzero((padded[:, :-1] == 1) & (padded[:, 1:] == 0))):
-            add((x + 1, y), (x + 1, y + 1))
-        for y, x in zip(*np.nonzero((padded[:, 1:] == 1) & (padded[:, :-1] == 0))):
-            add((x + 1, y + 1), (x + 1, y))
-        rings = []
-        while steps:
-            start = next(iter(steps))
-            ring, at, way = [], start, None
-            while True:
-                options = steps[at]
-                if way is not None and len(options) > 1:
-                    # Two corners meet here: turn right, so diagonal pixels stay apart.
-                    right = (at[0] - way[1], at[1] + way[0])
-                    nxt = right if right in options else options[0]
-                else:
-                    nxt = options[0]
-                options.remove(nxt)
-                if not options:
-                    del steps[at]
-                turn = (nxt[0] - at[0], nxt[1] - at[1])
-                if turn != way:
-                    ring.append(at)
-                way, at = turn, nxt
-                if at == start:
-                    break
-            rings.append([float(v) for x, y in ring for v in (x - 1 + left, y - 1 + top)])
-        return sorted(rings, key=lambda r: -shared_area([r]))
-
-    return runs.map(outline)
+    lists = rings.flatten()
+    points = pa.array(np.round(np.asarray(lists.flatten(), dtype=float)))
+    ends = lambda x: np.concatenate(([0], np.cumsum(np.asarray(x.value_lengths().fill_null(0))))).astype(np.int32)
+    whole = pa.ListArray.from_arrays(pa.array(ends(rings)), pa.ListArray.from_arrays(pa.array(ends(lists)), points))
+    row, *columns = scan_lines(whole, np.asarray(height), np.asarray(width))
+    items = pa.StructArray.from_arrays([pa.array(c.astype(np.int32)) for c in columns], names=["line", "c0", "c1"])
+    counts = np.bincount(row, minlength=len(rings))
+    return pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))).astype(np.int32)), items)
+
+
+@F.arrow_udf(_RINGS)
+def runs_to_polygon(runs: pa.Array) -> pa.Array:
+    """Rectilinear outline of row runs; every closed border is one ring, largest first. Diagonal pixels stay apart.
+
+    Borders are made from the runs alone: both ends of each run, and what is left of its upper and lower side where no run
+    of the next line lies on it.
+    """
+    row = np.asarray(pc.list_parent_indices(runs)).astype(np.int64)
+    items = runs.flatten()
+    line, c0, c1 = (np.asarray(items.field(c)).astype(np.int64) for c in ("line", "c0", "c1"))
+    n, deep = len(row), int(line.max(initial=0)) + 2
+    # One group per mask and line border; the mask lies above it, or below.
+    group = np.concatenate([row * deep + line, row * deep + line + 1])
+    left, _ = faces.netted(faces.Sides(group, np.tile(c0, 2).astype(float), np.tile(c1, 2).astype(float), np.repeat([0, 1], n), np.zeros(2 * n, np.int64)))
+    level, back = left.group % deep, left.side == 1
+    ends = np.stack([np.where(back, left.p1, left.p0), level, np.where(back, left.p0, left.p1), level], 1)
+    down, up = (np.stack(c, 1).astype(float) for c in ((c0, line + 1, c0, line), (c1, line, c1, line + 1)))
+    edges = np.concatenate([ends, down, up])
+    owner = np.concatenate([left.group // deep, row, row])
+    order = np.argsort(owner, kind="stable")
+    stops = np.searchsorted(owner[order], np.arange(len(runs)), "right")
+    out, start = [], 0
+    for stop in stops.tolist():
+        rings, _ = faces.chained([((x0, y0), (x1, y1)) for x0, y0, x1, y1 in edges[order[start:stop]].tolist()])
+        out.append(sorted(([v for p in r for v in p] for r in rings), key=lambda r: -abs(_turned_area(r))))
+        start = stop
+    return pa.array(out, pa.list_(pa.list_(pa.float64())))
+
+
+def _turned_area(ring: list[float]) -> float:
+    x, y = np.asarray(ring[0::2]), np.asarray(ring[1::2])
+    return float(x @ np.roll(y, -1) - y @ np.roll(x, -1)) / 2

@@ -43,7 +43,8 @@ def test_polygon_mask_agrees_with_area():
     rng = random.Random(2)
     for _ in range(20):
         ring = [flat(*[(rng.uniform(5, 95), rng.uniform(5, 95)) for _ in range(6)])]
-        assert polygons._fill(ring, 100, 100).sum() == pytest.approx(polygons.shared_area(ring), rel=0.1, abs=60)
+        lines = polygons.scan_lines(polygons._array([ring]), np.array([100]), np.array([100]))
+        assert (lines[3] - lines[2]).sum() == pytest.approx(polygons.shared_area(ring), rel=0.1, abs=60)
 
 
 def test_repair_of_a_bow_tie_and_of_lines(spark):
@@ -226,3 +227,48 @@ def test_suppression_and_matching_by_masks(spark):
         assert {r["object_id"] for r in kept if r["nms_iou"] == step} == (brute.nms(rows, step) if step < 1 else {r[0] for r in rows})
     pairs = matching.greedy_match(df, t, [0.3], runs=(runs, t_runs)).collect()
     assert {(r["object_id"], r["truth_id"]) for r in pairs} == set(brute.match(rows, truths, 0.3).items())
+
+
+def dense(rings, size=24):
+    """Pixels whose middle has an odd number of edges on it or on its left."""
+    mask = np.zeros((size, size), bool)
+    for y in range(size):
+        for x in range(size):
+            odd = 0
+            for r in rings:
+                p = list(zip(r[0::2], r[1::2]))
+                for (ax, ay), (bx, by) in zip(p, p[1:] + p[:1]):
+                    if ay > by:
+                        ax, ay, bx, by = bx, by, ax, ay
+                    if ay < y + 0.5 < by:
+                        odd += ax + (y + 0.5 - ay) * (bx - ax) / (by - ay) <= x + 0.5
+            mask[y, x] = odd % 2
+    return mask
+
+
+def test_runs_and_outlines_of_many_shapes_at_once(spark):
+    """Polygons to runs against a dense mask, and runs to outlines and back, holes and diagonal pixels included."""
+    rng = np.random.default_rng(5)
+    shapes = [[[float(v) for v in rng.integers(-2, 26, 2 * n)] for n in rng.integers(3, 8, rng.integers(1, 3))] for _ in range(60)] + [None, []]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(shapes)], "id int, rings array<array<double>>")
+    runs = df.select("id", polygons.polygon_to_runs("rings", F.lit(24), F.lit(24)).alias("runs"))
+    got = {r["id"]: r["runs"] for r in runs.collect()}
+    for i, s in enumerate(shapes):
+        mask = np.zeros((24, 24), bool)
+        for r in got[i]:
+            assert not mask[r["line"], max(r["c0"] - 1, 0):r["c1"]][(r["c0"] > 0):].any()
+            mask[r["line"], r["c0"]:r["c1"]] = True
+        inside = [[min(max(v, -2), 26) for v in r] for r in s or []]
+        assert (mask == dense(inside)).all()
+    again = runs.select("id", "runs", polygons.runs_to_polygon("runs").alias("rings"))
+    again = again.select("id", "runs", "rings", polygons.polygon_to_runs("rings", F.lit(24), F.lit(24)).alias("back"))
+    for r in again.collect():
+        assert r["back"] == r["runs"]
+        areas = [abs(polygons._turned_area(ring)) for ring in r["rings"]]
+        assert areas == sorted(areas, reverse=True)
+
+
+def test_outlines_take_memory_by_their_runs(spark):
+    far = spark.createDataFrame([(1, [(0, 0, 2), (10**6, 10**6, 10**6 + 3)])], "id int, runs array<struct<line:int,c0:int,c1:int>>")
+    rings = far.select(polygons.runs_to_polygon("runs").alias("r")).first()["r"]
+    assert [abs(polygons._turned_area(x)) for x in rings] == [3.0, 2.0]
