@@ -7,18 +7,21 @@ or raster.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
-from crownframe.functions import boxes as B
-from crownframe.operators.spatial_join import bbox_join, cell_crowds
+from crownframe.functions.batches import whole_groups
+from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
 
 RUN = ("line", "c0", "c1")
-HOT_CELL = 2_000   # masks in one grid cell above which equal masks are dropped before pairing
 
 
 def rle_to_runs(df: DataFrame, ids: Sequence[str], counts: str = "counts",
@@ -165,62 +168,122 @@ def subtract_runs(runs: DataFrame, holes: DataFrame, ids: Sequence[str]) -> Data
     return out.select(*ids, "line", F.col("_p.s").alias("c0"), F.col("_p.e").alias("c1"))
 
 
+def _owned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (_key, line, id, score, c0, c1) by line: (_key, id, line, c0, c1), each pixel with its strongest mask.
+
+    A line is swept once from left to right with a heap of the runs that are open.
+    """
+    for b, group in whole_groups(batches, ("_key", "line"), 1 << 16):
+        ids, c0, c1 = (np.asarray(b.column(c)) for c in ("id", "c0", "c1"))
+        score = np.asarray(b.column("score").fill_null(-np.inf), dtype=float)
+        rank = np.empty(len(ids), np.int64)
+        rank[np.lexsort((ids, -np.where(np.isnan(score), -np.inf, score)))] = np.arange(len(ids))
+        order = np.lexsort((c0, group))
+        owner, start, stop = [], [], []
+        for some in np.split(order, np.flatnonzero(np.diff(group[order])) + 1):
+            waiting, open_ = [(x, int(rank[k]), int(k)) for x, k in zip(c0[some].tolist(), some)], []
+            at, i = waiting[0][0], 0
+            while i < len(waiting) or open_:
+                while i < len(waiting) and waiting[i][0] <= at:
+                    heapq.heappush(open_, waiting[i][1:])
+                    i += 1
+                while open_ and c1[open_[0][1]] <= at:
+                    heapq.heappop(open_)
+                upto = waiting[i][0] if i < len(waiting) else None
+                if open_:
+                    k = open_[0][1]
+                    end = int(c1[k]) if upto is None else min(int(c1[k]), upto)
+                    if owner and ids[owner[-1]] == ids[k] and stop[-1] == at and group[owner[-1]] == group[k]:
+                        stop[-1] = end
+                    else:
+                        owner.append(k)
+                        start.append(at)
+                        stop.append(end)
+                    at = end
+                elif upto is not None:
+                    at = upto
+        found = b.take(pa.array(owner, pa.int64()))
+        yield pa.RecordBatch.from_arrays([found.column("_key"), found.column("id"), found.column("line"),
+                                          pa.array(start, pa.int32()), pa.array(stop, pa.int32())], names=["_key", "id", *RUN])
+
+
+def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From (_key, line, disputed, id, c0, c1) by line, owned runs and those of disputed masks: (_key, id, owner, n), the
+    pixels of a disputed mask that another one owns."""
+    for b, group in whole_groups(batches, ("_key", "line"), 1 << 16):
+        ids, c0, c1, disputed = (np.asarray(b.column(c).to_numpy(zero_copy_only=False)) for c in ("id", "c0", "c1", "disputed"))
+        own = np.flatnonzero(~disputed)
+        own = own[np.lexsort((c0[own], group[own]))]                # disjoint within a line
+        weak = np.flatnonzero(disputed)
+        if not len(own) or not len(weak):
+            continue
+        wide = np.int64(max(int(c1.max(initial=0)), 1) + 1)
+        place = lambda g, x: g.astype(np.int64) * wide + x
+        first = np.searchsorted(place(group[own], c1[own]), place(group[weak], c0[weak]), "right")
+        last = np.searchsorted(place(group[own], c0[own]), place(group[weak], c1[weak]), "left")
+        count = np.maximum(last - first, 0)
+        i = np.repeat(weak, count)
+        j = own[np.arange(len(i)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(first, count)]
+        n = np.minimum(c1[i], c1[j]) - np.maximum(c0[i], c0[j])
+        keep = (n > 0) & (ids[i] != ids[j])
+        yield pa.RecordBatch.from_arrays([b.column("_key").take(pa.array(i[keep])), pa.array(ids[i[keep]]), pa.array(ids[j[keep]]),
+                                          pa.array(n[keep].astype(np.int64))], names=["_key", "id", "owner", "n"])
+
+
 def nms_ioa_disambiguate(runs: DataFrame, scores: DataFrame, threshold: float = 0.3,
                          keep_ratio: float = 0.5, score_threshold: float | None = None,
                          id_col: str = "object_id", score_col: str = "segmenter_score",
-                         keys: Sequence[str] = ("product_id",),
-                         hot_cell: int = HOT_CELL) -> DataFrame:
+                         keys: Sequence[str] = ("product_id",)) -> DataFrame:
     """Give shared pixels to the stronger mask; what is left of the weaker one must be enough.
 
     A mask that a single stronger one covers by more than `threshold` of its area is disputed: it
     keeps only the pixels no stronger mask holds, and only if they are at least `keep_ratio` of its
-    area. Every other mask keeps its remainder. Stronger means a higher score, then a lower id; all
-    masks above `score_threshold` count, so no order of steps matters. This reading is our own.
-    Returns the remaining runs.
+    area. Every other mask keeps its remainder. Stronger means a higher score (none and NaN come last), then a lower
+    id; all masks above `score_threshold` count, so no order of steps matters. This reading is our own.
+    Returns the remaining runs. Ids are whole numbers.
+
+    Pixels find their strongest mask line by line, in time that follows the runs. A mask that lost no more than the
+    threshold, or keeps enough, stays; one that lost more to a single owner falls. Only masks that lost more than
+    that to several owners, and keep too little, are compared with single stronger ones pair by pair.
     """
     keys = list(keys)
     if score_threshold is not None:
         scores = scores.filter(F.col(score_col) >= score_threshold)
-    ranked = runs.join(scores.select(*keys, id_col, F.col(score_col).alias("_s")), [*keys, id_col])
-    boxes = cut(run_boxes(ranked, [*keys, id_col, "_s"]).select(
-        *keys, F.col(id_col).alias("id"), F.col("_s").alias("score"), *B.BOX), "boxes")
-    if not cell_crowds(boxes, keys, hot_cell)[0].isEmpty():
-        # Of masks with the very same pixels only the strongest can keep any, and the others take
-        # nothing that it does not take, so they can go before the pairs are made.
-        shapes = collect_runs(ranked, [*keys, id_col, "_s"])
-        best = shapes.groupBy(*keys, "runs").agg(
-            F.min(F.struct((-F.col("_s")).alias("s"), F.col(id_col).alias("i"))).alias("_b"))
-        best = cut(best.select(*keys, F.col("_b.i").alias(id_col)), "shapes")
-        ranked = ranked.join(best, [*keys, id_col], "left_semi")
-        boxes = boxes.join(best.withColumnRenamed(id_col, "id"), [*keys, "id"], "left_semi")
-    stronger = ((F.col("a_score") > F.col("b_score"))
-                | ((F.col("a_score") == F.col("b_score")) & (F.col("a_id") < F.col("b_id"))))
-    pairs = bbox_join(boxes, boxes, keys, extra=stronger)
-    low, high = F.greatest("a_y0", "b_y0"), F.least("a_y1", "b_y1")
-    lines = pairs.select(*keys, "a_id", "b_id", F.explode(F.sequence(
-        low.cast("int"), (high - 1).cast("int"))).alias("line"))
-    mine = ranked.select(*keys, F.col(id_col).alias("id"), *RUN)
-    strong = mine.select(*keys, F.col("id").alias("a_id"), "line", F.col("c0").alias("_a0"),
-                         F.col("c1").alias("_a1"))
-    weak = mine.select(*keys, F.col("id").alias("b_id"), "line", F.col("c0").alias("_b0"),
-                       F.col("c1").alias("_b1"))
-    shared = lines.join(strong, [*keys, "a_id", "line"]).join(weak, [*keys, "b_id", "line"])
-    shared = shared.withColumns({"c0": F.greatest("_a0", "_b0"), "c1": F.least("_a1", "_b1")})
-    shared = shared.filter("c1 > c0")
-    area = mask_area(mine, [*keys, "id"])
-    taken = shared.select(*keys, "a_id", F.col("b_id").alias("id"), *RUN)
-    worst = taken.groupBy(*keys, "id", "a_id").agg(
-        F.sum(F.col("c1") - F.col("c0")).alias("_i")).groupBy(*keys, "id").agg(
-        F.max("_i").alias("_worst"))
-    rest = subtract_runs(mine, taken.select(*keys, "id", *RUN), [*keys, "id"])
-    left = mask_area(rest, [*keys, "id"]).withColumnRenamed("area", "_left")
-    judged = area.join(worst, [*keys, "id"], "left").join(left, [*keys, "id"], "left").fillna(
-        0, ["_worst", "_left"])
-    fine = judged.filter((F.col("_left") > 0) & (
-        (F.col("_worst") <= threshold * F.col("area"))
-        | (F.col("_left") >= keep_ratio * F.col("area"))))
-    return rest.join(fine.select(*keys, "id"), [*keys, "id"], "left_semi").withColumnRenamed(
-        "id", id_col)
+    ranked = runs.filter("c1 > c0").join(scores.select(*keys, id_col, F.col(score_col).cast("double").alias("score")), [*keys, id_col])
+    mine = cut(ranked.select(F.to_json(F.struct(*keys), {"ignoreNullFields": "false"}).alias("_key"), *keys, F.col(id_col).cast("long").alias("id"),
+                             "score", *[F.col(c).cast("int").alias(c) for c in RUN]), "ranked")
+    lines = mine.select("_key", "line", "id", "score", "c0", "c1").repartition("_key", "line").sortWithinPartitions("_key", "line", "c0")
+    rest = cut(lines.mapInArrow(_owned, "_key string, id long, line int, c0 int, c1 int"), "owned")
+    size = F.sum(F.col("c1") - F.col("c0"))
+    judged = mine.groupBy("_key", "id").agg(size.alias("area")).join(
+        rest.groupBy("_key", "id").agg(size.alias("left")), ["_key", "id"])
+    area, lost = F.col("area"), F.col("area") - F.col("left")
+    judged = cut(judged.withColumn("open", (F.col("left") < keep_ratio * area) & (lost > threshold * area)), "judged")
+    open_ = judged.filter("open").select("_key", "id", "area")
+    weak = mine.join(open_.select("_key", "id"), ["_key", "id"], "left_semi")
+    both = rest.select("_key", "line", F.lit(False).alias("disputed"), "id", "c0", "c1").unionByName(
+        weak.select("_key", "line", F.lit(True).alias("disputed"), "id", "c0", "c1"))
+    near = both.repartition("_key", "line").sortWithinPartitions("_key", "line")
+    taken = near.mapInArrow(_owners, "_key string, id long, owner long, n long").groupBy("_key", "id", "owner").agg(F.sum("n").alias("n"))
+    fallen = cut(taken.groupBy("_key", "id").agg(F.max("n").alias("n")).join(open_, ["_key", "id"]).filter(
+        F.col("n") > threshold * F.col("area")).select("_key", "id"), "fallen")
+    unsure = cut(open_.join(fallen, ["_key", "id"], "left_anti"), "unsure")
+    stronger = (F.coalesce(F.col("a_score"), F.lit(float("-inf"))) > F.coalesce(F.col("b_score"), F.lit(float("-inf")))) | (
+        F.col("a_score").eqNullSafe(F.col("b_score")) & (F.col("a_id") < F.col("b_id")))
+    if not unsure.isEmpty():
+        plain = mine.withColumn("score", F.when(~F.isnan("score"), F.col("score")))
+        some = plain.join(unsure.select("_key", "id"), ["_key", "id"], "left_semi")
+        pairs = overlap_area(plain.select("_key", F.struct("score", "id").alias("id"), *RUN),
+                             some.select("_key", F.struct("score", "id").alias("id"), *RUN), "id", "id", ["_key"])
+        pairs = pairs.select("_key", F.col("a_id.score").alias("a_score"), F.col("a_id.id").alias("a_id"),
+                             F.col("b_id.score").alias("b_score"), F.col("b_id.id").alias("b_id"), "inter").filter(stronger)
+        more = pairs.groupBy("_key", F.col("b_id").alias("id")).agg(F.max("inter").alias("n")).join(unsure, ["_key", "id"]).filter(
+            F.col("n") > threshold * F.col("area")).select("_key", "id")
+        fallen = fallen.unionByName(more)
+    kept = judged.select("_key", "id").join(fallen, ["_key", "id"], "left_anti")
+    kind = T.StructType([runs.schema[k] for k in keys])
+    return rest.join(kept, ["_key", "id"], "left_semi").select(
+        *[F.from_json("_key", kind)[k].alias(k) for k in keys], F.col("id").cast(runs.schema[id_col].dataType).alias(id_col), *RUN)
 
 
 def downscale_runs(runs: DataFrame, factor: int, ids: Sequence[str]) -> DataFrame:

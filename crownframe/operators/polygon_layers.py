@@ -20,6 +20,7 @@ from crownframe.functions import boxes as B
 from crownframe.functions import faces as P
 from crownframe.functions import rings as R
 from crownframe.functions import sweep
+from crownframe.functions.batches import whole_groups
 from crownframe.operators.dissolve import connected
 from crownframe.operators.fragments import cell_box, edges_in, edges_of
 from crownframe.operators.spatial_join import HIGHEST, LOWEST, cell_side, grid_level
@@ -76,33 +77,6 @@ def cells(shapes: DataFrame, columns: Sequence[str], level: int | None = None) -
         now = cut(clipped(finer.withColumns({"cx": F.col("cx") + F.col("_i"), "cy": F.col("cy") + F.col("_j")})), "cells")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch], names: Sequence[str], most: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
-    """Rows sorted by `names` in pieces of whole groups, a group or about `most` rows at a time, with each row's group number."""
-    rest: pa.RecordBatch | None = None
-
-    def numbers(b: pa.RecordBatch) -> np.ndarray:
-        new = np.zeros(b.num_rows, bool)
-        for c in names:
-            v = b.column(c).to_numpy(zero_copy_only=False)
-            new[1:] |= v[1:] != v[:-1]
-        return np.cumsum(new)
-
-    for b in batches:
-        if rest is not None and rest.num_rows:
-            b = pa.Table.from_batches([rest, b]).combine_chunks().to_batches()[0]
-        if not b.num_rows:
-            continue
-        group = numbers(b)
-        last, start = int(np.searchsorted(group, group[-1])), 0
-        while start < last:
-            end = min(int(np.searchsorted(group, group[min(start + most, last - 1)], "right")), last)
-            yield b.slice(start, end - start), group[start:end] - group[start]
-            start = end
-        rest = b.slice(last)
-    if rest is not None and rest.num_rows:
-        yield rest, np.zeros(rest.num_rows, np.int64)
-
-
 def _found(kind: int, n: int, **columns) -> pa.RecordBatch:
     made = {"kind": pa.array(np.full(n, kind), pa.int32()), **columns}
     return pa.RecordBatch.from_arrays([
@@ -116,7 +90,7 @@ def _paths(key: Sequence, a: Sequence, b: Sequence, paths: Sequence) -> pa.Recor
 
 def _faces(merge: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, group in _whole_groups(batches, ("_key", "cx", "cy"), 512):
+        for b, group in whole_groups(batches, ("_key", "cx", "cy"), 512):
             s = sweep.from_flat(b.column("edges"))
             ids, layer = (np.asarray(b.column(c)) for c in ("id", "layer"))
             s = sweep.Segments(group[s.row], s.row, s.xy)           # a shape is a row
@@ -162,7 +136,7 @@ def _faces(merge: bool):
 
 def _netted(columns: Sequence[str], merge: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b, group in _whole_groups(batches, columns, 4096):
+        for b, group in whole_groups(batches, columns, 4096):
             c = {n: b.column(n).to_numpy(zero_copy_only=False) for n in ("_key", "axis", "line", "p0", "p1", "side")}
             left, pairs = P.netted(P.Sides(group, c["p0"], c["p1"], c["side"], np.arange(b.num_rows)))
             ids, other = b.column("a"), b.column("b")

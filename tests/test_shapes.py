@@ -148,17 +148,38 @@ def test_dissolve_gives_connected_parts_with_all_pixels(spark):
     assert cells == {(names[label[y, x]], y, x) for y, x in zip(*np.nonzero(union))}
 
 
-def test_disambiguation_leaves_no_shared_pixel(spark):
-    shapes = random_masks(15, 8)
+def plain_disambiguation(shapes, score, threshold, keep_ratio):
+    """Pixels that stay, by comparing every mask with every stronger one."""
+    out = set()
+    for i, m in shapes.items():
+        above = [n for j, n in shapes.items() if (score[j], -j) > (score[i], -i)]
+        left = m & ~np.logical_or.reduce([np.zeros_like(m), *above])
+        worst = max([(m & n).sum() for n in above], default=0)
+        if left.any() and (worst <= threshold * m.sum() or left.sum() >= keep_ratio * m.sum()):
+            out |= {(i, int(y), int(x)) for y, x in zip(*np.nonzero(left))}
+    return out
+
+
+@pytest.mark.parametrize("seed, threshold, keep_ratio", [(8, 0.3, 0.5), (9, 0.5, 0.9), (10, 0.1, 0.2), (11, 0.45, 1.0)])
+def test_disambiguation_is_that_of_all_pairs(spark, seed, threshold, keep_ratio):
+    shapes = random_masks(25, seed)
     shapes[50] = shapes[2].copy()
-    scores = spark.createDataFrame([(0, i, (i * 7 % 11) / 11) for i in shapes], "product_id int, object_id bigint, segmenter_score double")
-    for crowd in (10_000, 1):
-        rest = masks.nms_ioa_disambiguate(run_rows(spark, shapes, "object_id"), scores, hot_cell=crowd)
-        cells = [(r["line"], x) for r in rest.collect() for x in range(r["c0"], r["c1"])]
-        assert cells and len(cells) == len(set(cells))
-        if crowd == 1:
-            assert sorted(cells) == before
-        before = sorted(cells)
+    score = {i: (i * 7 % 11) / 11 for i in shapes}
+    scores = spark.createDataFrame([(0, i, s) for i, s in score.items()], "product_id int, object_id bigint, segmenter_score double")
+    rest = masks.nms_ioa_disambiguate(run_rows(spark, shapes, "object_id"), scores, threshold, keep_ratio)
+    cells = [(r["object_id"], r["line"], x) for r in rest.collect() for x in range(r["c0"], r["c1"])]
+    assert len(cells) == len(set(cells)) and set(cells) == plain_disambiguation(shapes, score, threshold, keep_ratio)
+
+
+def test_a_crowd_of_near_copies_makes_no_pairs(spark):
+    """Thousands of masks on one spot: the strongest stays, and what each line hands on follows its runs."""
+    n = 5000
+    ids = spark.range(n).select(F.lit(0).alias("product_id"), F.col("id").alias("object_id"))
+    runs = ids.select("*", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("line"), (F.col("object_id") % 7).cast("int").alias("c0"),
+                      (F.lit(90) + F.col("object_id") % 5).cast("int").alias("c1"))
+    scores = ids.select("*", (F.lit(1.0) / (F.col("object_id") + 1)).alias("segmenter_score"))
+    rest = masks.nms_ioa_disambiguate(runs, scores)
+    assert {(r["object_id"], r["n"]) for r in masks.mask_area(rest, ["object_id"]).withColumnRenamed("area", "n").collect()} == {(0, 360)}
 
 
 def test_overlapping_aoi_boxes_become_disjoint(spark):
