@@ -12,24 +12,38 @@ from crownframe.llm import exact_dedup, language_id, near_copies, pattern_packin
 from crownframe.session import cut
 
 
+#: Words a worker remembers while it packs, and rows handed to a worker at a time: one worker serves all stages, and what
+#: one stage held is not all given back before the next.
+WORDS, BATCH = 120_000, 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH))
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a recognised language: no letters, or no label at a score of 0.5."""
+    small_batches(spark)
     return language_id.keep_identified(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one row of each group of equal texts, that of the largest doc_id."""
+    small_batches(spark)
     return exact_dedup.drop_copies(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near copies (five-word shingles, Jaccard 0.8), that of the smallest doc_id."""
+    """Keeps one document of each group of near copies, that of the smallest doc_id: SimHash groups of five-word shingles and
+    every other pair that shares a band of MinHash values, each link confirmed by a Jaccard similarity of 0.8."""
+    small_batches(spark)
     return near_copies.keep_one(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Places the pieces of all that is left in sequences."""
-    return pattern_packing.pack(docs)
+    small_batches(spark)
+    return pattern_packing.pack(docs, remembered=WORDS)
 
 
 STAGES = [("language_id", language), ("exact_dedup", exact), ("simhash_near_dedup", near),

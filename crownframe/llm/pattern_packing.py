@@ -31,8 +31,6 @@ from crownframe.session import cut
 
 #: Bins of a sequence's length for the fit, and documents in a fitted pattern.
 BINS, MOST = 64, 3
-#: Words remembered by a worker; other operators of a pipeline need room beside it.
-REMEMBERED = 150_000
 
 Pattern = tuple[tuple[int, int], ...]      # (length, how many), longest first
 
@@ -196,7 +194,8 @@ PIECES = [StructField("piece", IntegerType()), StructField("start", LongType()),
 
 
 def pieces(docs: DataFrame, carry: list[str], vocabulary: str = "word_bpe_49k.json", end_id: int = 1,
-           capacity: int = 4096, text_col: str = "text", with_ids: bool = False) -> DataFrame:
+           capacity: int = 4096, text_col: str = "text", with_ids: bool = False,
+           remembered: int | None = None) -> DataFrame:
     """The columns `carry`, and piece, start, length, ids_crc32 of each piece, and its ids if asked for."""
     ship(docs.sparkSession)
     rows = docs.select(*[F.col(f"`{c}`") for c in carry], whole_text(f"`{text_col}`").alias("__text"))
@@ -204,7 +203,7 @@ def pieces(docs: DataFrame, carry: list[str], vocabulary: str = "word_bpe_49k.js
     schema = StructType(fields).add("ids", ArrayType(IntegerType())) if with_ids else StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, end = encoder(vocabulary, remembered=REMEMBERED), np.array([end_id], "<u2").tobytes()
+        enc, end = encoder(vocabulary, remembered=remembered), np.array([end_id], "<u2").tobytes()
         for b in batches:
             source, piece, length, crc, ids = [], [], [], [], []
             for i, data in enumerate(enc.encode(b.column(len(carry)).to_pylist())):
@@ -246,10 +245,11 @@ def assign(cut_pieces: DataFrame, order: list[str], capacity: int = 4096) -> Dat
 
 
 def pack(docs: DataFrame, vocabulary: str = "word_bpe_49k.json", end_id: int = 1, capacity: int = 4096,
-         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
-    """Per piece: doc_id, piece, start, length, ids_crc32, [ids], sequence_id, offset."""
+         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, remembered: int | None = None) -> DataFrame:
+    """Per piece: doc_id, piece, start, length, ids_crc32, [ids], sequence_id, offset. `remembered` bounds the words that a
+    worker keeps the ids of."""
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
-    made = cut(pieces(rows, ["doc_id"], vocabulary, end_id, capacity, "text", with_ids), "pieces")
+    made = cut(pieces(rows, ["doc_id"], vocabulary, end_id, capacity, "text", with_ids, remembered), "pieces")
     return assign(made, ["doc_id", "piece"], capacity)
 
 

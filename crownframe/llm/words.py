@@ -12,22 +12,33 @@ import functools
 import os
 import re
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+#: Characters outside these ranges may be classed, composed or lower-cased differently.
+UNSAFE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-įı-˿]")
+
+
+def _letters() -> str:
+    """The letters of the safe ranges as ranges of a character set, which is faster than to exclude classes."""
+    safe = [c for c in range(0x300) if not UNSAFE.match(chr(c)) and re.match(r"[^\W\d_]", chr(c))]
+    starts = [c for c in safe if c - 1 not in safe]
+    ends = [c for c in safe if c + 1 not in safe]
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in zip(starts, ends))
+
+
+LETTER = f"[{_letters()}]"
 #: The vocabularies' split patterns in terms of Python's classes.
 SPLIT = {
-    "byte_bpe_50k.json": r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+",
-    "word_bpe_49k.json": r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+",
+    "byte_bpe_50k.json": rf" ?{LETTER}+|'s|'t|'re|'ve|'m|'ll|'d| ?\d+| ?(?:[^\s\w]|_)+|\s+(?!\S)|\s+",
+    "word_bpe_49k.json": rf"{LETTER}+|'s|'t|'re|'ve|'m|'ll|'d|\d|(?:[^\s\w]|_)+",
 }
 LOWER = {"word_bpe_49k.json"}
-#: Characters outside these ranges may be classed, composed or lower-cased differently.
-UNSAFE = re.compile("[^\x00-\x1b\x20-\xb1\xb4-\xb8\xba\xbb\xbf-įı-˿]")
 #: Words remembered by a worker, and characters split at a time.
-REMEMBERED, STEP = 400_000, 1 << 20
+REMEMBERED, STEP = 1_000_000, 1 << 20
 
 
 class WordEncoder:
@@ -41,7 +52,8 @@ class WordEncoder:
         if self.library.get_vocab_size() > np.iinfo(dtype).max:
             raise ValueError(f"{name} has ids that don't fit in {dtype}")
         self.split, self.lower, self.dtype = re.compile(SPLIT[name]).findall, name in LOWER, np.dtype(dtype)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}      # words of late
+        self.before: dict[str, bytes] = {}     # and of the time before, of which those seen again move up
 
     def _by_library(self, texts: list[str]) -> Iterator[bytes]:
         found = self.library.encode_batch_fast(texts, add_special_tokens=False)
@@ -65,13 +77,16 @@ class WordEncoder:
 
     def _some(self, texts: list[str]) -> Iterator[bytes]:
         split = [None if UNSAFE.search(t) else self.split(t.lower() if self.lower else t) for t in texts]
-        fresh = list(set(chain.from_iterable(x for x in split if x)).difference(self.known))
+        fresh = set(chain.from_iterable(x for x in split if x)).difference(self.known)
+        again = fresh.intersection(self.before)
+        self.known.update(zip(again, map(self.before.__getitem__, again)))
+        fresh = list(fresh - again)
         self.known.update(zip(fresh, self._by_library(fresh)))
         get = self.known.__getitem__
         for t, words in zip(texts, split):
             yield b"".join(map(get, words)) if words is not None else next(self._by_library([t]))
-        if len(self.known) > self.remembered:     # words seen early tend to be the frequent ones
-            self.known = dict(islice(self.known.items(), self.remembered // 2))
+        if len(self.known) > self.remembered // 2:
+            self.before, self.known = self.known, {}
 
 
 @functools.lru_cache(maxsize=4)
