@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from crownframe.operators.numbering import range_stamped, row_index
-from crownframe.session import cut
+from crownframe.session import cut, scratch_path
 
 
 class Coco(NamedTuple):
@@ -106,8 +106,10 @@ def _pieces(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
                         (depth + F.when(inside == 0, F.col("d0")).otherwise(F.col("d1"))).alias("after"))
 
 
-def read_coco_pieces(spark: SparkSession, path: str | Sequence[str]) -> Coco:
-    """`read_coco` for large documents: each is read, split and parsed by many tasks, and none holds a document.
+def coco_groups(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """The text of documents in groups that are each one element of an outer array, or what stands between two:
+    source_id, _h and _e (their order), section (its key; null between), starts (the section), `lead` (what stands before
+    the element) and `t`. All texts of a document in order are the document.
 
     Elements are the objects of the document's outer arrays; a piece that leaves an array or stands before the first one
     starts a section, named by the key of the next array of objects. Any layout and order of keys and sections is read.
@@ -116,27 +118,40 @@ def read_coco_pieces(spark: SparkSession, path: str | Sequence[str]) -> Coco:
     ends = F.col("closes") & (F.col("after") == 2)
     starts = (F.col("inside") == 0) & ((F.col("depth") < 2) | ((F.col("depth") == 2) & F.col("value").rlike(r"^\s*\]")))
     section = r'(?s)"((?:[^"\\]|\\.)*)"\s*:\s*\[\s*\{(.*)$'
-    named = F.regexp_extract("value", section, 1)
-    text = F.when(F.col("starts"), F.concat(F.lit("{"), F.regexp_extract("value", section, 2))).when(
-        (F.col("inside") == 0) & (F.col("depth") == 2), F.regexp_replace("value", r"^\s*,\s*", "")).otherwise(F.col("value"))
+    named, rest = F.regexp_extract("value", section, 1), F.regexp_extract("value", section, 2)
+    first = F.col("starts") & (F.col("section") != "")
+    next_ = ~F.col("starts") & (F.col("inside") == 0) & (F.col("depth") == 2)
     block = ["source_id", "_blk"]
     upto = Window.partitionBy(*block).orderBy("_pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     marked = state.withColumns({"ends": ends.cast("int"), "starts": starts}).withColumns({
-        "_h": F.sum(F.col("starts").cast("int")).over(upto), "_e": F.sum("ends").over(upto) - F.col("ends")})
+        "_h": F.sum(F.col("starts").cast("int")).over(upto), "_e": F.sum("ends").over(upto) - F.col("ends"),
+        "section": F.when(F.col("starts"), named)})
     marked = cut(marked, "json-pieces")
     sums = marked.groupBy(*block).agg(F.sum(F.col("starts").cast("int")).alias("h"), F.sum("ends").alias("e"))
     earlier = Window.partitionBy("source_id").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sums.select(*block, *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"_o{c}") for c in "he"])
-    placed = marked.join(offsets, block).select(
-        "source_id", "_pos", "ends", "starts", (F.col("_h") + F.col("_oh")).alias("_h"), (F.col("_e") + F.col("_oe")).alias("_e"),
-        F.when(F.col("starts"), named).alias("section"), F.concat(text, F.lit("}")).alias("text"))
+    over = (F.col("inside") == 0) & (F.col("depth") == 0) & F.col("value").rlike(r"^\s*$")      # blanks behind a document
+    text = F.when(first, F.concat(F.lit("{"), rest)).when(next_, F.regexp_replace("value", r"^\s*,\s*", "")).otherwise(F.col("value"))
+    lead = F.when(first, F.expr("left(value, length(value) - length(rest) - 1)")).when(
+        next_, F.regexp_extract("value", r"^\s*,\s*", 0)).otherwise("")
+    placed = marked.join(offsets, block).withColumn("rest", rest).select(
+        "source_id", "_pos", "ends", "starts", "section", (F.col("_h") + F.col("_oh")).alias("_h"), (F.col("_e") + F.col("_oe")).alias("_e"),
+        lead.alias("lead"), F.concat(text, F.when(over, "").otherwise("}")).alias("text"))
     placed = cut(placed, "json-placed")
     sections = placed.filter("starts and section <> ''").select("source_id", "_h", F.col("_e").alias("_first"), "section")
-    elements = placed.groupBy("source_id", "_h", "_e").agg(
-        F.array_sort(F.collect_list(F.struct("_pos", "text"))).alias("t"), F.max("ends").alias("ends"))      # one element each
-    elements = elements.filter("ends = 1").join(sections, ["source_id", "_h"]).select(
-        "source_id", "section", (F.col("_e") - F.col("_first")).cast("int").alias("pos"),
-        F.array_join(F.transform("t", lambda p: p["text"]), "").alias("t"))
+    groups = placed.groupBy("source_id", "_h", "_e").agg(
+        F.array_sort(F.collect_list(F.struct("_pos", "lead", "text"))).alias("p"), F.max("ends").alias("ends"),
+        F.max("starts").alias("starts"))                                                         # one element each
+    groups = groups.join(sections, ["source_id", "_h"], "left")
+    element = (F.col("ends") == 1) & F.col("section").isNotNull()
+    return groups.select("source_id", "_h", "_e", "starts", F.when(element, F.col("section")).alias("section"),
+                         (F.col("_e") - F.col("_first")).cast("int").alias("pos"), F.col("p")[0]["lead"].alias("lead"),
+                         F.array_join(F.transform("p", lambda p: p["text"]), "").alias("t"))
+
+
+def read_coco_pieces(spark: SparkSession, path: str | Sequence[str]) -> Coco:
+    """`read_coco` for large documents: each is read, split and parsed by many tasks, and none holds a document."""
+    elements = coco_groups(spark, path)
 
     def part(name, schema):
         rows = elements.filter(F.col("section") == name)
@@ -147,6 +162,33 @@ def read_coco_pieces(spark: SparkSession, path: str | Sequence[str]) -> Coco:
     return Coco(part("images", IMAGE), annotations, part("categories", CATEGORY))
 
 
+def write_files(rows: DataFrame, order: Sequence[str], target: str | None = None) -> None:
+    """One file per `source_id` from the lines in `text`, by `order`: in the place of that file, or under its name in the
+    folder `target`. Each file is written whole beside the others first and then moved, so a run that ends halfway
+    leaves every file as it was or as it should be."""
+    spark = rows.sparkSession
+    folder = scratch_path(spark, "files")
+    named = rows.withColumn("_doc", F.hex(F.xxhash64("source_id")))
+    named.repartition("_doc").sortWithinPartitions("_doc", *order).select("_doc", F.col("text").alias("value")).write.partitionBy("_doc").text(folder)
+    at = spark._jvm.org.apache.hadoop.fs.Path
+    conf = spark._jsc.hadoopConfiguration()
+    for r in named.select("source_id", "_doc").distinct().toLocalIterator():       # names only
+        made = at(f"{folder}/_doc={r['_doc']}")
+        parts = [x.getPath() for x in made.getFileSystem(conf).globStatus(at(f"{made.toString()}/part-*"))]
+        if len(parts) != 1:
+            raise OSError(f"{len(parts)} files for {r['source_id']}")
+        source = at(r["source_id"])
+        end = at(target, source.getName()) if target else source
+        fs = end.getFileSystem(conf)
+        fresh = at(end.getParent(), f".{end.getName()}.new")
+        fs.mkdirs(end.getParent())
+        fs.delete(fresh, False)
+        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(made.getFileSystem(conf), parts[0], fs, fresh, True, conf)
+        fs.delete(end, False)
+        if not fs.rename(fresh, end):
+            raise OSError(f"cannot write {end.toString()}")
+
+
 def read_coco_parts(spark: SparkSession, path: str) -> Coco:
     """A folder written by `write_coco`, read line by line. `source_id` is the sub-folder value.
 

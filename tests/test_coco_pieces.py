@@ -50,3 +50,46 @@ def test_pieces_give_what_whole_documents_give(spark, tmp_path, size):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
         spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
+def plain_cleaned(text, least=5.0):
+    """The document after cleaning, and removed and total."""
+    whole = json.loads(text)
+    notes = whole.get("annotations", [])
+    if not notes:
+        return whole, None
+    valid = lambda s: isinstance(s, dict) or (bool(s) and all(len(r) >= 6 for r in (s if isinstance(s[0], list) else [s])))
+    masked = any(a["segmentation"] for a in notes)
+    stay = [a for a in notes if a["area"] >= least and (not masked or valid(a["segmentation"]))]
+    return whole | {"annotations": stay}, (len(notes) - len(stay), len(notes))
+
+
+def test_documents_are_cleaned_in_their_place(spark, tmp_path):
+    """Unknown keys, layout within elements and file names stay; run lengths become polygons; a second run changes nothing."""
+    from crownframe.plans.prepare_segmentation import prepare_documents
+
+    texts = {}
+    for name, text in documents():
+        whole = json.loads(text)
+        for k, a in enumerate(whole.get("annotations", [])):
+            a["area"] = [1.0, 6.0][k % 3 > 0]
+            if isinstance(a["segmentation"], dict):        # the pixels of column 1
+                a["segmentation"] = {"size": [3, 4], "counts": [3, 3, 6]}
+        texts[name] = json.dumps(whole, indent=2 if name == "pretty" else None) + "\n" * (name == "tight")
+        (tmp_path / f"{name}.json").write_text(texts[name], encoding="utf-8")
+    report = {r["source_id"].rsplit("/", 1)[-1][:-5]: (r["removed"], r["total"]) for r in prepare_documents(spark, str(tmp_path), min_area=5.0).collect()}
+    after = {}
+    for name, text in texts.items():
+        want, counts = plain_cleaned(text)
+        after[name] = (tmp_path / f"{name}.json").read_text(encoding="utf-8")
+        got = json.loads(after[name])
+        assert report.get(name) == counts and list(got) == list(want)
+        for a, b in zip(got.pop("annotations", []), want.pop("annotations", []), strict=True):
+            if isinstance(b["segmentation"], dict):
+                assert sorted(zip(a["segmentation"][0][0::2], a["segmentation"][0][1::2])) == [(1, 0), (1, 3), (2, 0), (2, 3)]
+                a["segmentation"] = b["segmentation"]
+            assert a == b and list(a) == list(b)
+        assert got == want
+    prepare_documents(spark, str(tmp_path), min_area=5.0)
+    assert {n: (tmp_path / f"{n}.json").read_text(encoding="utf-8") for n in texts} == after
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == sorted(f"{n}.json" for n in texts)

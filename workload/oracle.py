@@ -808,6 +808,11 @@ add("prepare_segmentation", f""", {_RINGS}, g as (select *, kind in ('both', 'on
       (select source_id from r where kind <> 'none') as ok from r)
   select source_id, count(*) as total, count(*) - count(*) filter (ok and area >= 20) as removed,
     cast(sum(id) filter (ok and area >= 20) as bigint) as id_sum from g group by 1""")
+add("prepare_segmentation_documents", f""", {_RINGS}, g as (select *, kind in ('both', 'one') or source_id not in
+      (select source_id from r where kind <> 'none') as ok from r)
+  select source_id, count(*) as total, count(*) - count(*) filter (ok and area >= 20) as removed, 0 as removed_again,
+    cast(coalesce(sum(id) filter (ok and area >= 20), 0) as bigint) as id_sum,
+    cast(coalesce(2 * sum(id) filter (ok and area >= 20), 0) as bigint) as note_sum from g group by 1""")
 add("prepare_segmentation_rle", f", {_LOCAL} select truth_id as id, cast(w * h as double) as area from lo")
 
 _GRID = ", ".join(f"{5 * i / 100}::double" for i in range(1, 21))

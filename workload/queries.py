@@ -1536,6 +1536,27 @@ def prepare_segmentation_(spark, sf):
     return report.join(n, "source_id", "left")
 
 
+@query
+def prepare_segmentation_documents(spark, sf):
+    """Documents written by others, cleaned in their place twice; a key of our own shows that unknown ones stay."""
+    path = scratch_path(spark, "to-clean")
+    rows = _ring_rows(spark, sf)
+    docs = rows.groupBy("source_id").agg(F.collect_list(F.struct(
+        "id", "image_id", "category_id", "bbox", F.col("rings").alias("segmentation"), "area", (F.col("id") * 2).alias("note"))).alias("annotations"))
+    docs.select(F.struct(F.col("source_id").alias("raster")).alias("info"), "annotations").repartition("info").write.option(
+        "maxRecordsPerFile", 1).json(path)
+    report = prepare_segmentation.prepare_documents(spark, path, min_area=20.0)
+    again = prepare_segmentation.prepare_documents(spark, path, min_area=20.0)
+    schema = "info struct<raster:int>, annotations array<struct<id:long,note:long>>"
+    back = spark.read.schema(schema).option("multiLine", True).json(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("info.raster").alias("source_id"),
+        F.aggregate("annotations", F.lit(0).cast("long"), lambda n, a: n + a["id"]).alias("id_sum"),
+        F.aggregate("annotations", F.lit(0).cast("long"), lambda n, a: n + a["note"]).alias("note_sum"))
+    counts = report.join(again.select("source_id", F.col("removed").alias("removed_again")), "source_id", "left")
+    return back.join(counts.withColumnRenamed("source_id", "file"), "file").select(
+        "source_id", "total", "removed", F.coalesce("removed_again", F.lit(0)).alias("removed_again"), "id_sum", "note_sum")
+
+
 @query
 def prepare_segmentation_rle(spark, sf):
     """Run-length masks to polygons: the area of the polygon is the number of pixels."""
