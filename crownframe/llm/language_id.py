@@ -3,13 +3,15 @@
 Texts are lower-cased; everything that isn't a letter is a blank, runs of blanks are one. All n-grams of one
 to three characters within a text are hashed to `FEATURES` numbers. Fitting counts them by label in the
 tasks, which add up their counts before the shuffle. The matrix of log probabilities (labels x
-features; `MOST_LABELS` bounds it) goes to the tasks with the function; a batch is scored in numpy from
-the features that occur, one gather and segment sum per label.
+features) goes to the tasks with the function; `CELLS` bounds it, so more labels have fewer features. A batch is
+scored in numpy from the features that occur, one gather and segment sum per label.
 
-Fitting takes all labelled rows up to `fit_rows`; beyond that a sample of about so many, by a hash of the id.
+Fitting takes all labelled rows up to `fit_rows`; beyond that about so many, by a hash of the id, but of each label
+`FLOOR` rows at least or all it has. The share of a label is counted on all labelled rows. A label whose rows have no
+letter is not learned.
 
-Defined results: null text or text without a letter is `und` with score 0, and so is everything if no row
-is labelled; the score is the posterior probability of the label; equal posteriors go to the label first in
+Defined results: null text or text without a letter is `und` with score 0, and so is everything if no label
+was learned (the filter then keeps what has a letter); the score is the posterior probability of the label; equal posteriors go to the label first in
 order. Rows with a null id are never fitted on. Text, label and id are all that is looked at, and only
 the text when predicting.
 """
@@ -28,9 +30,11 @@ from pyspark.sql import functions as F
 
 from crownframe.llm.shared import ship, whole_text
 
-FEATURES, ORDERS, MOST_LABELS = 1 << 16, 3, 256
-#: Labelled rows that are fitted on, at most; smoothing; characters handled at a time.
-FIT_ROWS, ALPHA, STEP = 200_000, 0.5, 1 << 18
+FEATURES, ORDERS = 1 << 16, 3
+#: Numbers of the matrix, and labels, at most.
+CELLS, MOST_LABELS = 1 << 24, 1 << 16
+#: Labelled rows that are fitted on, about, and of each label at least; smoothing; characters handled at a time.
+FIT_ROWS, FLOOR, ALPHA, STEP = 200_000, 1000, 0.5, 1 << 18
 UNKNOWN = "und"
 #: Odd numbers for the hash of the first, second and third character.
 FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
@@ -68,6 +72,14 @@ def features(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return all_hashed[order], np.cumsum(np.bincount(whose_all, minlength=len(texts)))
 
 
+def has_letter(texts: list[str]) -> np.ndarray:
+    out = np.zeros(len(texts), bool)
+    for first, some in _blocks(texts):
+        _, ends = features(some)
+        out[first:first + len(some)] = np.diff(ends, prepend=0) > 0
+    return out
+
+
 def _blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     first, size = 0, 0
     for i, t in enumerate(texts):
@@ -83,7 +95,7 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 class Model:
     labels: list[str]
     log_prior: np.ndarray          # per label
-    log_prob: np.ndarray           # labels x FEATURES
+    log_prob: np.ndarray           # labels x features, a power of two
 
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
         labels, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
@@ -91,6 +103,7 @@ class Model:
             return labels, scores
         for first, some in _blocks(texts):
             found, ends = features(some)
+            found &= self.log_prob.shape[1] - 1
             starts = np.concatenate(([0], ends[:-1]))
             real = np.flatnonzero(ends > starts)
             if not len(real):
@@ -119,36 +132,36 @@ def fit(docs: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_
     rows = ours.groupBy("label").count().orderBy("label").limit(MOST_LABELS + 1).collect()
     if len(rows) > MOST_LABELS:
         raise ValueError(f"more than {MOST_LABELS} labels")
-    labels, n = [r["label"] for r in rows], sum(r["count"] for r in rows)
-    if n > fit_rows:
-        ours = ours.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int((1 << 30) * fit_rows / n))
+    labels, each = [r["label"] for r in rows], np.array([r["count"] for r in rows], float)
+    width = FEATURES
+    while width * len(labels) > CELLS:
+        width //= 2
+    if each.sum() > fit_rows:
+        shares = np.minimum(1, np.maximum(fit_rows / each.sum(), FLOOR / each)) * (1 << 30)
+        table = docs.sparkSession.createDataFrame(list(zip(labels, map(int, shares))), ["label", "share"])
+        ours = ours.join(F.broadcast(table), "label").filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < F.col("share"))
     index = {label: i for i, label in enumerate(labels)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, docs_of = np.zeros((len(index), FEATURES), np.int64), np.zeros(len(index), np.int64)
+        total = np.zeros((len(index), width), np.int64)
         for b in batches:
             of, texts = [index[x] for x in b.column(0).to_pylist()], b.column(1).to_pylist()
-            docs_of += np.bincount(of, minlength=len(index))
             for first, some in _blocks(texts):
                 found, ends = features(some)
                 label = np.repeat(of[first:first + len(some)], np.diff(ends, prepend=0))
-                total += np.bincount(label * FEATURES + found, minlength=total.size).reshape(total.shape)
+                total += np.bincount(label * width + (found & (width - 1)), minlength=total.size).reshape(total.shape)
         label, feature = np.nonzero(total)
-        yield _counts(label, feature, total[label, feature])
-        yield _counts(np.arange(len(index)), np.full(len(index), -1), docs_of)
-
-    def _counts(label, feature, n) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (label, feature, n)],
-                                          names=["label", "feature", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(x.astype(np.int64)) for x in (label, feature, total[label, feature])],
+                                         names=["label", "feature", "n"])
 
     sums = (ours.select("label", "text").mapInArrow(count, "label long, feature long, n long")
             .groupBy("label", "feature").agg(F.sum("n").alias("n"))).toArrow()   # labels x features at most
     label, feature, n = (np.asarray(sums[c]) for c in ("label", "feature", "n"))
-    counts, docs_of = np.zeros((len(labels), FEATURES)), np.zeros(len(labels))
-    counts[label[feature >= 0], feature[feature >= 0]] = n[feature >= 0]
-    docs_of[label[feature < 0]] = n[feature < 0]
-    smoothed = counts + ALPHA
-    return Model(labels, np.log(np.maximum(docs_of, 0.5) / max(1.0, docs_of.sum())),
+    counts = np.zeros((len(labels), width))
+    counts[label, feature] = n
+    learned = counts.sum(1) > 0
+    smoothed, each = counts[learned] + ALPHA, each[learned]
+    return Model([x for x, known in zip(labels, learned) if known], np.log(each / max(1.0, each.sum())),
                  np.log(smoothed / smoothed.sum(1, keepdims=True)))
 
 
@@ -158,7 +171,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), held_out(id_col).alias("held_out"),
                        whole_text(f"`{text_col}`").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    sent = docs.sparkSession.sparkContext.broadcast(model)          # MOST_LABELS x FEATURES numbers at most
+    sent = docs.sparkSession.sparkContext.broadcast(model)          # CELLS numbers at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -175,14 +188,19 @@ def identify(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
 
 def keep_identified(docs: DataFrame, least_score: float = 0.5, fit_rows: int = FIT_ROWS,
                     text_col: str = "text") -> DataFrame:
-    """The documents, with all their columns, whose language is known with at least this score."""
+    """The documents, with all their columns, whose language is known with at least this score; where no label could be
+    learned, those with a letter."""
     sent = docs.sparkSession.sparkContext.broadcast(fit(docs, fit_rows, text_col=text_col))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            labels, scores = sent.value.predict([t or "" for t in b.column(at).to_pylist()])
-            known = np.array([x != UNKNOWN for x in labels], bool)
-            yield b.filter(pa.array(known & (scores >= least_score)))
+            texts = [t or "" for t in b.column(at).to_pylist()]
+            if sent.value.labels:
+                labels, scores = sent.value.predict(texts)
+                stays = np.array([x != UNKNOWN for x in labels], bool) & (scores >= least_score)
+            else:
+                stays = has_letter(texts)
+            yield b.filter(pa.array(stays))
 
     return docs.mapInArrow(run, docs.schema)
