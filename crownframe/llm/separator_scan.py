@@ -20,17 +20,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from crownframe.llm.shared import Output, file_size, fresh_folder, open_input, ship, whole_text
+from crownframe.llm.shared import Output, dealt, file_size, fresh_folder, open_input, ship, whole_text
 from crownframe.llm.words import encoder
 from crownframe.session import cut
 
 #: Bytes of a block; a multiple of every id width.
 BLOCK_BYTES = 4 << 20
+#: A file is closed beyond this many bytes, so no window over a file's blocks is long.
+FILE_BYTES = 256 << 20
 
 
 def write_flat(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", separator: int = 50256,
-               dtype: str = "<u2", id_col: str = "doc_id", text_col: str = "text") -> tuple[str, DataFrame]:
-    """Encode documents into flat files, one per partition, in the order of the rows. Returns the folder
+               dtype: str = "<u2", id_col: str = "doc_id", text_col: str = "text",
+               file_bytes: int = FILE_BYTES) -> tuple[str, DataFrame]:
+    """Encode documents into flat files, one or more per partition, in the order of the rows. Returns the folder
     and the names of the documents: file, ordinal (place among the file's documents), doc_id.
     Null text is empty. The separator can't come from a text."""
     spark = docs.sparkSession
@@ -40,18 +43,24 @@ def write_flat(docs: DataFrame, vocabulary: str = "byte_bpe_50k.json", separator
     kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, out, n = f"ids-{TaskContext.get().partitionId():06d}.bin", None, 0
+        part, roll, out, n = TaskContext.get().partitionId(), 0, None, 0
         enc, end = encoder(vocabulary, dtype), np.array([separator], dtype).tobytes()
         for b in batches:
             if not b.num_rows:
                 continue
-            out = out or Output(root, name)
+            files, ordinals = [], []
             for ids in enc.encode(b.column(1).to_pylist()):
+                if out and out.size >= file_bytes:
+                    out.close()
+                    out, roll, n = None, roll + 1, 0
+                name = f"ids-{part:06d}-{roll:04d}.bin"
+                out = out or Output(root, name)
                 out.write(ids + end)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * b.num_rows), pa.array(np.arange(n, n + b.num_rows)), b.column(0)],
-                names=["file", "ordinal", "doc_id"])
-            n += b.num_rows
+                files.append(name)
+                ordinals.append(n)
+                n += 1
+            yield pa.RecordBatch.from_arrays([pa.array(files), pa.array(ordinals, pa.int64()), b.column(0)],
+                                             names=["file", "ordinal", "doc_id"])
         if out:
             out.close()
 
@@ -83,11 +92,10 @@ def scan(root: str, files: DataFrame, separator: int = 50256, dtype: str = "<u2"
                     [pa.array([file]), pa.array([block]), pa.array([first + len(ids)]),
                      pa.array([found], pa.list_(pa.int64()))], names=["file", "block", "stop", "found"])
 
-    sized = files.select("file").distinct().mapInArrow(sizes, "file string, bytes long").filter("bytes > 0")
+    sized = dealt(cut(files.select("file").distinct(), "file-names")).mapInArrow(sizes, "file string, bytes long").filter("bytes > 0")
     last_block = F.floor((F.col("bytes") - 1) / block_bytes)
     blocks = sized.select("file", F.explode(F.sequence(F.lit(0).cast("long"), last_block)).alias("block"))
-    spread = blocks.repartition("file", "block")
-    parts = cut(spread.mapInArrow(search, "file string, block long, stop long, found array<long>"), "blocks")
+    parts = cut(dealt(cut(blocks, "block-names")).mapInArrow(search, "file string, block long, stop long, found array<long>"), "blocks")
 
     before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     thin = parts.select("file", "block", F.size("found").alias("n"), F.array_max("found").alias("last"))

@@ -20,6 +20,9 @@ from crownframe.session import cut, scratch_path
 #: Bytes of a table that may be sent to every executor; its rows are counted first.
 BROADCAST_BYTES = 64 << 20
 
+#: Tasks per core that thin rows are dealt to, at most.
+WAVES = 8
+
 #: Names of the columns that say where a row is stored.
 FILE, ROW = "__llm_file", "__llm_row"
 
@@ -125,5 +128,12 @@ class Output:
         self.fs.delete_file(self.part)
 
 
+def dealt(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """A thin table whose rows stand for much work each, one row a task as far as there are cores; adaptive execution
+    would put such rows together by their own few bytes."""
+    rows = df.count() if rows is None else rows
+    return df.repartition(max(1, min(rows, WAVES * df.sparkSession.sparkContext.defaultParallelism)))
+
+
 def pick(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[F.col(f"`{n}`") for n in names])
