@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crownframe.llm.shared import Output, fresh_folder, open_input, ship, whole_text
+from crownframe.llm.shared import WAVES, Output, dealt, fresh_folder, open_input, ship, whole_text
 from crownframe.session import cut
 
 #: The field names of the two ARC versions, as their version lines declare them.
@@ -37,6 +37,8 @@ FIELDS = {1: "URL IP-address Archive-date Content-type Archive-length",
           2: "URL IP-address Archive-date Content-type Result-code Checksum Location Offset Filename Archive-length"}
 #: A file is closed beyond this many bytes; content is read in pieces of this size.
 FILE_BYTES, PIECE = 256 << 20, 1 << 20
+#: Compressed bytes of ARC records that a task converts, about.
+TASK_BYTES = 8 << 20
 PAGE_HEADER = "X-Page-Id"
 DATE = "20240101000000"
 
@@ -165,7 +167,7 @@ def arc_entries(root: str, files: DataFrame, id_type: str = "bigint") -> DataFra
                                                                   pa.int64(), pa.string(), pa.string()))],
                     names=["file", "at", "size", "page_id", "bytes", "sha1", "sha256"])
 
-    spread = files.repartition("file")                  # a file per task
+    spread = dealt(files)
     return spread.mapInArrow(run, "file string, at long, size long, page_id string, bytes long, sha1 string, "
                                   "sha256 string").withColumn("page_id", F.col("page_id").cast(id_type))
 
@@ -212,6 +214,8 @@ def to_warc(root: str, typed: DataFrame, file_bytes: int = FILE_BYTES) -> tuple[
         for b in batches:
             for file, at, size, sha1, of_file, of_at, of_page in zip(*(c.to_pylist() for c in b.columns)):
                 if file != last:
+                    if source is not None:
+                        source.close()
                     source, last = open_input(root, file), file
                     fields = _fields_of(source)
                 if out is None or out.size >= file_bytes:
@@ -243,11 +247,15 @@ def to_warc(root: str, typed: DataFrame, file_bytes: int = FILE_BYTES) -> tuple[
                     headers += [("WARC-Refers-To-Page", of_page)] if of_page is not None else []
                 headers.append(("WARC-Block-Digest", _base32(hashlib.sha1(block).digest())))
                 out.write(_packed(warc_record(headers, block)))
+        if source is not None:
+            source.close()
         if out is not None:
             out.close()
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string())], names=["file"])
 
-    near = rows.repartitionByRange("file", "at").sortWithinPartitions("file", "at")
+    total = typed.agg(F.sum("size")).first()[0] or 0
+    tasks = max(1, min(-(-total // TASK_BYTES), WAVES * spark.sparkContext.defaultParallelism))
+    near = rows.repartitionByRange(tasks, "file", "at").sortWithinPartitions("file", "at")
     return target, cut(near.mapInArrow(run, "file string"), "warc-files")
 
 
@@ -296,7 +304,7 @@ def read_warc(root: str, files: DataFrame, id_type: str = "bigint") -> DataFrame
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(zip(*rows) if rows else [()] * len(columns), kinds)], names=columns)
 
-    spread = files.repartition("file")
+    spread = dealt(files)
     found = spread.mapInArrow(run, ", ".join(f"{c} {'long' if c == 'payload_bytes' else 'string'}" for c in columns))
     return found.withColumns({c: F.col(c).cast(id_type) for c in ("page_id", "refers_to")})
 
