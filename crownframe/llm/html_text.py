@@ -3,13 +3,14 @@
 A tree builder reads the markup with HTML's implied tags (a paragraph ends where a block begins, a list
 item or table cell where the next one does, void elements have no content), and a renderer walks the tree as a
 screen reader would: what isn't shown (scripts, styles, templates, `hidden`, `display:none`,
-`visibility:hidden`, closed dialogs, hidden inputs, passwords; sound, video and canvas, whose content is for browsers
+`visibility:hidden` but for what is visible within it, closed dialogs, hidden inputs, passwords; sound, video and canvas, whose content is for browsers
 without them) is left out and all other text is emitted: formulas, labels of inline drawings, what stands in
 an object, marked `aria-hidden` or not, and the values of inputs (the placeholder if there is none). In formulas and
 drawings, names, descriptions, metadata, annotations, phantoms and definitions aren't shown, nor is text of a drawing
 outside its labels; a definition is shown where it is used (not one used within another). Blocks stand on
 lines of their own, with a blank line around those that have a margin; list items have bullets or numbers and
-are indented by depth; tables are grids with columns aligned to their widest cell, spans included;
+are indented by depth; tables are grids with columns aligned to their widest cell, spans included, and a cell of
+several lines has them below each other in its column;
 preformatted text keeps its spaces.
 
 Defined results: null or empty markup gives the empty text; markup that doesn't parse is text where it
@@ -62,27 +63,74 @@ IMPLIED = {
 WALLS = {"table", "td", "th", "caption", "html", "body", "template"}
 #: Parts of a table; their end tags reach to the table itself.
 TABLE_PARTS = {"table", "caption", "thead", "tbody", "tfoot", "tr", "td", "th"}
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|"
-                   r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+START = re.compile(r"<(?:(!--)|(!\[CDATA\[)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+TAG_STOP = re.compile("[>\"']")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
-HIDING = re.compile(r"(?:display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse))", re.I)
-UNDRAWN_STYLE = {"display": ("none",), "visibility": ("hidden", "collapse")}
+DECLARATION = re.compile(r"(?:^|;)\s*([-\w]+)\s*:((?:[^;\"'(]|\"[^\"]*\"|'[^']*'|\([^)]*\))*)")
+UNDRAWN_STYLE = {"display": ("none",)}
 SELF_CLOSING = re.compile(r"(?<!/)/\s*\Z")
 OPEN_VALUE = re.compile(r"=\s*[^\s\"']*/\Z")
 BLANKS = re.compile(r"[ \t\n\r\f]+")
-#: Nesting that is kept; tables wider than this in cells a row are written row by row, unaligned.
-DEEPEST, WIDEST = 200, 500
+#: Nesting that is kept; columns that a cell may span; characters that a column is aligned to at most: longer lines push
+#: what follows them to the right.
+DEEPEST, WIDEST, ALIGNED = 200, 1000, 200
 
 
 class Node:
-    __slots__ = ("name", "attributes", "children", "foreign")
+    __slots__ = ("name", "attributes", "children", "foreign", "unseen", "empty")
 
     def __init__(self, name: str, attributes: str = "", foreign: str = ""):
         self.name, self.children, self.foreign = name, [], foreign       # foreign: svg or math, of their own elements
+        self.unseen = self.empty = False     # by visibility: the element itself; and all in it
         self.attributes = {k.lower(): a or b or c for k, a, b, c in ATTRIBUTE.findall(attributes)} \
             if attributes.strip(" \t\n\r\f/") else {}
 
 
+class Scanner:
+    """Markup from left to right: comments, declarations and tags; what isn't one is text.
+
+    A tag runs to the first `>` outside quotes. Where a quote doesn't close there is no tag, and neither is there one at
+    any other place that such a run passed outside quotes, so few runs reach the end in vain.
+    """
+
+    def __init__(self, markup: str):
+        self.markup, self.dead = markup, bytearray()
+
+    def _tag_end(self, at: int) -> int:
+        spans, start = [], at
+        while True:
+            stop = TAG_STOP.search(self.markup, at)
+            if stop and stop[0] == ">":
+                return stop.start()
+            close = self.markup.find(stop[0], stop.end()) if stop else -1
+            spans.append((start, stop.start() if stop else len(self.markup)))
+            if close < 0:
+                break
+            start = at = close + 1
+        self.dead = self.dead or bytearray(len(self.markup))
+        for a, z in spans:
+            self.dead[a:z] = b"\1" * (z - a)
+        return -1
+
+    def next(self, at: int):
+        """The next piece at or after `at`: its start and end, whether it is an end tag, its name (none: not a tag) and its
+        attributes; None if there is none."""
+        while True:
+            m = START.search(self.markup, at)
+            if not m:
+                return None
+            if m[1] or m[2]:
+                close = self.markup.find("-->" if m[1] else "]]>", m.end())
+                return m.start(), close + 3 if close >= 0 else len(self.markup), False, "", ""
+            if m[3]:
+                close = self.markup.find(">", m.end())
+                return m.start(), close + 1 if close >= 0 else len(self.markup), False, "", ""
+            end = -1 if self.dead and self.dead[m.start()] else self._tag_end(m.end())
+            if end >= 0:
+                return m.start(), end + 1, bool(m[4]), m[5].lower(), self.markup[m.end():end]
+            at = m.start() + 1
+
+
 def build(markup: str) -> Node:
     """The tree of a page; strings are children too."""
     root = Node("html")
@@ -119,16 +167,16 @@ def build(markup: str) -> Node:
                 return False
         return True
 
-    for m in iter(lambda: TOKEN.search(markup, at), None):
-        text(markup[at:m.start()])
-        at = m.end()
-        name = m[2]
+    scanner = Scanner(markup)
+    while piece := scanner.next(at):
+        start, end, closing, name, attributes = piece
+        text(markup[at:start])
+        at = end
         if not name:
-            if within() and m[0].startswith("<![CDATA["):
-                text(m[0][9:].removesuffix("]]>"), exact=True)
+            if within() and markup.startswith("<![CDATA[", start):
+                text(markup[start + 9:end].removesuffix("]]>"), exact=True)
             continue
-        name = name.lower()
-        if m[1]:
+        if closing:
             if name == "p" and not any(x.name == "p" for x in open_):
                 open_[-1].children.append(Node("p"))
             elif name == "br":
@@ -142,7 +190,7 @@ def build(markup: str) -> Node:
                 open_.pop()
             kind = ""
         if kind or name in ("svg", "math"):
-            node = Node(name, m[3], kind or name)
+            node = Node(name, attributes, kind or name)
             if name == "svg":
                 node.foreign = "svg"
             if not kind and open_[-1].name == "head":
@@ -150,7 +198,7 @@ def build(markup: str) -> Node:
             open_[-1].children.append(node)
             if name == "use":
                 uses.append(node)
-            if not (SELF_CLOSING.search(m[3]) and not OPEN_VALUE.search(m[3])) and len(open_) < DEEPEST:
+            if not (SELF_CLOSING.search(attributes) and not OPEN_VALUE.search(attributes)) and len(open_) < DEEPEST:
                 open_.append(node)
             continue
         if name in ("html", "body") and len(open_) > 1 and any(x.name == name for x in open_):
@@ -167,21 +215,45 @@ def build(markup: str) -> Node:
             row = Node("tr")
             open_[-1].children.append(row)
             open_.append(row)
-        node = Node(name, m[3])
+        node = Node(name, attributes)
         open_[-1].children.append(node)
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(markup, at)
-            inside = markup[at:end.start() if end else len(markup)]
+            over = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(markup, at)
+            inside = markup[at:over.start() if over else len(markup)]
             node.children.append(html.unescape(inside) if name in ("title", "textarea") else inside)
-            at = end.end() if end else len(markup)
+            at = over.end() if over else len(markup)
         elif name not in VOID and len(open_) < DEEPEST:
             open_.append(node)
     text(markup[at:])
     if uses:
         show_used(root, uses)
+    if "visibility" in markup.lower():
+        set_visibility(root)
     return root
 
 
+def declared(style: str) -> dict[str, str]:
+    """The declarations of a style attribute; of one property the last holds."""
+    style = re.sub(r"/\*.*?(?:\*/|\Z)", " ", style, flags=re.S)
+    return {k.lower(): v.lower().replace("!important", "").strip() for k, v in DECLARATION.findall(style)}
+
+
+def set_visibility(root: Node) -> None:
+    """Visibility is inherited, and a visible element within an invisible one shows."""
+    order, waiting = [], [root]
+    while waiting:
+        node = waiting.pop()
+        order.append(node)
+        for child in node.children:
+            if not isinstance(child, str):
+                own = declared(child.attributes.get("style", "")).get("visibility") or (
+                    child.attributes.get("visibility", "").strip().lower() if child.foreign else "")
+                child.unseen = own in ("hidden", "collapse") if own in ("hidden", "collapse", "visible", "initial") else node.unseen
+                waiting.append(child)
+    for node in reversed(order):
+        node.empty = node.unseen and all(isinstance(x, str) or x.empty for x in node.children)
+
+
 def show_used(root: Node, uses: list[Node]) -> None:
     """Put the parts of drawings that are used where they are used."""
     named: dict[str, Node] = {}
@@ -205,7 +277,8 @@ def show_used(root: Node, uses: list[Node]) -> None:
 
 def hidden(node: Node) -> bool:
     a = node.attributes
-    return (node.name in UNSEEN or "hidden" in a or bool(a.get("style") and HIDING.search(a["style"]))
+    return (node.name in UNSEEN or node.empty or "hidden" in a
+            or bool(a.get("style") and declared(a["style"]).get("display") == "none")
             or (node.name == "dialog" and "open" not in a)
             or (node.name == "input" and a.get("type", "").lower() == "hidden")
             or bool(node.foreign and (node.name in UNDRAWN or any(
@@ -263,7 +336,8 @@ def render(node: Node, page: Page, exact: bool = False) -> None:
         if node.name == "mfrac":
             page.add(" ", False)
         if isinstance(child, str):
-            page.add(child, exact)
+            if not node.unseen:
+                page.add(child, exact)
         elif hidden(child):
             continue
         elif child.name == "br":
@@ -390,20 +464,23 @@ def table(node: Node) -> list[str]:
     width: dict[int, int] = {}
     for cells, wide in zip(grid, spans):
         for c, content in cells.items():
-            if wide[c] == 1 and len(content) == 1:
-                width[c] = max(width.get(c, 0), len(content[0]))
-    for cells, wide in zip(grid, spans):
-        if any(len(content) > 1 for content in cells.values()) or len(wide) > WIDEST:   # a layout table, not a grid
-            for content in cells.values():
-                lines += [x for x in content if x]
-            continue
-        line, at = "", 0
-        for c, content in sorted(cells.items()):
-            start = sum(width.get(i, 0) + 2 for i in range(c))
-            line = line.ljust(start) if len(line) < start else line + "  " * bool(line)
-            line += content[0]
-        if line.strip():
-            lines.append(line.rstrip())
+            if wide[c] == 1:
+                longest = max((len(x) for x in content if len(x) <= ALIGNED), default=0)
+                width[c] = max(width.get(c, 0), longest)
+    starts = [0]
+    for c in range(max((c for cells in grid for c in cells), default=0)):
+        starts.append(starts[-1] + width.get(c, 0) + 2)
+    for cells in grid:
+        for k in range(max((len(content) for content in cells.values()), default=0)):
+            line: list[str] = []
+            at = 0
+            for c, content in sorted(cells.items()):
+                if k < len(content) and content[k]:
+                    blanks = max(starts[c] - at, 2 * bool(at))
+                    line += [" " * blanks, content[k]]
+                    at += blanks + len(content[k])
+            if at:
+                lines.append("".join(line).rstrip())
     return lines
 
 

@@ -12,7 +12,7 @@ hands on k rows per query, and the best k of all shards remain.
 Bounds are floats with a margin; scores are exact, and an entry is only ruled out if it can't even tie.
 
 Defined results: null vectors and vectors with a null, NaN or infinite component take no part; shorter
-vectors count as ending in zeros; numbers beyond 2^25 are taken as that; equal scores go to the smaller
+vectors count as ending in zeros; numbers so large that a score might not fit in 64 bits are an error; equal scores go to the smaller
 vec_id, null last; a query never meets rows of its own vec_id; rows that repeat a vec_id are candidates, and
 queries, of their own. Without rows there is no result. Other columns are not looked at.
 """
@@ -35,8 +35,6 @@ from crownframe.session import cut
 PAGE, SHARD, BLOCK = 64, 8192, 256
 PAGES = "shard int, kind int, seq long, leaf boolean, most double, ids binary, keys binary, vectors binary, " \
         "apart binary, radii binary, children binary"
-#: Numbers are held within this, so that inner products of up to 4096 of them fit in 64 bits.
-LIMIT = 1 << 25
 
 
 def whole_numbers(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id",
@@ -45,7 +43,7 @@ def whole_numbers(vectors: DataFrame, scale: int = 1024, id_col: str = "vec_id",
     rows = located(vectors)
     v = F.col(f"`{vector_col}`").cast("array<double>")
     good = v.isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    held = F.transform(v, lambda x: F.greatest(F.least(F.floor(x * scale), F.lit(LIMIT)), F.lit(-LIMIT)))
+    held = F.transform(v, lambda x: F.floor(x * scale))
     return rows.filter(good).select(F.col(f"`{id_col}`").alias("vec_id"),
                                     F.xxhash64(FILE, ROW).alias("key"), held.alias("v"))
 
@@ -237,7 +235,10 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, scale: int = 1024,
     spark = vectors.sparkSession
     ship(spark)
     rows = cut(whole_numbers(vectors, scale, id_col, vector_col), "vectors")
-    n, dims = rows.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x.cast("double"))))
+    n, dims, most = rows.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(largest)).first()
+    if (dims or 0) * (most or 0.0) ** 2 >= 2.0 ** 63:
+        raise ValueError("scores of these vectors don't fit in 64 bits; take a smaller scale")
     shards, dims = max(1, -(-n // shard_size)), max(1, dims or 0)
     dealt = rows.withColumn("shard", F.pmod("key", F.lit(shards)).cast("int"))
     pages = cut(dealt.groupBy("shard").applyInArrow(_tree(dims), PAGES), "pages")

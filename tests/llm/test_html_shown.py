@@ -31,3 +31,61 @@ from crownframe.llm import html_text
 ])
 def test_shown_text_is_emitted(markup, text):
     assert html_text.visible_text(markup) == text
+
+
+@pytest.mark.parametrize(("markup", "text"), [
+    ('<div style="backface-visibility: hidden">shown</div>', "shown"), ('<div style="-webkit-backface-visibility:hidden">shown</div>', "shown"),
+    ("<p style=\"content:'display:none'\">shown</p>", "shown"), ("<p style='color:red; display : NONE'>not</p>x", "x"),
+    ("<p style='display:none;display:block'>shown</p>", "shown"), ("<p style='/* x */display:none !important'>not</p>x", "x"),
+    ("<p style='background:url(a;display:none)'>shown</p>", "shown"),
+    ("<div style='visibility:hidden'>a<b style='visibility:visible'>shown</b>b</div>", "shown"),
+    ("<div style='visibility:hidden'>a<p>b<i>c</i></div>x", "x"), ("<div style='visibility:collapse'><ul><li>a</ul></div>x", "x"),
+    ("<ul style='visibility:hidden'><li>a<li style='visibility:visible'>b</ul>", "- b"),
+    ("<svg><g visibility=hidden><text>a</text><text visibility=visible>b</text></g></svg>", "b"),
+    ("<div style='visibility:hidden'><img alt=a><input value=b></div>x", "x"),
+])
+def test_styles_are_read_as_declarations(markup, text):
+    assert html_text.visible_text(markup) == text
+
+
+@pytest.mark.parametrize("markup", ["<a ", "<a x=\"", "<a '", "<a <b \"", "<p title='a\"", "</a ", "<!-", "<table><tr><td>"])
+def test_long_hostile_markup_takes_linear_time(markup):
+    import time
+
+    start = time.process_time()
+    html_text.visible_text(markup * ((1 << 20) // len(markup)) if "table" not in markup else markup * 3000)
+    assert time.process_time() - start < 4
+
+
+def plain_grid(rows):
+    """Columns at the widest line of their cells and two blanks; the lines of a cell below each other."""
+    wide = [max((len(x) for r in rows if c < len(r) for x in r[c]), default=0) for c in range(max(map(len, rows)))]
+    lines = []
+    for r in rows:
+        for k in range(max(map(len, r))):
+            line = ""
+            for c, cell in enumerate(r):
+                if k < len(cell) and cell[k]:
+                    line = line.ljust(sum(w + 2 for w in wide[:c])) + cell[k]
+            if line:
+                lines.append(line)
+    return "\n".join(lines)
+
+
+def test_tables_are_laid_out_as_a_plain_grid():
+    import random
+
+    rng = random.Random(7)
+    for _ in range(200):
+        rows = [[["".join(rng.choices("abc", k=rng.randrange(1, 9))) for _ in range(rng.choice([1, 1, 1, 2, 3]))] if rng.random() > 0.1 else [""]
+                 for _ in range(rng.randrange(1, 5))] for _ in range(rng.randrange(1, 6))]
+        markup = "<table>" + "".join("<tr>" + "".join(f"<td>{'<br>'.join(c)}</td>" for c in r) for r in rows) + "</table>"
+        assert html_text.visible_text(markup) == plain_grid(rows)
+
+
+def test_wide_rows_and_long_lines_keep_their_cells():
+    many = "<table><tr>" + "".join(f"<td>{i}" for i in range(700)) + "<tr>" + "<td>x" * 700 + "</table>"
+    first, second = html_text.visible_text(many).split("\n")
+    assert first.split() == [str(i) for i in range(700)] and all(first[k - 2:k].isspace() for k in range(3, len(first)) if second[k:k + 1] == "x")
+    long = "<table><tr><td>" + "w" * 5000 + "<td>a<tr><td>b<td>c</table>"
+    assert html_text.visible_text(long) == "w" * 5000 + "  a\nb  c"

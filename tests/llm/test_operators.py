@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import re
 import zlib
 
@@ -196,6 +197,68 @@ def test_fitting_on_a_bounded_sample(spark):
     assert got.filter("lang = lang_pred").count() >= 0.95 * got.count()
 
 
+def plain_bayes(rows, fitted):
+    """Label and score of each text by sums over its n-grams, in Python numbers."""
+    mask, ways = (1 << 64) - 1, language_id.FACTORS
+
+    def grams(text):
+        chars = [ord(c) if c.isalpha() else 32 for c in f" {(text or '').lower()} "]
+        chars = [c for i, c in enumerate(chars) if c != 32 or i == 0 or chars[i - 1] != 32]
+        for n in (1, 2, 3):
+            for i in range(len(chars) - n + 1):
+                if n > 1 or chars[i] != 32:
+                    h = sum((chars[i + k] + 1) * ways[k] for k in range(n)) & mask
+                    yield ((h ^ (h >> 29)) * 0xBF58476D1CE4E5B9 & mask) >> 48
+
+    counts, docs = {}, {}
+    for text, label in fitted:
+        docs[label] = docs.get(label, 0) + 1
+        own = counts.setdefault(label, {})
+        for g in grams(text):
+            own[g] = own.get(g, 0) + 1
+    counts = {k: c for k, c in counts.items() if any(g != -1 for g in c) and c}
+    total = sum(docs[k] for k in counts)
+    sums = {k: sum(c.values()) + language_id.ALPHA * language_id.FEATURES for k, c in counts.items()}
+    for doc_id, text in rows:
+        found = list(grams(text))
+        letters = any(c.isalpha() for c in text or "")
+        if not letters or not counts:
+            yield doc_id, "und", 0.0
+            continue
+        logs = {k: math.log(docs[k] / total) + sum(math.log((c.get(g, 0) + language_id.ALPHA) / sums[k]) for g in found)
+                for k, c in sorted(counts.items())}
+        best = max(logs, key=logs.get)
+        yield doc_id, best, 1 / sum(math.exp(v - logs[best]) for v in logs.values())
+
+
+def test_bayes_is_that_of_plain_sums(spark):
+    texts = ["Zwölf Boxkämpfer jagen Viktor", "quick brown foxes jump", "le cœur déçu mais l'âme plutôt naïve", "12 !!", "", None, "ß ñ ÿ"]
+    rows = [(i, texts[i % 7] if i % 7 > 2 else f"{texts[i % 7]} {texts[i % 3]} {'x' * (i % 5)}", ["de", "en", "fr", "none", "none", None, "fr"][i % 7])
+            for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = {i: zlib.crc32(str(i).encode()) % 3 == 1 for i, _, _ in rows}
+    fitted = [(t, lang) for i, t, lang in rows if not held[i] and lang is not None]
+    want = list(plain_bayes([(i, t) for i, t, _ in rows], fitted))
+    got = {r.doc_id: r for r in language_id.identify(df).collect()}
+    for i, label, score in want:
+        assert got[i].lang_pred == label and got[i].score == pytest.approx(score, abs=1e-9) and got[i].held_out == held[i]
+
+
+def test_many_labels_and_rare_ones_in_a_sample(spark):
+    rows = [(i, f"{'abcdefghijklmnopqrstuvwxyz'[i % 26] * 6} {i % 300}", f"l{i % 300:03d}") for i in range(3000)]
+    rows += [(5000 + i, "Жили были", "ru") for i in range(6)] + [(6000 + i, "gamma delta", "en") for i in range(4000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(df, fit_rows=300)
+    assert len(model.labels) == 302 and model.log_prob.size <= language_id.CELLS
+    assert model.predict(["Жили были", "gamma delta"])[0] == ["ru", "en"]
+
+
+def test_without_labels_the_filter_keeps_what_has_letters(spark):
+    df = spark.createDataFrame([(1, "text", None), (2, "12", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r.doc_id for r in language_id.keep_identified(df).collect()] == [1]
+    assert {r.lang_pred for r in language_id.identify(df).collect()} == {"und"}
+
+
 # 5, 6 ----------------------------------------------------------------------------------------------------------
 PAGES = [(1, "http://a", "<p>x</p>" * 200), (2, "http://b c", "<p>x</p>" * 200), (2, None, "<p>x</p>" * 200), (3, "", None),
          (4, "http://d", ""), (None, "u", "<p>x</p>" * 200), (None, "u", "y" * 1000), (5, "u", "short"), (6, "u", "short"),
@@ -288,6 +351,60 @@ def test_vectors_with_awkward_rows(spark):
     assert metric_tree.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_files_and_blocks_are_dealt_to_many_tasks(spark):
+    """Thin rows stand for much work: they are not put together by their own few bytes."""
+    texts = awkward(spark, [(i, f"word{i} " * 4000) for i in range(24)]).repartition(3)
+    root, names = separator_scan.write_flat(texts, file_bytes=20_000)
+    files = names.select("file").distinct()
+    assert files.count() > 6
+    counts = separator_scan.scan(root, files, block_bytes=1 << 12)
+    joined = names.join(counts, ["file", "ordinal"])
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    assert {r.doc_id: r.n_tokens for r in joined.collect()} == {
+        i: len(library.encode(f"word{i} " * 4000, add_special_tokens=False).ids) for i in range(24)}
+    tasks = separator_scan.dealt(files).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks > 3
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"{i} " * 3000) for i in range(40)], "page_id long, url string, html string")
+    arc, arc_files = arc_to_warc.write_arc(pages.repartition(8))
+    entries = arc_to_warc.arc_entries(arc, arc_files)
+    assert arc_files.count() == 8 and entries.select(F.spark_partition_id()).distinct().count() > 3
+    typed = arc_to_warc.with_types(entries)
+    arc_to_warc.TASK_BYTES, old = 2000, arc_to_warc.TASK_BYTES
+    try:
+        warc, warc_files = arc_to_warc.to_warc(arc, typed)
+    finally:
+        arc_to_warc.TASK_BYTES = old
+    assert warc_files.filter("file is not null").count() > 3
+    back = arc_to_warc.read_warc(warc, warc_files)
+    assert back.select(F.spark_partition_id()).distinct().count() > 1 and back.count() == 40
+
+
+def test_words_remembered_in_two_generations():
+    from crownframe.llm.words import WordEncoder
+
+    texts = [" ".join(f"word{(i * k) % 97}" for k in range(60)) + f" únïcø{i} 中文" for i in range(80)]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        whole, small = WordEncoder(name), WordEncoder(name, remembered=40)
+        want = list(whole.encode(texts))
+        assert [x for t in texts for x in small.encode([t])] == want
+        assert len(small.known) + len(small.before) < 200
+        library = Tokenizer.from_file(public_tokenizers.path(name))
+        assert [np.frombuffer(x, "<u2").tolist() for x in want] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_large_components_score_exactly(spark):
+    """Numbers beyond 2**25 aren't cut; where a score might not fit in 64 bits, there is none."""
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate([[90000.5, 1], [70000, 3], [-80000.25, 2], [5, 5], [90001, 0]])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = [[int(1024 * x // 1) for x in v] for _, v in rows]
+    want = sorted((q, r, c, s) for q in (0, 3) for r, (s, c) in enumerate(sorted(
+        ((-sum(a * b for a, b in zip(whole[q], whole[c])), c) for c in range(5) if c != q)), 1) for s in [-s])
+    got = metric_tree.top_k(df, F.col("vec_id") % 3 == 0)
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == want
+    with pytest.raises(ValueError, match="64 bits"):
+        metric_tree.top_k(df.union(spark.createDataFrame([(9, [1e12])], df.schema)), F.col("vec_id") == 0)
+
+
 # 9 -------------------------------------------------------------------------------------------------------------
 def checked_packing(packed, rows, capacity=4096):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
