@@ -19,12 +19,16 @@ BOXES = "array<struct<x0:double,y0:double,x1:double,y1:double>>"
 RUNS = "array<struct<line:int,c0:int,c1:int>>"
 
 
-def _mapped(df: DataFrame, load: Callable[[], Predict], schema: str) -> DataFrame:
+#: Rows given to a model at a time, and prompts. What a model returns for a whole Arrow batch would not fit in memory.
+ROWS, PROMPTS = 64, 1024
+
+
+def _mapped(df: DataFrame, load: Callable[[], Predict], schema: str, rows: int = ROWS) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = load()
         for pdf in batches:
-            if len(pdf):
-                yield predict(pdf)
+            for k in range(0, len(pdf), rows):
+                yield predict(pdf.iloc[k:k + rows].reset_index(drop=True))
 
     return df.mapInPandas(run, schema)
 
@@ -40,7 +44,7 @@ def score_prompts(prompts: DataFrame, tiles: DataFrame, load: Callable[[], Predi
     """Masks for box prompts: rows `(tile, object_ids, masks, scores)` per batch of a tile.
 
     A tile with many prompts becomes several rows of at most `batch` prompts each, every one next to
-    the tile's own columns, so no task holds more than one batch at a time.
+    the tile's own columns. A model is given about `PROMPTS` prompts at a time, one batch at least.
     """
     batched = in_batches(prompts, [tile_col], [F.col("object_id")], batch)
     grouped = batched.groupBy(tile_col, "batch").agg(F.array_sort(F.collect_list(
@@ -48,10 +52,10 @@ def score_prompts(prompts: DataFrame, tiles: DataFrame, load: Callable[[], Predi
     rows = grouped.join(tiles, tile_col)
     schema = (f"{tile_col} string, object_ids array<bigint>, masks array<{RUNS}>, "
               "scores array<double>")
-    return _mapped(rows, load, schema)
+    return _mapped(rows, load, schema, max(PROMPTS // batch, 1))
 
 
 def score_objects(objects: DataFrame, load: Callable[[], Predict]) -> DataFrame:
     """Per object `scores` and `predicted` class, ready for `flatten_classes`."""
     schema = "object_id bigint, tile_path string, scores array<double>, predicted int"
-    return _mapped(objects, load, schema)
+    return _mapped(objects, load, schema, PROMPTS)

@@ -4,11 +4,12 @@ import json
 import sqlite3
 import struct
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from crownframe.operators import augment, filters, merging, metrics, numbering, tiling
+from crownframe.operators import augment, filters, merging, metrics, numbering, scoring, tiling
 from crownframe.plans import stages
 from crownframe.sources import coco, files, geotables
 from workload import models
@@ -352,3 +353,21 @@ def test_stages_count_in_their_own_writes_and_leave_documents(spark, tmp_path):
         assert tables.images.count() == done.outputs[name].select("tile_path").distinct().count()
     kept = coco.read_coco_parts(spark, done.documents["2_aggregator"]).annotations
     assert kept.agg(F.round(F.sum("score"), 6)).first()[0] == done.objects.agg(F.round(F.sum("aggregator_score"), 6)).first()[0]
+
+
+def test_models_are_given_bounded_frames(spark):
+    """Tiles and prompts of one Arrow batch go to the model some at a time."""
+    def load():
+        def predict(pdf):
+            n = len(pdf)
+            most = sum(map(len, pdf["prompts"])) if "prompts" in pdf else n
+            return pd.DataFrame({"tile_path": pdf["tile_path"], "object_ids": [[i["object_id"] for i in p] for p in pdf["prompts"]],
+                                 "masks": [[[] for _ in p] for p in pdf["prompts"]], "scores": [[float(most)] * len(p) for p in pdf["prompts"]]})
+        return predict
+
+    prompts = spark.range(5000).select((F.col("id") % 1000).cast("string").alias("tile_path"), F.col("id").alias("object_id"), *[
+        F.lit(1.0).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    tiles = prompts.select("tile_path").distinct().coalesce(1)
+    got = scoring.score_prompts(prompts, tiles, load, batch=64).select(F.explode("scores").alias("most"), "tile_path").agg(
+        F.max("most"), F.count("most")).first()
+    assert got[0] <= scoring.PROMPTS / 64 * 5 and got[1] == 5000
