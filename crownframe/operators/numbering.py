@@ -35,6 +35,8 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
     offsets = blocks.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_blk").alias("_k_blk"),
         (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + start).alias("_shift"))
+    if not keys:        # a row per block; left to itself, Spark may broadcast the stamped rows, whose files are small
+        offsets = F.broadcast(offsets)
     on = stamped["_blk"] == offsets["_k_blk"]
     for k in keys:
         on = on & stamped[k].eqNullSafe(offsets[f"_k_{k}"])

@@ -91,7 +91,7 @@ def _numbered(tiles: DataFrame, labels: DataFrame, id_col: str, keys: list[str],
     kept = tiles if keep_unlabeled else tiles.join(
         labels.select(*place).distinct(), place, "left_semi")
     kept = row_index(kept, [], [F.col(c) for c in place], "tile_id", start=1)
-    labels = labels.join(kept.select(*place, "tile_id"), place)
+    labels = labels.join(kept.select(*place, "tile_id").hint("merge"), place)
     labels = row_index(labels, [], [F.col(c) for c in (*place, id_col)], "label_id", start=1)
     return kept, labels
 
@@ -117,7 +117,8 @@ def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap:
     """
     keys = list(keys)
     step = grid_step(size, overlap)
-    parts = runs.filter("c1 > c0 and c0 >= 0 and line >= 0").join(rasters.select(*keys, "width", "height"), keys)
+    # A row per raster. Without the hint Spark may broadcast the runs, whose size it takes from before they were exploded.
+    parts = runs.filter("c1 > c0 and c0 >= 0 and line >= 0").join(F.broadcast(rasters.select(*keys, "width", "height")), keys)
     line, width, height = F.col("line"), F.col("width"), F.col("height")
     parts = parts.filter((line < height) & (F.col("c0") < width)).withColumn("c1", F.least("c1", width))
     parts = parts.withColumn("row", F.explode(_tiles_of(line, line + 1, height, size, step)))
@@ -132,7 +133,8 @@ def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap:
         F.sum(F.col("c1") - F.col("c0")).alias("area"), F.min("c0").alias("x0"), F.min("line").alias("y0"),
         F.max("c1").alias("x1"), (F.max("line") + 1).alias("y1"),
         F.array_sort(F.collect_list(F.struct("line", "c0", "c1"))).alias("runs"))      # a tile's pixels at most
-    labels = inside.join(whole, [*keys, id_col]).filter(F.col("area") >= min_ratio * F.col("_all")).drop("_all")
+    # Packed runs shuffle so small that Spark would broadcast a side by its shuffled bytes, many times that in memory.
+    labels = inside.join(whole.hint("merge"), [*keys, id_col]).filter(F.col("area") >= min_ratio * F.col("_all")).drop("_all")
     return _numbered(tile_grid(rasters, size, overlap), labels, id_col, keys, keep_unlabeled)
 
 

@@ -358,3 +358,18 @@ def test_outlines_take_memory_by_their_runs(spark):
     far = spark.createDataFrame([(1, [(0, 0, 2), (10**6, 10**6, 10**6 + 3)])], "id int, runs array<struct<line:int,c0:int,c1:int>>")
     rings = far.select(polygons.runs_to_polygon("runs").alias("r")).first()["r"]
     assert [abs(polygons._turned_area(x)) for x in rings] == [3.0, 2.0]
+
+
+def test_labels_of_masks_are_not_broadcast(spark):
+    """Tables of masks and labels shuffle small, but are large in memory."""
+    from crownframe.operators import tiling
+
+    runs = run_rows(spark, random_masks(12, 12), "object_id")
+    rasters = spark.createDataFrame([(0, 24, 24)], "product_id int, width int, height int")
+    plain = tiling._numbered
+    tiling._numbered = lambda tiles, labels, *rest: (tiles, labels)
+    try:
+        _, labels = tiling.labeled_tile_masks(runs, rasters, 16, 0.5)
+    finally:
+        tiling._numbered = plain
+    assert "rightHint=(strategy=merge)" in plan_of(labels) and "rightHint=(strategy=broadcast)" in plan_of(labels)

@@ -371,3 +371,9 @@ def test_models_are_given_bounded_frames(spark):
     got = scoring.score_prompts(prompts, tiles, load, batch=64).select(F.explode("scores").alias("most"), "tile_path").agg(
         F.max("most"), F.count("most")).first()
     assert got[0] <= scoring.PROMPTS / 64 * 5 and got[1] == 5000
+
+
+def test_numbering_broadcasts_blocks_not_rows(spark):
+    numbered = numbering.row_index(spark.range(50), [], [F.col("id")], "n")
+    assert "rightHint=(strategy=broadcast)" in numbered._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["n"] for r in numbered.orderBy("id").collect()] == list(range(50))
