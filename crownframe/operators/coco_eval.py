@@ -116,13 +116,14 @@ def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
     in). That bounds the pairs of an image, and each image is settled inside one task.
     """
     if runs:
-        mine, real = (r.join(df.select(*keys, i), [*keys, i], "left_semi")
+        mine, real = (r.join(df.select(*keys, i).hint("merge"), [*keys, i], "left_semi")
                       for r, df, i in zip(runs, (dets, truths), ("det_id", "gt_id")))
         pairs = mask_pairs(mine, real, "det_id", "gt_id", keys).withColumnsRenamed({"a_id": "a_det_id", "b_id": "b_gt_id"})
-        pairs = pairs.join(dets.select(*keys, F.col("det_id").alias("a_det_id"), F.col("score").alias("a_score")),
+        # Small shuffled bytes are no small table: no side goes through the driver.
+        pairs = pairs.join(dets.select(*keys, F.col("det_id").alias("a_det_id"), F.col("score").alias("a_score")).hint("merge"),
                            [*keys, "a_det_id"])
         pairs = pairs.join(truths.select(*keys, F.col("gt_id").alias("b_gt_id"), F.col("area").alias("b_area"),
-                                         F.col("iscrowd").alias("b_iscrowd")), [*keys, "b_gt_id"])
+                                         F.col("iscrowd").alias("b_iscrowd")).hint("merge"), [*keys, "b_gt_id"])
         value = F.when(F.col("b_iscrowd"), F.col("inter") / F.col("area_a")).otherwise(F.col("iou"))
     else:
         pairs = bbox_join(dets.select(*keys, "det_id", "score", *B.BOX),
@@ -158,14 +159,14 @@ def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple
     masks = _match_masks(dets, truths, keys, ranges, thresholds, max_dets, runs)
     size = B.area(B.box())
     if runs:
-        dets = dets.join(mask_area(runs[0], [*keys, "det_id"]), [*keys, "det_id"], "left")
+        dets = dets.join(mask_area(runs[0], [*keys, "det_id"]).hint("merge"), [*keys, "det_id"], "left")
         size = F.coalesce(F.col("area"), F.lit(0))
     every = dets.withColumn("_r", F.explode(_range_table(ranges))).select(
         *keys, "det_id", "score", "rank", F.col("_r.label").alias("area_label"),
         ((size >= F.col("_r.lo")) & (size <= F.col("_r.hi")))
         .alias("in_range"))
     full = (1 << len(thresholds)) - 1
-    joined = every.join(masks, [*keys, "det_id", "area_label"], "left").fillna(
+    joined = every.join(masks.hint("merge"), [*keys, "det_id", "area_label"], "left").fillna(
         0, ["tp_mask", "any_mask"])
     return joined.select(
         *keys, "det_id", "score", "rank", "area_label", "tp_mask",
