@@ -203,6 +203,7 @@ def pieces(docs: DataFrame, carry: list[str], vocabulary: str = "word_bpe_49k.js
     schema = StructType(fields).add("ids", ArrayType(IntegerType())) if with_ids else StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.default_memory_pool().release_unused()       # what an earlier stage left to this worker
         enc, end = encoder(vocabulary, remembered=remembered), np.array([end_id], "<u2").tobytes()
         for b in batches:
             source, piece, length, crc, ids = [], [], [], [], []

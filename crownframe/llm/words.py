@@ -39,6 +39,8 @@ SPLIT = {
 LOWER = {"word_bpe_49k.json"}
 #: Words remembered by a worker, and characters split at a time.
 REMEMBERED, STEP = 1_000_000, 1 << 20
+#: Texts given to the library at a time: what it returns for each takes many times the room of its ids.
+GIVEN = 4096
 
 
 class WordEncoder:
@@ -56,14 +58,15 @@ class WordEncoder:
         self.before: dict[str, bytes] = {}     # and of the time before, of which those seen again move up
 
     def _by_library(self, texts: list[str]) -> Iterator[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        ids = [x.ids for x in found]
-        blob = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
-        at = 0
-        for x in ids:
-            end = at + len(x) * self.dtype.itemsize
-            yield blob[at:end]
-            at = end
+        for k in range(0, len(texts), GIVEN):
+            found = self.library.encode_batch_fast(texts[k:k + GIVEN], add_special_tokens=False)
+            ids = [x.ids for x in found]
+            blob = np.fromiter(chain.from_iterable(ids), self.dtype).tobytes()
+            at = 0
+            for x in ids:
+                end = at + len(x) * self.dtype.itemsize
+                yield blob[at:end]
+                at = end
 
     def encode(self, texts: Iterable[str]) -> Iterator[bytes]:
         group, size = [], 0
