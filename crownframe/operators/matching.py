@@ -9,20 +9,27 @@ would make the same pair, so both agree row by row. The strongest open predictio
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crownframe.functions import boxes as B
 from crownframe.functions.polygons import clipped_inter_area, iou_from
 from crownframe.functions.ranks import ranked_score, tie_of
+from crownframe.operators.box_pairs import iou, overlapping
 from crownframe.operators.masks import mask_pairs
+from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut, release
 
 #: Candidate pairs of one key few enough to be finished in a task, after some rounds; the result is the same.
-TAIL_PAIRS, TAIL_AFTER = 20_000, 8
+TAIL_PAIRS, TAIL_AFTER = 200_000, 0
+#: Boxes of one key few enough to be matched in a task, without a table of pairs; overlaps held there at a time; bits of a long.
+WHOLE_KEY, HELD, BITS = 20_000, 1 << 21, 62
 
 
 def _finish(keys: Sequence[str]):
@@ -104,6 +111,114 @@ def match_rounds(candidates: DataFrame, keys: Sequence[str],
     return union
 
 
+def _won(pred: list, truth: list, bits: list, todo: dict, used: dict) -> tuple[list[int], list[int]]:
+    """The sequential rule over pairs in their order, for every bit at once: positions that win, and the bits they win."""
+    rows, won = [], []
+    for i, (p, t, b) in enumerate(zip(pred, truth, bits)):
+        if got := b & ~todo.get(p, 0) & ~used.get(t, 0):
+            todo[p], used[t] = todo.get(p, 0) | got, used.get(t, 0) | got
+            rows.append(i)
+            won.append(got)
+    return rows, won
+
+
+def _finish_bits(keys: Sequence[str]):
+    """The sequential rule over one key's pairs; at most `tail_pairs` rows."""
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["score", "pred_rank", "pred", "iou", "truth"],
+                                  ascending=[False, True, True, False, True], kind="stable", ignore_index=True)
+        rows, won = _won(frame["pred"].tolist(), frame["truth"].tolist(), frame["bits"].tolist(), {}, {})
+        return frame.loc[rows, [*keys, "pred", "truth", "iou", "score", "label"]].assign(bits=np.array(won, dtype=np.int64))
+
+    return settle
+
+
+def _each_bit(df: DataFrame, n: int, plain: int) -> DataFrame:
+    """A row per set bit: `bit` in place of `bits`. The label is `all` for the first `plain` bits."""
+    set_ = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.call_function("shiftright", F.col("bits"), i) % 2 != 0)
+    own = F.when(F.col("bit") < plain, F.lit("all")).otherwise(F.col("label"))
+    return df.withColumn("bit", F.explode(set_)).drop("bits").withColumn("label", own)
+
+
+def match_bits(pairs: DataFrame, keys: Sequence[str], n: int, plain: int | None = None,
+               tail_pairs: int = TAIL_PAIRS) -> DataFrame:
+    """Matches `(keys, bit, label, pred, truth, iou, score)` of `n` independent matchings over the same pairs.
+
+    `pairs` has `keys, pred, score, pred_rank, truth, iou` and `bits`, the matchings a pair takes part in. In those after the
+    first `plain` each `label` is matched for itself, and a pair has one. A key with at most `tail_pairs` pairs is settled in
+    one task, for all matchings at once; larger ones go in rounds.
+    """
+    keys, plain = list(keys), n if plain is None else plain
+    label = F.col("label") if "label" in pairs.columns else F.lit("all")
+    pairs = cut(pairs.select(*keys, "pred", F.col("score").cast("double").alias("score"), "pred_rank", "truth", "iou", "bits",
+                             label.alias("label")), "candidates")
+    out = [*keys, "bit", "label", "pred", "truth", "iou", "score"]
+    few, many = by_size([pairs], keys, tail_pairs) if keys else (None, None)
+    parts = []
+    if few is not None:
+        schema = pairs.select(*keys, "pred", "truth", "iou", "score", "label", "bits").schema
+        done = of_keys(pairs, keys, few, many).groupBy(*keys).applyInPandas(_finish_bits(keys), schema)
+        parts.append(_each_bit(done, n, plain).select(*out))
+    if many is not None or few is None:
+        large = pairs if many is None else of_keys(pairs, keys, many, few)
+        parts.append(match_rounds(_each_bit(large, n, plain), [*keys, "bit", "label"], tail_pairs).select(*out))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _match_boxes(keys: Sequence[str], steps: Sequence[float]):
+    """The sequential rule over the boxes of one key, strongest first, as many at a time as bound the pairs held."""
+    levels = np.array(steps, dtype=float)
+
+    def settle(p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values(["score", "pred_rank", "id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        t = t.sort_values("id", kind="stable", ignore_index=True)
+        a, b = (df[list(B.BOX)].to_numpy(dtype=float) for df in (p, t))
+        pred, truth = p["id"].to_numpy(), t["id"].to_numpy()
+        names = {v: k for k, v in enumerate(pd.unique(pd.concat([p["label"], t["label"]]).dropna()))}
+        label_a, label_b = (df["label"].map(names).fillna(miss).to_numpy(dtype=np.int64) for df, miss in ((p, -1), (t, -2)))
+        todo, used, found = {}, {}, []
+        step = max(HELD // max(len(b), 1), 1)
+        for start in range(0, len(a), step):
+            parts = []
+            for i, j in overlapping(a[start:start + step], b):
+                value = iou(a[start + i], b[j])
+                near = value >= levels[0]
+                parts.append((start + i[near], j[near], value[near]))
+            if not parts:
+                continue
+            i, j, value = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((j, -value, i))
+            i, j, value = i[order], j[order], value[order]
+            bits = (np.int64(1) << np.searchsorted(levels, value, "right")) - 1
+            bits |= np.where(label_a[i] == label_b[j], bits << len(levels), 0)
+            rows, won = _won(pred[i].tolist(), truth[j].tolist(), bits.tolist(), todo, used)
+            found.append(pd.DataFrame({**{k: p[k].to_numpy()[i[rows]] for k in keys}, "pred": pred[i[rows]], "truth": truth[j[rows]],
+                                       "iou": value[rows], "label": p["label"].to_numpy()[i[rows]], "bits": np.array(won, dtype=np.int64)}))
+        empty = pd.DataFrame({c: [] for c in (*keys, "pred", "truth", "iou", "label", "bits")})
+        return pd.concat(found, ignore_index=True) if found else empty
+
+    return settle
+
+
+def _whole_keys(predictions: DataFrame, truths: DataFrame, keys: Sequence[str], score_col: str, steps: Sequence[float],
+                size_col: str | None, pred_id: str, truth_id: str, most: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Matches `(keys, pred, truth, iou, label, bits)` of the keys with at most `most` boxes, and the larger keys."""
+    label = F.col(size_col) if size_col else F.lit(None)
+    p = cut(predictions.select(*keys, F.col(pred_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
+                               ranked_score(F.col(score_col)).alias("score"), tie_of(F.col(pred_id)).alias("pred_rank"),
+                               label.cast("string").alias("label")), "predictions")
+    t = cut(truths.select(*keys, F.col(truth_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
+                          label.cast("string").alias("label")), "truths")
+    few, many = by_size([p, t], keys, most)
+    if few is None:
+        return None, many
+    schema = T.StructType([*[p.schema[k] for k in keys], T.StructField("pred", p.schema["id"].dataType),
+                           T.StructField("truth", t.schema["id"].dataType), T.StructField("iou", T.DoubleType()),
+                           T.StructField("label", T.StringType()), T.StructField("bits", T.LongType())])
+    sides = [of_keys(df, keys, few, many).groupBy(*keys) for df in (p, t)]
+    return sides[0].cogroup(sides[1]).applyInPandas(_match_boxes(keys, steps), schema), many
+
+
 def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
                     keys: Sequence[str] = ("product_id",), pred_id: str = "object_id",
                     truth_id: str = "truth_id", epsilon: float = 0.0,
@@ -168,26 +283,41 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
     Predictions come by score (null and NaN last), then by a hash of the id, then by the id; among equal IoU
     the truth with the lowest id is taken. With `runs` (of predictions and truths) the IoU is that of masks.
     """
-    extra = [size_col] if size_col else []
+    keys, extra = list(keys), [size_col] if size_col else []
     steps = sorted({float(t) for t in thresholds})
-    if runs:
-        pairs = run_pairs(predictions, truths, *runs, score_col, keys, pred_id, truth_id, extra, extra, steps[0])
-    else:
-        pairs = candidate_pairs(predictions, truths, score_col, keys, pred_id, truth_id,
-                                pred_extra=extra, truth_extra=extra, pred_keys=pred_keys,
-                                least_iou=steps[0], shape_cols=shape_cols)
-    levels = F.array(*[F.lit(t) for t in steps])
-    pairs = pairs.withColumn("iou_threshold", F.explode(
-        F.filter(levels, lambda t: t <= F.col("iou"))))
-    bins = F.array(F.lit("all"))
-    if size_col:
-        same = F.col(f"pred_{size_col}") == F.col(f"truth_{size_col}")
-        bins = F.when(same, F.array(F.lit("all"), F.col(f"pred_{size_col}"))).otherwise(bins)
-    pairs = pairs.withColumn("size_label", F.explode(bins))
-    key = [*keys, *pred_keys, "iou_threshold", "size_label"]
-    pairs = pairs.withColumn("pred_rank", tie_of(F.col("pred")))
-    found = match_rounds(pairs.select(*key, "pred", "score", "pred_rank", "truth", "iou"), key, tail_pairs)
-    return found.select(*key, F.col("pred").alias(pred_id), F.col("truth").alias(truth_id), "iou")
+    n = len(steps)
+    if 2 * n > BITS:        # thresholds don't touch each other
+        parts = [greedy_match(predictions, truths, steps[k:k + BITS // 2], score_col, keys, size_col, pred_id, truth_id, tail_pairs,
+                              pred_keys, shape_cols, runs) for k in range(0, n, BITS // 2)]
+        return reduce(DataFrame.unionByName, parts)
+    key = [*keys, *pred_keys]
+    columns = [*key, "bit", "label", "pred", "truth", "iou"]
+    found, many = [], None
+    if keys and steps[0] > 0 and tail_pairs > 0 and not (runs or shape_cols or pred_keys):
+        done, many = _whole_keys(predictions, truths, keys, score_col, steps, size_col, pred_id, truth_id, min(WHOLE_KEY, tail_pairs))
+        if done is not None:
+            found.append(_each_bit(done, 2 * n, n).select(*columns))
+        if many is not None:
+            predictions, truths = (df.join(many, keys, "left_semi") for df in (predictions, truths))
+    if not found or many is not None:
+        if runs:
+            pairs = run_pairs(predictions, truths, *runs, score_col, keys, pred_id, truth_id, extra, extra, steps[0])
+        else:
+            pairs = candidate_pairs(predictions, truths, score_col, keys, pred_id, truth_id,
+                                    pred_extra=extra, truth_extra=extra, pred_keys=pred_keys,
+                                    least_iou=steps[0], shape_cols=shape_cols)
+        bits = sum((F.when(F.col("iou") >= t, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, t in enumerate(steps)),
+                   F.lit(0).cast("long"))
+        pairs = pairs.withColumn("bits", bits)
+        if size_col:
+            same = F.col(f"pred_{size_col}") == F.col(f"truth_{size_col}")
+            pairs = pairs.withColumns({"bits": F.when(same, F.col("bits") * (1 + (1 << n))).otherwise(F.col("bits")),
+                                       "label": F.col(f"pred_{size_col}")})
+        pairs = pairs.withColumn("pred_rank", tie_of(F.col("pred")))
+        found.append(match_bits(pairs, key, 2 * n, n, tail_pairs).select(*columns))
+    step = F.element_at(F.array(*[F.lit(t) for t in steps]), (F.col("bit") % n + 1).cast("int"))
+    return reduce(DataFrame.unionByName, found).select(
+        *key, step.alias("iou_threshold"), F.col("label").alias("size_label"), F.col("pred").alias(pred_id), F.col("truth").alias(truth_id), "iou")
 
 
 def prompt_match(predictions: DataFrame, truths: DataFrame, least_iou: float = 0.3,

@@ -94,3 +94,24 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     w = Window.partitionBy(*keys).orderBy(*order)
     top = df.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= k)
     return top.withColumnRenamed("_rank", rank) if rank else top.drop("_rank")
+
+
+def by_size(tables: Sequence[DataFrame], keys: Sequence[str], most: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """Keys with at most `most` rows in all tables together, and those with more; None where there are no such keys.
+
+    Rows with a null key are in neither.
+    """
+    keys = list(keys)
+    rows = tables[0].select(*keys)
+    for more in tables[1:]:
+        rows = rows.unionByName(more.select(*keys))
+    counts = cut(rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+    few, many = counts.agg(F.count_if(F.col("_n") <= most), F.count_if(F.col("_n") > most)).first()
+    return (counts.filter(F.col("_n") <= most).select(*keys) if few else None,
+            counts.filter(F.col("_n") > most).select(*keys) if many else None)
+
+
+def of_keys(df: DataFrame, keys: Sequence[str], wanted: DataFrame, rest: DataFrame | None) -> DataFrame:
+    """Rows of the `wanted` keys; without `rest` those are all that have a key."""
+    keys = list(keys)
+    return df.dropna(subset=keys) if rest is None else df.join(wanted, keys, "left_semi")

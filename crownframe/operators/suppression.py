@@ -13,19 +13,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
 from crownframe.functions.ranks import at_least, ranked_score, tie_of
+from crownframe.operators.box_pairs import iou, overlapping
 from crownframe.operators.masks import collect_runs, mask_pairs
+from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join, cell_crowds, place
 from crownframe.session import cut, release
 
 #: Boxes in one grid cell above which the boxes of that cell are thinned before pairing, and edges of
 #: one key few enough to be finished in a task, after some rounds. Neither changes the result.
-HOT_CELL, TAIL_EDGES, TAIL_AFTER = 2_000, 20_000, 8
+HOT_CELL, TAIL_EDGES, TAIL_AFTER = 2_000, 200_000, 0
+#: A key with at most this many times `hot_cell` boxes is settled in one task from its boxes, without a table of pairs.
+WHOLE_KEY, BLOCK = 10, 512
 
 
 def _order(prefix: str = "") -> Column:
@@ -200,11 +205,64 @@ def _remaining(live: DataFrame, edges: DataFrame, keys: Sequence[str], tail_edge
         *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask"))
 
 
+def _settle(keys: Sequence[str], thresholds: Sequence[float]):
+    """The sequential rule over the boxes of one key, a block of the strongest at a time; pairs are never held for more
+    than a block."""
+    steps = np.array(thresholds, dtype=float)
+    bits = np.array([sum(1 << i for i in range(len(steps)) if steps[i] < edge) for edge in [*np.sort(steps), np.inf]], dtype=np.int64)
+    ranks = np.sort(steps)
+
+    def crossed(a, b):
+        return bits[np.searchsorted(ranks, iou(a, b), "left")]
+
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["score", "tie", "id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+        box, alive = frame[list(B.BOX)].to_numpy(dtype=float), frame["alive"].to_numpy(dtype=np.int64, copy=True)
+        for start in range(0, len(box), BLOCK):
+            mine = start + np.flatnonzero(alive[start:start + BLOCK])
+            inside = [(mine[i[i < j]], mine[j[i < j]]) for i, j in overlapping(box[mine], box[mine])]
+            hi, lo = (np.concatenate([p[k] for p in inside] or [np.zeros(0, np.int64)]) for k in (0, 1))
+            order = np.argsort(hi, kind="stable")
+            hi, lo = hi[order], lo[order]
+            for strong, weak, falls in zip(hi.tolist(), lo.tolist(), crossed(box[hi], box[lo]).tolist()):
+                alive[weak] &= ~(falls & alive[strong])
+            mine = mine[alive[mine] != 0]
+            later = start + BLOCK + np.flatnonzero(alive[start + BLOCK:])
+            fallen = np.zeros(len(box), np.int64)
+            for i, j in overlapping(box[mine], box[later]):
+                hi, lo = mine[i], later[j]
+                np.bitwise_or.at(fallen, lo, crossed(box[hi], box[lo]) & alive[hi])
+            alive &= ~fallen
+        kept = np.flatnonzero(alive)
+        return frame.loc[kept, [*keys, "id"]].assign(mask=alive[kept])
+
+    return settle
+
+
 def kept_masks(nodes: DataFrame, keys: Sequence[str], thresholds: Sequence[float], hot_cell: int,
                tail_edges: int) -> DataFrame:
-    """`(keys, id, mask)`: the thresholds (all below 1) at which a box stays."""
+    """`(keys, id, mask)`: the thresholds (all below 1) at which a box stays.
+
+    A key with few boxes goes to one task with its boxes; the boxes of larger keys are paired in grid cells.
+    """
     keys = list(keys)
     nodes = cut(nodes, "nodes")
+    most = min(WHOLE_KEY * hot_cell, tail_edges)
+    if not keys or most <= 0 or min(thresholds) < 0:
+        return _kept_in_cells(nodes, keys, thresholds, hot_cell, tail_edges)
+    few, many = by_size([nodes], keys, most)
+    parts = []
+    if few is not None:
+        schema = nodes.select(*keys, "id", F.col("alive").alias("mask")).schema
+        parts.append(of_keys(nodes, keys, few, many).groupBy(*keys).applyInPandas(_settle(keys, thresholds), schema))
+    if many is not None or few is None:
+        large = nodes if many is None else of_keys(nodes, keys, many, few)
+        parts.append(_kept_in_cells(cut(large, "nodes"), keys, thresholds, hot_cell, tail_edges))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _kept_in_cells(nodes: DataFrame, keys: Sequence[str], thresholds: Sequence[float], hot_cell: int,
+                   tail_edges: int) -> DataFrame:
     live, taken, levels = _thin(nodes, thresholds, keys, hot_cell)
     kept = _remaining(live, _edges(live, live, keys, levels, thresholds), keys, tail_edges)
     if taken is None:
