@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions.ranks import at_least, tie_of
 from crownframe.operators import metrics
-from crownframe.operators.matching import TAIL_PAIRS, candidate_pairs, match_rounds, run_pairs
-from crownframe.operators.suppression import nms_grid
+from crownframe.operators.matching import BITS, TAIL_PAIRS, candidate_pairs, match_bits, run_pairs
+from crownframe.operators.suppression import nms_masks
 from crownframe.plans.raster_level import KEY, prepare
 from crownframe.session import cut
 
@@ -37,25 +38,37 @@ def nms_grid_search(predictions: DataFrame, truths: DataFrame, gsd: float,
     score = score_col or metrics.pick_score(predictions)
     ious, scores = sorted({float(v) for v in nms_ious}), sorted({float(v) for v in nms_scores})
     steps = sorted({float(t) for t in eval_thresholds})
-    kept = cut(nms_grid(predictions, ious, scores[0], score, keys=[KEY], runs=runs[0] if runs else None), "kept")
+    if len(steps) > BITS:
+        raise ValueError(f"at most {BITS} evaluation thresholds")
+    if len(ious) * len(steps) > BITS:       # neither axis of thresholds changes what another value gives
+        parts = [nms_grid_search(predictions, truths, gsd, ious[k:k + max(BITS // len(steps), 1)], scores, steps, aoi, score, tail_pairs, runs)
+                 for k in range(0, len(ious), max(BITS // len(steps), 1))]
+        return reduce(DataFrame.unionByName, parts)
+    kept, ious = nms_masks(predictions, ious, scores[0], score, keys=[KEY], runs=runs[0] if runs else None)
+    kept = cut(kept, "kept")
     strong = predictions.filter(at_least(F.col(score), scores[0]))
     # The score column keeps its name through the AOI filter; ids of cut objects may change there.
     strong = strong.withColumn("_source_id", F.col("object_id"))
     p, t = prepare(strong, truths, gsd, aoi)
     p, t = cut(p, "predictions"), cut(t, "truths")
     seen = p.select(KEY, "object_id", F.col("_source_id"), F.col(score).alias("score")).join(
-        kept.select("nms_iou", KEY, F.col("object_id").alias("_source_id")), [KEY, "_source_id"])
+        kept.select(KEY, F.col("object_id").alias("_source_id"), "mask"), [KEY, "_source_id"])
+    seen = cut(seen.select(KEY, "object_id", "score", "mask"), "seen")
     levels = F.array(*[F.lit(v) for v in steps])
     pairs = (run_pairs(p, t, *runs, score, [KEY], least_iou=steps[0]) if runs else
              candidate_pairs(p, t, score, [KEY], least_iou=steps[0]))
-    pairs = pairs.join(seen.select("nms_iou", KEY, F.col("object_id").alias("pred")), [KEY, "pred"])
-    pairs = pairs.withColumn("iou_threshold", F.explode(
-        F.filter(levels, lambda v: v <= F.col("iou"))))
+    pairs = pairs.join(seen.select(KEY, F.col("object_id").alias("pred"), "mask"), [KEY, "pred"])
+    n = len(ious)
+    # Bit s * n + i: the pair counts at the s-th matching threshold, and the prediction stays at the i-th of suppression.
+    bits = sum((F.when(F.col("iou") >= t, F.col("mask") * (1 << s * n)).otherwise(F.lit(0)).cast("long") for s, t in enumerate(steps)),
+               F.lit(0).cast("long"))
     run = ["nms_iou", KEY, "iou_threshold"]
-    pairs = pairs.withColumn("pred_rank", tie_of(F.col("pred")))
-    found = match_rounds(pairs.select(*run, "pred", "score", "pred_rank", "truth", "iou"), run, tail_pairs)
-    hits = found.select(*run, "pred").join(
-        p.select(KEY, F.col("object_id").alias("pred"), F.col(score).alias("score")), [KEY, "pred"])
+    pairs = pairs.withColumns({"bits": bits, "pred_rank": tie_of(F.col("pred"))})
+    nms_levels = F.array(*[F.lit(v) for v in ious])
+    hits = match_bits(pairs, [KEY], n * len(steps), tail_pairs=tail_pairs).select(
+        F.element_at(nms_levels, (F.col("bit") % n + 1).cast("int")).alias("nms_iou"), KEY,
+        F.element_at(levels, F.floor(F.col("bit") / n + 1).cast("int")).alias("iou_threshold"), "score")
+    each = F.filter(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.call_function("shiftright", F.col("mask"), i) % 2 != 0)
 
     floors = F.array(*[F.lit(v) for v in scores])
     band = F.size(F.filter(floors, lambda v: v <= F.col("score")))
@@ -67,7 +80,11 @@ def nms_grid_search(predictions: DataFrame, truths: DataFrame, gsd: float,
         return spread.groupBy(*keys, "nms_score").agg(F.sum("_n").alias(name))
 
     tp = above(hits, run, "tp")
-    n_pred = above(seen, ["nms_iou", KEY], "num_preds")
+    # Counted by mask first: far fewer rows are spread over the thresholds.
+    banded = seen.groupBy(KEY, "mask", band.alias("_band")).agg(F.count(F.lit(1)).alias("_n"))
+    spread = banded.withColumn("_i", F.explode(each)).groupBy(KEY, "_i", "_band").agg(F.sum("_n").alias("_n"))
+    n_pred = spread.withColumn("nms_score", F.explode(F.slice(floors, F.lit(1), F.col("_band")))).groupBy(
+        F.element_at(nms_levels, F.col("_i") + 1).alias("nms_iou"), KEY, "nms_score").agg(F.sum("_n").alias("num_preds"))
     n_true = t.groupBy(KEY).agg(F.count(F.lit(1)).alias("num_truths"))
     rasters = n_true.join(p.select(KEY).distinct(), KEY, "full").fillna(0, ["num_truths"])
     frame = (rasters.withColumn("nms_iou", F.explode(F.array(*[F.lit(v) for v in ious])))
