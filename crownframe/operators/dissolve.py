@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from crownframe.operators.masks import RUN, mask_area, merge_intervals, run_boxes, subtract_runs
+from crownframe.operators.masks import RUN, _spread, mask_area, merge_intervals, run_boxes, subtract_runs
+from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
 
@@ -42,23 +45,84 @@ def connected(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 BLOCK = 4096   # pixels; a line is worked on in blocks, so no group grows with the raster
-
-
-def dissolve(runs: DataFrame, id_col: str, keys: Sequence[str] = ("product_id",)) -> DataFrame:
+FEW_RUNS = 200_000   # runs of one key that are dissolved in one task
+
+
+def _roots(n: int, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """The smallest item each of `n` items is linked with, over any number of links."""
+    low = np.arange(n)
+    while len(u):
+        a, b = low[u], low[v]
+        open_ = a != b
+        u, v, a, b = u[open_], v[open_], a[open_], b[open_]
+        np.minimum.at(low, np.maximum(a, b), np.minimum(a, b))
+        while (low != low[low]).any():
+            low = low[low]
+    return low
+
+
+def _dissolve_key(keys: Sequence[str]):
+    """`dissolve` of the runs of one key, cut in blocks."""
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        line, blk, start, stop = (frame[c].to_numpy(dtype=np.int64) for c in ("line", "_blk", "c0", "c1"))
+        rank, ids = pd.factorize(frame["id"], sort=True)
+        order = np.lexsort((start, blk, line))
+        line, blk, start, stop, rank = line[order], blk[order], start[order], stop[order], rank[order]
+        cell = np.cumsum(np.append(0, (np.diff(line) != 0) | (np.diff(blk) != 0)))
+        low = start.min()
+        apart = stop.max() - low + 2
+        reach = np.maximum.accumulate(stop - low + cell * apart)
+        heads = np.flatnonzero(np.append(True, (start - low + cell * apart)[1:] > reach[:-1]))
+        name = np.minimum.reduceat(rank, heads)
+        line, start = line[heads], start[heads]
+        stop = np.append(reach[heads[1:] - 1], reach[-1]) - cell[heads] * apart + low
+        # Segments of a line are disjoint, so starts and ends both ascend over all lines.
+        place = lambda at, x: (at - line[0]) * apart + (x - low)
+        first = np.searchsorted(place(line, stop), place(line + 1, start), "right")
+        last = np.searchsorted(place(line, start), place(line + 1, stop), "left")
+        u, k = _spread(np.maximum(last - first, 0))
+        v = first[u] + k
+        beside = np.flatnonzero((line[1:] == line[:-1]) & (start[1:] == stop[:-1]))
+        part = _roots(len(line), np.append(u, beside), np.append(v, beside + 1))
+        np.minimum.at(name, part, name.copy())
+        return pd.DataFrame({**{k: [frame[k].iloc[0]] * len(line) for k in keys}, "component": ids[name[part]],
+                             "line": line, "c0": start, "c1": stop})
+
+    return settle
+
+
+def dissolve(runs: DataFrame, id_col: str, keys: Sequence[str] = ("product_id",), few_runs: int = FEW_RUNS) -> DataFrame:
     """Union of all masks, split into connected parts: runs with `component`, the lowest id of each.
 
     The masks are merged line by line first, so any number of masks on one spot becomes one segment;
     parts are then the connected segments of neighbouring lines. Cost follows the covered ground, not
-    the pairs of masks. Runs end at multiples of `BLOCK`.
+    the pairs of masks. Runs end at multiples of `BLOCK`. A key with at most `few_runs` runs is dissolved in one
+    task; larger ones are, line by line, over many.
     """
     keys = list(keys)
-    cell = [*keys, "line", "_blk"]
     blocks = F.sequence(F.floor(F.col("c0") / BLOCK), F.floor((F.col("c1") - 1) / BLOCK))
     base = F.col("_blk") * BLOCK
     split = runs.filter("c1 > c0").withColumn("_blk", F.explode(blocks)).select(
         *keys, F.col(id_col).alias("id"), "line", "_blk",
         F.greatest(F.col("c0").cast("long"), base).alias("c0"),
         F.least(F.col("c1").cast("long"), base + BLOCK).alias("c1"))
+    if not keys:
+        return _dissolve_lines(split, keys)
+    split = cut(split, "split")
+    few, many = by_size([split], keys, few_runs)
+    parts = []
+    if few is not None:
+        kind = split.select(*keys, F.col("id").alias("component"), "line", F.col("c0").cast("int").alias("c0"),
+                            F.col("c1").cast("int").alias("c1")).schema
+        parts.append(of_keys(split, keys, few, many).groupBy(*keys).applyInPandas(_dissolve_key(keys), kind))
+    if many is not None or few is None:
+        parts.append(_dissolve_lines(split if many is None else of_keys(split, keys, many, few), keys))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _dissolve_lines(split: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`dissolve` of runs cut in blocks, by joins and rounds."""
+    cell = [*keys, "line", "_blk"]
     # Equal runs of different masks count once; the lowest id stands for them.
     single = split.groupBy(*cell, "c0", "c1").agg(F.min("id").alias("id"))
     single = cut(single, "runs")
