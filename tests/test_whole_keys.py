@@ -3,8 +3,9 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from crownframe.operators import matching, suppression
+from crownframe.operators import dissolve, matching, suppression
 from crownframe.operators.box_pairs import overlapping
+from crownframe.sources import geotables
 from tests import brute
 
 
@@ -44,3 +45,25 @@ def test_overlapping_boxes_of_odd_widths():
     plain = {(i, j) for i, a in enumerate(boxes) for j, b in enumerate(boxes) if np.isfinite([*a, *b]).all()
              and a[0] < b[2] and a[2] > b[0] and a[1] < b[3] and a[3] > b[1]}
     assert len(met) == len(set(met)) and set(met) == plain
+
+
+def test_dissolve_of_small_keys_takes_no_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    rows = [(int(i % 3), int(i), int(line), int(c), int(c + w)) for i in range(120)
+            for line, c, w in [(rng.integers(-5, 25), rng.integers(-10, 40), rng.integers(1, 9))]]
+    runs = spark.createDataFrame(rows, "product_id int, id long, line int, c0 int, c1 int")
+    monkeypatch.setattr(dissolve, "BLOCK", 8)
+
+    def run(**options):
+        return sorted(map(tuple, dissolve.dissolve(runs, "id", **options).select("product_id", "component", "line", "c0", "c1").collect()))
+
+    rounds = run(few_runs=0)
+    monkeypatch.setattr(dissolve, "connected", forbidden)
+    assert rounds and run() == rounds
+
+
+def test_a_raster_is_written_to_one_file(spark, tmp_path):
+    objects = spark.range(400, numPartitions=4).selectExpr("id as object_id", "cast(id % 3 as int) as product_id")
+    path = geotables.write_objects(objects, str(tmp_path), "final", 32618)
+    assert {len(list(d.glob("*.parquet"))) for d in (tmp_path / "final").glob("product_id=*")} == {1}
+    assert geotables.read_objects(spark, path).count() == 400
