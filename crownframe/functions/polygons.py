@@ -57,7 +57,7 @@ def iou_from(inter: Column, area_a: Column, area_b: Column) -> Column:
 
 
 def _loops(pts: list[tuple[float, float]], hits: dict[int, list]) -> list[list[float]]:
-    """Loops of a ring, cut at the crossings `hits` of its edges; loops without area are left out."""
+    """Loops of a ring, cut at the crossings `hits` of its edges; some may have no area."""
     path: list[tuple[float, float]] = []
     for i, p in enumerate(pts):
         path.append(p)
@@ -74,7 +74,13 @@ def _loops(pts: list[tuple[float, float]], hits: dict[int, list]) -> list[list[f
                 loops.append([c for q in loop for c in q])
         seen[p] = len(stack)
         stack.append(p)
-    return [loop for loop in loops if shared_area([loop]) > 0]
+    return loops
+
+
+def _shared_areas(*shapes: list) -> np.ndarray:
+    """`shared_area` of many shapes in one sweep; each list holds one shape per row."""
+    kind = pa.list_(pa.list_(pa.float64()))
+    return sweep.shared_areas(len(shapes[0]), [pa.array(s, kind) for s in shapes])
 
 
 def _crossings_of(rings: pa.Array) -> dict[int, dict[int, list]]:
@@ -102,25 +108,32 @@ def repair(rings: pa.Array) -> pa.Array:
     shapes = rings.to_pylist()
     outer = pa.array([s[:1] if s and len(s[0]) >= 6 else [] for s in shapes], pa.list_(pa.list_(pa.float64())))
     crossed, whole = _crossings_of(outer), sweep.shared_areas(len(shapes), [outer])
-    out = []
+    parts: list[list] = []
     for k, shape in enumerate(shapes):
         if not shape or len(shape[0]) < 6:
-            out.append([])
+            parts.append([])
             continue
         pts = list(zip(shape[0][0::2], shape[0][1::2]))
         if k in crossed or len(set(pts)) < len(pts):
-            parts = _loops(pts, crossed.get(k, {}))
+            parts.append(_loops(pts, crossed.get(k, {})))
+        else:
+            parts.append([shape[0]] if whole[k] > 0 else [])
+    # The loops of all rows are measured together, and so are the parts against the holes.
+    sizes = iter((_shared_areas([[p] for each in parts for p in each]) > 0).tolist() if any(parts) else ())
+    parts = [[p for p in each if next(sizes)] for each in parts]
+    holes = [[h for h in shape[1:] if len(h) >= 6] if each else [] for each, shape in zip(parts, shapes)]
+    pairs = [(p, h) for each, inner in zip(parts, holes) if len(each) > 1 for h in inner for p in each]
+    common = iter(_shared_areas([[p] for p, _ in pairs], [[h] for _, h in pairs]).tolist() if pairs else ())
+    out = []
+    for each, inner in zip(parts, holes):
+        fixed = [[p] for p in each]
+        if len(each) == 1:
+            fixed[0] += inner
         else:
-            parts = [shape[0]] if whole[k] > 0 else []
-        holes = [h for h in shape[1:] if len(h) >= 6]
-        fixed = [[p] for p in parts]
-        if len(parts) == 1:
-            fixed[0] += holes
-        elif parts:
-            for h in holes:
-                common = [shared_area([p], [h]) for p in parts]
-                if max(common) > 0:
-                    fixed[common.index(max(common))].append(h)
+            for h in inner:
+                held = [next(common) for _ in each]
+                if max(held) > 0:
+                    fixed[held.index(max(held))].append(h)
         out.append(fixed)
     return pa.array(out, pa.list_(pa.list_(pa.list_(pa.float64()))))
 

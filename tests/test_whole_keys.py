@@ -1,9 +1,13 @@
-"""Keys with few boxes are settled in one task, without a table of pairs and without rounds."""
+"""Bounded work: small keys are settled in one task without pairs or rounds, rows of a batch are measured together."""
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from crownframe.operators import dissolve, matching, suppression
+from crownframe.functions import boxes as B
+from crownframe.functions import polygons, sweep
+from crownframe.operators import dissolve, matching, scoring, suppression
 from crownframe.operators.box_pairs import overlapping
 from crownframe.sources import geotables
 from tests import brute
@@ -67,3 +71,27 @@ def test_a_raster_is_written_to_one_file(spark, tmp_path):
     path = geotables.write_objects(objects, str(tmp_path), "final", 32618)
     assert {len(list(d.glob("*.parquet"))) for d in (tmp_path / "final").glob("product_id=*")} == {1}
     assert geotables.read_objects(spark, path).count() == 400
+
+
+def test_repair_measures_all_rows_together(monkeypatch):
+    bows = pa.array([[[0.0, 0.0, 4.0, k, 4.0, 0.0, 0.0, k]] for k in range(1, 41)], pa.list_(pa.list_(pa.float64())))
+    calls = []
+    plain = sweep.shared_areas
+    monkeypatch.setattr(sweep, "shared_areas", lambda *a, **k: (calls.append(1), plain(*a, **k))[1])
+    assert [len(parts) for parts in polygons.repair.func(bows).to_pylist()] == [2] * 40
+    assert len(calls) < 5
+
+
+def test_a_model_sees_few_prompts_at_a_time(spark):
+    def load():
+        def predict(pdf):
+            ids = [[p["object_id"] for p in each] for each in pdf["prompts"]]
+            return pd.DataFrame({"tile_path": pdf["tile_path"], "object_ids": ids, "masks": [[[] for _ in i] for i in ids],
+                                 "scores": [[float(len(pdf))] * len(i) for i in ids]})
+        return predict
+
+    prompts = spark.range(300).selectExpr("concat('t', id % 40) as tile_path", "id as object_id", *[f"cast(id as double) as {c}" for c in B.BOX])
+    out = scoring.score_prompts(prompts, prompts.select("tile_path").distinct(), load, batch=256).collect()
+    assert sorted(i for r in out for i in r["object_ids"]) == list(range(300))
+    assert max(s for r in out for s in r["scores"]) <= 4
+    assert "MapInArrow" in scoring.score_prompts(prompts, prompts.select("tile_path").distinct(), load)._jdf.queryExecution().toString()
