@@ -9,8 +9,11 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from crownframe.operators.numbering import in_batches
 
@@ -24,13 +27,18 @@ ROWS, PROMPTS = 64, 1024
 
 
 def _mapped(df: DataFrame, load: Callable[[], Predict], schema: str, rows: int = ROWS) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The model over `rows` rows at a time. Batches stay Arrow until then: prompts as Python objects take far more memory."""
+    kind = T.StructType.fromDDL(schema)
+    out = to_arrow_schema(kind)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = load()
-        for pdf in batches:
-            for k in range(0, len(pdf), rows):
-                yield predict(pdf.iloc[k:k + rows].reset_index(drop=True))
+        for b in batches:
+            for k in range(0, b.num_rows, rows):
+                found = pa.Table.from_pandas(predict(b.slice(k, rows).to_pandas()), schema=out, preserve_index=False)
+                yield from found.to_batches()
 
-    return df.mapInPandas(run, schema)
+    return df.mapInArrow(run, kind)
 
 
 def score_tiles(tiles: DataFrame, load: Callable[[], Predict]) -> DataFrame:
