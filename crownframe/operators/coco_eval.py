@@ -116,9 +116,8 @@ def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
     in). That bounds the pairs of an image, and each image is settled inside one task.
     """
     if runs:
-        mine, real = (r.join(df.select(*keys, i).hint("merge"), [*keys, i], "left_semi")
-                      for r, df, i in zip(runs, (dets, truths), ("det_id", "gt_id")))
-        pairs = mask_pairs(mine, real, "det_id", "gt_id", keys).withColumnsRenamed({"a_id": "a_det_id", "b_id": "b_gt_id"})
+        of = dets.select(*keys, "det_id"), truths.select(*keys, "gt_id")
+        pairs = mask_pairs(*runs, "det_id", "gt_id", keys, of=of).withColumnsRenamed({"a_id": "a_det_id", "b_id": "b_gt_id"})
         # Small shuffled bytes are no small table: no side goes through the driver.
         pairs = pairs.join(dets.select(*keys, F.col("det_id").alias("a_det_id"), F.col("score").alias("a_score")).hint("merge"),
                            [*keys, "a_det_id"])

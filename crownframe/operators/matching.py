@@ -262,9 +262,8 @@ def run_pairs(predictions: DataFrame, truths: DataFrame, pred_runs: DataFrame, t
     p = predictions.select(*keys, F.col(pred_id).alias("a_id"), ranked_score(F.col(score_col)).alias("score"),
                            *[F.col(c).alias(f"pred_{c}") for c in pred_extra])
     t = truths.select(*keys, F.col(truth_id).alias("b_id"), *[F.col(c).alias(f"truth_{c}") for c in truth_extra])
-    mine = pred_runs.join(p.select(*keys, F.col("a_id").alias(pred_id)), [*keys, pred_id], "left_semi")
-    real = truth_runs.join(t.select(*keys, F.col("b_id").alias(truth_id)), [*keys, truth_id], "left_semi")
-    pairs = mask_pairs(mine, real, pred_id, truth_id, keys).filter(F.col("iou") >= least_iou)
+    pairs = mask_pairs(pred_runs, truth_runs, pred_id, truth_id, keys, least=least_iou, of=(
+        predictions.select(*keys, pred_id), truths.select(*keys, truth_id))).filter(F.col("iou") >= least_iou)
     pairs = pairs.join(p, [*keys, "a_id"]).join(t, [*keys, "b_id"])
     return pairs.withColumnsRenamed({"a_id": "pred", "b_id": "truth"}).drop("inter", "area_a", "area_b", "dice_loss")
 

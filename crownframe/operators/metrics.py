@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from crownframe.functions.boxes import SIZE_LABELS
-from crownframe.operators.numbering import row_index
+from crownframe.operators.numbering import running_totals
 from crownframe.session import cut
 
 # Score columns in the order in which one is looked for.
@@ -299,20 +299,24 @@ def mean_over_datasets(metrics: DataFrame, dataset_col: str = "location",
 def iou_stats(df: DataFrame, value: str = "iou", keys: Sequence[str] = ()) -> DataFrame:
     """Mean, median, standard deviation and number of the values that aren't null.
 
-    The median is found by the values' ranks, so a group is never held in one task.
+    Equal values are counted first, so what follows works on different ones; the median is found by the values' ranks, and a
+    group is never held in one task.
     """
     keys = list(keys)
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    sums = df.groupBy(*keys).agg(F.avg(value).alias("mean_iou"), F.stddev_pop(value).alias("std_iou"),
-                                 F.count(value).alias("num_masks"))
-    sums = cut(sums if keys else sums.withColumn("_one", F.lit(1)), "sums")
     on = keys or ["_one"]
-    ranked = row_index(rows, keys, [F.col("_v")], "_n")
-    ranked = ranked if keys else ranked.withColumn("_one", F.lit(1))
-    middle = ranked.join(sums.select(*on, "num_masks"), on).filter(
-        (F.col("_n") >= F.floor((F.col("num_masks") - 1) / 2)) & (F.col("_n") <= F.floor(F.col("num_masks") / 2)))
-    median = middle.groupBy(*on).agg(F.avg("_v").alias("median_iou"))
-    return sums.join(median, on, "left").select(*keys, "mean_iou", "median_iou", "std_iou", "num_masks")
+    rows = (df if keys else df.withColumn("_one", F.lit(1))).select(*on, F.col(value).cast("double").alias("_v"))
+    counts = cut(rows.groupBy(*on, "_v").agg(F.count(F.lit(1)).alias("_c")), "counts")
+    known = counts.filter(F.col("_v").isNotNull())
+    sums = cut(counts.groupBy(*on).agg((F.sum(F.col("_v") * F.col("_c")) / F.sum(F.when(F.col("_v").isNotNull(), F.col("_c")))).alias("mean_iou"),
+                                       F.coalesce(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0)).alias("num_masks")), "sums")
+    apart = known.join(sums, on).groupBy(*on).agg(
+        F.sqrt(F.sum(F.col("_c") * (F.col("_v") - F.col("mean_iou")) ** 2) / F.first("num_masks")).alias("std_iou"))
+    ranked = running_totals(known, on, [F.col("_v")], {"_upto": F.col("_c")}).join(sums.select(*on, "num_masks"), on)
+    first, last = F.floor((F.col("num_masks") - 1) / 2), F.floor(F.col("num_masks") / 2)
+    holds = [((F.col("_upto") - F.col("_c") <= r) & (F.col("_upto") > r)) for r in (first, last)]
+    middle = ranked.filter(holds[0] | holds[1])
+    median = middle.groupBy(*on).agg((F.sum(F.when(holds[0], F.col("_v"))) / 2 + F.sum(F.when(holds[1], F.col("_v"))) / 2).alias("median_iou"))
+    return sums.join(median, on, "left").join(apart, on, "left").select(*keys, "mean_iou", "median_iou", "std_iou", "num_masks")
 
 
 def micro_f1(df: DataFrame, predicted: str = "classifier_class", actual: str = "true_class",

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from crownframe.functions import boxes as B
 from crownframe.functions.ranks import at_least, ranked_score, tie_of
 from crownframe.operators.box_pairs import iou, overlapping
-from crownframe.operators.masks import collect_runs, mask_pairs
+from crownframe.operators.masks import blocks_of, meeting, whole_masks
 from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join, cell_crowds, place
 from crownframe.session import cut, release
@@ -277,25 +277,25 @@ def kept_run_masks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thres
     nothing. Of objects with the very same pixels only the first can stay."""
     keys = list(keys)
     nodes = cut(nodes, "nodes")
-    mine = runs.join(nodes.select(*keys, "id"), [*keys, "id"], "left_semi")
-    shapes = collect_runs(mine, [*keys, "id"], "_shape").join(nodes, [*keys, "id"])
-    first = shapes.groupBy(*keys, "_shape").agg(F.min(_order()).alias("_b"))
-    first = cut(first.select(*keys, F.col("_b.i").alias("id")), "shapes")
-    bare = nodes.join(mine.select(*keys, "id").distinct(), [*keys, "id"], "left_anti")
-    live = cut(nodes.join(first, [*keys, "id"], "left_semi").unionByName(bare), "nodes")
-    mine = cut(mine.join(first, [*keys, "id"], "left_semi"), "runs")
-    pairs = mask_pairs(mine, mine, "id", "id", keys, extra=F.col("a_id") < F.col("b_id"))
-    pairs = pairs.filter(F.col("iou") > min(thresholds))
-    for side in "ab":
-        node = live.select(*keys, F.col("id").alias(f"{side}_id"), F.col("score").alias(f"{side}_score"),
-                           F.col("tie").alias(f"{side}_tie"))
-        pairs = pairs.join(node, [*keys, f"{side}_id"])
-    ahead = _before("a_", "b_")
-    edges = pairs.select(*keys, _crossed(thresholds).alias("mask"), *[
-        F.when(ahead, F.col(f"a_{c}")).otherwise(F.col(f"b_{c}")).alias(n)
-        for c, n in (("id", "hi"), ("score", "hi_score"), ("tie", "hi_tie"))],
-        F.when(ahead, F.col("b_id")).otherwise(F.col("a_id")).alias("lo"))
-    return _remaining(live, edges, keys, tail_edges).filter("mask != 0")
+    order = ["score", "tie", "id"]
+    shapes = cut(whole_masks(runs, [*keys, "id"], nodes, ["score", "tie"]), "masks")
+    first = shapes.groupBy(*keys, "area", "shape").agg(F.min(_order()).alias("_b")).select(
+        *keys, F.col("_b.i").alias("id"), (-F.col("_b.s")).alias("score"), F.col("_b.t").alias("tie"), "area", "shape")
+    first = cut(first, "shapes")
+    # Pieces come in the order of suppression, and pairs of masks below every threshold go out where they are found.
+    pairs = meeting(blocks_of(first, keys, 0, ["score", "tie"]), keys, True, max(min(thresholds), 0.0),
+                    [F.desc("score"), *order[1:]], ["score", "tie"])
+    pairs = pairs.groupBy(*keys, "a_id", "b_id").agg(F.sum("inter").alias("inter"), *[F.first(c).alias(c) for c in ("area_a", "area_b", "score", "tie")])
+    i = F.col("inter")
+    edges = pairs.withColumn("iou", i / (F.col("area_a") + F.col("area_b") - i)).filter(F.col("iou") > min(thresholds)).select(
+        *keys, F.col("a_id").alias("hi"), F.col("b_id").alias("lo"), _crossed(thresholds).alias("mask"),
+        F.col("score").alias("hi_score"), F.col("tie").alias("hi_tie"))
+    fallen = suppressed(edges, keys, tail_edges)
+    # Copies of a shape fall at every threshold; what has no pixels overlaps nothing.
+    copies = shapes.select(*keys, "id").join(first.select(*keys, "id").hint("merge"), [*keys, "id"], "left_anti")
+    gone = fallen.unionByName(copies.withColumn("mask", F.lit((1 << len(thresholds)) - 1).cast("long")))
+    return nodes.select(*keys, "id", "alive").join(gone.withColumnRenamed("mask", "_gone").hint("merge"), [*keys, "id"], "left").select(
+        *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask")).filter("mask != 0")
 
 
 def nms(objects: DataFrame, threshold: float, score_threshold: float | None = None,
