@@ -7,20 +7,21 @@ truths may be matched repeatedly and are compared by the share of the detection
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from crownframe.functions import boxes as B
+from crownframe.functions.batches import changes, whole_groups
 from crownframe.functions.ranks import ranked_score
-from crownframe.operators.masks import mask_area, mask_pairs
+from crownframe.operators.masks import CELLS, _pieces, _spread, mask_area, mask_pairs
 from crownframe.operators.numbering import running_totals, top_per_group
-from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
 
 # The ten IoU thresholds and the recall grid 0, 0.01, ..., 1 of the protocol, and its
@@ -108,28 +109,22 @@ def _match_image(keys: Sequence[str], ranges: dict[str, tuple[float, float]],
 
 def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
                  ranges: dict[str, tuple[float, float]], thresholds: Sequence[float],
-                 max_dets: int, runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+                 max_dets: int, runs: tuple[DataFrame, DataFrame]) -> DataFrame:
     """Matched thresholds per detection and range, as bits: countable ones and all.
 
     An image's detections are at most `max_dets`, so a detection loses at most `max_dets - 1` truths to
     others and needs no more than its best `max_dets` truths of each kind (crowd, and the ranges it counts
     in). That bounds the pairs of an image, and each image is settled inside one task.
     """
-    if runs:
-        of = dets.select(*keys, "det_id"), truths.select(*keys, "gt_id")
-        pairs = mask_pairs(*runs, "det_id", "gt_id", keys, of=of).withColumnsRenamed({"a_id": "a_det_id", "b_id": "b_gt_id"})
-        # Small shuffled bytes are no small table: no side goes through the driver.
-        pairs = pairs.join(dets.select(*keys, F.col("det_id").alias("a_det_id"), F.col("score").alias("a_score")).hint("merge"),
-                           [*keys, "a_det_id"])
-        pairs = pairs.join(truths.select(*keys, F.col("gt_id").alias("b_gt_id"), F.col("area").alias("b_area"),
-                                         F.col("iscrowd").alias("b_iscrowd")).hint("merge"), [*keys, "b_gt_id"])
-        value = F.when(F.col("b_iscrowd"), F.col("inter") / F.col("area_a")).otherwise(F.col("iou"))
-    else:
-        pairs = bbox_join(dets.select(*keys, "det_id", "score", *B.BOX),
-                          truths.select(*keys, "gt_id", *B.BOX, "area", "iscrowd"), keys)
-        a, b = B.box("a_"), B.box("b_")
-        value = F.when(F.col("b_iscrowd"), B.ioa(a, b)).otherwise(B.iou(a, b))
+    of = dets.select(*keys, "det_id"), truths.select(*keys, "gt_id")
     least = min(min(float(t) for t in thresholds), 1 - 1e-10)
+    pairs = mask_pairs(*runs, "det_id", "gt_id", keys, of=of).withColumnsRenamed({"a_id": "a_det_id", "b_id": "b_gt_id"})
+    # Small shuffled bytes are no small table: no side goes through the driver.
+    pairs = pairs.join(dets.select(*keys, F.col("det_id").alias("a_det_id"), F.col("score").alias("a_score")).hint("merge"),
+                       [*keys, "a_det_id"])
+    pairs = pairs.join(truths.select(*keys, F.col("gt_id").alias("b_gt_id"), F.col("area").alias("b_area"),
+                                     F.col("iscrowd").alias("b_iscrowd")).hint("merge"), [*keys, "b_gt_id"])
+    value = F.when(F.col("b_iscrowd"), F.col("inter") / F.col("area_a")).otherwise(F.col("iou"))
     kind = F.array(F.col("b_iscrowd"), *[
         (F.col("b_area") >= float(lo)) & (F.col("b_area") <= float(hi)) for lo, hi in ranges.values()])
     best = Window.partitionBy(*keys, "a_det_id", kind).orderBy(F.desc("iou"), F.desc("b_gt_id"))
@@ -140,6 +135,133 @@ def _match_masks(dets: DataFrame, truths: DataFrame, keys: Sequence[str],
         _match_image(keys, ranges, thresholds), _mask_schema(pairs, keys))
 
 
+def _settle_images(keys: Sequence[str], ranges: dict[str, tuple[float, float]], thresholds: Sequence[float], max_dets: int):
+    """From truths (`_side` 0) and detections (1, strongest first) sorted by image: the ranked detections with the thresholds
+    they match in each range, countable ones and all.
+
+    What lies behind an image's first `max_dets` detections is left out before anything is gathered, so a truth meets no more
+    than that many. Images of a batch are paired together; a row of thresholds in all ranges is the bits of one number.
+    """
+    low, high = (np.array([r[k] for r in ranges.values()], dtype=float) for k in (0, 1))
+    steps = np.minimum(np.array(thresholds, dtype=float), 1 - 1e-10)
+    n, labels = len(steps), len(ranges)
+    one = (1 << n) - 1
+    full = (1 << n * labels) - 1
+    every = sum(1 << n * k for k in range(labels))
+
+    def strongest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, rank = None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            both = b if last is None else pa.Table.from_batches([last, b]).combine_chunks().to_batches()[0]
+            new = changes(both, [*keys, "_side"])
+            if last is None:
+                new[0] = True
+            place = np.arange(len(new))
+            heads = np.flatnonzero(new)
+            base = np.full(len(new), -rank)                          # the row of before has the rank it had
+            for h, e in zip(heads, np.append(heads[1:], len(new))):
+                base[h:e] = h - 1
+            ranks = place - base
+            last, rank = both.slice(len(new) - 1), int(ranks[-1])
+            ranks = ranks[len(new) - b.num_rows:]
+            some = (np.asarray(b.column("_side")) == 0) | (ranks <= max_dets)
+            yield b.append_column("rank", pa.array(ranks.astype(np.int32))).filter(pa.array(some))
+
+    def pairs(box: np.ndarray, crowd: np.ndarray, group: np.ndarray, det: np.ndarray, truth: np.ndarray):
+        """Rows of detections and truths of an image that reach the lowest threshold, with the overlap."""
+        first, after = np.searchsorted(group[truth], group[det]), np.searchsorted(group[truth], group[det], "right")
+        count = after - first
+        for begin, end in _pieces(count, CELLS):
+            i, k = _spread(count[begin:end])
+            i += begin
+            a, b = det[i], truth[first[i] + k]
+            near = (box[a, 0] < box[b, 2]) & (box[a, 2] > box[b, 0]) & (box[a, 1] < box[b, 3]) & (box[a, 3] > box[b, 1])
+            a, b = a[near], b[near]
+            x, y = box[a], box[b]
+            inter = np.maximum(np.minimum(x[:, 2], y[:, 2]) - np.maximum(x[:, 0], y[:, 0]), 0) * np.maximum(
+                np.minimum(x[:, 3], y[:, 3]) - np.maximum(x[:, 1], y[:, 1]), 0)
+            size_a, size_b = ((v[:, 2] - v[:, 0]) * (v[:, 3] - v[:, 1]) for v in (x, y))
+            under = np.where(crowd[b], size_a, size_a + size_b - inter)
+            value = np.divide(inter, under, out=np.zeros(len(inter)), where=under != 0)
+            reach = value >= steps.min()
+            yield a[reach], b[reach], value[reach]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, group in whole_groups(strongest(batches), keys, 1 << 14):
+            side = np.asarray(b.column("_side"))
+            det, truth = np.flatnonzero(side == 1), np.flatnonzero(side == 0)
+            if not len(det):
+                continue
+            named = np.ones(b.num_rows, bool)
+            for k in keys:
+                named &= np.asarray(b.column(k).is_valid())
+            box = np.stack([np.asarray(b.column(c).fill_null(np.nan)) for c in B.BOX], 1)
+            crowd, ident = np.asarray(b.column("iscrowd").fill_null(False)), np.asarray(b.column("id").fill_null(0))
+            area = np.asarray(b.column("area").fill_null(np.nan))
+            inside = (area[:, None] >= low) & (area[:, None] <= high) & ~crowd[:, None]
+            found = [np.concatenate(c) for c in zip(*pairs(box, crowd, group, det[named[det]], truth[named[truth]]))]
+            a, t, value = found or (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+            # A detection loses no more than `max_dets` truths to others, so it needs no more of each kind.
+            kind = crowd.astype(np.int64) + 2 * (((area[:, None] >= low) & (area[:, None] <= high)) @ (1 << np.arange(labels)))
+            order = np.lexsort((-ident[t], -value, kind[t], a))
+            a, t, value = a[order], t[order], value[order]
+            heads = np.flatnonzero((np.diff(a, prepend=-1) != 0) | (np.diff(kind[t], prepend=-1) != 0))
+            near = np.arange(len(a)) - np.repeat(heads, np.diff(np.append(heads, len(a)))) < max_dets
+            a, t, value = a[near], t[near], value[near]
+            order = np.lexsort((-ident[t], -value, a))               # among equal IoU the later truth wins
+            a, t, value = a[order], t[order], value[order]
+            reach = ((value[:, None] >= steps) @ (1 << np.arange(n))).tolist()
+            counts = [sum(one << n * k for k, v in enumerate(row) if v) for row in inside[truth].tolist()]
+            counts = dict(zip(truth.tolist(), counts))
+            taken: dict[int, int] = {}
+            tp, hit = [0] * b.num_rows, [0] * b.num_rows
+            ends = np.append(np.flatnonzero(np.diff(a)) + 1, len(a)).tolist() if len(a) else []
+            rows, begin, crowds = t.tolist(), 0, crowd.tolist()
+            for end, d in zip(ends, a[np.array(ends, np.int64) - 1].tolist()):
+                todo = full
+                for tier in (False, True):
+                    for i in range(begin, end):
+                        g = rows[i]
+                        got = todo & (reach[i] * every) & (counts[g] ^ full if tier else counts[g]) & ~taken.get(g, 0)
+                        if got:
+                            todo ^= got
+                            if not crowds[g]:
+                                taken[g] = taken.get(g, 0) | got
+                            hit[d] |= got
+                            if not tier:
+                                tp[d] |= got
+                begin = end
+            at = pa.array(det)
+            masks = [pa.FixedSizeListArray.from_arrays(pa.array([(m[d] >> n * k) & one for d in det.tolist() for k in range(labels)], pa.int64()),
+                                                       labels).cast(pa.list_(pa.int64())) for m in (tp, hit)]
+            size = pa.array(((box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1]))[det])
+            yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in (*keys, "id", "score", "rank")], size, *masks],
+                                             names=[*keys, "det_id", "score", "rank", "size", "tp", "hit"])
+
+    return run
+
+
+def _match_boxes(detections: DataFrame, truths: DataFrame, keys: Sequence[str], ranges: dict[str, tuple[float, float]],
+                 thresholds: Sequence[float], max_dets: int) -> DataFrame:
+    """`coco_match` by boxes: detections and truths of an image meet in one sort."""
+    full = (1 << len(thresholds)) - 1
+    box = [F.col(c).cast("double").alias(c) for c in B.BOX]
+    mine = detections.select(*keys, F.lit(1).alias("_side"), F.col("det_id").alias("id"), ranked_score(F.col("score")).alias("score"), *box)
+    real = truths.select(*keys, F.lit(0).alias("_side"), F.col("gt_id").alias("id"), *box, F.col("area").cast("double").alias("area"), F.col("iscrowd").cast("boolean").alias("iscrowd"))
+    both = mine.unionByName(real, allowMissingColumns=True).repartition(*keys).sortWithinPartitions(*keys, "_side", F.desc("score"), "id")
+    masks = T.ArrayType(T.LongType())
+    kind = T.StructType([*[both.schema[k] for k in keys], T.StructField("det_id", both.schema["id"].dataType), T.StructField("score", T.DoubleType()),
+                         T.StructField("rank", T.IntegerType()), T.StructField("size", T.DoubleType()), T.StructField("tp", masks), T.StructField("hit", masks)])
+    settled = both.mapInArrow(_settle_images(keys, ranges, thresholds, max_dets), kind)
+    each = F.array(*[F.struct(
+        F.lit(name).alias("area_label"), F.col("tp")[i].alias("tp_mask"),
+        F.when((F.col("size") >= float(lo)) & (F.col("size") <= float(hi)), F.lit(full).bitwiseXOR(F.col("hit")[i])).otherwise(0)
+        .cast("long").alias("fp_mask")) for i, (name, (lo, hi)) in enumerate(ranges.items())])
+    return settled.withColumn("_o", F.explode(each)).select(*keys, "det_id", "score", "rank", "_o.area_label", "_o.tp_mask", "_o.fp_mask")
+
+
 def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple[float, float]],
                thresholds: Sequence[float] = IOU_THRESHOLDS, max_dets: int = 100,
                group: Sequence[str] = (), runs: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
@@ -152,14 +274,12 @@ def coco_match(detections: DataFrame, truths: DataFrame, ranges: dict[str, tuple
     """
     group = list(group)
     keys = [*group, "image_id", "category_id"]
-    shape = [] if runs else B.BOX
-    dets = cut(top_dets(detections.select(
-        *keys, "det_id", ranked_score(F.col("score")).alias("score"), *shape), max_dets, keys), "dets")
+    if not runs:
+        return _match_boxes(detections, truths, keys, ranges, thresholds, max_dets)
+    dets = cut(top_dets(detections.select(*keys, "det_id", ranked_score(F.col("score")).alias("score")), max_dets, keys), "dets")
     masks = _match_masks(dets, truths, keys, ranges, thresholds, max_dets, runs)
-    size = B.area(B.box())
-    if runs:
-        dets = dets.join(mask_area(runs[0], [*keys, "det_id"]).hint("merge"), [*keys, "det_id"], "left")
-        size = F.coalesce(F.col("area"), F.lit(0))
+    dets = dets.join(mask_area(runs[0], [*keys, "det_id"]).hint("merge"), [*keys, "det_id"], "left")
+    size = F.coalesce(F.col("area"), F.lit(0))
     every = dets.withColumn("_r", F.explode(_range_table(ranges))).select(
         *keys, "det_id", "score", "rank", F.col("_r.label").alias("area_label"),
         ((size >= F.col("_r.lo")) & (size <= F.col("_r.hi")))

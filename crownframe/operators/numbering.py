@@ -49,8 +49,8 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    sums: dict[str, Column]) -> DataFrame:
     """Inclusive running sum of each expression in `sums` within `keys` in `order`."""
     keys, names = list(keys), list(sums)
-    valued = df.withColumns({f"_v_{n}": e for n, e in sums.items()})
-    stamped = range_stamped(valued, keys, order)
+    # What is added up is worked out after the rows are written, not sorted and written with them.
+    stamped = range_stamped(df, keys, order).withColumns({f"_v_{n}": e for n, e in sums.items()})
     inside = Window.partitionBy(*keys, "_blk").orderBy("_pos").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     local = stamped.withColumns({f"_l_{n}": F.sum(f"_v_{n}").over(inside) for n in names})
