@@ -1,11 +1,18 @@
-"""Geographic <-> UTM coordinates as Column expressions (Krueger series to third order, WGS 84)."""
+"""Geographic <-> UTM coordinates (Krueger series to third order, WGS 84): of points as Column expressions, of rings as
+Arrow functions, since a nested expression would be worked out again for each term of the series."""
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_RINGS = T.ArrayType(T.ArrayType(T.DoubleType()))
 
 # WGS 84 ellipsoid, UTM scale and false easting/northing in metres.
 _A, _F = 6378137.0, 1 / 298.257223563
@@ -63,18 +70,74 @@ def from_utm(east: Column, north: Column, epsg: Column) -> tuple[Column, Column]
     return _central(epsg) + F.degrees(lam), F.degrees(phi)
 
 
-def _each_point(rings: Column, to) -> Column:
-    """The rings with every point replaced by `to(x, y)`."""
-    def moved(ring):
-        at = F.sequence(F.lit(0), F.size(ring) - 2, F.lit(2))
-        return F.flatten(F.transform(at, lambda i: F.array(*to(ring[i], ring[i + 1]))))
+def _series(eta: np.ndarray, xi: np.ndarray, terms, sign: int) -> tuple[np.ndarray, np.ndarray]:
+    x, y = eta.copy(), xi.copy()
+    for j, v in enumerate(terms, 1):
+        x += sign * v * np.cos(2 * j * xi) * np.sinh(2 * j * eta)
+        y += sign * v * np.sin(2 * j * xi) * np.cosh(2 * j * eta)
+    return x, y
+
+
+def _to_utm(lon: np.ndarray, lat: np.ndarray, epsg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    sin, lam = np.sin(np.radians(lat)), np.radians(lon - (epsg % 100 * 6 - 183))
+    c = 2 * math.sqrt(_N) / (1 + _N)
+    t = np.sinh(np.arctanh(sin) - c * np.arctanh(c * sin))
+    x, y = _series(np.arctanh(np.sin(lam) / np.sqrt(1 + t * t)), np.arctan2(t, np.cos(lam)), _ALPHA, 1)
+    return _E0 + _K0 * _RADIUS * x, np.where(epsg >= 32700, _N0_SOUTH, 0.0) + _K0 * _RADIUS * y
+
+
+def _from_utm(east: np.ndarray, north: np.ndarray, epsg: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    xi = (north - np.where(epsg >= 32700, _N0_SOUTH, 0.0)) / (_K0 * _RADIUS)
+    x, y = _series((east - _E0) / (_K0 * _RADIUS), xi, _BETA, -1)
+    chi = np.arcsin(np.sin(y) / np.cosh(x))
+    phi = chi + sum(d * np.sin(2 * j * chi) for j, d in enumerate(_DELTA, 1))
+    return epsg % 100 * 6 - 183 + np.degrees(np.arctan2(np.sinh(x), np.cos(y))), np.degrees(phi)
+
+
+def _each_point(rings: pa.Array, epsg: pa.Array, to) -> pa.Array:
+    """The rings with every point replaced by `to(x, y, epsg)`, all points of a batch at once.
+
+    A number without its partner at the end of a ring is dropped, a ring of one number stays; a point with a null is null.
+    """
+    lists = rings.flatten()
+    ring_row = np.asarray(pc.list_parent_indices(rings))
+    numbers = lists.flatten()
+    ring = np.asarray(pc.list_parent_indices(lists))
+    size = np.bincount(ring, minlength=len(lists))
+    place = np.arange(len(ring)) - (np.cumsum(size) - size)[ring]
+    stays = (size[ring] == 1) | (place < size[ring] // 2 * 2)
+    moved = size[ring[stays]] > 1
+    known = np.asarray(numbers.is_valid())[stays]
+    out = np.asarray(numbers.cast(pa.float64()).fill_null(np.nan))[stays].copy()
+    row = ring_row[ring[stays][moved][::2]]
+    zone, zoned = np.asarray(epsg.fill_null(32601)).astype(np.int64)[row], np.asarray(epsg.is_valid())[row]
+    with np.errstate(all="ignore"):
+        out[moved] = np.stack(to(*out[moved].reshape(-1, 2).T, zone), 1).ravel()
+    both = known[moved].reshape(-1, 2).all(1) & zoned
+    known[moved] = np.repeat(both, 2)
+    new = np.where(size == 1, 1, size // 2 * 2)
+    inner = pa.ListArray.from_arrays(_offsets(new, lists.is_valid()), pa.array(out, mask=~known))
+    return pa.ListArray.from_arrays(_offsets(np.asarray(rings.value_lengths().fill_null(0)), rings.is_valid()), inner)
+
+
+def _offsets(lengths: np.ndarray, valid: pa.Array) -> pa.Array:
+    ends = np.concatenate(([0], np.cumsum(lengths))).astype(np.int32)
+    return pa.array(ends, mask=np.append(~np.asarray(valid), False))
+
+
+@F.arrow_udf(_RINGS)
+def _rings_to_utm(rings: pa.Array, epsg: pa.Array) -> pa.Array:
+    return _each_point(rings, epsg, _to_utm)
+
 
-    return F.transform(rings, lambda r: F.when(F.size(r) >= 2, moved(r)).otherwise(r))
+@F.arrow_udf(_RINGS)
+def _rings_from_utm(rings: pa.Array, epsg: pa.Array) -> pa.Array:
+    return _each_point(rings, epsg, _from_utm)
 
 
 def rings_to_utm(rings: Column, epsg: Column) -> Column:
-    return _each_point(rings, lambda x, y: to_utm(x, y, epsg))
+    return _rings_to_utm(rings, epsg)
 
 
 def rings_from_utm(rings: Column, epsg: Column) -> Column:
-    return _each_point(rings, lambda x, y: from_utm(x, y, epsg))
+    return _rings_from_utm(rings, epsg)

@@ -13,11 +13,14 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from crownframe.functions import boxes as B
+from crownframe.functions import sweep
 from crownframe.functions.polygons import clipped_inter_area, iou_from
 from crownframe.functions.ranks import ranked_score, tie_of
 from crownframe.operators.box_pairs import iou, overlapping
@@ -30,6 +33,10 @@ from crownframe.session import cut, release
 TAIL_PAIRS, TAIL_AFTER = 200_000, 0
 #: Boxes of one key few enough to be matched in a task, without a table of pairs; overlaps held there at a time; bits of a long.
 WHOLE_KEY, HELD, BITS = 20_000, 1 << 21, 62
+#: How far a bound on a polygons' IoU may be off: areas are sums of rounded parts.
+ROUNDING = 1e-6
+#: Numbers of a polygon that count as one box, and boxes' worth of polygons swept together.
+POINTS, SWEPT = 64, 1 << 15
 
 
 def _finish(keys: Sequence[str]):
@@ -165,58 +172,116 @@ def match_bits(pairs: DataFrame, keys: Sequence[str], n: int, plain: int | None
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _match_boxes(keys: Sequence[str], steps: Sequence[float]):
-    """The sequential rule over the boxes of one key, strongest first, as many at a time as bound the pairs held."""
-    levels = np.array(steps, dtype=float)
+def _matched(p: pd.DataFrame, t: pd.DataFrame, keys: Sequence[str], levels: np.ndarray, measure) -> pd.DataFrame:
+    """The sequential rule over the boxes of one key, strongest first, as many at a time as bound the pairs held.
+
+    `measure(p, t, i, j)` is the IoU of rows `i` of p and `j` of t, whose boxes overlap.
+    """
+    p = p.sort_values(["score", "pred_rank", "id"], ascending=[False, True, True], kind="stable", ignore_index=True)
+    t = t.sort_values("id", kind="stable", ignore_index=True)
+    a, b = (df[list(B.BOX)].to_numpy(dtype=float) for df in (p, t))
+    pred, truth = p["id"].to_numpy(), t["id"].to_numpy()
+    names = {v: k for k, v in enumerate(pd.unique(pd.concat([p["label"], t["label"]]).dropna()))}
+    label_a, label_b = (df["label"].map(names).fillna(miss).to_numpy(dtype=np.int64) for df, miss in ((p, -1), (t, -2)))
+    todo, used, found = {}, {}, []
+    step = max(HELD // max(len(b), 1), 1)
+    for start in range(0, len(a), step):
+        parts = []
+        for i, j in overlapping(a[start:start + step], b):
+            i = start + i
+            value = measure(p, t, i, j)
+            near = value >= levels[0]
+            parts.append((i[near], j[near], value[near]))
+        if not parts:
+            continue
+        i, j, value = (np.concatenate(c) for c in zip(*parts))
+        order = np.lexsort((j, -value, i))
+        i, j, value = i[order], j[order], value[order]
+        bits = (np.int64(1) << np.searchsorted(levels, value, "right")) - 1
+        bits |= np.where(label_a[i] == label_b[j], bits << len(levels), 0)
+        rows, won = _won(pred[i].tolist(), truth[j].tolist(), bits.tolist(), todo, used)
+        found.append(pd.DataFrame({**{k: p[k].to_numpy()[i[rows]] for k in keys}, "pred": pred[i[rows]], "truth": truth[j[rows]],
+                                   "iou": value[rows], "label": p["label"].to_numpy()[i[rows]], "bits": np.array(won, dtype=np.int64)}))
+    empty = pd.DataFrame({c: [] for c in (*keys, "pred", "truth", "iou", "label", "bits")})
+    return pd.concat(found, ignore_index=True) if found else empty
+
 
+def _match_boxes(keys: Sequence[str], steps: Sequence[float]):
     def settle(p: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values(["score", "pred_rank", "id"], ascending=[False, True, True], kind="stable", ignore_index=True)
-        t = t.sort_values("id", kind="stable", ignore_index=True)
-        a, b = (df[list(B.BOX)].to_numpy(dtype=float) for df in (p, t))
-        pred, truth = p["id"].to_numpy(), t["id"].to_numpy()
-        names = {v: k for k, v in enumerate(pd.unique(pd.concat([p["label"], t["label"]]).dropna()))}
-        label_a, label_b = (df["label"].map(names).fillna(miss).to_numpy(dtype=np.int64) for df, miss in ((p, -1), (t, -2)))
-        todo, used, found = {}, {}, []
-        step = max(HELD // max(len(b), 1), 1)
-        for start in range(0, len(a), step):
-            parts = []
-            for i, j in overlapping(a[start:start + step], b):
-                value = iou(a[start + i], b[j])
-                near = value >= levels[0]
-                parts.append((start + i[near], j[near], value[near]))
-            if not parts:
-                continue
-            i, j, value = (np.concatenate(c) for c in zip(*parts))
-            order = np.lexsort((j, -value, i))
-            i, j, value = i[order], j[order], value[order]
-            bits = (np.int64(1) << np.searchsorted(levels, value, "right")) - 1
-            bits |= np.where(label_a[i] == label_b[j], bits << len(levels), 0)
-            rows, won = _won(pred[i].tolist(), truth[j].tolist(), bits.tolist(), todo, used)
-            found.append(pd.DataFrame({**{k: p[k].to_numpy()[i[rows]] for k in keys}, "pred": pred[i[rows]], "truth": truth[j[rows]],
-                                       "iou": value[rows], "label": p["label"].to_numpy()[i[rows]], "bits": np.array(won, dtype=np.int64)}))
-        empty = pd.DataFrame({c: [] for c in (*keys, "pred", "truth", "iou", "label", "bits")})
-        return pd.concat(found, ignore_index=True) if found else empty
+        return _matched(p, t, keys, np.array(steps, dtype=float),
+                        lambda p, t, i, j: iou(p[list(B.BOX)].to_numpy(dtype=float)[i], t[list(B.BOX)].to_numpy(dtype=float)[j]))
+
+    return settle
+
+
+def _match_shapes(keys: Sequence[str], steps: Sequence[float], kind: pa.Schema):
+    """`_match_boxes` by polygons (`shape`, `clip`, `size`): boxes find the pairs, and those that can't reach the least step
+    end before they are swept."""
+    def settle(left: pa.Table, right: pa.Table) -> pa.Table:
+        sides = [left, right]
+        shapes = [[x.column(c).combine_chunks() for c in ("shape", "clip")] for x in sides]
+        weights = [np.asarray(x.column("weight")) for x in sides]
+        p, t = (x.drop_columns(["shape", "clip"]).to_pandas().assign(at=np.arange(x.num_rows)) for x in sides)
+
+        def measure(p, t, i, j):
+            size = [df["size"].to_numpy(dtype=float)[k] for df, k in ((p, i), (t, j))]
+            a, b = (df[list(B.BOX)].to_numpy(dtype=float)[k] for df, k in ((p, i), (t, j)))
+            both = np.maximum(np.minimum(a[:, 2:], b[:, 2:]) - np.maximum(a[:, :2], b[:, :2]), 0).prod(1)
+            near = np.flatnonzero(_ratio(np.minimum(both, np.minimum(*size)), *size) >= steps[0] * (1 - ROUNDING) - ROUNDING)
+            at = [df["at"].to_numpy()[k[near]] for df, k in ((p, i), (t, j))]
+            value = np.full(len(i), -1.0)
+            held = np.cumsum(weights[0][at[0]] + weights[1][at[1]])
+            start = 0
+            while start < len(near):
+                stop = max(start + 1, int(np.searchsorted(held, (held[start - 1] if start else 0) + SWEPT, "right")))
+                k, l = (pa.array(x[start:stop]) for x in at)
+                inter = sweep.shared_areas(stop - start, [shapes[0][0].take(k), shapes[1][0].take(l), shapes[0][1].take(k),
+                                                          shapes[1][1].take(l)], optional=(2, 3))
+                some = near[start:stop]
+                value[some] = _ratio(inter, size[0][some], size[1][some])
+                start = stop
+            return value
+
+        found = _matched(p, t, keys, np.array(steps, dtype=float), measure)
+        return pa.Table.from_pandas(found, schema=kind, preserve_index=False)
 
     return settle
 
 
+def _ratio(inter: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """`iou_from` on arrays."""
+    union = a + b - inter
+    return np.where(union > 0, inter / np.where(union > 0, union, 1), 0.0)
+
+
 def _whole_keys(predictions: DataFrame, truths: DataFrame, keys: Sequence[str], score_col: str, steps: Sequence[float],
-                size_col: str | None, pred_id: str, truth_id: str, most: int) -> tuple[DataFrame | None, DataFrame | None]:
-    """Matches `(keys, pred, truth, iou, label, bits)` of the keys with at most `most` boxes, and the larger keys."""
+                size_col: str | None, pred_id: str, truth_id: str, most: int,
+                shape_cols: Sequence[str] = ()) -> tuple[DataFrame | None, DataFrame | None]:
+    """Matches `(keys, pred, truth, iou, label, bits)` of the keys with at most `most` boxes, and the larger keys.
+
+    A polygon counts as a box for every `POINTS` numbers it and its clip ring have.
+    """
     label = F.col(size_col) if size_col else F.lit(None)
+    numbers = lambda c: F.coalesce(F.aggregate(c, F.lit(0), lambda n, r: n + F.size(r)), F.lit(0))
+    shaped = [F.col(c).alias(n) for c, n in zip(shape_cols, ("shape", "clip", "size"))]
+    if shape_cols:
+        shaped.append(F.ceil((numbers(shape_cols[0]) + numbers(shape_cols[1]) + 1) / POINTS).alias("weight"))
     p = cut(predictions.select(*keys, F.col(pred_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
                                ranked_score(F.col(score_col)).alias("score"), tie_of(F.col(pred_id)).alias("pred_rank"),
-                               label.cast("string").alias("label")), "predictions")
+                               label.cast("string").alias("label"), *shaped), "predictions")
     t = cut(truths.select(*keys, F.col(truth_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
-                          label.cast("string").alias("label")), "truths")
-    few, many = by_size([p, t], keys, most)
+                          label.cast("string").alias("label"), *shaped), "truths")
+    few, many = by_size([p, t], keys, most, F.col("weight") if shape_cols else None)
     if few is None:
         return None, many
     schema = T.StructType([*[p.schema[k] for k in keys], T.StructField("pred", p.schema["id"].dataType),
                            T.StructField("truth", t.schema["id"].dataType), T.StructField("iou", T.DoubleType()),
                            T.StructField("label", T.StringType()), T.StructField("bits", T.LongType())])
     sides = [of_keys(df, keys, few, many).groupBy(*keys) for df in (p, t)]
-    return sides[0].cogroup(sides[1]).applyInPandas(_match_boxes(keys, steps), schema), many
+    both = sides[0].cogroup(sides[1])
+    if shape_cols:
+        return both.applyInArrow(_match_shapes(keys, steps, to_arrow_schema(schema)), schema), many
+    return both.applyInPandas(_match_boxes(keys, steps), schema), many
 
 
 def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
@@ -236,7 +301,12 @@ def candidate_pairs(predictions: DataFrame, truths: DataFrame, score_col: str,
     p = predictions.select(*keys, *pred_keys, F.col(pred_id).alias("id"), *B.BOX,
                            ranked_score(F.col(score_col)).alias("score"), *pred_extra)
     t = truths.select(*keys, F.col(truth_id).alias("id"), *B.BOX, *truth_extra)
-    pairs = bbox_join(p, t, keys)
+    near = None
+    if shape_cols and least_iou > 0:
+        # What two shapes share lies in both boxes, so pairs that can't reach the least IoU end before any polygon is swept.
+        most = F.least(B.inter_area(B.box("a_"), B.box("b_")), f"a_{shape_cols[2]}", f"b_{shape_cols[2]}")
+        near = iou_from(most, F.col(f"a_{shape_cols[2]}"), F.col(f"b_{shape_cols[2]}")) >= least_iou * (1 - ROUNDING) - ROUNDING
+    pairs = bbox_join(p, t, keys, extra=near)
     if shape_cols:
         shape, clip, size = shape_cols
         inter = clipped_inter_area(f"a_{shape}", f"b_{shape}", f"a_{clip}", f"b_{clip}")
@@ -292,8 +362,9 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
     key = [*keys, *pred_keys]
     columns = [*key, "bit", "label", "pred", "truth", "iou"]
     found, many = [], None
-    if keys and steps[0] > 0 and tail_pairs > 0 and not (runs or shape_cols or pred_keys):
-        done, many = _whole_keys(predictions, truths, keys, score_col, steps, size_col, pred_id, truth_id, min(WHOLE_KEY, tail_pairs))
+    if keys and steps[0] > 0 and tail_pairs > 0 and not (runs or pred_keys):
+        done, many = _whole_keys(predictions, truths, keys, score_col, steps, size_col, pred_id, truth_id, min(WHOLE_KEY, tail_pairs),
+                                 shape_cols)
         if done is not None:
             found.append(_each_bit(done, 2 * n, n).select(*columns))
         if many is not None:

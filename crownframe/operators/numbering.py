@@ -73,12 +73,15 @@ def assign_object_id(df: DataFrame, order: Sequence[Column], name: str = "object
 def reassign_duplicates(df: DataFrame, order: Sequence[Column], name: str = "object_id") -> DataFrame:
     """The first row of an id keeps it; every further one gets max+1, max+2, ..."""
     nth = row_index(df, [name], order, "_nth")
+    return renumbered(nth, F.col("_nth") > 0, order, name).drop("_nth")
+
+
+def renumbered(df: DataFrame, repeated: Column, order: Sequence[Column], name: str) -> DataFrame:
+    """`df`, which is read several times, with new ids from max+1 in `order` for the `repeated` rows."""
     top = df.agg(F.max(name)).first()[0]
-    firsts = nth.filter("_nth = 0").drop("_nth")
-    repeats = nth.filter("_nth > 0").drop("_nth")
-    fresh = row_index(repeats, [], order, "_new", start=(top or 0) + 1)
+    fresh = row_index(df.filter(repeated), [], order, "_new", start=(top or 0) + 1)
     fresh = fresh.withColumn(name, F.col("_new").cast(df.schema[name].dataType)).drop("_new")
-    return firsts.unionByName(fresh.select(*df.columns))
+    return df.filter(~repeated).unionByName(fresh.select(*df.columns))
 
 
 def in_batches(df: DataFrame, keys: Sequence[str], order: Sequence[Column], size: int,
@@ -96,16 +99,17 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k
     return top.withColumnRenamed("_rank", rank) if rank else top.drop("_rank")
 
 
-def by_size(tables: Sequence[DataFrame], keys: Sequence[str], most: int) -> tuple[DataFrame | None, DataFrame | None]:
+def by_size(tables: Sequence[DataFrame], keys: Sequence[str], most: int,
+            weight: Column | None = None) -> tuple[DataFrame | None, DataFrame | None]:
     """Keys with at most `most` rows in all tables together, and those with more; None where there are no such keys.
 
-    Rows with a null key are in neither.
+    A row counts as one, or as its `weight`. Rows with a null key are in neither.
     """
-    keys = list(keys)
-    rows = tables[0].select(*keys)
+    keys, weight = list(keys), F.lit(1) if weight is None else weight
+    rows = tables[0].select(*keys, weight.alias("_w"))
     for more in tables[1:]:
-        rows = rows.unionByName(more.select(*keys))
-    counts = cut(rows.dropna(subset=keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")), "sizes")
+        rows = rows.unionByName(more.select(*keys, weight.alias("_w")))
+    counts = cut(rows.dropna(subset=keys).groupBy(*keys).agg(F.sum("_w").alias("_n")), "sizes")
     few, many = counts.agg(F.count_if(F.col("_n") <= most), F.count_if(F.col("_n") > most)).first()
     return (counts.filter(F.col("_n") <= most).select(*keys) if few else None,
             counts.filter(F.col("_n") > most).select(*keys) if many else None)

@@ -6,7 +6,8 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
-from crownframe.functions import polygons, sweep
+from crownframe.functions import geodesy, polygons, sweep
+from crownframe.functions import rings as R
 from crownframe.operators import dissolve, matching, scoring, suppression
 from crownframe.operators.box_pairs import overlapping
 from crownframe.sources import geotables
@@ -40,6 +41,44 @@ def test_matching_of_small_keys_makes_no_pairs(spark, monkeypatch):
     assert run() == rounds
 
 
+def test_polygons_of_small_keys_make_no_pairs(spark, monkeypatch):
+    def shapes(n, seed, name):
+        rng = np.random.default_rng(seed)
+        rows = [(int(i % 3), i, [(c + rng.normal(0, 1, 10)).round(2).tolist()], clip, float(rng.random()), "ab"[i % 2]) for i in range(n)
+                for c in [np.tile(rng.integers(0, 8, 2), 5)] for clip in [None if i % 4 else [[0.0, 0.0, 5.0, 0.0, 5.0, 5.0, 0.0, 5.0]]]]
+        df = spark.createDataFrame(rows, f"product_id int, {name} long, rings array<array<double>>, clip array<array<double>>, score double, size_label string")
+        whole = F.array(F.array(*[F.lit(v) for v in (-99.0, -99.0, 99.0, -99.0, 99.0, 99.0, -99.0, 99.0)]))
+        return df.withColumns(R.envelope(F.col("rings"))).withColumn("_own_area", polygons.polygon_inter_area("rings", F.coalesce("clip", whole)))
+
+    p, t = shapes(150, 1, "object_id"), shapes(60, 2, "truth_id")
+
+    def run(**options):
+        found = matching.greedy_match(p, t, [0.1, 0.3], "score", size_col="size_label", shape_cols=("rings", "clip", "_own_area"), **options)
+        return sorted((r[0], r[1], r[2], r[3], r[4], round(r[5], 9)) for r in found.select(
+            "product_id", "iou_threshold", "size_label", "object_id", "truth_id", "iou").collect())
+
+    rounds = run(tail_pairs=0)
+    assert rounds and {r[2] for r in rounds} == {"all", "a", "b"}
+    monkeypatch.setattr(matching, "candidate_pairs", forbidden)
+    monkeypatch.setattr(matching, "SWEPT", 7)
+    assert run() == rounds
+
+
+def test_points_of_a_batch_move_together(spark):
+    """Rings with a null point, an odd number, a single one or none, by arrays and by the expressions of a point."""
+    rows = [(1, [[3.0, 48.0, 3.1, 48.1, 3.2]], 32631), (2, [[3.0], [], [3.0, None, 3.5, 48.5]], 32631), (3, None, 32631),
+            (4, [[-60.0, -3.0]], 32720), (5, [[-60.0, -3.0], None], None), (6, [], 32631)]
+    df = spark.createDataFrame(rows, "id int, rings array<array<double>>, epsg int").coalesce(1)
+    got = {r.id: r.rings for r in df.select("id", geodesy.rings_to_utm(F.col("rings"), F.col("epsg")).alias("rings")).collect()}
+    east, north = df.filter("id = 4").select(*geodesy.to_utm(F.lit(-60.0), F.lit(-3.0), F.col("epsg"))).first()
+    assert np.allclose(got[4], [[east, north]], atol=1e-6) and len(got[1][0]) == 4
+    assert got[2][:2] == [[3.0], []] and got[2][2][:2] == [None, None] and got[2][2][2] is not None
+    assert got[3] is None and got[5] == [[None, None], None] and got[6] == []
+    back = df.filter("id = 1").select(geodesy.rings_from_utm(geodesy.rings_to_utm(F.col("rings"), F.col("epsg")), F.col("epsg"))).first()[0]
+    assert np.allclose(back, [[3.0, 48.0, 3.1, 48.1]], atol=1e-8)
+    assert "sinh" not in df.select(geodesy.rings_to_utm(F.col("rings"), F.col("epsg")))._jdf.queryExecution().toString().lower()
+
+
 def test_overlapping_boxes_of_odd_widths():
     rng = np.random.default_rng(3)
     low = rng.integers(0, 20, (80, 2))
