@@ -7,9 +7,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from crownframe.functions.boxes import BOX
-from crownframe.operators.numbering import reassign_duplicates, row_index
+from crownframe.operators.numbering import renumbered, row_index
+from crownframe.session import cut
 
 GEOMETRY = (*BOX, "rings")
 OBJECT_ID, TILE_PATH = "object_id", "tile_path"
@@ -43,13 +45,15 @@ def geometry_merge(result: DataFrame, existing: DataFrame, key: str = OBJECT_ID,
     """
     lacking = [c for c in existing.columns if c not in result.columns and c not in GEOMETRY]
     merged = result.join(existing.select(key, *lacking), key, "left")
-    repeats = merged.groupBy(key).count().filter("count > 1").limit(1).count()
-    if not repeats:
-        return merged
+    order = list(order) or _full_order(merged)
+    # The join has brought the rows of an id together; they are numbered there, and all is worked out and written once.
+    nth = cut(merged.withColumn("_nth", F.row_number().over(Window.partitionBy(key).orderBy(*order))), "merged")
+    if nth.filter("_nth > 1").isEmpty():
+        return nth.drop("_nth")
     if key != OBJECT_ID:
         raise MergeError(f"repeated {key} after the merge, it must be unique")
     warnings.warn("repeated object ids after the merge get new ids", stacklevel=2)
-    return reassign_duplicates(merged, list(order) or _full_order(merged), key)
+    return renumbered(nth, F.col("_nth") > 1, order, key).drop("_nth")
 
 
 def _full_order(df: DataFrame) -> list[Column]:

@@ -89,6 +89,22 @@ def test_repeated_tile_path_is_an_error(spark):
         merging.geometry_merge(b, a, "tile_path")
 
 
+def test_a_merge_works_its_result_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    result = spark.range(40).select((F.col("id") % 10).alias("object_id"), "id", counted(F.col("id").cast("double")).alias("x0"))
+    a = spark.createDataFrame([(1, 0.5), (3, 0.7)], "object_id bigint, detector_score double")
+    got = merging.geometry_merge(result, a, order=[F.col("id").desc()])
+    assert {r.id: (r.object_id, r.detector_score) for r in got.collect()} == {
+        i: (i % 10 if i >= 30 else 39 - i, {1: 0.5, 3: 0.7}.get(i % 10)) for i in range(40)}
+    assert seen.value == 40
+
+
 # --- metric tables -------------------------------------------------------------------------------
 
 RUN = "location string, product_name string, f1 double, f1_per_iou array<double>, num_truths int, tp int"
