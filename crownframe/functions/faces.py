@@ -133,7 +133,7 @@ def roots(n: int, pairs: np.ndarray) -> np.ndarray:
 
 class Faces(NamedTuple):
     """`edges` (cell, label, name and x0, y0, x1, y1 in the order of the border), sides on cell borders (cell, label, name,
-    axis, line, p0, p1, side), areas (cell, label, name and area of a span) and pairs of names that are one face."""
+    axis, line, p0, p1, side), areas (cell, label, name and area of a face there) and pairs of names that are one face."""
     edges: tuple
     borders: tuple
     areas: tuple
@@ -171,11 +171,22 @@ def faces(s: sweep.Segments, layer: np.ndarray, cell: np.ndarray, merge: bool) -
     x0, x1 = (np.where(left.side == 0, a, b)[inner] for a, b in ((left.p0, left.p1), (left.p1, left.p0)))
     edges.append((c[inner], lab[inner], left.name[inner], np.stack([x0, line[inner], x1, line[inner]], 1)))
     area = (f.right - f.left).sum(1) * (f.high - f.low) / 2
-    edges = tuple(map(np.concatenate, zip(*edges)))
+    edges, borders = tuple(map(np.concatenate, zip(*edges))), tuple(map(np.concatenate, zip(*borders)))
+    name, links = f.name, np.empty((0, 2), np.int64)
     if merge:                                              # faces that are apart as far as the batch tells
-        edges = (edges[0], roots(int(s.shape.max(initial=0)) + 1, np.concatenate([pairs, met]))[edges[2]], *edges[2:])
-    return Faces(edges, tuple(map(np.concatenate, zip(*borders))),
-                 (f.cell, f.label, f.name, area), np.concatenate([pairs, met]) if merge else np.empty((0, 2), np.int64))
+        links = np.concatenate([pairs, met])
+        root = roots(int(s.shape.max(initial=0)) + 1, links)
+        name, edges, borders = root[name], (edges[0], root[edges[2]], root[edges[2]], *edges[3:]), (*borders[:2], root[borders[2]], *borders[3:])
+        some = np.unique(links)
+        links = np.stack([some, root[some]], 1)            # each shape with one of its face says as much as all pairs
+        links = links[links[:, 0] != links[:, 1]]
+    # One area per face and cell.
+    by = name if merge else f.label
+    order = np.lexsort((by, f.cell))
+    fresh = np.flatnonzero(np.append(True, (np.diff(f.cell[order]) != 0) | (np.diff(by[order]) != 0))[:m])
+    of = order[fresh]
+    total = np.add.reduceat(area[order], fresh) if m else area
+    return Faces(edges, borders, (f.cell[of], f.label[of], name[of], total), links)
 
 
 def directed(axis, line, p0, p1, side) -> list[tuple[tuple[float, float], tuple[float, float]]]:

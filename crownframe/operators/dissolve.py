@@ -15,15 +15,44 @@ from crownframe.operators.spatial_join import bbox_join
 from crownframe.session import cut
 
 
-def connected(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFrame:
+#: Links of one key that are followed in one task.
+FEW_LINKS = 200_000
+
+
+def _connect_key(keys: Sequence[str]):
+    """Component of each node in one key's links."""
+    def settle(frame: pd.DataFrame) -> pd.DataFrame:
+        n = len(frame)
+        at, ids = pd.factorize(pd.concat([frame["u"], frame["v"]]), sort=True)
+        low = _roots(len(ids), at[:n], at[n:])
+        return pd.DataFrame({**{k: [frame[k].iloc[0]] * len(ids) for k in keys}, "id": ids, "component": ids[low]})
+
+    return settle
+
+
+def connected(nodes: DataFrame, edges: DataFrame, keys: Sequence[str], few_links: int = FEW_LINKS) -> DataFrame:
     """Component of each node `(keys, id)`: the smallest id reachable over `edges (keys, u, v)`.
 
-    Large-star / small-star contraction: every step links nodes to the smallest neighbour they know,
-    which takes a logarithmic number of steps in practice and keeps the edge count from growing.
+    A key with at most `few_links` links is settled in one task. Larger ones go by large-star / small-star contraction: every
+    step links nodes to the smallest neighbour they know, which takes a logarithmic number of steps in practice and keeps
+    the edge count from growing.
     """
     keys = list(keys)
     links = cut(edges.filter("u <> v").select(
         *keys, F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
+    few, many = by_size([links], keys, few_links) if keys else (None, links)
+    parts = []
+    if few is not None:
+        kind = links.select(*keys, F.col("u").alias("id"), F.col("u").alias("component")).schema
+        parts.append(of_keys(links, keys, few, many).groupBy(*keys).applyInPandas(_connect_key(keys), kind))
+    if many is not None or few is None:
+        parts.append(_connected_rounds(links if many is None or not keys else of_keys(links, keys, many, few), keys))
+    roots = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return nodes.select(*keys, "id").join(roots, [*keys, "id"], "left").withColumn(
+        "component", F.coalesce("component", "id"))
+
+
+def _connected_rounds(links: DataFrame, keys: Sequence[str]) -> DataFrame:
     while True:
         both = links.unionByName(links.select(*keys, F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy(*keys, "u").agg(F.min("v").alias("m")).withColumn("m", F.least("m", "u"))
@@ -39,9 +68,7 @@ def connected(nodes: DataFrame, edges: DataFrame, keys: Sequence[str]) -> DataFr
         links = new
         if not moved and not grown:
             break
-    roots = links.groupBy(*keys, F.col("u").alias("id")).agg(F.min("v").alias("component"))
-    return nodes.select(*keys, "id").join(roots, [*keys, "id"], "left").withColumn(
-        "component", F.coalesce("component", "id"))
+    return links.groupBy(*keys, F.col("u").alias("id")).agg(F.min("v").alias("component"))
 
 
 BLOCK = 4096   # pixels; a line is worked on in blocks, so no group grows with the raster

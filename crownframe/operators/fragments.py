@@ -43,6 +43,10 @@ def edges_in(edges: pa.Array, x0: pa.Array, y0: pa.Array, x1: pa.Array, y1: pa.A
     return sweep.flat(len(edges), sweep.without_pairs(sweep.clamped(sweep.from_flat(edges), cell)))
 
 
+# A filter on what it gives must not work it out a second time, below the projection.
+edges_in = edges_in.asNondeterministic()
+
+
 def is_whole(b) -> Column:
     """Whether `edges` bound the whole cell: its left and right border and nothing else."""
     e = F.col("edges")

@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
-from crownframe.functions import geodesy, polygons, sweep
+from crownframe.functions import faces, geodesy, polygons, sweep
 from crownframe.functions import rings as R
 from crownframe.operators import dissolve, matching, scoring, suppression
 from crownframe.operators.box_pairs import overlapping
@@ -105,6 +105,28 @@ def test_dissolve_of_small_keys_takes_no_rounds(spark, monkeypatch):
     assert rounds and run() == rounds
 
 
+def test_links_of_small_keys_take_no_rounds(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    nodes = spark.createDataFrame([(k, i) for k in range(3) for i in range(70)], "k int, id long")
+    edges = spark.createDataFrame([(int(k), int(u), int(v)) for k, u, v in rng.integers(0, [3, 60, 60], (110, 3))], "k int, u long, v long")
+
+    def run(**options):
+        return sorted(map(tuple, dissolve.connected(nodes, edges, ["k"], **options).select("k", "id", "component").collect()))
+
+    rounds = run(few_links=0)
+    monkeypatch.setattr(dissolve, "_connected_rounds", forbidden)
+    assert len(rounds) == 210 and run() == rounds
+
+
+def test_a_face_of_a_cell_has_one_area():
+    box = pa.array([[[x, y, x + 3.0, y, x + 3.0, y + 3.5, x, y + 3.5]] for x, y in ((1.0, 1.0), (2.0, 2.0), (3.0, 4.0), (8.0, 1.0))],
+                   pa.list_(pa.list_(pa.float64())))
+    s = sweep.segments(box, 0)
+    found = faces.faces(sweep.Segments(np.zeros(len(s.row), np.int64), s.row, s.xy), np.zeros(4, int), np.array([[0.0, 0.0, 16.0, 16.0]]), True)
+    assert sorted(zip(found.areas[2].tolist(), found.areas[3].tolist())) == [(0, 23.5), (3, 10.5)]
+    assert sorted(map(tuple, found.pairs.tolist())) == [(1, 0), (2, 0)]
+
+
 def test_a_raster_is_written_to_one_file(spark, tmp_path):
     objects = spark.range(400, numPartitions=4).selectExpr("id as object_id", "cast(id % 3 as int) as product_id")
     path = geotables.write_objects(objects, str(tmp_path), "final", 32618)
