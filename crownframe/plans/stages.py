@@ -282,6 +282,7 @@ def aggregator_stage(score_threshold: float = 0.2, nms_threshold: float = 0.5,
             rows = filters.centroid_distance_weight(rows, least_centroid_weight, "aggregator_score")
         if edge_band:
             rows = filters.edge_band_filter(rows, edge_band)
+        rows = cut(rows, "fused")       # read for the masks, for the suppression and for what it keeps
         runs = explode_runs(rows, [*keys, "object_id"]) if "runs" in rows.columns else None
         if nms_algorithm == "iou":
             kept = nms(rows, nms_threshold, score_threshold, "aggregator_score", keys=keys, runs=runs)

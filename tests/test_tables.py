@@ -105,6 +105,21 @@ def test_a_merge_works_its_result_out_once(spark):
     assert seen.value == 40
 
 
+def test_an_aggregation_works_its_objects_out_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    objects = spark.range(30).select(F.lit(1).alias("product_id"), F.col("id").alias("object_id"), *[
+        (F.col("id") * 5 + d).cast("double").alias(c) for c, d in zip(("x0", "y0", "x1", "y1"), (0, 0, 4, 4))],
+        counted(F.col("id") / 30).alias("segmenter_score"))
+    out = stages.aggregator_stage(0.0, 0.5, {"segmenter_score": 1.0}).run(stages.State(objects=objects)).objects
+    assert out.count() == 30 and seen.value == 30
+
+
 # --- metric tables -------------------------------------------------------------------------------
 
 RUN = "location string, product_name string, f1 double, f1_per_iou array<double>, num_truths int, tp int"
