@@ -79,20 +79,20 @@ def tiles(spark: SparkSession, sf: str) -> DataFrame:
                        (x + TILE_SIZE).alias("px1"), (y + TILE_SIZE).alias("py1"))
 
 
-def runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Row runs of the truth boxes on the integer grid."""
+def runs(spark: SparkSession, sf: str, ids=("truth_id",)) -> DataFrame:
+    """Row runs of the truth boxes on the integer grid, with the columns `ids` of their truth."""
     t = truths(spark, sf)
     rows = F.sequence(F.floor("y0"), F.ceil("y1") - 1)
-    return t.select("truth_id", "product_id", F.explode(rows.cast("array<int>")).alias("y"),
+    return t.select(*ids, "product_id", F.explode(rows.cast("array<int>")).alias("y"),
                     F.floor("x0").cast("int").alias("c0"), F.ceil("x1").cast("int").alias("c1"))
 
 
-def detection_runs(spark: SparkSession, sf: str) -> DataFrame:
-    """Row runs of the detection boxes on the integer grid."""
+def detection_runs(spark: SparkSession, sf: str, ids=("object_id",)) -> DataFrame:
+    """Row runs of the detection boxes on the integer grid, with the columns `ids` of their detection."""
     d = detections(spark, sf)
     rows = F.sequence(F.floor("y0"), F.ceil("y1") - 1)
     return d.filter("x1 > x0 and y1 > y0").select(
-        "object_id", "product_id", F.explode(rows.cast("array<int>")).alias("y"),
+        *ids, "product_id", F.explode(rows.cast("array<int>")).alias("y"),
         F.floor("x0").cast("int").alias("c0"), F.ceil("x1").cast("int").alias("c1"))
 
 
