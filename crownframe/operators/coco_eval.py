@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from crownframe.functions import boxes as B
 from crownframe.functions.batches import changes, whole_groups
 from crownframe.functions.ranks import ranked_score
-from crownframe.operators.masks import CELLS, RUN, _decoded, _pieces, _spread, coded_runs, common_pixels
+from crownframe.operators.masks import CELLS, RUN, _pieces, _spread, coded_runs, mask_overlaps, runs_of_rows
 from crownframe.operators.numbering import top_per_group
 from crownframe.session import cut
 
@@ -72,25 +72,11 @@ def _overlaps_of_boxes(b: pa.RecordBatch, group: np.ndarray, det: np.ndarray, tr
 
 def _overlaps_of_masks(b: pa.RecordBatch, group: np.ndarray, det: np.ndarray, truth: np.ndarray):
     """`_overlaps_of_boxes` for rows whose runs stand in rows of their own."""
-    ident, side = np.asarray(b.column("id").fill_null(0)), np.asarray(b.column("_side"))
-    packed = np.flatnonzero(np.asarray(b.column("at").is_valid()))
-    own = np.concatenate([det, truth])
-    names, code = np.unique(ident, return_inverse=True)
-    place = (group.astype(np.int64) * 2 + side) * len(names) + code.ravel()
-    own = own[np.argsort(place[own], kind="stable")]
-    first = np.searchsorted(place[own], place[packed])
-    rows, k = _spread(np.searchsorted(place[own], place[packed], "right") - first)
-    at, (line, c0, wide) = _decoded(b.column("at").take(pa.array(packed[rows])), 3, "<i4")
-    piece = own[first[rows] + k][at]
-    order = np.argsort(piece, kind="stable")
-    piece, line, c0, wide = (v[order] for v in (piece, line, c0, wide))
-    area = np.bincount(piece, weights=wide, minlength=b.num_rows)
-    # Lines of all images one after the other on one axis.
-    low, high = int(c0.min(initial=0)), int((c0 + wide).max(initial=0))
-    _, at = np.unique(np.stack([group[piece], line]), axis=1, return_inverse=True)
-    start = at.ravel() * np.int64(high - low + 1) + c0 - low
-    is_det = side[piece] == 1
-    return common_pixels(piece, start, start + wide, np.flatnonzero(is_det), np.flatnonzero(~is_det), b.num_rows), area
+    side = np.asarray(b.column("_side"))
+    names, code = np.unique(np.asarray(b.column("id").fill_null(0)), return_inverse=True)
+    runs = runs_of_rows(b, np.concatenate([det, truth]), (group.astype(np.int64) * 2 + side) * len(names) + code.ravel())
+    area, shared = mask_overlaps(*runs, b.num_rows, group)
+    return shared(det, truth), area
 
 
 def _settle_images(keys: Sequence[str], ranges: dict[str, tuple[float, float]], thresholds: Sequence[float], max_dets: int,

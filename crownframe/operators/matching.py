@@ -118,7 +118,7 @@ def match_rounds(candidates: DataFrame, keys: Sequence[str],
     return union
 
 
-def _won(pred: list, truth: list, bits: list, todo: dict, used: dict) -> tuple[list[int], list[int]]:
+def first_come(pred: list, truth: list, bits: list, todo: dict, used: dict) -> tuple[list[int], list[int]]:
     """The sequential rule over pairs in their order, for every bit at once: positions that win, and the bits they win."""
     rows, won = [], []
     for i, (p, t, b) in enumerate(zip(pred, truth, bits)):
@@ -134,7 +134,7 @@ def _finish_bits(keys: Sequence[str]):
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["score", "pred_rank", "pred", "iou", "truth"],
                                   ascending=[False, True, True, False, True], kind="stable", ignore_index=True)
-        rows, won = _won(frame["pred"].tolist(), frame["truth"].tolist(), frame["bits"].tolist(), {}, {})
+        rows, won = first_come(frame["pred"].tolist(), frame["truth"].tolist(), frame["bits"].tolist(), {}, {})
         return frame.loc[rows, [*keys, "pred", "truth", "iou", "score", "label"]].assign(bits=np.array(won, dtype=np.int64))
 
     return settle
@@ -199,7 +199,7 @@ def _matched(p: pd.DataFrame, t: pd.DataFrame, keys: Sequence[str], levels: np.n
         i, j, value = i[order], j[order], value[order]
         bits = (np.int64(1) << np.searchsorted(levels, value, "right")) - 1
         bits |= np.where(label_a[i] == label_b[j], bits << len(levels), 0)
-        rows, won = _won(pred[i].tolist(), truth[j].tolist(), bits.tolist(), todo, used)
+        rows, won = first_come(pred[i].tolist(), truth[j].tolist(), bits.tolist(), todo, used)
         found.append(pd.DataFrame({**{k: p[k].to_numpy()[i[rows]] for k in keys}, "pred": pred[i[rows]], "truth": truth[j[rows]],
                                    "iou": value[rows], "label": p["label"].to_numpy()[i[rows]], "bits": np.array(won, dtype=np.int64)}))
     empty = pd.DataFrame({c: [] for c in (*keys, "pred", "truth", "iou", "label", "bits")})

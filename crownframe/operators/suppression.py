@@ -15,13 +15,14 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crownframe.functions import boxes as B
 from crownframe.functions.ranks import at_least, ranked_score, tie_of
 from crownframe.operators.box_pairs import iou, overlapping
-from crownframe.operators.masks import blocks_of, meeting, whole_masks
+from crownframe.operators.masks import FEW_RUNS, blocks_of, coded_runs, count_runs, mask_overlaps, meeting, runs_of_rows, whole_masks
 from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join, cell_crowds, place
 from crownframe.session import cut, release
@@ -205,40 +206,91 @@ def _remaining(live: DataFrame, edges: DataFrame, keys: Sequence[str], tail_edge
         *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask"))
 
 
-def _settle(keys: Sequence[str], thresholds: Sequence[float]):
-    """The sequential rule over the boxes of one key, a block of the strongest at a time; pairs are never held for more
-    than a block."""
-    steps = np.array(thresholds, dtype=float)
-    bits = np.array([sum(1 << i for i in range(len(steps)) if steps[i] < edge) for edge in [*np.sort(steps), np.inf]], dtype=np.int64)
-    ranks = np.sort(steps)
+def swept(alive: np.ndarray, thresholds: Sequence[float], pairs) -> np.ndarray:
+    """The sequential rule over what `alive` has a mask for, strongest first: the masks that are left. `pairs(a, b)` gives (i, j, IoU) of
+    the positions in a and b that overlap; a block of the strongest goes at a time, so pairs are never held for more than that."""
+    ranks = np.sort(np.array(thresholds, dtype=float))
+    bits = np.array([sum(1 << i for i, t in enumerate(thresholds) if t < edge) for edge in [*ranks, np.inf]], dtype=np.int64)
+    crossed = lambda value: bits[np.searchsorted(ranks, value, "left")]
+    alive = alive.copy()
+    for start in range(0, len(alive), BLOCK):
+        mine = start + np.flatnonzero(alive[start:start + BLOCK])
+        inside = [(i[i < j], j[i < j], value[i < j]) for i, j, value in pairs(mine, mine)]
+        hi, lo, value = (np.concatenate([p[k] for p in inside] or [np.zeros(0, np.int64)]) for k in range(3))
+        order = np.argsort(hi, kind="stable")
+        for strong, weak, falls in zip(hi[order].tolist(), lo[order].tolist(), crossed(value[order]).tolist()):
+            alive[weak] &= ~(falls & alive[strong])
+        mine = mine[alive[mine] != 0]
+        later = start + BLOCK + np.flatnonzero(alive[start + BLOCK:])
+        fallen = np.zeros(len(alive), np.int64)
+        for hi, lo, value in pairs(mine, later):
+            np.bitwise_or.at(fallen, lo, crossed(value) & alive[hi])
+        alive &= ~fallen
+    return alive
+
+
+def box_overlaps(box: np.ndarray):
+    """`pairs` of boxes for `swept`."""
+    def pairs(a: np.ndarray, b: np.ndarray):
+        for i, j in overlapping(box[a], box[b]):
+            yield a[i], b[j], iou(box[a[i]], box[b[j]])
+
+    return pairs
+
+
+def run_overlaps(b: pa.RecordBatch, own: np.ndarray, code: np.ndarray):
+    """`pairs` of masks, the positions in `own`; `code` as in `runs_of_rows`."""
+    at = np.zeros(b.num_rows, np.int64)
+    at[own] = np.arange(len(own))
+    row, line, c0, wide = runs_of_rows(b, own, code)
+    order = np.argsort(at[row], kind="stable")
+    area, shared = mask_overlaps(at[row][order], line[order], c0[order], wide[order], len(own))
+
+    def pairs(a: np.ndarray, b: np.ndarray):
+        for i, j, n in shared(a, b):
+            yield i, j, n / (area[i] + area[j] - n)
+
+    return pairs
 
-    def crossed(a, b):
-        return bits[np.searchsorted(ranks, iou(a, b), "left")]
 
+def _settle(keys: Sequence[str], thresholds: Sequence[float]):
+    """The sequential rule over the boxes of one key."""
     def settle(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["score", "tie", "id"], ascending=[False, True, True], kind="stable", ignore_index=True)
-        box, alive = frame[list(B.BOX)].to_numpy(dtype=float), frame["alive"].to_numpy(dtype=np.int64, copy=True)
-        for start in range(0, len(box), BLOCK):
-            mine = start + np.flatnonzero(alive[start:start + BLOCK])
-            inside = [(mine[i[i < j]], mine[j[i < j]]) for i, j in overlapping(box[mine], box[mine])]
-            hi, lo = (np.concatenate([p[k] for p in inside] or [np.zeros(0, np.int64)]) for k in (0, 1))
-            order = np.argsort(hi, kind="stable")
-            hi, lo = hi[order], lo[order]
-            for strong, weak, falls in zip(hi.tolist(), lo.tolist(), crossed(box[hi], box[lo]).tolist()):
-                alive[weak] &= ~(falls & alive[strong])
-            mine = mine[alive[mine] != 0]
-            later = start + BLOCK + np.flatnonzero(alive[start + BLOCK:])
-            fallen = np.zeros(len(box), np.int64)
-            for i, j in overlapping(box[mine], box[later]):
-                hi, lo = mine[i], later[j]
-                np.bitwise_or.at(fallen, lo, crossed(box[hi], box[lo]) & alive[hi])
-            alive &= ~fallen
+        alive = swept(frame["alive"].to_numpy(dtype=np.int64), thresholds, box_overlaps(frame[list(B.BOX)].to_numpy(dtype=float)))
         kept = np.flatnonzero(alive)
         return frame.loc[kept, [*keys, "id"]].assign(mask=alive[kept])
 
     return settle
 
 
+def id_codes(ids: pa.Array) -> np.ndarray:
+    """Whole numbers in the order of the ids, -1 for null."""
+    code = np.full(len(ids), -1, np.int64)
+    code[np.asarray(ids.is_valid())] = np.unique(ids.drop_null().to_numpy(zero_copy_only=False), return_inverse=True)[1].ravel()
+    return code
+
+
+def ranked_rows(b: pa.RecordBatch, rows: np.ndarray, code: np.ndarray) -> np.ndarray:
+    """`rows` of a batch, strongest first; `code` has the order of the ids."""
+    score, tie = (np.asarray(b.column(c).take(pa.array(rows))) for c in ("score", "tie"))
+    return rows[np.lexsort((code[rows], tie, -score))]
+
+
+def _settle_masks(keys: Sequence[str], thresholds: Sequence[float]):
+    """The sequential rule over the masks of one key: rows of objects, and rows with their runs (`at`)."""
+    def settle(table: pa.Table) -> pa.Table:
+        b = table.combine_chunks().to_batches()[0]
+        code = id_codes(b.column("id"))
+        own = ranked_rows(b, np.flatnonzero(~np.asarray(b.column("at").is_valid())), code)
+        alive = swept(np.asarray(b.column("alive").take(pa.array(own))), thresholds, run_overlaps(b, own, code))
+        kept = np.flatnonzero(alive)
+        at = pa.array(own[kept])
+        return pa.table([*[b.column(c).take(at) for c in (*keys, "id")], pa.array(alive[kept])], names=[*keys, "id", "mask"])
+
+    return settle
+
+
 def kept_masks(nodes: DataFrame, keys: Sequence[str], thresholds: Sequence[float], hot_cell: int,
                tail_edges: int) -> DataFrame:
     """`(keys, id, mask)`: the thresholds (all below 1) at which a box stays.
@@ -274,8 +326,25 @@ def _kept_in_cells(nodes: DataFrame, keys: Sequence[str], thresholds: Sequence[f
 def kept_run_masks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thresholds: Sequence[float],
                    tail_edges: int) -> DataFrame:
     """`kept_masks` for shapes given as runs `(keys, id, line, c0, c1)`; an object without runs overlaps
-    nothing. Of objects with the very same pixels only the first can stay."""
+    nothing. A key with few runs goes to one task with them."""
     keys = list(keys)
+    most = min(FEW_RUNS, tail_edges)
+    if not keys or most <= 0:
+        return _kept_by_blocks(nodes, runs, keys, thresholds, tail_edges)
+    both = cut(nodes.unionByName(coded_runs(runs, [*keys, "id"]), allowMissingColumns=True).dropna(subset=[*keys, "id"]), "masks")
+    few, many = by_size([both], keys, most, count_runs("at"))
+    parts = []
+    if few is not None:
+        schema = both.select(*keys, "id", F.col("alive").alias("mask")).schema
+        parts.append(of_keys(both, keys, few, many).groupBy(*keys).applyInArrow(_settle_masks(keys, thresholds), schema))
+    if many is not None or few is None:
+        large = [df if many is None else of_keys(df, keys, many, few) for df in (nodes, runs)]
+        parts.append(_kept_by_blocks(*large, keys, thresholds, tail_edges))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _kept_by_blocks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thresholds: Sequence[float], tail_edges: int) -> DataFrame:
+    """`kept_run_masks` of keys of any size. Of objects with the very same pixels only the first can stay."""
     nodes = cut(nodes, "nodes")
     order = ["score", "tie", "id"]
     shapes = cut(whole_masks(runs, [*keys, "id"], nodes, ["score", "tie"]), "masks")

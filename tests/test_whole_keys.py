@@ -10,6 +10,7 @@ from crownframe.functions import faces, geodesy, polygons, sweep
 from crownframe.functions import rings as R
 from crownframe.operators import dissolve, matching, scoring, suppression
 from crownframe.operators.box_pairs import overlapping
+from crownframe.plans import grid_search
 from crownframe.sources import geotables
 from tests import brute
 
@@ -156,3 +157,41 @@ def test_a_model_sees_few_prompts_at_a_time(spark):
     assert sorted(i for r in out for i in r["object_ids"]) == list(range(300))
     assert max(s for r in out for s in r["scores"]) <= 4
     assert "MapInArrow" in scoring.score_prompts(prompts, prompts.select("tile_path").distinct(), load)._jdf.queryExecution().toString()
+
+
+def run_table(df, ident):
+    """Boxes as row runs on a grid of halves."""
+    at = lambda c: F.floor(F.col(c) * 2).cast("int")
+    solid = df.filter("x1 - x0 >= 0.5 and y1 - y0 >= 0.5")
+    return solid.select("product_id", ident, F.explode(F.sequence(at("y0"), at("y1") - 1)).alias("line"), at("x0").alias("c0"), at("x1").alias("c1"))
+
+
+def test_masks_of_small_keys_make_no_pairs(spark, monkeypatch):
+    df = brute.frame(spark, brute.boxes(200, seed=8))
+    df = df.unionByName(df.limit(20).withColumn("object_id", F.col("object_id") + 5000))      # copies
+    runs = run_table(df, "object_id")
+
+    def run(**options):
+        return {r[0] for r in suppression.nms(df, 0.3, runs=runs, **options).select("object_id").collect()}
+
+    rounds = run(tail_edges=0)
+    assert 0 < len(rounds) < 220
+    monkeypatch.setattr(suppression, "_kept_by_blocks", forbidden)
+    assert run() == rounds
+
+
+def test_search_of_small_rasters_makes_no_pairs(spark, monkeypatch):
+    p = brute.frame(spark, brute.boxes(150, seed=51))
+    t = brute.frame(spark, brute.boxes(70, seed=52), "truth_id", "unused")
+    p = p.unionByName(p.limit(1).withColumns({"product_id": F.lit(77), "object_id": F.lit(9000).cast("long")}))       # no truths there
+    runs = run_table(p, "object_id"), run_table(t, "truth_id")
+
+    def run(masks, **options):
+        out = grid_search.nms_grid_search(p, t, 0.7, (0.2, 0.6, 1.0), (0.1, 0.4, 0.8), (0.2, 0.5), runs=runs if masks else None, **options)
+        return sorted(map(tuple, out.select("raster_name", "nms_iou", "nms_score", "num_truths", "num_preds", F.round("f1", 9)).collect()))
+
+    rounds = [run(masks, tail_pairs=0) for masks in (False, True)]
+    assert all(rounds) and rounds[0] != rounds[1] and "77" in {r[0] for r in rounds[0]}
+    assert [run(masks, tail_pairs=60) for masks in (False, True)] == rounds         # some rasters are larger than that
+    monkeypatch.setattr(grid_search, "_search_pairs", forbidden)
+    assert [run(masks) for masks in (False, True)] == rounds
