@@ -8,7 +8,7 @@ would make the same pair, so both agree row by row. The strongest open predictio
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
@@ -21,18 +21,21 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from crownframe.functions import boxes as B
 from crownframe.functions import sweep
+from crownframe.functions.batches import whole_groups
 from crownframe.functions.polygons import clipped_inter_area, iou_from
 from crownframe.functions.ranks import ranked_score, tie_of
 from crownframe.operators.box_pairs import iou, overlapping
 from crownframe.operators.masks import mask_pairs
 from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join
-from crownframe.session import cut, release
+from crownframe.session import cut, on_file, release
 
 #: Candidate pairs of one key few enough to be finished in a task, after some rounds; the result is the same.
 TAIL_PAIRS, TAIL_AFTER = 200_000, 0
 #: Boxes of one key few enough to be matched in a task, without a table of pairs; overlaps held there at a time; bits of a long.
 WHOLE_KEY, HELD, BITS = 20_000, 1 << 21, 62
+#: Added to the union where prompts are matched.
+EPSILON = 1e-6
 #: How far a bound on a polygons' IoU may be off: areas are sums of rounded parts.
 ROUNDING = 1e-6
 #: Numbers of a polygon that count as one box, and boxes' worth of polygons swept together.
@@ -266,11 +269,13 @@ def _whole_keys(predictions: DataFrame, truths: DataFrame, keys: Sequence[str],
     shaped = [F.col(c).alias(n) for c, n in zip(shape_cols, ("shape", "clip", "size"))]
     if shape_cols:
         shaped.append(F.ceil((numbers(shape_cols[0]) + numbers(shape_cols[1]) + 1) / POINTS).alias("weight"))
-    p = cut(predictions.select(*keys, F.col(pred_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
-                               ranked_score(F.col(score_col)).alias("score"), tie_of(F.col(pred_id)).alias("pred_rank"),
-                               label.cast("string").alias("label"), *shaped), "predictions")
-    t = cut(truths.select(*keys, F.col(truth_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
-                          label.cast("string").alias("label"), *shaped), "truths")
+    p = predictions.select(*keys, F.col(pred_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
+                           ranked_score(F.col(score_col)).alias("score"), tie_of(F.col(pred_id)).alias("pred_rank"),
+                           label.cast("string").alias("label"), *shaped)
+    t = truths.select(*keys, F.col(truth_id).alias("id"), *[F.col(c).cast("double").alias(c) for c in B.BOX],
+                      label.cast("string").alias("label"), *shaped)
+    # A table that was just written isn't written again.
+    p, t = (thin if on_file(df) else cut(thin, name) for df, thin, name in ((predictions, p, "predictions"), (truths, t, "truths")))
     few, many = by_size([p, t], keys, most, F.col("weight") if shape_cols else None)
     if few is None:
         return None, many
@@ -390,6 +395,61 @@ def greedy_match(predictions: DataFrame, truths: DataFrame, thresholds: Sequence
         *key, step.alias("iou_threshold"), F.col("label").alias("size_label"), F.col("pred").alias(pred_id), F.col("truth").alias(truth_id), "iou")
 
 
+def _match_prompts(keys: Sequence[str], least_iou: float):
+    """From truths (`_side` 0) and predictions (1, in their order) sorted by key: the predictions that take a truth, with its id and the IoU."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b, group in whole_groups(batches, keys, 1 << 14):
+            box = np.stack([np.asarray(b.column(c).fill_null(np.nan)) for c in B.BOX], 1)
+            side, size = np.asarray(b.column("_side")), (box[:, 2] - box[:, 0]) * (box[:, 3] - box[:, 1])
+            ends = np.append(np.flatnonzero(np.diff(group, prepend=-1)), b.num_rows)
+            rows, truths, values = [], [], []
+            for start, end in zip(ends[:-1], ends[1:]):
+                first = start + int(np.searchsorted(side[start:end], 1))       # of the predictions
+                step, todo, used = max(HELD // max(first - start, 1), 1), {}, {}
+                for begin in range(first, end if first > start else first, step):
+                    found = []
+                    for i, j in overlapping(box[begin:min(begin + step, end)], box[start:first]):
+                        i, j = begin + i, start + j
+                        x, y = box[i], box[j]
+                        inter = np.maximum(np.minimum(x[:, 2], y[:, 2]) - np.maximum(x[:, 0], y[:, 0]), 0.0) * np.maximum(
+                            np.minimum(x[:, 3], y[:, 3]) - np.maximum(x[:, 1], y[:, 1]), 0.0)
+                        under = size[i] + size[j] - inter + EPSILON
+                        value = np.divide(inter, under, out=np.zeros(len(inter)), where=under != 0)
+                        near = value > least_iou
+                        found.append((i[near], j[near], value[near]))
+                    if not found:
+                        continue
+                    i, j, value = (np.concatenate(c) for c in zip(*found))
+                    order = np.lexsort((j, -value, i))
+                    won, _ = first_come(i[order].tolist(), j[order].tolist(), [1] * len(i), todo, used)
+                    rows.append(i[order][won])
+                    truths.append(j[order][won])
+                    values.append(value[order][won])
+            if rows:
+                at, t = (pa.array(np.concatenate(c)) for c in (rows, truths))
+                yield pa.RecordBatch.from_arrays([*[b.column(c).take(at) for c in (*keys, "id", *B.BOX)], b.column("truth").take(t), pa.array(np.concatenate(values))],
+                                                 names=[*keys, "id", *B.BOX, "truth", "iou"])
+
+    return run
+
+
+def _prompts_of_small(predictions: DataFrame, truths: DataFrame, least_iou: float, order_col: str, keys: Sequence[str], pred_id: str,
+                      truth_id: str, most: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """`prompt_match` of the keys with at most `most` boxes, and the larger keys. Boxes of a key meet in one sort."""
+    box = [F.col(c).cast("double").alias(c) for c in B.BOX]
+    p = predictions.select(*keys, F.lit(1).alias("_side"), ranked_score(-F.col(order_col).cast("double")).alias("score"),
+                           F.col(pred_id).alias("id"), *box)
+    t = truths.select(*keys, F.lit(0).alias("_side"), F.col(truth_id).alias("truth"), *box)
+    both = cut(p.unionByName(t, allowMissingColumns=True).dropna(subset=keys), "prompts")
+    few, many = by_size([both], keys, most)
+    if few is None:
+        return None, many
+    kind = T.StructType([*[both.schema[c] for c in (*keys, "id", *B.BOX, "truth")], T.StructField("iou", T.DoubleType())])
+    rank = lambda c: [F.col(c).cast("long"), c]
+    order = of_keys(both, keys, few, many).repartition(*keys).sortWithinPartitions(*keys, "_side", F.desc("score"), *rank("id"), *rank("truth"))
+    return order.mapInArrow(_match_prompts(keys, least_iou), kind), many
+
+
 def prompt_match(predictions: DataFrame, truths: DataFrame, least_iou: float = 0.3,
                  order_col: str = "position", tile_col: str = "tile_path",
                  pred_id: str = "object_id", truth_id: str = "truth_id",
@@ -398,12 +458,24 @@ def prompt_match(predictions: DataFrame, truths: DataFrame, least_iou: float = 0
 
     Result: the predicted box with the truth whose mask it takes over.
     """
+    truths = truths.filter(F.col(mask_col))
+    parts = []
+    done = many = None
+    if tail_pairs > 0 and least_iou >= 0:
+        done, many = _prompts_of_small(predictions, truths, least_iou, order_col, [tile_col], pred_id, truth_id, min(WHOLE_KEY, tail_pairs))
+    if done is not None:
+        parts.append(done.select(tile_col, F.col("id").alias(pred_id), *[F.col(c).cast(predictions.schema[c].dataType).alias(c) for c in B.BOX],
+                                 F.col("truth").alias(truth_id), "iou"))
+        if many is None:
+            return parts[0]
+        predictions, truths = (df.join(many, tile_col, "left_semi") for df in (predictions, truths))
     ranked = predictions.withColumn("_s", -F.col(order_col).cast("double"))
-    pairs = candidate_pairs(ranked, truths.filter(F.col(mask_col)), "_s", [tile_col], pred_id,
-                            truth_id, epsilon=1e-6).filter(F.col("iou") > least_iou)
+    pairs = candidate_pairs(ranked, truths, "_s", [tile_col], pred_id,
+                            truth_id, epsilon=EPSILON).filter(F.col("iou") > least_iou)
     found = match_rounds(pairs.select(tile_col, "pred", "score", "truth", "iou"), [tile_col],
                          tail_pairs)
     found = found.select(tile_col, F.col("pred").alias(pred_id), F.col("truth").alias(truth_id),
                          "iou")
     boxes = predictions.select(tile_col, pred_id, *B.BOX)
-    return boxes.join(found, [tile_col, pred_id])
+    parts.append(boxes.join(found, [tile_col, pred_id]))
+    return reduce(DataFrame.unionByName, parts)

@@ -17,7 +17,7 @@ from crownframe.operators.fragments import aoi_polygon_filter
 from crownframe.operators.matching import greedy_match
 from crownframe.operators.numbering import reassign_duplicates, row_index
 from crownframe.operators.spatial_join import aoi_filter, bbox_join, to_pixel_space
-from crownframe.session import cut
+from crownframe.session import cut, on_file
 
 KEY = "product_id"
 SHAPE = ("rings", "clip", "_own_area")
@@ -78,7 +78,10 @@ def to_utm(predictions: DataFrame, truths: DataFrame, aoi: DataFrame | None,
         if "rings" not in aoi.columns:
             aoi = row_index(disjoint_boxes(aoi).withColumn("rings", R.box_ring(*B.box())).drop(*B.BOX), [], [F.col(KEY), F.col("rings")], "aoi")
         aoi = cut(moved(aoi), "utm-aoi")
-    return (*(cut(moved(df).drop(*B.BOX), "utm") for df in (predictions, truths)), aoi)
+    predictions, truths = (moved(df).drop(*B.BOX) for df in (predictions, truths))
+    if aoi is not None:         # read more than once then
+        predictions, truths = cut(predictions, "utm"), cut(truths, "utm")
+    return predictions, truths, aoi
 
 
 def prepare(predictions: DataFrame, truths: DataFrame, gsd: float, aoi: DataFrame | None = None,
@@ -128,6 +131,19 @@ def prepare(predictions: DataFrame, truths: DataFrame, gsd: float, aoi: DataFram
     return predictions, truths
 
 
+def _written(df: DataFrame, columns: Sequence[str], gsd: float, whole: bool, name: str) -> DataFrame:
+    """A table of `prepare` on files, with what is read of it. What follows from whole polygons is worked out when it is read."""
+    if "clip" not in df.columns:
+        return cut(df.select(KEY, *columns, *B.BOX, "size_label"), name)
+    if not whole:
+        return cut(df.select(KEY, *columns, *B.BOX, *SHAPE, "size_label"), name)
+    kept = cut(df.select(KEY, *columns, "rings", "_own_area"), name)
+    out = kept.withColumns({**R.envelope(F.col("rings")), "clip": F.lit(None).cast(R.RINGS),
+                            "size_label": B.size_label(F.col("_own_area") / (gsd * gsd), gsd)})
+    on_file(out, now=True)
+    return out
+
+
 def raster_counts(predictions: DataFrame, truths: DataFrame, gsd: float,
                   thresholds: Sequence[float] = (0.5,), aoi: DataFrame | None = None,
                   iou_type: str = "bbox", score_col: str | None = None,
@@ -135,8 +151,8 @@ def raster_counts(predictions: DataFrame, truths: DataFrame, gsd: float,
     """tp, fp, fn, precision, recall, f1 per raster, threshold and size bin."""
     score = score_col or metrics.pick_score(predictions)
     p, t = prepare(predictions, truths, gsd, aoi, iou_type, pred_id=pred_id, truth_id=truth_id, geographic=geographic)
-    p = cut(p, "predictions")
-    t = cut(t, "truths")
+    p, t = (_written(df, [ident, *more], gsd, aoi is None, name) for df, ident, more, name in (
+        (p, pred_id, [score], "predictions"), (t, truth_id, [], "truths")))
     matches = greedy_match(p, t, thresholds, score, [KEY], "size_label", pred_id, truth_id,
                            shape_cols=SHAPE if "clip" in p.columns else ())
     return metrics.count_matches(matches, p, t, thresholds, [KEY], "size_label")

@@ -63,6 +63,13 @@ def cut(df: DataFrame, label: str = "stage") -> DataFrame:
     return out
 
 
+def on_file(df: DataFrame, now: bool = False) -> bool:
+    """Whether the table comes from files of `cut`; `now` says that it does, row by row, so that it need not be written again."""
+    if now:
+        df._on_file = True
+    return hasattr(df, "_cut_path") or hasattr(df, "_on_file")
+
+
 def release(*tables: DataFrame) -> None:
     """Delete the files of tables made by `cut` that no later step reads; others are left alone."""
     for df in tables:

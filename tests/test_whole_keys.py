@@ -5,12 +5,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import functions as F
 
+from crownframe import session
 from crownframe.functions import boxes as B
 from crownframe.functions import faces, geodesy, polygons, sweep
 from crownframe.functions import rings as R
 from crownframe.operators import dissolve, matching, scoring, suppression
 from crownframe.operators.box_pairs import overlapping
-from crownframe.plans import grid_search
+from crownframe.plans import grid_search, raster_level
 from crownframe.sources import geotables
 from tests import brute
 
@@ -195,3 +196,38 @@ def test_search_of_small_rasters_makes_no_pairs(spark, monkeypatch):
     assert [run(masks, tail_pairs=60) for masks in (False, True)] == rounds         # some rasters are larger than that
     monkeypatch.setattr(grid_search, "_search_pairs", forbidden)
     assert [run(masks) for masks in (False, True)] == rounds
+
+
+def test_prompts_of_small_tiles_make_no_pairs(spark, monkeypatch):
+    p = brute.frame(spark, brute.boxes(200, seed=5)).withColumns({"tile_path": F.concat(F.lit("t"), "product_id"), "position": (F.col("object_id") * 7) % 11})
+    t = brute.frame(spark, brute.boxes(80, seed=6), "truth_id", "s").withColumns({"tile_path": F.concat(F.lit("t"), "product_id"), "has_mask": F.col("truth_id") % 5 != 0})
+    p = p.withColumn("position", F.when(F.col("object_id") % 13 != 0, F.col("position")))       # some have no place: they come last
+
+    def run(**options):
+        return sorted(map(tuple, matching.prompt_match(p, t, 0.1, **options).select("tile_path", "object_id", "truth_id", *B.BOX, "iou").collect()))
+
+    rounds = run(tail_pairs=0)
+    assert len(rounds) > 20
+    assert run(tail_pairs=130) == rounds            # one tile is larger than that
+    monkeypatch.setattr(matching, "candidate_pairs", forbidden)
+    assert run() == rounds
+
+
+def test_polygons_are_written_once(spark, monkeypatch):
+    """With all of a raster in degrees, only what is read of the polygons is written, and only before they are matched."""
+    rows = [(1, i, 0.9 - i / 10, [[-75.0 + i / 1e4, 45.0, -74.9999 + i / 1e4, 45.0, -74.9999 + i / 1e4, 45.0001, -75.0 + i / 1e4, 45.0001]]) for i in range(4)]
+    p = spark.createDataFrame(rows, "product_id int, object_id long, detector_score double, rings array<array<double>>")
+    t = p.select("product_id", F.col("object_id").alias("truth_id"), "rings")
+    written = []
+
+    def cut(df, label="stage"):
+        written.append((label, set(df.columns)))
+        return session.cut(df, label)
+
+    for module in (raster_level, matching):
+        monkeypatch.setattr(module, "cut", cut)
+    got = raster_level.raster_counts(p, t, 1.0, [0.5], iou_type="segm", geographic=True).filter("size_label = 'all'").collect()
+    assert [(r["tp"], r["fp"], r["fn"]) for r in got] == [(4, 0, 0)]
+    assert [(n, c) for n, c in written if "rings" in c] == [
+        ("predictions", {"product_id", "object_id", "detector_score", "rings", "_own_area"}), ("truths", {"product_id", "truth_id", "rings", "_own_area"})]
+    assert not [n for n, c in written if "shape" in c]
