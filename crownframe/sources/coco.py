@@ -6,15 +6,19 @@ element per line, so writing and reading it again is split over tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from crownframe.operators.numbering import range_stamped, row_index
-from crownframe.session import cut, scratch_path
+from crownframe.functions.batches import changes
+from crownframe.operators.numbering import row_index
+from crownframe.session import cut
+from crownframe.sources.files import Replacement
 
 
 class Coco(NamedTuple):
@@ -73,11 +77,13 @@ def _pieces(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     Files are split like lines. A piece's effect on the state depends on the state before it, so each has two: the brackets
     it opens if it starts outside a string (`d0`) or inside (`d1`); its quotes tell whether it turns the one into the
-    other. Effects are put together within range blocks, then over blocks, a row each, and the result is handed back.
+    other. Effects are put together within blocks, then over blocks, a row each, and the result is handed back.
     """
+    # A split of a file is one block, read in order by one task, so no row needs to be sorted.
     raw = spark.read.option("lineSep", "}").text(path).select(
-        F.col("_metadata.file_path").alias("source_id"), F.col("_metadata.file_block_start").alias("_start"),
+        F.col("_metadata.file_path").alias("source_id"), F.col("_metadata.file_block_start").alias("_blk"),
         F.monotonically_increasing_id().alias("_n"), "value")
+    stamped = cut(raw.select("source_id", "_blk", F.struct("_blk", "_n").alias("_pos"), "value"), "json")
     segments = F.split(F.regexp_replace("value", r"(?s)\\.", ""), '"', -1)
     quotes = F.size(segments) - 1
 
@@ -85,8 +91,7 @@ def _pieces(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
         outside = F.filter(segments, lambda x, i: i % 2 == inside)
         return _brackets(F.array_join(outside, "")) - ((quotes + inside) % 2 == 0).cast("int")
 
-    effects = raw.select("*", quotes.alias("q"), effect(0).alias("d0"), effect(1).alias("d1"))
-    stamped = range_stamped(effects, ["source_id"], [F.col("_start"), F.col("_n")])
+    stamped = stamped.select("*", quotes.alias("q"), effect(0).alias("d0"), effect(1).alias("d1"))
     block = ["source_id", "_blk"]
     before = Window.partitionBy(*block).orderBy("_pos").rowsBetween(Window.unboundedPreceding, -1)
     prior = lambda c: F.coalesce(F.sum(c).over(before), F.lit(0))
@@ -162,31 +167,43 @@ def read_coco_pieces(spark: SparkSession, path: str | Sequence[str]) -> Coco:
     return Coco(part("images", IMAGE), annotations, part("categories", CATEGORY))
 
 
+def _written(target: str | None):
+    """Writes the lines of each file, which come one after the other, and gives the names of the files."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        source = out = None
+        try:
+            for b in batches:
+                names = b.column("source_id")
+                heads = np.flatnonzero(np.append(True, changes(b, ["source_id"])[1:])[:b.num_rows])
+                done = []
+                for h, e in zip(heads.tolist(), np.append(heads[1:], b.num_rows).tolist()):
+                    if names[h].as_py() != source:
+                        if out is not None:
+                            out.finish()
+                            done.append(source)
+                        source = names[h].as_py()
+                        out = None
+                        out = Replacement(source, target)
+                    out.write("".join(f"{t}\n" for t in b.column("text").slice(h, e - h).to_pylist()).encode())
+                yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], names=["source_id"])
+            if out is not None:
+                out.finish()
+                out = None
+                yield pa.RecordBatch.from_arrays([pa.array([source], pa.string())], names=["source_id"])
+        finally:
+            if out is not None:
+                out.drop()
+
+    return run
+
+
 def write_files(rows: DataFrame, order: Sequence[str], target: str | None = None) -> None:
     """One file per `source_id` from the lines in `text`, by `order`: in the place of that file, or under its name in the
     folder `target`. Each file is written whole beside the others first and then moved, so a run that ends halfway
-    leaves every file as it was or as it should be."""
-    spark = rows.sparkSession
-    folder = scratch_path(spark, "files")
-    named = rows.withColumn("_doc", F.hex(F.xxhash64("source_id")))
-    named.repartition("_doc").sortWithinPartitions("_doc", *order).select("_doc", F.col("text").alias("value")).write.partitionBy("_doc").text(folder)
-    at = spark._jvm.org.apache.hadoop.fs.Path
-    conf = spark._jsc.hadoopConfiguration()
-    for r in named.select("source_id", "_doc").distinct().toLocalIterator():       # names only
-        made = at(f"{folder}/_doc={r['_doc']}")
-        parts = [x.getPath() for x in made.getFileSystem(conf).globStatus(at(f"{made.toString()}/part-*"))]
-        if len(parts) != 1:
-            raise OSError(f"{len(parts)} files for {r['source_id']}")
-        source = at(r["source_id"])
-        end = at(target, source.getName()) if target else source
-        fs = end.getFileSystem(conf)
-        fresh = at(end.getParent(), f".{end.getName()}.new")
-        fs.mkdirs(end.getParent())
-        fs.delete(fresh, False)
-        spark._jvm.org.apache.hadoop.fs.FileUtil.copy(made.getFileSystem(conf), parts[0], fs, fresh, True, conf)
-        fs.delete(end, False)
-        if not fs.rename(fresh, end):
-            raise OSError(f"cannot write {end.toString()}")
+    leaves every file as it was or as it should be. Tasks write and move the files, so many take no longer on the driver than few;
+    `rows` must not be read from the files themselves."""
+    lines = rows.repartition("source_id").sortWithinPartitions("source_id", *order).select("source_id", "text")
+    lines.mapInArrow(_written(target), "source_id string").write.format("noop").mode("overwrite").save()
 
 
 def read_coco_parts(spark: SparkSession, path: str) -> Coco:

@@ -2,15 +2,53 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 import warnings
 from collections.abc import Sequence
+from urllib.parse import unquote
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crownframe.functions.names import leaf
 
 
+class Replacement:
+    """A file written whole under another name, and then moved to the place of `source` or under its name into `target`."""
+
+    def __init__(self, source: str, target: str | None = None):
+        folder, name = source.rsplit("/", 1)
+        plain = target or folder
+        if plain.startswith("file:/") and not plain.startswith("file://"):
+            plain = "file://" + plain[5:]
+        self.fs, base = fs.FileSystem.from_uri(plain if target is None or "://" in plain else os.path.abspath(plain))
+        name = unquote(name)                            # Spark gives the names of files as parts of a URI
+        self.fs.create_dir(base, recursive=True)
+        self.end, self.fresh = f"{base}/{name}", f"{base}/.{name}.{uuid.uuid4().hex}.new"
+        self.stream = self.fs.open_output_stream(self.fresh)
+
+    def write(self, data: bytes) -> None:
+        self.stream.write(data)
+
+    def finish(self) -> None:
+        self.stream.close()
+        local = isinstance(self.fs, fs.LocalFileSystem)
+        base, name = self.end.rsplit("/", 1)
+        # A local file may have a checksum by its side; other stores may not move onto a file.
+        self._delete(f"{base}/.{name}.crc" if local else self.end)
+        self.fs.move(self.fresh, self.end)
+
+    def drop(self) -> None:
+        self.stream.close()
+        self._delete(self.fresh)
+
+    def _delete(self, path: str) -> None:
+        if self.fs.get_file_info(path).type != fs.FileType.NotFound:
+            self.fs.delete_file(path)
+
+
 def list_tiles(spark: SparkSession, path: str, suffixes: Sequence[str] = ("tif", "tiff")) -> DataFrame:
     """Tile files below a folder, sorted, with a warning when there are none."""
     found = (spark.read.format("binaryFile").option("pathGlobFilter", "*.{%s}" % ",".join(suffixes))

@@ -93,3 +93,24 @@ def test_documents_are_cleaned_in_their_place(spark, tmp_path):
     prepare_documents(spark, str(tmp_path), min_area=5.0)
     assert {n: (tmp_path / f"{n}.json").read_text(encoding="utf-8") for n in texts} == after
     assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == sorted(f"{n}.json" for n in texts)
+
+
+def test_tasks_write_the_files(spark, tmp_path):
+    """Whole files with odd names, next to their old checksums or in another folder; the driver handles none of them."""
+    old = tmp_path / "old"
+    spark.createDataFrame([("{}",)], "value string").coalesce(1).write.text(str(old))     # leaves checksums
+    made = next(p for p in old.iterdir() if p.name.startswith("part-"))
+    assert (old / f".{made.name}.crc").exists()
+    odd = old / "a b%.json"
+    odd.write_text("x", encoding="utf-8")
+    names = [r[0] for r in spark.read.text(str(old)).select(F.col("_metadata.file_path")).distinct().collect()]
+    rows = [(n, k, f"{k} é") for n in names for k in range(3000)]
+    lines = spark.createDataFrame(rows, "source_id string, k int, text string").repartition(5)
+    coco.write_files(lines, ["k"])
+    coco.write_files(lines, ["k"], str(tmp_path / "new"))
+    want = "".join(f"{k} é\n" for k in range(3000))
+    assert len(names) == 2
+    for folder in (old, tmp_path / "new"):
+        assert [(folder / n).read_text(encoding="utf-8") for n in (odd.name, made.name)] == [want, want]
+        assert not [p.name for p in folder.iterdir() if p.name.endswith(".new")]
+    assert spark.read.text(str(old)).count() == 6000
