@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from crownframe.functions.batches import changes
 from crownframe.session import cut
 
 
@@ -45,6 +49,38 @@ def row_index(df: DataFrame, keys: Sequence[str], order: Sequence[Column], name:
     return numbered.select(*df.columns, name)
 
 
+def dense_index(df: DataFrame, groups: Sequence[str], order: Sequence[Column], name: str, group_name: str, start: int = 1) -> DataFrame:
+    """Two numbers from `start`: of the row, in the order of `groups` and `order`, and of its group. One sort gives both."""
+    groups = list(groups)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, so_far = None, 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            new = changes(b, groups)
+            if last is not None:
+                new[0] = changes(pa.Table.from_batches([last, b.slice(0, 1).select(groups)]).combine_chunks().to_batches()[0], groups)[1]
+            number = so_far + np.cumsum(new)
+            last, so_far = b.slice(b.num_rows - 1).select(groups), int(number[-1])
+            yield b.append_column("_g", pa.array(number.astype(np.int64)))
+
+    sort = [F.col(g) for g in groups] + list(order)
+    ranged = df.repartitionByRange(*sort).sortWithinPartitions(*sort).mapInArrow(count, T.StructType([*df.schema, T.StructField("_g", T.LongType())]))
+    stamped = cut(ranged.withColumn("_pos", F.monotonically_increasing_id()), "stamp").withColumn("_blk", F.shiftright("_pos", 33))
+    here = F.struct(*groups)
+    blocks = stamped.groupBy("_blk").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"), F.max("_g").alias("_g"),
+                                         F.min_by(here, "_pos").alias("_a"), F.max_by(here, "_pos").alias("_z"))
+    in_order = Window.partitionBy().orderBy("_blk")          # a row per block
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    on = F.coalesce(F.lag("_z").over(in_order) == F.col("_a"), F.lit(False)).cast("long")       # the group before goes on
+    blocks = blocks.withColumn("_on", on)
+    offsets = blocks.select("_blk", (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + start).alias("_shift"),
+                            (F.coalesce(F.sum(F.col("_g") + 1 - F.col("_on")).over(before), F.lit(0)) - F.col("_on") + start).alias("_more"))
+    return stamped.join(F.broadcast(offsets), "_blk").select(
+        *df.columns, (F.col("_pos") + F.col("_shift")).cast("long").alias(name), (F.col("_g") + F.col("_more")).cast("long").alias(group_name))
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
                    sums: dict[str, Column]) -> DataFrame:
     """Inclusive running sum of each expression in `sums` within `keys` in `order`."""

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from crownframe.functions import boxes as B
 from crownframe.operators.fragments import aoi_package
-from crownframe.operators.numbering import row_index
+from crownframe.operators.masks import CELLS, _coded, _decoded, _pieces, _spread, whole_masks
+from crownframe.operators.numbering import dense_index, row_index
 from crownframe.operators.spatial_join import bbox_join
 
 
@@ -88,22 +92,74 @@ def labeled_tiles(objects: DataFrame, tiles: DataFrame, id_col: str = "object_id
 def _numbered(tiles: DataFrame, labels: DataFrame, id_col: str, keys: list[str],
               keep_unlabeled: bool) -> tuple[DataFrame, DataFrame]:
     place = [*keys, "row", "col"]
-    kept = tiles if keep_unlabeled else tiles.join(
-        labels.select(*place).distinct(), place, "left_semi")
-    kept = row_index(kept, [], [F.col(c) for c in place], "tile_id", start=1)
+    if not keep_unlabeled:      # the tiles are those of the labels, so both numbers come from one sort
+        labels = dense_index(labels, place, [F.col(id_col)], "label_id", "tile_id")
+        named = labels.select(*place, "tile_id").distinct()
+        return tiles.join(named, place).select(*tiles.columns, "tile_id"), labels
+    kept = row_index(tiles, [], [F.col(c) for c in place], "tile_id", start=1)
     labels = labels.join(kept.select(*place, "tile_id").hint("merge"), place)
     labels = row_index(labels, [], [F.col(c) for c in (*place, id_col)], "label_id", start=1)
     return kept, labels
 
 
-def _tiles_of(low: Column, high: Column, length: Column, size: int, step: int) -> Column:
-    """Indexes of the tiles of `tile_grid` along one axis that share pixels low to high (excluded)."""
-    last = F.greatest(F.ceil((length - size) / step), F.lit(0)).cast("int")
-    first = F.greatest(F.floor((low - size) / step) + 1, F.lit(0)).cast("int")
-    upto = F.least(F.floor((high - 1) / step), last - 1).cast("int")
-    end = F.greatest(length - size, F.lit(0))                  # where the last tile starts
-    regular = F.when(first <= upto, F.sequence(first, upto)).otherwise(F.array().cast("array<int>"))
-    return F.concat(regular, F.when((high > end) & (low < end + size), F.array(last)).otherwise(F.array().cast("array<int>")))
+def _tiles_of(low: np.ndarray, high: np.ndarray, length: np.ndarray, size: int, step: int) -> tuple[np.ndarray, np.ndarray]:
+    """The tiles of `tile_grid` along one axis that share pixels low to high (excluded): the position of a range, and a tile's index."""
+    last = np.maximum(-((size - length) // step), 0)
+    first = np.maximum((low - size) // step + 1, 0)
+    upto = np.minimum((high - 1) // step, last - 1)
+    end = np.maximum(length - size, 0)                          # where the last tile starts
+    regular = np.maximum(upto - first + 1, 0)
+    count = regular + ((high > end) & (low < end + size))
+    i, k = _spread(count)
+    return i, np.where(k < regular[i], first[i] + k, last[i])
+
+
+def _cropped(ids: Sequence[str], size: int, step: int, min_ratio: float):
+    """From whole masks with `width, height` of their raster: a row per tile that holds enough of the mask, with what is in it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            of, (line, c0, wide) = _decoded(b.column("shape"), 3, "<i4") if b.num_rows else (np.zeros(0, np.int64), [np.zeros(0, np.int64)] * 3)
+            width, height, whole = (np.asarray(b.column(c)) for c in ("width", "height", "area"))
+            inside = (c0 >= 0) & (line >= 0) & (line < height[of]) & (c0 < width[of])
+            of, line, c0, wide = (v[inside] for v in (of, line, c0, wide))
+            c1 = np.minimum(c0 + wide, width[of])
+            ends = np.searchsorted(of, np.arange(b.num_rows + 1))
+            # A run lies in no more tiles than this; masks are worked on whole.
+            most = np.append((size // step + 2) * ((c1 - c0) // step + size // step + 2), 0)
+            for first, last in _pieces(np.add.reduceat(most, ends[:-1]) * (np.diff(ends) > 0) if b.num_rows else np.zeros(0, np.int64), CELLS):
+                some = slice(ends[first], ends[last])
+                i, row = _tiles_of(line[some], line[some] + 1, height[of[some]], size, step)
+                i += ends[first]
+                j, col = _tiles_of(c0[i], c1[i], width[of[i]], size, step)
+                i, row = i[j], row[j]
+                left, top = (np.maximum(np.minimum(k * step, n[of[i]] - size), 0) for k, n in ((col, width), (row, height)))
+                y, x0, x1, mask = line[i] - top, np.maximum(c0[i] - left, 0), np.minimum(c1[i] - left, size), of[i]
+                order = np.lexsort((x1, x0, y, col, row, mask))
+                mask, row, col, y, x0, x1 = (v[order] for v in (mask, row, col, y, x0, x1))
+                heads = np.flatnonzero((np.diff(mask, prepend=-1) != 0) | (np.diff(row, prepend=-1) != 0) | (np.diff(col, prepend=-1) != 0))
+                if not len(heads):
+                    continue
+                area = np.add.reduceat(x1 - x0, heads)
+                keep = pa.array(area >= min_ratio * whole[mask[heads]])
+                at = pa.array(mask[heads])
+                box = (np.minimum.reduceat(x0, heads), y[heads], np.maximum.reduceat(x1, heads), np.maximum.reduceat(y, heads) + 1)
+                yield pa.RecordBatch.from_arrays(
+                    [*[b.column(c).take(at) for c in ids], *[pa.array(v[heads].astype(np.int32)) for v in (row, col)], pa.array(area),
+                     *[pa.array(v.astype(np.int32)) for v in box], _coded([y, x0, x1 - x0], heads, "<i4")],
+                    names=[*ids, "row", "col", "area", *B.BOX, "runs"]).filter(keep)
+
+    return run
+
+
+def _plain_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the runs of `_cropped` as arrays of line, c0, c1."""
+    for b in batches:
+        if not b.num_rows:
+            continue
+        of, (line, c0, wide) = _decoded(b.column("runs"), 3, "<i4")
+        each = pa.StructArray.from_arrays([pa.array(v.astype(np.int32)) for v in (line, c0, c0 + wide)], names=["line", "c0", "c1"])
+        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(b.num_rows + 1)).astype(np.int32)), each)
+        yield b.set_column(b.schema.get_field_index("runs"), "runs", lists)
 
 
 def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap: float,
@@ -112,30 +168,25 @@ def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap:
     """`labeled_tiles` for masks: labels where at least `min_ratio` of the mask's pixels are in the tile.
 
     `runs` are keys, id, line, c0, c1 without overlap within a mask; `rasters` have keys, width and height. The tiles are
-    those of `tile_grid`. Each run finds its tiles by arithmetic, so nothing is joined in space. Labels have the mask
+    those of `tile_grid`. Runs come together by mask, packed, and each mask finds its tiles by arithmetic, so nothing is joined in space. Labels have the mask
     cropped and shifted (`runs`: line, c0, c1 in order), its tight box x0..y1 and its pixels as `area`.
     """
     keys = list(keys)
     step = grid_step(size, overlap)
-    # A row per raster. Without the hint Spark may broadcast the runs, whose size it takes from before they were exploded.
-    parts = runs.filter("c1 > c0 and c0 >= 0 and line >= 0").join(F.broadcast(rasters.select(*keys, "width", "height")), keys)
-    line, width, height = F.col("line"), F.col("width"), F.col("height")
-    parts = parts.filter((line < height) & (F.col("c0") < width)).withColumn("c1", F.least("c1", width))
-    parts = parts.withColumn("row", F.explode(_tiles_of(line, line + 1, height, size, step)))
-    parts = parts.withColumn("col", F.explode(_tiles_of(F.col("c0"), F.col("c1"), width, size, step)))
-    left, top = (F.greatest(F.least(F.col(i) * step, length - size), F.lit(0)).cast("int")
-                 for i, length in (("col", width), ("row", height)))
-    parts = parts.select(*keys, id_col, "row", "col", (line - top).cast("int").alias("line"),
-                         F.greatest(F.col("c0") - left, F.lit(0)).cast("int").alias("c0"),
-                         F.least(F.col("c1") - left, F.lit(size)).cast("int").alias("c1"))
-    whole = runs.filter("c1 > c0").groupBy(*keys, id_col).agg(F.sum(F.col("c1") - F.col("c0")).alias("_all"))
-    inside = parts.groupBy(*keys, id_col, "row", "col").agg(
-        F.sum(F.col("c1") - F.col("c0")).alias("area"), F.min("c0").alias("x0"), F.min("line").alias("y0"),
-        F.max("c1").alias("x1"), (F.max("line") + 1).alias("y1"),
-        F.array_sort(F.collect_list(F.struct("line", "c0", "c1"))).alias("runs"))      # a tile's pixels at most
-    # Packed runs shuffle so small that Spark would broadcast a side by its shuffled bytes, many times that in memory.
-    labels = inside.join(whole.hint("merge"), [*keys, id_col]).filter(F.col("area") >= min_ratio * F.col("_all")).drop("_all")
-    return _numbered(tile_grid(rasters, size, overlap), labels, id_col, keys, keep_unlabeled)
+    ids = [*keys, id_col]
+    # All pixels of a mask count, also those of runs that are on no line. Packed masks shuffle so small that Spark would
+    # broadcast a side by its shuffled bytes, many times that in memory.
+    whole = runs.filter("c1 > c0").groupBy(*ids).agg(F.sum(F.col("c1") - F.col("c0")).alias("area"))
+    masks = whole_masks(runs.select(*ids, "line", "c0", "c1"), ids).drop("area").join(whole.hint("merge"), ids)
+    # A row per raster. Without the hint Spark may broadcast the masks, whose size it takes from before they were exploded.
+    masks = masks.join(F.broadcast(rasters.select(*keys, F.col("width").cast("long"), F.col("height").cast("long"))), keys)
+    number = T.IntegerType()
+    kind = T.StructType([*[masks.schema[c] for c in ids], *[T.StructField(c, number) for c in ("row", "col")], T.StructField("area", T.LongType()),
+                         *[T.StructField(c, number) for c in B.BOX], T.StructField("runs", T.BinaryType())])
+    labels = masks.select(*ids, "area", "shape", "width", "height").mapInArrow(_cropped(ids, size, step, min_ratio), kind)
+    tiles, labels = _numbered(tile_grid(rasters, size, overlap), labels, id_col, keys, keep_unlabeled)
+    run = T.StructType([T.StructField(c, number) for c in ("line", "c0", "c1")])
+    return tiles, labels.mapInArrow(_plain_runs, T.StructType([T.StructField("runs", T.ArrayType(run)) if f.name == "runs" else f for f in labels.schema]))
 
 
 def polygon_tiles(objects: DataFrame, size: int | None = None, buffer: int = 5) -> DataFrame:

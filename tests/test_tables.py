@@ -408,3 +408,30 @@ def test_numbering_broadcasts_blocks_not_rows(spark):
     numbered = numbering.row_index(spark.range(50), [], [F.col("id")], "n")
     assert "rightHint=(strategy=broadcast)" in numbered._jdf.queryExecution().optimizedPlan().toString()
     assert [r["n"] for r in numbered.orderBy("id").collect()] == list(range(50))
+
+
+def test_rows_and_their_groups_are_numbered_in_one_sort(spark):
+    rows = [(i // 40, i % 2, i) for i in range(200)] + [(9, 1, 5000), (7, 0, 5001)]
+    df = spark.createDataFrame(rows, "a int, b int, id int").repartition(5)
+    got = numbering.dense_index(df, ["a", "b"], [F.col("id")], "n", "g").collect()
+    order = sorted(rows)
+    groups = {k: i for i, k in enumerate(sorted({r[:2] for r in rows}), 1)}
+    assert sorted((r["a"], r["b"], r["id"], r["n"], r["g"]) for r in got) == [(*r, i, groups[r[:2]]) for i, r in enumerate(order, 1)]
+    one = spark.createDataFrame([(1, 1, i) for i in range(500)], df.schema).repartition(7)       # one group over all blocks
+    got = numbering.dense_index(one, ["a", "b"], [F.col("id")], "n", "g", start=0).collect()
+    assert sorted((r["id"], r["n"], r["g"]) for r in got) == [(i, i, 0) for i in range(500)]
+
+
+def test_labels_are_numbered_without_a_join_to_their_tiles(spark, monkeypatch):
+    """Mask labels are shuffled packed: once by mask and once in order, with their numbers from one sort."""
+    runs = spark.createDataFrame([(0, k, y, 10 * k, 10 * k + 9) for k in range(6) for y in range(4 * k, 4 * k + 9)],
+                                 "product_id int, object_id long, line int, c0 int, c1 int")
+    rasters = spark.createDataFrame([(0, 60, 50)], "product_id int, width int, height int")
+    monkeypatch.setattr(tiling, "row_index", None)
+    tiles, labels = tiling.labeled_tile_masks(runs, rasters, 16, 0.5)
+    got = labels.orderBy("label_id").collect()
+    assert [r["label_id"] for r in got] == list(range(1, len(got) + 1)) and len(got) > 10
+    assert [(r["row"], r["col"], r["object_id"]) for r in got] == sorted((r["row"], r["col"], r["object_id"]) for r in got)
+    names = {(r["row"], r["col"]): r["tile_id"] for r in tiles.collect()}
+    assert sorted(names.values()) == list(range(1, len(names) + 1)) and all(names[r["row"], r["col"]] == r["tile_id"] for r in got)
+    assert all(r["area"] == sum(c1 - c0 for _, c0, c1 in r["runs"]) and r["y1"] - r["y0"] == len(r["runs"]) for r in got)
