@@ -36,6 +36,10 @@ def unmatched(objects: DataFrame, attributes: DataFrame, key: str = OBJECT_ID) -
     return objects.join(attributes.select(key), key, "left_anti")
 
 
+def _repeated(df: DataFrame, key: str) -> bool:
+    return not df.dropna(subset=[key]).groupBy(key).count().filter("count > 1").isEmpty()
+
+
 def geometry_merge(result: DataFrame, existing: DataFrame, key: str = OBJECT_ID,
                    order: Sequence[Column] = ()) -> DataFrame:
     """Result with the existing columns it lacks; its geometry wins.
@@ -44,6 +48,8 @@ def geometry_merge(result: DataFrame, existing: DataFrame, key: str = OBJECT_ID,
     is an error.
     """
     lacking = [c for c in existing.columns if c not in result.columns and c not in GEOMETRY]
+    if not lacking and not any(_repeated(df, key) for df in (result, existing)):
+        return result               # no column to bring, and no row that the join would repeat
     merged = result.join(existing.select(key, *lacking), key, "left")
     order = list(order) or _full_order(merged)
     # The join has brought the rows of an id together; they are numbered there, and all is worked out and written once.

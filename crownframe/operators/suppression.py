@@ -25,7 +25,7 @@ from crownframe.operators.box_pairs import iou, overlapping
 from crownframe.operators.masks import FEW_RUNS, blocks_of, coded_runs, count_runs, mask_overlaps, meeting, runs_of_rows, whole_masks
 from crownframe.operators.numbering import by_size, of_keys
 from crownframe.operators.spatial_join import bbox_join, cell_crowds, place
-from crownframe.session import cut, release
+from crownframe.session import cut, on_file, release
 
 #: Boxes in one grid cell above which the boxes of that cell are thinned before pairing, and edges of
 #: one key few enough to be finished in a task, after some rounds. Neither changes the result.
@@ -331,7 +331,9 @@ def kept_run_masks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thres
     most = min(FEW_RUNS, tail_edges)
     if not keys or most <= 0:
         return _kept_by_blocks(nodes, runs, keys, thresholds, tail_edges)
-    both = cut(nodes.unionByName(coded_runs(runs, [*keys, "id"]), allowMissingColumns=True).dropna(subset=[*keys, "id"]), "masks")
+    both = nodes.unionByName(coded_runs(runs, [*keys, "id"]), allowMissingColumns=True).dropna(subset=[*keys, "id"])
+    if not on_file(runs):
+        both = cut(both, "masks")
     few, many = by_size([both], keys, most, count_runs("at"))
     parts = []
     if few is not None:
@@ -367,6 +369,13 @@ def _kept_by_blocks(nodes: DataFrame, runs: DataFrame, keys: Sequence[str], thre
         *keys, "id", _minus(F.col("alive"), F.col("_gone")).alias("mask")).filter("mask != 0")
 
 
+def _renamed(runs: DataFrame, id_col: str) -> DataFrame:
+    named = runs.withColumnRenamed(id_col, "id")
+    if on_file(runs):
+        on_file(named, now=True)
+    return named
+
+
 def nms(objects: DataFrame, threshold: float, score_threshold: float | None = None,
         score_col: str = "detector_score", id_col: str = "object_id",
         keys: Sequence[str] = ("product_id",), hot_cell: int = HOT_CELL,
@@ -383,7 +392,7 @@ def nms(objects: DataFrame, threshold: float, score_threshold: float | None = No
         return objects  # no IoU exceeds 1
     nodes = nodes_of(objects, keys, id_col, score_col, [threshold], runs is None)
     kept = (kept_masks(nodes, keys, [threshold], hot_cell, tail_edges) if runs is None else
-            kept_run_masks(nodes, runs.withColumnRenamed(id_col, "id"), keys, [threshold], tail_edges))
+            kept_run_masks(nodes, _renamed(runs, id_col), keys, [threshold], tail_edges))
     return objects.join(kept.select(*keys, F.col("id").alias(id_col)), [*keys, id_col], "left_semi")
 
 
@@ -422,7 +431,7 @@ def nms_masks(objects: DataFrame, iou_thresholds: Sequence[float], score_floor:
         return base.withColumn("mask", F.lit(always).cast("long")), wanted
     nodes = nodes_of(objects, keys, id_col, score_col, below, runs is None)
     kept = (kept_masks(nodes, keys, below, hot_cell, tail_edges) if runs is None else
-            kept_run_masks(nodes, runs.withColumnRenamed(id_col, "id"), keys, below, tail_edges))
+            kept_run_masks(nodes, _renamed(runs, id_col), keys, below, tail_edges))
     mask = F.coalesce("_mask", F.lit(0).cast("long")).bitwiseOR(F.lit(always).cast("long"))
     out = base.join(kept.select(*keys, F.col("id").alias(id_col), F.col("mask").alias("_mask")),
                     [*keys, id_col], "left").select(*keys, id_col, "score", mask.alias("mask"))

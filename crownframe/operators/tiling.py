@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from crownframe.functions import boxes as B
 from crownframe.operators.fragments import aoi_package
-from crownframe.operators.masks import CELLS, _coded, _decoded, _pieces, _spread, whole_masks
+from crownframe.operators.masks import CELLS, _coded, _decoded, _pieces, _spread, plain_arrays, whole_masks
 from crownframe.operators.numbering import dense_index, row_index
 from crownframe.operators.spatial_join import bbox_join
 
@@ -151,17 +151,6 @@ def _cropped(ids: Sequence[str], size: int, step: int, min_ratio: float):
     return run
 
 
-def _plain_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows with the runs of `_cropped` as arrays of line, c0, c1."""
-    for b in batches:
-        if not b.num_rows:
-            continue
-        of, (line, c0, wide) = _decoded(b.column("runs"), 3, "<i4")
-        each = pa.StructArray.from_arrays([pa.array(v.astype(np.int32)) for v in (line, c0, c0 + wide)], names=["line", "c0", "c1"])
-        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(b.num_rows + 1)).astype(np.int32)), each)
-        yield b.set_column(b.schema.get_field_index("runs"), "runs", lists)
-
-
 def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap: float,
                        id_col: str = "object_id", min_ratio: float = 0.4, keys: Sequence[str] = ("product_id",),
                        keep_unlabeled: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -185,8 +174,7 @@ def labeled_tile_masks(runs: DataFrame, rasters: DataFrame, size: int, overlap:
                          *[T.StructField(c, number) for c in B.BOX], T.StructField("runs", T.BinaryType())])
     labels = masks.select(*ids, "area", "shape", "width", "height").mapInArrow(_cropped(ids, size, step, min_ratio), kind)
     tiles, labels = _numbered(tile_grid(rasters, size, overlap), labels, id_col, keys, keep_unlabeled)
-    run = T.StructType([T.StructField(c, number) for c in ("line", "c0", "c1")])
-    return tiles, labels.mapInArrow(_plain_runs, T.StructType([T.StructField("runs", T.ArrayType(run)) if f.name == "runs" else f for f in labels.schema]))
+    return tiles, plain_arrays(labels)
 
 
 def polygon_tiles(objects: DataFrame, size: int | None = None, buffer: int = 5) -> DataFrame:

@@ -17,10 +17,10 @@ from pyspark.sql import functions as F
 from crownframe.functions import boxes as B
 from crownframe.operators import filters, scoring
 from crownframe.operators.merging import merge_results
-from crownframe.operators.masks import collect_runs, explode_runs, nms_ioa_disambiguate
+from crownframe.operators.masks import RUN_ARRAY, coded_arrays, collect_runs, explode_runs, nms_ioa_disambiguate, plain_arrays
 from crownframe.operators.suppression import nms
 from crownframe.operators.tiling import labeled_tiles, polygon_tiles, tile_grid
-from crownframe.session import cut
+from crownframe.session import cut, on_file
 from crownframe.sources.coco import coco_tables, write_coco
 from crownframe.sources.geotables import write_objects
 
@@ -282,11 +282,23 @@ def aggregator_stage(score_threshold: float = 0.2, nms_threshold: float = 0.5,
             rows = filters.centroid_distance_weight(rows, least_centroid_weight, "aggregator_score")
         if edge_band:
             rows = filters.edge_band_filter(rows, edge_band)
+        masks = "runs" in rows.columns and nms_algorithm == "iou"
+        packed = masks and rows.schema["runs"].dataType.simpleString() == RUN_ARRAY.simpleString()
+        if packed:          # masks go through the suppression in one value each
+            rows = coded_arrays(rows)
         rows = cut(rows, "fused")       # read for the masks, for the suppression and for what it keeps
-        runs = explode_runs(rows, [*keys, "object_id"]) if "runs" in rows.columns else None
         if nms_algorithm == "iou":
+            runs = None
+            if packed:
+                runs = rows.filter("length(runs) > 0").select(*keys, "object_id", F.col("runs").alias("at"))
+                on_file(runs, now=True)
+            elif masks:
+                runs = explode_runs(rows, [*keys, "object_id"])
             kept = nms(rows, nms_threshold, score_threshold, "aggregator_score", keys=keys, runs=runs)
+            if packed:
+                kept = plain_arrays(kept)
         else:
+            runs = explode_runs(rows, [*keys, "object_id"])
             rest = nms_ioa_disambiguate(runs, rows.drop("runs"), nms_threshold, best_geom_keep_area_ratio,
                                         score_threshold, "object_id", "aggregator_score", keys)
             kept = rows.drop("runs").join(collect_runs(rest, [*keys, "object_id"]), [*keys, "object_id"])

@@ -9,9 +9,9 @@ from crownframe import session
 from crownframe.functions import boxes as B
 from crownframe.functions import faces, geodesy, polygons, sweep
 from crownframe.functions import rings as R
-from crownframe.operators import dissolve, matching, scoring, suppression
+from crownframe.operators import dissolve, masks, matching, scoring, suppression
 from crownframe.operators.box_pairs import overlapping
-from crownframe.plans import grid_search, raster_level
+from crownframe.plans import grid_search, raster_level, stages
 from crownframe.sources import geotables
 from tests import brute
 
@@ -187,8 +187,8 @@ def test_search_of_small_rasters_makes_no_pairs(spark, monkeypatch):
     p = p.unionByName(p.limit(1).withColumns({"product_id": F.lit(77), "object_id": F.lit(9000).cast("long")}))       # no truths there
     runs = run_table(p, "object_id"), run_table(t, "truth_id")
 
-    def run(masks, **options):
-        out = grid_search.nms_grid_search(p, t, 0.7, (0.2, 0.6, 1.0), (0.1, 0.4, 0.8), (0.2, 0.5), runs=runs if masks else None, **options)
+    def run(by_masks, **options):
+        out = grid_search.nms_grid_search(p, t, 0.7, (0.2, 0.6, 1.0), (0.1, 0.4, 0.8), (0.2, 0.5), runs=runs if by_masks else None, **options)
         return sorted(map(tuple, out.select("raster_name", "nms_iou", "nms_score", "num_truths", "num_preds", F.round("f1", 9)).collect()))
 
     rounds = [run(masks, tail_pairs=0) for masks in (False, True)]
@@ -231,3 +231,30 @@ def test_polygons_are_written_once(spark, monkeypatch):
     assert [(n, c) for n, c in written if "rings" in c] == [
         ("predictions", {"product_id", "object_id", "detector_score", "rings", "_own_area"}), ("truths", {"product_id", "truth_id", "rings", "_own_area"})]
     assert not [n for n, c in written if "shape" in c]
+
+
+def test_owners_by_intervals_equal_the_sweep(monkeypatch):
+    rng = np.random.default_rng(3)
+    n = 400
+    c0 = rng.integers(-20, 60, n)
+    columns = {"_key": ["k"] * n, "line": np.sort(rng.integers(0, 9, n)).astype(np.int32), "id": rng.integers(0, 50, n), "score": rng.integers(0, 4, n) / 4,
+               "c0": c0.astype(np.int32), "c1": (c0 + rng.integers(1, 30, n)).astype(np.int32)}
+    columns["score"] = [None if k % 17 == 0 else v for k, v in enumerate(columns["score"])]
+    b = pa.table(columns).to_batches()
+
+    def run(most):
+        return [r for x in masks._owned(iter(b), most) for r in x.to_pylist()]
+
+    got = run(10 ** 6)
+    monkeypatch.setattr(masks, "CELLS", 0)
+    assert got == run(-1) and len(got) > 50
+
+
+def test_masks_of_a_stage_stay_packed(spark, monkeypatch):
+    """Masks are not taken apart into rows for the suppression, and come back as they were, empty ones too."""
+    rows = [(0, k, float(x), 0.0, float(x + 4), 4.0, 0.9 - k / 10, [(y, x, x + 4) for y in range(4)] if k < 4 else []) for k, x in enumerate((0, 1, 10, 2, 30))]
+    df = spark.createDataFrame(rows, "product_id int, object_id long, x0 double, y0 double, x1 double, y1 double, segmenter_score double, runs array<struct<line:int,c0:int,c1:int>>")
+    monkeypatch.setattr(stages, "explode_runs", forbidden)
+    out = stages.run_stages([stages.aggregator_stage(0.1, 0.5, {"segmenter_score": 1.0})], stages.State(objects=df, product_name="x")).objects
+    got = {r["object_id"]: [tuple(x) for x in r["runs"]] for r in out.collect()}
+    assert got == {r[1]: r[-1] for r in rows if r[1] != 1}
